@@ -13,10 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import oracle_sql as _oracle
-from cardsentry.session import apply_required
+from pyspark.sql import functions as F
+
+from cardsentry.session import apply_required, work_dir
 from cardsentry.sources import proxy
+from cardsentry.sources import transactions as tx_files
+from cardsentry.sources import excel
+from cardsentry.streaming import file_ingest
 from cardsentry.operators.enrich import enrich, with_city
-from cardsentry.operators import rules
+from cardsentry.operators import dimensions, rules
+from cardsentry.plans import adhoc
 from cardsentry.plans import report as plan
 
 REPORT_DT = _oracle.REPORT_DT
@@ -90,6 +96,101 @@ def q_daily_mart(spark, sf_dir):
     return plan.daily_mart(_tables(spark, sf_dir))
 
 
+# ------------------------------------------------- sources and dimensions --
+
+def _tx_out(df):
+    return df.select(*tx_files.TRANSACTION_FIELDS, "load_date")
+
+
+def q_ingest_transactions(spark, sf_dir):
+    """Proxy operations written as daily ';' drops (odd ids with a decimal comma),
+    loaded by the batch ingest with ledger and archive, read back."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "ingest-transactions")
+    comma = F.col("transaction_id").cast("long") % 2 == 1
+    tx_files.write_drop(spark, tx_files.to_lines(t.transactions, comma_amount=comma), f"{root}/drop")
+    kw = dict(table_dir=f"{root}/transactions", quarantine_dir=f"{root}/quarantine",
+              ledger_dir=f"{root}/ledger", archive_dir=f"{root}/archive")
+    tx_files.ingest(spark, f"{root}/drop", **kw)
+    return _tx_out(tx_files.read_table(spark, kw["table_dir"]))
+
+
+def q_ingest_idempotent(spark, sf_dir):
+    """Streaming ingest (availableNow) run, the same files delivered again, run
+    again; then the batch path over the same drop into the same table."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "ingest-idempotent")
+    drop = f"{root}/drop"
+    lines = tx_files.to_lines(t.transactions)
+    tx_files.write_drop(spark, lines, drop)
+    kw = dict(table_dir=f"{root}/transactions", quarantine_dir=f"{root}/quarantine",
+              checkpoint_dir=f"{root}/stream-checkpoint")
+    file_ingest.run_available(spark, drop, **kw)
+    tx_files.write_drop(spark, lines, drop)          # same names delivered again
+    file_ingest.run_available(spark, drop, **kw)
+    tx_files.ingest(spark, drop, kw["table_dir"], kw["quarantine_dir"], f"{root}/ledger")
+    tx_files.ingest(spark, drop, kw["table_dir"], kw["quarantine_dir"], f"{root}/ledger")
+    return _tx_out(tx_files.read_table(spark, kw["table_dir"]))
+
+
+def q_quarantine_bad_lines(spark, sf_dir):
+    """Operations of type 'error' written with six fields; they land in quarantine."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "quarantine")
+    bad = F.col("oper_type") == "error"
+    tx_files.write_drop(spark, tx_files.to_lines(t.transactions, drop_terminal=bad), f"{root}/drop")
+    tx_files.ingest(spark, f"{root}/drop", f"{root}/transactions", f"{root}/quarantine", f"{root}/ledger")
+    q = spark.read.parquet(f"{root}/quarantine")
+    return q.select("transaction_id", "business_date", "n_fields", "reason")
+
+
+def _excel_day(col):
+    return F.date_format(col, "ddMMyyyy")
+
+
+def q_ingest_excel_blacklist(spark, sf_dir):
+    """Blacklist proxy as daily xlsx files (dates as Excel serials), read back by the S3 job."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "excel-blacklist")
+    rows = t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
+                              "passport", _excel_day("date").alias("_day"))
+    excel.write_drop(rows, f"{root}/drop", "passport_blacklist", "blacklist")
+    return excel.blacklist_rows(excel.read_cells(spark, f"{root}/drop"))
+
+
+def _snapshots(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    d0, d1 = proxy.event_days(spark, sf_dir)
+    return proxy.terminal_snapshots(t.terminals, d0, d1)
+
+
+def q_ingest_excel_terminals(spark, sf_dir):
+    """Daily terminal lists as xlsx files, read back by the S3 job."""
+    root = work_dir(spark, "excel-terminals")
+    snap = _snapshots(spark, sf_dir)
+    excel.write_drop(snap.withColumn("_day", _excel_day("load_date")).drop("load_date"),
+                     f"{root}/drop", "terminals", "terminals")
+    return excel.terminal_rows(excel.read_cells(spark, f"{root}/drop")).drop("extra")
+
+
+def q_stamp_snapshot(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    day = F.col("transaction_date")
+    return dimensions.stamp(t.transactions, F.to_date(day), F.date_add(F.to_date(day), 1))
+
+
+def q_terminal_history(spark, sf_dir):
+    """Version history (D5) collapsed from daily terminal snapshots."""
+    return dimensions.history(_snapshots(spark, sf_dir), "terminal_id", ["terminal_city"])
+
+
+def q_adhoc_sql(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    adhoc.register_views({"transactions": t.transactions, "cards": t.cards})
+    return adhoc.run_sql(spark, _oracle.ADHOC_SQL.format(min_amount=":min_amount"),
+                         args={"min_amount": 0})
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the fraud report over the sf0.001 proxy tables."""
     return q_fraud_report(spark, "/root/testdata/sf0.001")
@@ -97,6 +198,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "ingest_transactions": q_ingest_transactions,
+        "ingest_idempotent": q_ingest_idempotent,
+        "quarantine_bad_lines": q_quarantine_bad_lines,
+        "ingest_excel_blacklist": q_ingest_excel_blacklist,
+        "ingest_excel_terminals": q_ingest_excel_terminals,
+        "stamp_snapshot": q_stamp_snapshot,
+        "terminal_history": q_terminal_history,
+        "adhoc_sql": q_adhoc_sql,
         "enriched_transactions": q_enriched_transactions,
         "locked_passport": q_locked_passport,
         "overdue_passport": q_overdue_passport,

@@ -127,3 +127,26 @@ def load(spark: SparkSession, sf_dir: str) -> Tables:
         accounts=accounts(spark, sf_dir), clients=clients(spark, sf_dir),
         blacklist=blacklist(spark, sf_dir), terminals=terminals(spark, sf_dir),
     )
+
+
+def event_days(spark: SparkSession, sf_dir: str):
+    """First and last calendar day of the operations (one aggregate row)."""
+    r = (_read(spark, sf_dir, "events")
+         .agg(F.min(F.to_date("ts")).alias("d0"), F.max(F.to_date("ts")).alias("d1")).first())
+    return r["d0"], r["d1"]
+
+
+def terminal_snapshots(versions: DataFrame, d0, d1) -> DataFrame:
+    """Daily terminal lists (one row per terminal and day it is valid), days d0..d1.
+
+    Each version expands to its own days (explode of a date sequence), so the
+    output is exactly the snapshot rows; no join with a calendar.
+    """
+    lo = F.greatest(F.to_date("effective_from"), F.lit(d0).cast("date"))
+    # effective_to is exclusive: the version's last day is the day before it
+    # when it ends at midnight.
+    last = F.to_date(F.col("effective_to") - F.expr("INTERVAL 1 MICROSECOND"))
+    hi = F.least(last, F.lit(d1).cast("date"))
+    v = versions.where(lo <= hi)
+    return v.select("terminal_id", "terminal_city",
+                    F.explode(F.sequence(lo, hi)).alias("load_date"))

@@ -270,9 +270,80 @@ def _day_report() -> str:
       AND e.transaction_date >= {d0}"""
 
 
+_SNAPSHOTS = """
+    , days AS (
+        SELECT CAST(unnest(generate_series(CAST(min(CAST(ts AS DATE)) AS TIMESTAMP),
+                                           CAST(max(CAST(ts AS DATE)) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+               AS load_date
+        FROM events
+    ),
+    snapshots AS (
+        SELECT t.terminal_id, t.terminal_city, d.load_date
+        FROM terminals t JOIN days d
+          ON d.load_date >= CAST(t.effective_from AS DATE) AND CAST(d.load_date AS TIMESTAMP) < t.effective_to
+    )"""
+
+# Gaps and islands: a run of consecutive days with the same city is one version.
+_HISTORY = _SNAPSHOTS + """
+    , islands AS (
+        SELECT terminal_id, terminal_city, load_date,
+               load_date - CAST(row_number() OVER (PARTITION BY terminal_id, terminal_city ORDER BY load_date)
+                                AS INTEGER) AS grp
+        FROM snapshots
+    ),
+    runs AS (
+        SELECT terminal_id, terminal_city, min(load_date) AS first_day, max(load_date) AS last_day
+        FROM islands GROUP BY terminal_id, terminal_city, grp
+    ),
+    ordered AS (
+        SELECT r.*, lead(first_day) OVER (PARTITION BY terminal_id ORDER BY first_day) AS next_first,
+               (SELECT max(load_date) FROM snapshots) AS max_day
+        FROM runs r
+    )
+    SELECT terminal_id, terminal_city, CAST(first_day AS TIMESTAMP) AS effective_from,
+           CASE WHEN next_first = last_day + 1 THEN CAST(next_first AS TIMESTAMP)
+                WHEN last_day < max_day THEN CAST(last_day + 1 AS TIMESTAMP)
+                ELSE TIMESTAMP '9999-12-31 00:00:00' END AS effective_to,
+           0 AS deleted_flg
+    FROM ordered
+    UNION ALL
+    SELECT terminal_id, terminal_city, CAST(last_day + 1 AS TIMESTAMP) AS effective_from,
+           COALESCE(CAST(next_first AS TIMESTAMP), TIMESTAMP '9999-12-31 00:00:00') AS effective_to,
+           1 AS deleted_flg
+    FROM ordered
+    WHERE last_day < max_day AND (next_first IS NULL OR next_first <> last_day + 1)"""
+
+_TX_COLS = "transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal"
+
+ADHOC_SQL = """
+SELECT t.oper_type, t.oper_result, count(*) AS n_ops, sum(t.amount) AS total_amount,
+       count(DISTINCT k.account) AS n_accounts
+FROM transactions t JOIN cards k ON t.card_num = k.card_num
+WHERE t.amount >= {min_amount}
+GROUP BY t.oper_type, t.oper_result"""
+
+
 def oracle_sql() -> dict[str, str]:
     rd = REPORT_DT
     return {
+        "ingest_transactions": PROXY + f"""
+            SELECT {_TX_COLS}, CAST(transaction_date AS DATE) AS load_date FROM transactions""",
+        "ingest_idempotent": PROXY + f"""
+            SELECT {_TX_COLS}, CAST(transaction_date AS DATE) AS load_date FROM transactions""",
+        "quarantine_bad_lines": """
+            SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(ts AS DATE) AS business_date,
+                   6 AS n_fields, 'field_count' AS reason
+            FROM events WHERE event_type = 'error'""",
+        "ingest_excel_blacklist": PROXY + """
+            SELECT date, passport, date AS load_date FROM blacklist""",
+        "ingest_excel_terminals": PROXY + _SNAPSHOTS + """
+            SELECT terminal_id, terminal_city, load_date FROM snapshots""",
+        "stamp_snapshot": PROXY + f"""
+            SELECT {_TX_COLS}, date_trunc('day', transaction_date) AS effective_from,
+                   date_trunc('day', transaction_date) + INTERVAL 1 DAY AS effective_to, 0 AS deleted_flg
+            FROM transactions""",
+        "terminal_history": PROXY + _HISTORY,
+        "adhoc_sql": PROXY + ADHOC_SQL.format(min_amount="0"),
         "enriched_transactions": PROXY + """
             SELECT transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal,
                    account, valid_to, client_id, last_name, first_name, patronymic, passport_num,
