@@ -1,0 +1,38 @@
+"""Every registered query against its DuckDB oracle on the smallest scale factor."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from tools.compare import TABLES, digest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    return c
+
+
+@pytest.mark.parametrize("key", sorted(E.queries()))
+def test_query_matches_oracle(spark, con, key):
+    df = E.queries()[key](spark, SF)
+    rows = [tuple(r) for r in df.collect()]
+    sql = E.oracle_sql().get(key)
+    assert sql is not None, f"{key} has no oracle"
+    res = con.execute(sql)
+    ocols = [d[0] for d in res.description]
+    orows = res.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(rows) == len(orows)
+    assert digest(rows, df.columns) == digest(orows, ocols)
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["event_dt", "passport", "last_name", "first_name", "patronymic", "phone",
+                          "event_type", "report_dt"]
+    assert df.count() > 0
