@@ -22,7 +22,8 @@ from cardsentry.sources import excel
 from cardsentry.streaming import file_ingest
 from cardsentry.operators.enrich import enrich, with_city
 from cardsentry.operators import dimensions, rules
-from cardsentry.plans import adhoc
+from cardsentry.plans import adhoc, daily
+from cardsentry.sources import seed
 from cardsentry.plans import report as plan
 
 REPORT_DT = _oracle.REPORT_DT
@@ -155,7 +156,7 @@ def q_ingest_excel_blacklist(spark, sf_dir):
     rows = t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
                               "passport", _excel_day("date").alias("_day"))
     excel.write_drop(rows, f"{root}/drop", "passport_blacklist", "blacklist")
-    return excel.blacklist_rows(excel.read_cells(spark, f"{root}/drop"))
+    return excel.blacklist_rows(excel.read_cells(spark, f"{root}/drop")).drop("src_file")
 
 
 def _snapshots(spark, sf_dir):
@@ -170,7 +171,7 @@ def q_ingest_excel_terminals(spark, sf_dir):
     snap = _snapshots(spark, sf_dir)
     excel.write_drop(snap.withColumn("_day", _excel_day("load_date")).drop("load_date"),
                      f"{root}/drop", "terminals", "terminals")
-    return excel.terminal_rows(excel.read_cells(spark, f"{root}/drop")).drop("extra")
+    return excel.terminal_rows(excel.read_cells(spark, f"{root}/drop")).drop("extra", "src_file")
 
 
 def q_stamp_snapshot(spark, sf_dir):
@@ -191,6 +192,29 @@ def q_adhoc_sql(spark, sf_dir):
                          args={"min_amount": 0})
 
 
+def write_proxy_drops(spark, sf_dir, layout):
+    """The proxy data as the reference's inputs: daily ';' transaction files,
+    daily blacklist and terminal xlsx files, and the seed dimensions."""
+    t = _tables(spark, sf_dir)
+    tx_files.write_drop(spark, tx_files.to_lines(t.transactions), layout.drop)
+    bl = t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
+                            "passport", _excel_day("date").alias("_day"))
+    excel.write_drop(bl, layout.drop, "passport_blacklist", "blacklist")
+    snap = _snapshots(spark, sf_dir)
+    excel.write_drop(snap.withColumn("_day", _excel_day("load_date")).drop("load_date"),
+                     layout.drop, "terminals", "terminals")
+    seed.write_seed({"cards": t.cards, "accounts": t.accounts, "clients": t.clients}, layout.seed)
+
+
+def q_daily_pipeline(spark, sf_dir):
+    """End to end: all pending drops loaded in one catch-up run, terminal
+    versions rebuilt, every day's report written to the mart; read back."""
+    layout = daily.Layout(work_dir(spark, "daily-pipeline"))
+    write_proxy_drops(spark, sf_dir, layout)
+    daily.run(spark, layout)
+    return plan.read_mart(spark, layout.mart)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the fraud report over the sf0.001 proxy tables."""
     return q_fraud_report(spark, "/root/testdata/sf0.001")
@@ -218,6 +242,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_report": q_fraud_report,
         "fraud_report_day": q_fraud_report_day,
         "daily_mart": q_daily_mart,
+        "daily_pipeline": q_daily_pipeline,
     }
 
 

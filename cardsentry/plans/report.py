@@ -56,19 +56,25 @@ def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
 
 
 def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 hour",
-               probing_within="20 minutes", enriched: DataFrame | None = None) -> DataFrame:
+               probing_within="20 minutes", enriched: DataFrame | None = None,
+               window=None) -> DataFrame:
     """Every day's report at once (rows carry ``report_date``).
 
-    ``report_dt`` defaults to the end of the reported day.
+    ``report_dt`` defaults to the end of the reported day. ``window``
+    restricts the reported days (operations before it are read only as the
+    R3/R4 lookback).
     """
     ev = _enriched(tables, enriched)
+    if window is not None:
+        lb = max(duration_us(cities_within), duration_us(probing_within))
+        ev = scope(ev, window, lookback_us=lb)
     rdt = day_end("transaction_date") if report_dt is None else report_dt
     cities = with_city(ev, tables.terminals, True)
     parts = [
-        profile_rules(ev, None, rdt),
-        different_cities(cities, None, None, 0, within=cities_within, report_dt=rdt,
+        profile_rules(ev, window, rdt),
+        different_cities(cities, None, window, cities_within, within=cities_within, report_dt=rdt,
                          day_horizon=True),
-        amount_probing(ev, None, 0, within=probing_within, report_dt=rdt),
+        amount_probing(ev, window, probing_within, within=probing_within, report_dt=rdt),
     ]
     out = reduce(DataFrame.unionByName, parts).select(*REPORT_COLUMNS)
     return out.withColumn("report_date", F.to_date("event_dt"))

@@ -115,13 +115,34 @@ def _parse_batches(batches):
             yield pd.DataFrame(out, columns=["src_file", "sheet", "row_no", "cells"])
 
 
-def read_cells(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
-    """All sheets of all matching xlsx files as (src_file, sheet, row_no, cells)."""
-    raw = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-                .select("path", "content"))
+def read_cells(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
+    """All sheets of the xlsx files as (src_file, sheet, row_no, cells).
+
+    ``path``: a folder (files matching ``pattern``) or a list of file paths.
+    """
+    if isinstance(path, str):
+        n = len(files.list_files(spark, path, pattern))
+        raw = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    else:
+        n = len(path)
+        raw = spark.read.format("binaryFile").load(list(path))
     # One file per partition: an xlsx cannot be split, and its size is bounded.
-    n = max(1, len(files.list_files(spark, path, pattern)))
-    return raw.repartition(n, "path").mapInPandas(_parse_batches, CELLS_SCHEMA)
+    return (raw.select("path", "content").repartition(max(1, n), "path")
+               .mapInPandas(_parse_batches, CELLS_SCHEMA))
+
+
+def load_files(spark: SparkSession, paths, table_dir: str, typed_fn) -> list:
+    """Parse xlsx ``paths`` with ``typed_fn(cells) -> rows with load_date, src_file``
+    and replace those files' partitions of ``table_dir``; per-file counts back."""
+    from pyspark import StorageLevel
+    rows = typed_fn(read_cells(spark, list(paths))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("load_date", "src_file").parquet(table_dir))
+        return (rows.groupBy(F.col("src_file").alias("file_name"), F.col("load_date").alias("business_date"))
+                    .agg(F.count(F.lit(1)).alias("n_good"), F.lit(0).cast("long").alias("n_bad")).collect())
+    finally:
+        rows.unpersist()
 
 
 def _bd(col: str = "src_file"):
@@ -133,7 +154,7 @@ def blacklist_rows(cells: DataFrame, sheet: str = "blacklist") -> DataFrame:
     c = cells.where(F.col("sheet") == sheet)
     return c.select(parse_date_cell(F.col("cells")["date"]).alias("date"),
                     F.trim(F.col("cells")["passport"]).alias("passport"),
-                    _bd().alias("load_date"))
+                    _bd().alias("load_date"), "src_file")
 
 
 def terminal_rows(cells: DataFrame, sheet: str = "terminals") -> DataFrame:
@@ -143,7 +164,7 @@ def terminal_rows(cells: DataFrame, sheet: str = "terminals") -> DataFrame:
     extra = F.map_filter(F.col("cells"), lambda k, v: ~F.array_contains(known, k))
     return c.select(F.trim(F.col("cells")["terminal_id"]).alias("terminal_id"),
                     F.trim(F.col("cells")["terminal_city"]).alias("terminal_city"),
-                    extra.alias("extra"), _bd().alias("load_date"))
+                    extra.alias("extra"), _bd().alias("load_date"), "src_file")
 
 
 # ------------------------------------------------------------- fixtures ----

@@ -50,3 +50,26 @@ class Ledger:
             if name not in seen:
                 rows.append((name, files.business_date_of(name), 0, 0, info.size, info.mtime, now))
         self.spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def ingest_new(spark: SparkSession, drop_dir: str, pattern: str, ledger_dir: str, load_fn,
+               archive_dir: str | None = None, force: bool = False) -> list[str]:
+    """Load drop files not yet in the ledger: ``load_fn(paths)`` writes them and
+    returns per-file rows (file_name, business_date, n_good, n_bad).
+
+    Steps, each repeatable after a crash: load (partition overwrite) ->
+    ledger -> move to ``archive_dir`` as ``<name>.backup``.
+    """
+    ledger = Ledger(spark, ledger_dir)
+    found = files.list_files(spark, drop_dir, pattern)
+    done = set() if force else ledger.loaded_names()
+    new = [f for f in found if f.name not in done]
+    if new:
+        stats = load_fn([f.path for f in new])
+        ledger.record(stats, {f.name: f for f in new})
+    if archive_dir:
+        archived = ledger.loaded_names()
+        for f in found:
+            if f.name in archived:
+                files.rename(spark, f.path, f"{archive_dir.rstrip('/')}/{f.name}.backup")
+    return [f.name for f in new]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cardsentry.functions.values import parse_amount, parse_ts
 from cardsentry.schemas import TRANSACTION_FIELDS
 from cardsentry.sources import files
-from cardsentry.sources.ledger import Ledger
+from cardsentry.sources.ledger import ingest_new
 
 PATTERN = "transactions_*.txt"
 HEADER = ";".join(TRANSACTION_FIELDS)
@@ -117,24 +117,12 @@ def ingest(spark: SparkSession, drop_dir: str, table_dir: str, quarantine_dir: s
            archive_dir: str | None = None, force: bool = False, pattern: str = PATTERN) -> list[str]:
     """Batch ingest of new drop files; returns the names loaded.
 
-    Order of steps, each repeatable after a crash: write partitions
-    (overwrite of that file's partition) -> ledger -> move to archive as
-    ``<name>.backup``. Files already in the ledger are skipped unless
-    ``force`` (a corrected file delivered under the same name).
+    Files already in the ledger are skipped unless ``force`` (a corrected
+    file delivered under the same name replaces that file's partition).
     """
-    ledger = Ledger(spark, ledger_dir)
-    found = files.list_files(spark, drop_dir, pattern)
-    done = set() if force else ledger.loaded_names()
-    new = [f for f in found if f.name not in done]
-    if new:
-        stats = load_files(spark, [f.path for f in new], table_dir, quarantine_dir)
-        ledger.record(stats, {f.name: f for f in new})
-    if archive_dir:
-        archived = set(ledger.loaded_names())
-        for f in found:
-            if f.name in archived:
-                files.rename(spark, f.path, f"{archive_dir.rstrip('/')}/{f.name}.backup")
-    return [f.name for f in new]
+    return ingest_new(spark, drop_dir, pattern, ledger_dir,
+                      lambda paths: load_files(spark, paths, table_dir, quarantine_dir),
+                      archive_dir=archive_dir, force=force)
 
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame:

@@ -366,4 +366,5 @@ def oracle_sql() -> dict[str, str]:
         "fraud_report": _report(rd),
         "fraud_report_day": _day_report(),
         "daily_mart": _daily_mart(),
+        "daily_pipeline": _daily_mart(),
     }
