@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions.constants import (
@@ -23,6 +23,8 @@ from cardsentry.functions.constants import (
 )
 from cardsentry.functions.timecols import duration_us, epoch_us, ntz
 from cardsentry.operators.enrich import blocked_from, with_city
+from cardsentry.operators.sequence import floor_div as _floor_div
+from cardsentry.operators.sequence import lag_name, sequence_lags
 from cardsentry.operators.sizing import broadcast_if_small
 
 TS = "transaction_date"
@@ -92,11 +94,6 @@ def report_rows(df: DataFrame, event_type, report_dt=None, event_col: str = TS,
     )
 
 
-def _floor_div(c: Column, n: int) -> Column:
-    """Exact floor(c / n) for bigint c (also for negative c)."""
-    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")
-
-
 # ------------------------------------------------------------ R1A, R1B, R2 --
 
 def _with_blocked_from(enriched: DataFrame, blacklist: DataFrame | None) -> DataFrame:
@@ -192,50 +189,37 @@ def different_cities(enriched: DataFrame, terminals: DataFrame | None = None, wi
 
 # -------------------------------------------------------------- R4, R4b ----
 
-def _bucketed(ev: DataFrame, L: int, bucket_factor: int) -> DataFrame:
-    """Each operation in its home bucket (width W = L*factor) plus, when it lies in
-    the last L of that bucket, a context copy in the next one."""
-    W = L * max(1, int(bucket_factor))
-    home = _floor_div(F.col("_us"), W)
-    ctx = F.col("_us") >= (home + 1) * F.lit(W) - F.lit(L)
-    return (ev.withColumn("_home", home)
-              .withColumn("_pb", F.explode(F.when(ctx, F.array(F.col("_home"), F.col("_home") + 1))
-                                           .otherwise(F.array(F.col("_home"))))))
+# Sub-bucket width of the stitched lags (see operators/sequence.py).
+LAG_BUCKET = "1 minute"
 
 
 def amount_probing(enriched: DataFrame, window=None, lookback=0, within="20 minutes",
                    min_ops: int = 4, key: str = "account", report_dt=None,
                    success: str = RESULT_SUCCESS, reject: str = RESULT_REJECT,
-                   bucket_factor: int = 1) -> DataFrame:
+                   lag_bucket=LAG_BUCKET) -> DataFrame:
     """R4 (spec): ``min_ops`` consecutive operations of one ``key`` within ``within``,
     each smaller than the one before, all rejected except the last, which is
     successful; the last one is reported (no distinct, as the reference).
 
-    Ordered per key by (time, transaction_id) — a total order. The window is
-    partitioned by (key, time bucket), every bucket carrying the previous
-    bucket's last L as context, so a hot account spreads over many tasks; a
-    chain ending in a bucket lies entirely inside it plus its context.
+    Ordered per key by (time, transaction_id) -- a total order -- with exact
+    lags from ``sequence_lags`` (no window group holds a whole account).
     """
     if min_ops < 2:
         raise ValueError("min_ops must be >= 2")
     L = duration_us(within)
     n = min_ops - 1
     ev = scope(enriched, window, duration_us(lookback)).withColumn("_us", epoch_us(TS))
-    ev = _bucketed(ev, L, bucket_factor)
-    w = Window.partitionBy(key, "_pb").orderBy("_us", "transaction_id")
-    lags = {}
-    for k in range(1, n + 1):
-        lags[f"_r{k}"] = F.lag("oper_result", k).over(w)
-        lags[f"_a{k}"] = F.lag("amount", k).over(w)
-    lags["_u"] = F.lag("_us", n).over(w)
-    ev = ev.withColumns(lags)
-    conds = [F.col("_pb") == F.col("_home"), F.col("oper_result") == F.lit(success),
-             F.col("_a1") > F.col("amount"), F.col("_us") - F.col("_u") < F.lit(L)]
-    conds += [F.col(f"_r{k}") == F.lit(reject) for k in range(1, n + 1)]
-    conds += [F.col(f"_a{k + 1}") > F.col(f"_a{k}") for k in range(1, n)]
+    ev = sequence_lags(ev, key, "_us", "transaction_id", ["oper_result", "amount", "_us"], n,
+                       duration_us(lag_bucket))
+    r = lambda k: F.col(lag_name("oper_result", k))
+    a = lambda k: F.col(lag_name("amount", k))
+    conds = [F.col("oper_result") == F.lit(success), a(1) > F.col("amount"),
+             F.col("_us") - F.col(lag_name("_us", n)) < F.lit(L)]
+    conds += [r(k) == F.lit(reject) for k in range(1, n + 1)]
+    conds += [a(k + 1) > a(k) for k in range(1, n)]
     if window is not None:
         conds.append(in_window(window))
-    hits = ev.where(reduce(lambda a, b: a & b, conds))
+    hits = ev.where(reduce(lambda x, y: x & y, conds))
     return report_rows(hits, EVENT_PROBING, report_dt)
 
 
@@ -244,27 +228,23 @@ _ROW_COLS = ["transaction_date", "passport_num", "last_name", "first_name", "pat
 
 def amount_probing_three_step(enriched: DataFrame, window=None, lookback=0, within="20 minutes",
                               key: str = "account", report_dt=None, success: str = RESULT_SUCCESS,
-                              bucket_factor: int = 1) -> DataFrame:
+                              lag_bucket=LAG_BUCKET) -> DataFrame:
     """R4b (the reference code's reading): three neighbouring operations with
     decreasing amounts, the third successful, the first and third less than
     ``within`` apart; the middle one is reported (results of the first two
     are not checked; no distinct).
 
-    Detected on the third operation, so only earlier context is needed; the
-    middle row's columns come from lag(1).
+    Detected on the third operation; the middle row's columns are lag 1.
     """
     L = duration_us(within)
     ev = scope(enriched, window, duration_us(lookback)).withColumn("_us", epoch_us(TS))
-    ev = _bucketed(ev, L, bucket_factor)
-    w = Window.partitionBy(key, "_pb").orderBy("_us", "transaction_id")
-    lagged = {"_a1": F.lag("amount", 1).over(w), "_a2": F.lag("amount", 2).over(w),
-              "_u2": F.lag("_us", 2).over(w)}
-    lagged.update({f"_m_{c}": F.lag(c, 1).over(w) for c in _ROW_COLS})
-    ev = ev.withColumns(lagged)
-    cond = ((F.col("_pb") == F.col("_home")) & (F.col("oper_result") == F.lit(success))
-            & (F.col("_a2") > F.col("_a1")) & (F.col("_a1") > F.col("amount"))
-            & (F.col("_us") - F.col("_u2") < F.lit(L)))
+    ev = sequence_lags(ev, key, "_us", "transaction_id", ["amount", "_us"] + _ROW_COLS, 2,
+                       duration_us(lag_bucket))
+    cond = ((F.col("oper_result") == F.lit(success))
+            & (F.col(lag_name("amount", 2)) > F.col(lag_name("amount", 1)))
+            & (F.col(lag_name("amount", 1)) > F.col("amount"))
+            & (F.col("_us") - F.col(lag_name("_us", 2)) < F.lit(L)))
     if window is not None:
-        cond = cond & in_window(window, F.col("_m_transaction_date"))
+        cond = cond & in_window(window, F.col(lag_name("transaction_date", 1)))
     hits = ev.where(cond)
-    return report_rows(hits, EVENT_PROBING, report_dt, prefix="_m_")
+    return report_rows(hits, EVENT_PROBING, report_dt, prefix="_lag1_")

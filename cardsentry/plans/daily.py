@@ -62,7 +62,8 @@ class Tables:
 
 
 def rebuild_terminals(spark: SparkSession, layout: Layout) -> None:
-    """Terminal versions from all loaded snapshots.
+    """Terminal versions from all loaded snapshots (used for the first load and
+    for late or out-of-order snapshot files).
 
     The result is checkpointed (reliable checkpoint in spark.checkpoint.dir)
     before it replaces the stored versions, so the lineage is cut and a lost
@@ -73,6 +74,29 @@ def rebuild_terminals(spark: SparkSession, layout: Layout) -> None:
     versions.write.mode("overwrite").parquet(layout.terminals)
 
 
+def update_terminals(spark: SparkSession, layout: Layout, new_days: list[dt.date]) -> None:
+    """Apply snapshot days that follow every day already applied: one
+    incremental SCD2 step per day (a full outer join of the open versions with
+    that day's snapshot), so a daily run costs O(terminals), not O(history).
+    """
+    snaps = spark.read.parquet(layout.terminal_snapshots)
+    current = spark.read.parquet(layout.terminals)
+    for day in sorted(set(new_days)):
+        snap = snaps.where(F.col("load_date") == F.lit(day.isoformat()).cast("date"))
+        current = dimensions.apply_snapshot(current, snap.select("terminal_id", "terminal_city"),
+                                            "terminal_id", ["terminal_city"], day.isoformat())
+        current = current.checkpoint(eager=True)          # cut lineage per applied day
+    current.write.mode("overwrite").parquet(layout.terminals)
+
+
+def _applied_days(spark: SparkSession, layout: Layout) -> list[dt.date]:
+    led = f"{layout.ledger('terminals')}"
+    if not files.exists(spark, led):
+        return []
+    return [r[0] for r in spark.read.parquet(led).select("business_date").distinct().collect()
+            if r[0] is not None]
+
+
 def tables(spark: SparkSession, layout: Layout) -> Tables:
     s = seed.read_seed(spark, layout.seed)
     bl = spark.read.parquet(layout.blacklist).select("date", "passport")
@@ -89,12 +113,18 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
     new_bl = ingest_new(spark, layout.drop, BLACKLIST_PATTERN, layout.ledger("blacklist"),
                         lambda p: excel.load_files(spark, p, layout.blacklist, excel.blacklist_rows),
                         archive_dir=arch, force=force)
+    applied_before = _applied_days(spark, layout)
     new_tm = ingest_new(spark, layout.drop, TERMINALS_PATTERN, layout.ledger("terminals"),
                         lambda p: excel.load_files(spark, p, layout.terminal_snapshots,
                                                    lambda c: excel.terminal_rows(c).drop("extra")),
                         archive_dir=arch, force=force)
     if new_tm:
-        rebuild_terminals(spark, layout)
+        tm_days = sorted({d for d in (files.business_date_of(n) for n in new_tm) if d})
+        if applied_before and tm_days and min(tm_days) > max(applied_before) \
+                and files.exists(spark, layout.terminals):
+            update_terminals(spark, layout, tm_days)
+        else:
+            rebuild_terminals(spark, layout)
     dates = [files.business_date_of(n) for n in new_tx + new_bl + new_tm]
     dates = [d for d in dates if d is not None]
     if not dates:

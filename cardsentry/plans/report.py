@@ -86,8 +86,9 @@ def write_mart(report: DataFrame, mart_dir: str, report_date=None) -> None:
         if report_date is None:
             raise ValueError("report rows need report_date (column or argument)")
         report = report.withColumn("report_date", F.lit(str(report_date)).cast("date"))
-    (report.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("report_date").parquet(mart_dir))
+    # REBALANCE: AQE sizes the output files per report_date (and splits a hot day).
+    (report.hint("rebalance", "report_date").write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(mart_dir))
 
 
 def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:

@@ -85,8 +85,8 @@ def test_r4_bucketed_equals_brute_force(spark, seed, within):
     from cardsentry.functions.timecols import duration_us
     secs = duration_us(within) // 1_000_000
     expect = _brute_r4(ev, secs)
-    for factor in (1, 4):
-        got = sorted((r[0], r[1]) for r in rules.amount_probing(ev, within=within, bucket_factor=factor)
+    for lag_bucket in ("1 second", "1 minute", "3650 days"):
+        got = sorted((r[0], r[1]) for r in rules.amount_probing(ev, within=within, lag_bucket=lag_bucket)
                      .select("event_dt", "passport").collect())
         assert got == expect
 
@@ -101,7 +101,23 @@ def test_hot_account_spreads_over_buckets(spark):
     ev = world.enriched(spark.createDataFrame(rows, schemas.TRANSACTIONS))
     r4 = rules.amount_probing(ev, within="20 minutes")
     plan = r4._jdf.queryExecution().executedPlan().toString()
-    assert "_pb" in plan                        # window partitioned by the time bucket too
+    assert "_sb" in plan                        # window partitioned by the time sub-bucket too
     assert r4.count() == 6000 // 5              # every 5th op closes a 5-op chain
     r3 = rules.different_cities(ev, world.terminals)
     assert r3.count() == 6000                   # alternating cities 37 s apart
+
+
+@pytest.mark.parametrize("bucket_s", [1, 5, 60, 10**8])
+def test_sequence_lags_equal_plain_window_lags(spark, bucket_s):
+    from cardsentry.operators.sequence import lag_name, sequence_lags
+    rnd = random.Random(bucket_s)
+    rows = []
+    for i in range(3000):
+        key = rnd.choice(["hot"] * 8 + ["a", "b", "c"])
+        rows.append((key, rnd.randrange(0, 400) * 1_000_000 + rnd.choice([0, 0, 1]), f"{i:05d}", rnd.random()))
+    df = spark.createDataFrame(rows, "k string, us long, id string, v double")
+    got = sequence_lags(df, "k", "us", "id", ["v", "id"], 3, bucket_s * 1_000_000)
+    w = Window.partitionBy("k").orderBy("us", "id")
+    want = df.withColumns({lag_name(c, j): F.lag(c, j).over(w) for j in (1, 2, 3) for c in ("v", "id")})
+    cols = ["k", "us", "id"] + [lag_name(c, j) for j in (1, 2, 3) for c in ("v", "id")]
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))

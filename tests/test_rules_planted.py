@@ -204,14 +204,14 @@ def test_r4_null_terminal_unaffected(world):
     assert len(_r4(world, rows)) == 1
 
 
-def test_r4_bucketed_matches_plain_lags(world):
+def test_r4_stitched_lags_match_plain_lags(world):
     # chains straddling bucket edges (20-minute buckets) and long runs
     rows = []
     for k, start in enumerate(["2024-03-01 10:15:00", "2024-03-01 10:38:00", "2024-03-01 23:55:00"]):
         rows += _chain(start, [900, 800, 700, 600, 500, 400], [R, R, R, R, R, S], step_s=100)
-    plain = _r4(world, rows, bucket_factor=10_000)
+    plain = _r4(world, rows, lag_bucket="3650 days")
     assert _r4(world, rows) == plain
-    assert _r4(world, rows, bucket_factor=3) == plain
+    assert _r4(world, rows, lag_bucket="7 seconds") == plain
     assert len(plain) == 3
 
 
