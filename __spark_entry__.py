@@ -88,6 +88,15 @@ def q_fraud_report(spark, sf_dir):
     return plan.build_report(t, report_dt=REPORT_DT)
 
 
+def q_fraud_report_hot_account(spark, sf_dir):
+    """The flagship report when one account holds a third of all operations."""
+    t = _tables(spark, sf_dir)
+    hot = F.col("transaction_id").cast("long") % 3 == 0
+    t.transactions = t.transactions.withColumn(
+        "card_num", F.when(hot, F.lit(_oracle.HOT_CARD)).otherwise(F.col("card_num")))
+    return plan.build_report(t, report_dt=REPORT_DT)
+
+
 def q_fraud_report_day(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return plan.build_report(t, report_dt=REPORT_DT, window=_oracle.DAY_REPORT_DATE)
@@ -241,6 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "amount_probing_three_step": q_amount_probing_three_step,
         "fraud_report": q_fraud_report,
         "fraud_report_day": q_fraud_report_day,
+        "fraud_report_hot_account": q_fraud_report_hot_account,
         "daily_mart": q_daily_mart,
         "daily_pipeline": q_daily_pipeline,
     }

@@ -126,16 +126,24 @@ def read_cells(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
     else:
         n = len(path)
         raw = spark.read.format("binaryFile").load(list(path))
-    # One file per partition: an xlsx cannot be split, and its size is bounded.
-    return (raw.select("path", "content").repartition(max(1, n), "path")
-               .mapInPandas(_parse_batches, CELLS_SCHEMA))
+    return cells_from_binary(raw, n)
+
+
+def cells_from_binary(raw: DataFrame, n_files: int | None = None) -> DataFrame:
+    """(path, content) rows of xlsx files -> cells. One file per partition: an
+    xlsx cannot be split, and its size is bounded by the format."""
+    raw = raw.select("path", "content")
+    if n_files:
+        raw = raw.repartition(max(1, n_files), "path")
+    return raw.mapInPandas(_parse_batches, CELLS_SCHEMA)
 
 
 def load_files(spark: SparkSession, paths, table_dir: str, typed_fn) -> list:
     """Parse xlsx ``paths`` with ``typed_fn(cells) -> rows with load_date, src_file``
     and replace those files' partitions of ``table_dir``; per-file counts back."""
     from pyspark import StorageLevel
-    rows = typed_fn(read_cells(spark, list(paths))).persist(StorageLevel.MEMORY_AND_DISK)
+    from cardsentry.sources.transactions import stamped
+    rows = stamped(typed_fn(read_cells(spark, list(paths)))).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("load_date", "src_file").parquet(table_dir))

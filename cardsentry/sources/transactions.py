@@ -88,6 +88,12 @@ def bad_rows(parsed: DataFrame) -> DataFrame:
         "n_fields", "reason")
 
 
+def stamped(df: DataFrame, day_col: str = "load_date") -> DataFrame:
+    """Validity of a loaded batch -- its business day [day, day + 1), deleted_flg 0."""
+    from cardsentry.operators.dimensions import stamp
+    return stamp(df, F.col(day_col), F.date_add(F.col(day_col), 1))
+
+
 def write_partitions(df: DataFrame, table_dir: str, partition_cols) -> None:
     """Replace exactly the partitions present in ``df`` (idempotent reload)."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -101,7 +107,7 @@ def load_files(spark: SparkSession, paths, table_dir: str, quarantine_dir: str)
     """
     parsed = parse(read_lines(spark, paths)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_partitions(good_rows(parsed), table_dir, ["load_date", "src_file"])
+        write_partitions(stamped(good_rows(parsed)), table_dir, ["load_date", "src_file"])
         bad = bad_rows(parsed)
         write_partitions(bad, quarantine_dir, ["business_date", "src_file"])
         stats = (parsed.groupBy("src_file", "business_date")

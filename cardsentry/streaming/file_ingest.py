@@ -20,7 +20,7 @@ def _batch_writer(table_dir: str, quarantine_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = tx.parse(tx.lines_with_source(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            tx.write_partitions(tx.good_rows(parsed), table_dir, ["load_date", "src_file"])
+            tx.write_partitions(tx.stamped(tx.good_rows(parsed)), table_dir, ["load_date", "src_file"])
             tx.write_partitions(tx.bad_rows(parsed), quarantine_dir, ["business_date", "src_file"])
         finally:
             parsed.unpersist()
@@ -56,3 +56,21 @@ def run_available(spark: SparkSession, drop_dir: str, table_dir: str, quarantine
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def start_excel(spark: SparkSession, drop_dir: str, pattern: str, table_dir: str, typed_fn,
+                checkpoint_dir: str, available_now: bool = True):
+    """The same for xlsx drops: ``binaryFile`` stream -> foreachBatch(parse sheets,
+    ``typed_fn`` (e.g. ``excel.blacklist_rows``), stamp, partition overwrite)."""
+    from cardsentry.sources import excel
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = typed_fn(excel.cells_from_binary(batch))
+        tx.write_partitions(tx.stamped(rows), table_dir, ["load_date", "src_file"])
+
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    stream = (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", pattern)
+                   .load(drop_dir).select("path", "content"))
+    writer = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -323,6 +323,15 @@ WHERE t.amount >= {min_amount}
 GROUP BY t.oper_type, t.oper_result"""
 
 
+# Skewed variant: one card (hence one account) receives a third of all operations.
+HOT_CARD = "C0-0"
+PROXY_HOT = PROXY.replace(
+    "'C' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id % 3 AS VARCHAR) AS card_num",
+    f"CASE WHEN event_id % 3 = 0 THEN '{HOT_CARD}' "
+    "ELSE 'C' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id % 3 AS VARCHAR) END AS card_num")
+assert PROXY_HOT != PROXY
+
+
 def oracle_sql() -> dict[str, str]:
     rd = REPORT_DT
     return {
@@ -367,4 +376,5 @@ def oracle_sql() -> dict[str, str]:
         "fraud_report_day": _day_report(),
         "daily_mart": _daily_mart(),
         "daily_pipeline": _daily_mart(),
+        "fraud_report_hot_account": _report(rd).replace(PROXY, PROXY_HOT),
     }

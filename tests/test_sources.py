@@ -147,3 +147,18 @@ def test_xlsx_writer_round_trip(spark, tmp_path):
     got = sorted((r.terminal_id, r.terminal_city, r.extra.get("terminal_address"), r.load_date) for r in rows)
     assert got == [("T1", "Springfield", "Main st. 1", dt.date(2024, 3, 1)),
                    ("T2", "Shelby & Co <x>", None, dt.date(2024, 3, 1))]
+
+
+def test_stream_excel_ingest_and_stamp(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    pdf = pd.DataFrame({"date": [45352, 45353], "passport": ["2222 000001", "2222 000002"]})
+    (drop / "passport_blacklist_02032024.xlsx").write_bytes(excel.xlsx_bytes({"blacklist": pdf}))
+    q = file_ingest.start_excel(spark, str(drop), "*.xlsx", str(tmp_path / "t"), excel.blacklist_rows,
+                                str(tmp_path / "ck"))
+    q.awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "t")).collect()
+    assert sorted(r.passport for r in rows) == ["2222 000001", "2222 000002"]
+    r = rows[0]
+    assert (r.effective_from, r.effective_to, r.deleted_flg) == (
+        ts("2024-03-02 00:00:00"), ts("2024-03-03 00:00:00"), 0)
