@@ -97,16 +97,29 @@ def _applied_days(spark: SparkSession, layout: Layout) -> list[dt.date]:
             if r[0] is not None]
 
 
-def tables(spark: SparkSession, layout: Layout) -> Tables:
+def tables(spark: SparkSession, layout: Layout, load_days: tuple | None = None) -> Tables:
+    """The pipeline's tables; ``load_days=(first, last)`` prunes the transactions
+    to those load_date partitions (the files of those business days)."""
     s = seed.read_seed(spark, layout.seed)
     bl = spark.read.parquet(layout.blacklist).select("date", "passport")
     term = spark.read.parquet(layout.terminals).where(F.col("deleted_flg") == 0)
-    return Tables(transactions=tx.read_table(spark, layout.transactions), cards=s["cards"],
+    trx = tx.read_table(spark, layout.transactions)
+    if load_days is not None:
+        trx = trx.where(F.col("load_date").between(F.lit(load_days[0].isoformat()).cast("date"),
+                                                   F.lit(load_days[1].isoformat()).cast("date")))
+    return Tables(transactions=trx, cards=s["cards"],
                   accounts=s["accounts"], clients=s["clients"], blacklist=bl, terminals=term)
 
 
-def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False) -> list[dt.date]:
-    """Load pending drops and rebuild the affected report days; returns those days."""
+def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False,
+        file_day_margin: int | None = 1) -> list[dt.date]:
+    """Load pending drops and rebuild the affected report days; returns those days.
+
+    ``file_day_margin``: operations of business day D are in the files of days
+    D - margin .. D + margin (the drop contract: one file per day), so the
+    report reads only those load_date partitions instead of the whole
+    history. ``None`` reads every partition (filters still reach the scan).
+    """
     arch = layout.archive
     new_tx = tx.ingest(spark, layout.drop, layout.transactions, layout.quarantine,
                        layout.ledger("transactions"), archive_dir=arch, force=force)
@@ -132,7 +145,11 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
     # A late blacklist or terminal file can change reports of its day and later.
     lo = min(dates)
     hi = max(dates + [d for d in (files.business_date_of(n) for n in new_tx) if d])
-    t = tables(spark, layout)
+    load_days = None
+    if file_day_margin is not None:
+        m = dt.timedelta(days=file_day_margin + 1)      # + 1: the R3/R4 lookback into the previous day
+        load_days = (lo - m, hi + dt.timedelta(days=file_day_margin))
+    t = tables(spark, layout, load_days)
     window = (dt.datetime.combine(lo, dt.time()), dt.datetime.combine(hi + dt.timedelta(days=1), dt.time()))
     mart = plan.daily_mart(t, report_dt=report_dt, window=window)
     plan.write_mart(mart, layout.mart)
