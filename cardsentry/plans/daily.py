@@ -24,10 +24,13 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.operators import dimensions
+from cardsentry.operators.enrich import enrich
+from cardsentry.operators.rules import scope
 from cardsentry.plans import report as plan
 from cardsentry.sources import excel, files, seed
 from cardsentry.sources import transactions as tx
@@ -151,6 +154,13 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
         load_days = (lo - m, hi + dt.timedelta(days=file_day_margin))
     t = tables(spark, layout, load_days)
     window = (dt.datetime.combine(lo, dt.time()), dt.datetime.combine(hi + dt.timedelta(days=1), dt.time()))
-    mart = plan.daily_mart(t, report_dt=report_dt, window=window)
-    plan.write_mart(mart, layout.mart)
+    # The scoped, enriched operations feed three rule branches: computed once
+    # for the run (recomputed from lineage if an executor is lost), then released.
+    ev = scope(enrich(t.transactions, t.cards, t.accounts, t.clients, blacklist=t.blacklist),
+               window, lookback_us=plan.max_lookback({})).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        mart = plan.daily_mart(t, report_dt=report_dt, window=window, enriched=ev)
+        plan.write_mart(mart, layout.mart)
+    finally:
+        ev.unpersist()
     return sorted({lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)})

@@ -100,7 +100,7 @@ def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
     """
     lo, _ = resolve_window(day)
     ev = _enriched(tables, None)
-    ev = scope(ev, day, lookback_us=_max_lookback(kw)).persist(StorageLevel.MEMORY_AND_DISK)
+    ev = scope(ev, day, lookback_us=max_lookback(kw)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rep = build_report(tables, report_dt=report_dt, window=day, enriched=ev, **kw)
         write_mart(rep, mart_dir, report_date=lo.date())
@@ -108,7 +108,7 @@ def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
         ev.unpersist()
 
 
-def _max_lookback(kw) -> int:
+def max_lookback(kw) -> int:
     return max(duration_us(kw.get("cities_within", "1 hour")),
                duration_us(kw.get("probing_within", "20 minutes")))
 
