@@ -9,8 +9,6 @@ quarantine table instead of aborting the load. Blank lines are ignored.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,6 +178,3 @@ def write_drop(spark: SparkSession, lines: DataFrame, drop_dir: str, prefix: str
             names.append(name)
     return sorted(names)
 
-
-def day_of(name: str) -> dt.date | None:
-    return files.business_date_of(name)
