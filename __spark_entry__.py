@@ -8,6 +8,7 @@ each query in an independent form.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,16 @@ REPORT_DT = _oracle.REPORT_DT
 H72 = "72 hours"
 
 
+_PROXIES: dict = {}
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> proxy.Tables:
+    """Proxy tables of ``sf_dir`` (lazy plans: built once per session, read at execution)."""
     apply_required(spark)
-    return proxy.load(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _PROXIES:
+        _PROXIES[key] = proxy.load(spark, sf_dir)
+    return dataclasses.replace(_PROXIES[key])
 
 
 def _enriched(spark, sf_dir, with_blacklist=False):
