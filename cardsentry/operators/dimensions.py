@@ -3,7 +3,7 @@
 * ``stamp``            D1/D2/D4: validity columns on a batch before it is written
                        (no UPDATE of stored rows; ``deleted_flg`` defaults to 0).
 * ``history``          D5: version history from daily snapshots (window over each key's
-                       snapshots: lag of an attribute hash -> change flag -> running
+                       snapshots: lag of the attributes -> change flag -> running
                        sum -> version; a key missing from a later snapshot gets a
                        deletion version with deleted_flg = 1).
 * ``apply_snapshot``   D5, incremental: full outer join of the current versions with
@@ -44,10 +44,6 @@ def stamp(df: DataFrame, effective_from, effective_to=None, deleted_flg: int = 0
     })
 
 
-def _hash(attrs) -> Column:
-    return F.xxhash64(*[F.col(a) for a in attrs])
-
-
 def history(snapshots: DataFrame, key, attrs, load_col: str = "load_date") -> DataFrame:
     """Collapse daily snapshots into versions.
 
@@ -67,10 +63,12 @@ def history(snapshots: DataFrame, key, attrs, load_col: str = "load_date") -> Da
     snap = snap.join(broadcast_if_small(cal), "_ld")
 
     kw = Window.partitionBy(*keys).orderBy("_ld")
-    snap = (snap.withColumn("_h", _hash(attrs))
-                .withColumn("_new", (F.lag("_ld").over(kw).isNull()
+    changed = F.lit(False)
+    for a in attrs:                       # exact, NULL-safe comparison with the previous snapshot
+        changed = changed | ~F.lag(a).over(kw).eqNullSafe(F.col(a))
+    snap = (snap.withColumn("_new", (F.lag("_ld").over(kw).isNull()
                                      | (F.lag("_ld").over(kw) != F.col("_prev_cal"))
-                                     | (F.lag("_h").over(kw) != F.col("_h"))).cast("int"))
+                                     | changed).cast("int"))
                 .withColumn("_ver", F.sum("_new").over(kw.rowsBetween(Window.unboundedPreceding, 0))))
 
     vers = (snap.groupBy(*keys, "_ver")
