@@ -316,7 +316,7 @@ _HISTORY = _SNAPSHOTS + """
 _TX_COLS = "transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal"
 
 ADHOC_SQL = """
-SELECT t.oper_type, t.oper_result, count(*) AS n_ops, sum(t.amount) AS total_amount,
+SELECT t.oper_type, t.oper_result, count(*) AS n_ops, CAST(sum(t.amount) AS DECIMAL(38,2)) AS total_amount,
        count(DISTINCT k.account) AS n_accounts
 FROM transactions t JOIN cards k ON t.card_num = k.card_num
 WHERE t.amount >= {min_amount}
