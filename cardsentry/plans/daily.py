@@ -34,7 +34,7 @@ from cardsentry.operators.rules import scope
 from cardsentry.plans import report as plan
 from cardsentry.sources import excel, files, seed
 from cardsentry.sources import transactions as tx
-from cardsentry.sources.ledger import ingest_new
+from cardsentry.sources.ledger import Ledger, ingest_new
 
 BLACKLIST_PATTERN = "passport_blacklist_*.xlsx"
 TERMINALS_PATTERN = "terminals_*.xlsx"
@@ -145,9 +145,12 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
     dates = [d for d in dates if d is not None]
     if not dates:
         return []
-    # A late blacklist or terminal file can change reports of its day and later.
+    # A late blacklist or terminal file can change the reports of its day and of
+    # every later day already loaded: rebuild up to the last loaded operations day.
+    last_tx = (Ledger(spark, layout.ledger("transactions")).table()
+               .agg(F.max("business_date").alias("d")).first()["d"])
     lo = min(dates)
-    hi = max(dates + [d for d in (files.business_date_of(n) for n in new_tx) if d])
+    hi = max(dates + ([last_tx] if last_tx else []))
     load_days = None
     if file_day_margin is not None:
         m = dt.timedelta(days=file_day_margin + 1)      # + 1: the R3/R4 lookback into the previous day
