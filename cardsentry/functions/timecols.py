@@ -29,10 +29,13 @@ def ntz(value) -> Column:
 def epoch_us(col) -> Column:
     """Wall-clock microseconds of a timestamp_ntz column as an exact bigint.
 
-    Independent of the session time zone (no NTZ -> LTZ cast is involved).
+    NTZ minus the NTZ epoch is an exact day-time interval; its decimal seconds
+    times 10^6 are the microseconds. No time zone is consulted, so differences
+    stay exact across DST changes of any session zone.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c)
+    interval = c.cast("timestamp_ntz") - F.lit(_EPOCH).cast("timestamp_ntz")
+    return (interval.cast("decimal(20,6)") * F.lit(1_000_000)).cast("long")
 
 
 def duration_us(value) -> int:

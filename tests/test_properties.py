@@ -121,3 +121,17 @@ def test_sequence_lags_equal_plain_window_lags(spark, bucket_s):
     want = df.withColumns({lag_name(c, j): F.lag(c, j).over(w) for j in (1, 2, 3) for c in ("v", "id")})
     cols = ["k", "us", "id"] + [lag_name(c, j) for j in (1, 2, 3) for c in ("v", "id")]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_epoch_us_exact_in_any_session_zone(spark):
+    from cardsentry.functions.timecols import epoch_us
+    df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 30),), (dt.datetime(2024, 3, 10, 3, 30),),
+                                (dt.datetime(1969, 12, 31, 23, 59, 59, 999999),)], "t timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # DST starts 2024-03-10 02:00
+        got = [r[0] for r in df.select(epoch_us("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got[1] - got[0] == 2 * 3_600_000_000
+    assert got[2] == -1
