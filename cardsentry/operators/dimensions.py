@@ -71,9 +71,10 @@ def history(snapshots: DataFrame, key, attrs, load_col: str = "load_date") -> Da
                                      | changed).cast("int"))
                 .withColumn("_ver", F.sum("_new").over(kw.rowsBetween(Window.unboundedPreceding, 0))))
 
-    vers = (snap.groupBy(*keys, "_ver")
-                .agg(*[F.first(a, ignorenulls=False).alias(a) for a in attrs],
-                     F.min("_ld").alias("_from"), F.max("_ld").alias("_last"),
+    # attributes are constant within a version, so they are grouping keys
+    # (hash aggregation; no string aggregate buffers)
+    vers = (snap.groupBy(*keys, "_ver", *attrs)
+                .agg(F.min("_ld").alias("_from"), F.max("_ld").alias("_last"),
                      F.max_by("_next_cal", "_ld").alias("_after_last")))
     vw = Window.partitionBy(*keys).orderBy("_ver")
     vers = vers.withColumn("_next_from", F.lead("_from").over(vw))
