@@ -4,7 +4,7 @@
 into one window group; a key holding a large share of the rows becomes one
 task. Here the order is cut into time sub-buckets:
 
-  pass A  window over (key, sub-bucket): in-bucket lags, row number, bucket size.
+  pass A  window over (key, sub-bucket): in-bucket lags, row number, tail flag.
           A row whose row number is > n has all n predecessors in its bucket.
   pass B  the first n and last n rows of every (key, sub-bucket) -- at most 2n
           rows per non-empty sub-bucket -- windowed per key. For a head row
@@ -42,12 +42,14 @@ def sequence_lags(df: DataFrame, key, order_us: str, tie: str, cols, n: int,
     a = df.withColumn("_sb", floor_div(F.col(order_us), bucket_us))
     wa = Window.partitionBy(*keys, "_sb").orderBy(order_us, tie)
     a = a.withColumns({lag_name(c, k): F.lag(c, k).over(wa) for k in range(1, n + 1) for c in cols})
+    # row number (head rows) and "fewer than n rows follow" (tail rows), both in
+    # the same ordered window as the lags: one sort, one window operator
     a = a.withColumn("_rn", F.row_number().over(wa)) \
-         .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, "_sb")))
+         .withColumn("_tail", F.lead(F.lit(1), n).over(wa).isNull())
 
     inner = a.where(F.col("_rn") > n)
-    edge = a.where((F.col("_rn") <= n) | (F.col("_cnt") - F.col("_rn") < n)).drop(*lag_cols)
+    edge = a.where((F.col("_rn") <= n) | F.col("_tail")).drop(*lag_cols)
     wb = Window.partitionBy(*keys).orderBy(order_us, tie)
     head = (edge.withColumns({lag_name(c, k): F.lag(c, k).over(wb) for k in range(1, n + 1) for c in cols})
                 .where(F.col("_rn") <= n))
-    return inner.unionByName(head).drop("_sb", "_rn", "_cnt")
+    return inner.unionByName(head).drop("_sb", "_rn", "_tail")
