@@ -162,3 +162,30 @@ def test_stream_excel_ingest_and_stamp(spark, tmp_path):
     r = rows[0]
     assert (r.effective_from, r.effective_to, r.deleted_flg) == (
         ts("2024-03-02 00:00:00"), ts("2024-03-03 00:00:00"), 0)
+
+
+def test_seed_csv_overwrite_is_idempotent(spark, tmp_path):
+    from cardsentry.sources import seed
+    (tmp_path / "clients.csv").write_text(
+        "client_id,last_name,first_name,patronymic,passport_num,passport_valid_to,phone\n"
+        "VIP-7,Elm,Ada,T.,3333 000001,,+1 555 020-00-01\n"
+        "8,Fir,Bo,U.,3333 000002,2030-05-01,+1 555 020-00-02\n")
+    (tmp_path / "accounts.csv").write_text("account,valid_to,client\n40800000000000000099,2024-03-05,VIP-7\n")
+    (tmp_path / "cards.csv").write_text("card_num,account\n1000 0000 0000 0099,40800000000000000099\n")
+    dfs = {n: seed.read_csv(spark, str(tmp_path / f"{n}.csv"), n) for n in ("cards", "accounts", "clients")}
+    root = str(tmp_path / "seed")
+    seed.write_seed(dfs, root)
+    seed.write_seed(dfs, root)                      # loading twice leaves the same tables
+    back = seed.read_seed(spark, root)
+    cl = {r.client_id: r for r in back["clients"].collect()}
+    assert set(cl) == {"VIP-7", "8"} and cl["VIP-7"].passport_valid_to is None
+    assert cl["8"].passport_valid_to == dt.date(2030, 5, 1)
+    assert back["accounts"].first().client == "VIP-7" and back["cards"].count() == 1
+
+
+def test_local_path():
+    assert files.local_path("file:///a/b") == "/a/b"
+    assert files.local_path("/a/b") == "/a/b"
+    import pytest
+    with pytest.raises(ValueError):
+        files.local_path("hdfs://nn/a")
