@@ -2,7 +2,7 @@
 
 A side is broadcast when one aggregation over it proves its in-memory size
 below the limit; otherwise it is left to the planner (sort-merge join with
-AQE skew splitting). Used only for dimension-scale inputs: the check is a
+AQE skew splitting, or AQE's runtime broadcast from measured shuffle sizes). Used only for dimension-scale inputs: the check is a
 full pass over them.
 """
 
@@ -28,12 +28,18 @@ def _bytes(text: str) -> int:
     return int(m.group(1)) * _SUFFIX.get(m.group(2).lower() or "b", 1)
 
 
+DEFAULT_LIMIT = "10MB"
+
+
 def broadcast_limit(df: DataFrame) -> int:
-    """The session's broadcast threshold in bytes (-1 = never broadcast)."""
+    """Size limit in bytes for a checked broadcast (-1 = never broadcast).
+
+    ``spark.cardsentry.broadcastMaxBytes`` (default 10MB). Independent of
+    ``spark.sql.autoBroadcastJoinThreshold``, which the session turns off so
+    that the planner never broadcasts on file-size estimates.
+    """
     spark = df.sparkSession
-    own = spark.conf.get("spark.cardsentry.broadcastMaxBytes", None)
-    text = own or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    return _bytes(text)
+    return _bytes(spark.conf.get("spark.cardsentry.broadcastMaxBytes", None) or DEFAULT_LIMIT)
 
 
 # Measured bounds, keyed by (application, plan, input files): a new or

@@ -17,6 +17,11 @@ _REQUIRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Broadcasts only on proven sizes: no broadcast from the planner's file-size
+    # estimates; AQE may still convert a join at runtime from *measured* shuffle
+    # sizes, and the package's own broadcasts are size-checked (operators/sizing).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
@@ -39,9 +44,13 @@ def get_session(master: str | None = None, app: str = "cardsentry",
 
 
 def apply_required(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
+    """Fill in the runtime SQL settings on an existing session (e.g. the driver's).
+
+    Only keys not set explicitly are filled, so a caller's own choice (say, no
+    broadcasting at all) is kept.
+    """
     for k, v in _REQUIRED.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
 
 
