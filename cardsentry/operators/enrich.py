@@ -32,11 +32,13 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     acc = accounts.select("account", "valid_to", "client")
     cli = clients.select("client_id", "last_name", "first_name", "patronymic", "passport_num",
                          "passport_valid_to", "phone")
+    # dimension joins: the smaller side is broadcast only behind its size check
+    cli = broadcast_if_small(cli)
     acc_cli = acc.join(cli, acc["client"] == cli["client_id"]).drop("client")
-    prof = cards.select("card_num", "account").join(acc_cli, "account")
+    prof = cards.select("card_num", "account").join(broadcast_if_small(acc_cli), "account")
     cols = ["card_num"] + PROFILE_COLUMNS
     if blacklist is not None:
-        bl = blocked_from(blacklist)
+        bl = broadcast_if_small(blocked_from(blacklist))
         prof = prof.join(bl, prof["passport_num"] == bl["passport"], "left").drop("passport")
         cols.append("blocked_from")
     return prof.select(*cols)
