@@ -12,20 +12,17 @@ import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import oracle_sql as _oracle
 from pyspark.sql import functions as F
 
-from cardsentry.session import apply_required, work_dir
-from cardsentry.sources import proxy
-from cardsentry.sources import transactions as tx_files
-from cardsentry.sources import excel
-from cardsentry.streaming import file_ingest
-from cardsentry.operators.enrich import enrich, with_city
+import oracle_sql as _oracle
 from cardsentry.operators import dimensions, rules
+from cardsentry.operators.enrich import enrich, with_city
 from cardsentry.plans import adhoc, daily
-from cardsentry.sources import seed
 from cardsentry.plans import report as plan
+from cardsentry.session import apply_required, work_dir
+from cardsentry.sources import excel, proxy, seed
+from cardsentry.sources import transactions as tx_files
+from cardsentry.streaming import file_ingest
 
 REPORT_DT = _oracle.REPORT_DT
 H72 = "72 hours"
