@@ -24,6 +24,14 @@ from cardsentry.sources import excel, proxy, seed
 from cardsentry.sources import transactions as tx_files
 from cardsentry.streaming import file_ingest
 
+try:  # the training-data operators are optional: the rest works without them
+    import corpus_pipeline as _corpus
+    from cardsentry.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "cardsentry.llm", "cardsentry.llm.queries"):
+        raise
+    _corpus = _llm = None
+
 REPORT_DT = _oracle.REPORT_DT
 H72 = "72 hours"
 
@@ -235,6 +243,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | ({**_llm.queries(), "pipeline": _corpus.run} if _llm else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ingest_transactions": q_ingest_transactions,
         "ingest_idempotent": q_ingest_idempotent,
@@ -262,4 +274,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle.oracle_sql()
+    more = {**_llm.oracle_sql(), "pipeline": _corpus.ORACLE_SQL} if _llm else {}
+    return _oracle.oracle_sql() | {k: v for k, v in more.items() if v}
