@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardsentry.llm import chat_format, quality_rules, sql
+from cardsentry.llm import byte_bpe, chat_format, packing, quality_rules, sql, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +24,25 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.expand(given.unionByName(extra)))
 
 
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of at most 1024 tokens."""
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  payload=[F.crc32("token_ids").alias("ids_crc32")])
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document by the compiled transducer."""
+    counted = token_count.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every document; digests of ids and of the decoded bytes."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    tokens = byte_bpe.encode(_table(spark, sf_dir, "documents"), path, pattern)
+    return byte_bpe.id_digest(byte_bpe.decode(tokens, path, pattern))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and verdict of the cascade for every document."""
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
@@ -30,6 +51,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
+        "op2_pack": op2_pack,
+        "op3_token_counts": op3_token_counts,
+        "op4_byte_bpe": op4_byte_bpe,
         "op7_quality_rules": op7_quality_rules,
     }
 
