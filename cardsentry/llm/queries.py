@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import byte_bpe, chat_format, packing, quality_rules, sql, token_count
+from cardsentry.llm import byte_bpe, chat_format, jaccard_join, packing, quality_rules, sql, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.id_digest(byte_bpe.decode(tokens, path, pattern))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links (five-word shingles, similarity 0.8 or more) of every document."""
+    return jaccard_join.join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and verdict of the cascade for every document."""
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
@@ -54,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pack": op2_pack,
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
+        "op5_jaccard_join": op5_jaccard_join,
         "op7_quality_rules": op7_quality_rules,
     }
 
