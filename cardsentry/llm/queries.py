@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import byte_bpe, chat_format, jaccard_join, packing, quality_rules, sql, token_count
+from cardsentry.llm import byte_bpe, chat_format, jaccard_join, license_scan, packing, permutation_index, quality_rules, secret_scan, sql, token_count
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,33 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans, and those of unwrapped layers."""
+    found = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
+    rank = F.array(*(F.lit(k) for k in secret_scan.KINDS))
+
+    def told(spans):
+        keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(rank, s["kind"]).alias("n"), s["end"].alias("end"), s["kind"].alias("kind")))
+        return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(told(F.col("base")), 256).alias("base_sha256"), told(F.concat("base", "added")).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"), "exhausted")
+
+
+def op9_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every vector whose id is divisible by 100, among all others."""
+    return permutation_index.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses found in every document."""
+    return license_scan.licenses_of(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -61,6 +88,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_byte_bpe": op4_byte_bpe,
         "op5_jaccard_join": op5_jaccard_join,
         "op7_quality_rules": op7_quality_rules,
+        "op8_secret_scan": op8_secret_scan,
+        "op9_permutation_index": op9_permutation_index,
+        "op10_license_scan": op10_license_scan,
     }
 
 
