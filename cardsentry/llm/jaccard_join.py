@@ -355,14 +355,14 @@ def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
     Rows without shingles are all kept; of rows repeated with their id and text one stays.
     """
     joined = saved(join(docs, id_column=id_column, text_column=text_column), "joined")
-    rows = docs.withColumn("_th", F.xxhash64(text_column))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("row_id"), F.xxhash64(text_column).alias("row_th"))
 
     def matching(these: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-        keys = keys.select(F.col(id_column).alias("_id"), F.col("th").alias("_key")).distinct()
-        return these.join(keys, these[id_column].eqNullSafe(keys["_id"]) & (these["_th"] == keys["_key"]), how)
+        keys = keys.select(id_column, "th").distinct()
+        return these.join(keys, F.col("row_id").eqNullSafe(keys[id_column]) & (F.col("row_th") == keys["th"]), how)
 
     kept = matching(rows, joined.filter("chosen"), "left_semi")
     repeated = saved(joined.filter("chosen AND node IS NOT NULL").groupBy(id_column, "th").count().filter("count > 1"), "repeated")
     if not repeated.isEmpty():
-        kept = matching(kept, repeated, "left_anti").union(matching(kept, repeated, "left_semi").dropDuplicates([id_column, "_th"]))
-    return kept.drop("_th")
+        kept = matching(kept, repeated, "left_anti").union(matching(kept, repeated, "left_semi").dropDuplicates(["row_id", "row_th"]))
+    return kept.select("row.*")

@@ -197,8 +197,9 @@ def pack(pieces: DataFrame, capacity: int, *, length_column: str = "length") ->
         return pd.DataFrame({"row": rows["row"], "sequence_id": (int(key[0]) * (GROUP * 4) + bin_of) * 2 + 1, "offset": offset})
 
     placed = part.groupBy("group").applyInPandas(run, "row long, sequence_id long, offset long")
-    joined = pieces.join(placed, "row", "left")
-    return joined.withColumns({"sequence_id": F.coalesce("sequence_id", F.col("row") * 2), "offset": F.coalesce("offset", F.lit(0).cast("long"))})
+    joined = pieces.filter(F.col(length_column) < capacity).join(placed, "row")
+    full = pieces.filter(F.col(length_column) >= capacity).withColumns({"sequence_id": F.col("row") * 2, "offset": F.lit(0).cast("long")})
+    return joined.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, path: str, *, capacity: int = 1024, end_id: int = 2, payload: Sequence[Column] | None = None,

@@ -6,7 +6,7 @@ rejects). The order never changes a verdict, only what it costs.
 
 Defined cases: null text counts as a text without words and fails the base rule; empty texts too; texts of any
 length are processed whole; repeated rows are judged one by one; empty tables give empty results; other columns
-of the input are carried by `apply_rules` only when asked for (`keep_columns`), so their names cannot clash.
+of the input are carried in a struct, so that their names cannot clash.
 """
 
 from __future__ import annotations
@@ -143,9 +143,20 @@ def apply_rules(docs: DataFrame, rules: Sequence[Rule] | None = None, *, ordered
     rules = list(default_rules() if rules is None else rules)
     if not ordered:
         rules = order_rules(docs, rules)
-    source = docs.select(*dict.fromkeys([*keep_columns, "text"]))
+    judged = _judged(docs, rules, keep_columns)
+    return judged.select("given.*", *BASE, "base_failed", "rejected_by", F.col("rejected_by").isNull().alias("kept"))
+
+
+def keep(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The rows of `docs` that no rule rejects, as they are."""
+    rules = order_rules(docs, list(default_rules() if rules is None else rules))
+    return _judged(docs, rules, docs.columns).filter("rejected_by IS NULL").select("given.*")
+
+
+def _judged(docs: DataFrame, rules: Sequence[Rule], carried: Sequence[str]) -> DataFrame:
+    """`carried` columns as the struct given (so that no name clashes), the base columns and rejected_by."""
+    source = docs.select(F.struct(*carried).alias("given"), "text")
     verdict = F.when(F.col("base_failed"), F.lit("base"))
     for rule in rules:
         verdict = verdict.when(rule.rejects, F.lit(rule.name))
-    out = measure(source).withColumn("rejected_by", verdict)
-    return out.select(*keep_columns, *BASE, "base_failed", "rejected_by", F.col("rejected_by").isNull().alias("kept"))
+    return measure(source).withColumn("rejected_by", verdict)

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import byte_bpe, chat_format, jaccard_join, license_scan, packing, permutation_index, quality_rules, secret_scan, sql, token_count
+from cardsentry.llm import byte_bpe, chat_format, jaccard_join, license_scan, packing, permutation_index, quality_rules, secret_scan, sql, token_count, warc
+from cardsentry.llm.common import shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +49,15 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages as WARC files and reads the verified records back."""
+    path = shared_folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    page = lambda name: F.nullif(F.regexp_extract(name, "^<urn:page:(-?[0-9]+)>$", 1), F.lit("")).cast("long")
+    return warc.read(spark, path, payloads=False).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base figures and verdict of the cascade for every document."""
     return quality_rules.apply_rules(_table(spark, sf_dir, "documents"))
@@ -87,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_counts": op3_token_counts,
         "op4_byte_bpe": op4_byte_bpe,
         "op5_jaccard_join": op5_jaccard_join,
+        "op6_warc": op6_warc,
         "op7_quality_rules": op7_quality_rules,
         "op8_secret_scan": op8_secret_scan,
         "op9_permutation_index": op9_permutation_index,
