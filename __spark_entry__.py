@@ -9,6 +9,7 @@ each query in an independent form.
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,6 +120,15 @@ def q_daily_mart(spark, sf_dir):
     return plan.daily_mart(_tables(spark, sf_dir))
 
 
+def q_fraud_report_probing(spark, sf_dir):
+    """The report with amount probing within 72 hours, a span at which the given data has chains."""
+    return plan.build_report(_tables(spark, sf_dir), report_dt=REPORT_DT, probing_within=H72)
+
+
+def q_daily_mart_probing(spark, sf_dir):
+    return plan.daily_mart(_tables(spark, sf_dir), probing_within=H72)
+
+
 # ------------------------------------------------- sources and dimensions --
 
 def _tx_out(df):
@@ -214,6 +224,32 @@ def q_adhoc_sql(spark, sf_dir):
                          args={"min_amount": 0})
 
 
+def _views(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return {n: getattr(t, n) for n in ("transactions", "cards", "accounts", "clients", "blacklist", "terminals")}
+
+
+def q_table_list(spark, sf_dir):
+    """The registered tables with their row counts."""
+    views = _views(spark, sf_dir)
+    adhoc.register_views(views)
+    counts = [adhoc.table(spark, n).agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("name"), "n_rows")
+              for n in adhoc.list_tables(spark) if n in views]
+    return functools.reduce(DataFrame.union, counts)
+
+
+def q_positional_sql(spark, sf_dir):
+    """Ad-hoc SQL with positional bindings."""
+    adhoc.register_views(_views(spark, sf_dir))
+    return adhoc.run_sql(spark, "SELECT oper_type, oper_result, count(*) AS n_ops FROM transactions "
+                                "WHERE amount >= ? AND oper_result = ? GROUP BY oper_type, oper_result", args=[10, "REJECT"])
+
+
+def q_table_by_name(spark, sf_dir):
+    adhoc.register_views(_views(spark, sf_dir))
+    return adhoc.table(spark, "cards")
+
+
 def write_proxy_drops(spark, sf_dir, layout):
     """The proxy data as the reference's inputs: daily ';' transaction files,
     daily blacklist and terminal xlsx files, and the seed dimensions."""
@@ -270,6 +306,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_report_hot_account": q_fraud_report_hot_account,
         "daily_mart": q_daily_mart,
         "daily_pipeline": q_daily_pipeline,
+        "fraud_report_probing": q_fraud_report_probing,
+        "daily_mart_probing": q_daily_mart_probing,
+        "table_list": q_table_list,
+        "positional_sql": q_positional_sql,
+        "table_by_name": q_table_by_name,
     }
 
 

@@ -24,7 +24,7 @@ from cardsentry.functions.constants import (
 from cardsentry.functions.timecols import duration_us, epoch_us, ntz
 from cardsentry.operators.enrich import blocked_from, with_city
 from cardsentry.operators.sequence import floor_div as _floor_div
-from cardsentry.operators.sequence import lag_name, sequence_lags
+from cardsentry.operators.sequence import lag_name, near_lags
 from cardsentry.operators.sizing import broadcast_if_small
 
 TS = "transaction_date"
@@ -190,7 +190,7 @@ def different_cities(enriched: DataFrame, terminals: DataFrame | None = None, wi
 
 # -------------------------------------------------------------- R4, R4b ----
 
-# Sub-bucket width of the stitched lags (see operators/sequence.py).
+# Least bucket width of the lags; never less than the rule's own limit (see operators/sequence.py).
 LAG_BUCKET = "1 minute"
 
 
@@ -203,15 +203,15 @@ def amount_probing(enriched: DataFrame, window=None, lookback=0, within="20 minu
     successful; the last one is reported (no distinct, as the reference).
 
     Ordered per key by (time, transaction_id) -- a total order -- with exact
-    lags from ``sequence_lags`` (no window group holds a whole account).
+    lags from ``near_lags`` (a window group holds two time buckets of an account).
     """
     if min_ops < 2:
         raise ValueError("min_ops must be >= 2")
     L = duration_us(within)
     n = min_ops - 1
     ev = scope(enriched, window, duration_us(lookback)).withColumn("_us", epoch_us(TS))
-    ev = sequence_lags(ev, key, "_us", "transaction_id", ["oper_result", "amount", "_us"], n,
-                       duration_us(lag_bucket))
+    ev = near_lags(ev, key, "_us", "transaction_id", ["oper_result", "amount", "_us"], n, L,
+                   duration_us(lag_bucket))
     r = lambda k: F.col(lag_name("oper_result", k))
     a = lambda k: F.col(lag_name("amount", k))
     conds = [F.col("oper_result") == F.lit(success), a(1) > F.col("amount"),
@@ -239,8 +239,8 @@ def amount_probing_three_step(enriched: DataFrame, window=None, lookback=0, with
     """
     L = duration_us(within)
     ev = scope(enriched, window, duration_us(lookback)).withColumn("_us", epoch_us(TS))
-    ev = sequence_lags(ev, key, "_us", "transaction_id", ["amount", "_us"] + _ROW_COLS, 2,
-                       duration_us(lag_bucket))
+    ev = near_lags(ev, key, "_us", "transaction_id", ["amount", "_us"] + _ROW_COLS, 2, L,
+                   duration_us(lag_bucket))
     cond = ((F.col("oper_result") == F.lit(success))
             & (F.col(lag_name("amount", 2)) > F.col(lag_name("amount", 1)))
             & (F.col(lag_name("amount", 1)) > F.col("amount"))

@@ -1,5 +1,8 @@
 """Exact per-key lags over a total order, without one task per key.
 
+``near_lags`` serves rules with a time limit (R4, R4b): one window over two
+time buckets. ``sequence_lags`` gives all lags, however old:
+
 ``lag(c, k) OVER (PARTITION BY key ORDER BY t, tie)`` puts every row of a key
 into one window group; a key holding a large share of the rows becomes one
 task. Here the order is cut into time sub-buckets:
@@ -24,8 +27,8 @@ from pyspark.sql import functions as F
 
 
 def floor_div(c: Column, n: int) -> Column:
-    """Exact floor(c / n) for bigint c (also for negative c)."""
-    return ((c - F.pmod(c, F.lit(n))) / F.lit(n)).cast("long")
+    """Exact floor(c / n) for bigint c (also for negative c), in integer arithmetic."""
+    return F.call_function("div", c - F.pmod(c, F.lit(n)), F.lit(n))
 
 
 def lag_name(col: str, k: int) -> str:
@@ -53,3 +56,24 @@ def sequence_lags(df: DataFrame, key, order_us: str, tie: str, cols, n: int,
     head = (edge.withColumns({lag_name(c, k): F.lag(c, k).over(wb) for k in range(1, n + 1) for c in cols})
                 .where(F.col("_rn") <= n))
     return inner.unionByName(head).drop("_sb", "_rn", "_tail")
+
+
+def near_lags(df: DataFrame, key, order_us: str, tie: str, cols, n: int, within_us: int,
+              bucket_us: int = 0) -> DataFrame:
+    """``df`` plus ``_lag{k}_{c}`` for rules that only look back less than ``within_us``.
+
+    The order is cut into buckets of ``max(within_us, bucket_us)``; every row also stands, without the
+    columns that are not needed, as context in the next bucket. One window over (key, bucket): a group holds
+    two buckets of one key at most, however many rows the key has. A lag whose row is less than ``within_us``
+    older is exact; an older one may be missing (NULL) or exact. One shuffle, no second pass.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = list(dict.fromkeys(cols))
+    width = max(within_us, bucket_us)
+    needed = {*keys, order_us, tie, *cols}
+    bucket = floor_div(F.col(order_us), width)
+    spread = df.withColumn("_sb", F.explode(F.array(bucket, bucket + 1))).withColumn("_own", F.col("_sb") == bucket)
+    spread = spread.withColumns({c: F.when(F.col("_own"), F.col(c)) for c in df.columns if c not in needed})
+    w = Window.partitionBy(*keys, "_sb").orderBy(order_us, tie)
+    out = spread.withColumns({lag_name(c, k): F.lag(c, k).over(w) for k in range(1, n + 1) for c in cols})
+    return out.where(F.col("_own")).drop("_sb", "_own")

@@ -172,7 +172,7 @@ M20 = 20 * 60_000_000
 H1 = 3_600_000_000
 
 
-def _report(report_dt: str) -> str:
+def _report(report_dt: str, probing_us: int = M20) -> str:
     # R3/R4 need their own CTEs; wrap each rule as a subquery over the shared proxy.
     parts = [
         _r1a(report_dt), _r1b(report_dt), _r2(report_dt),
@@ -188,19 +188,19 @@ def _report(report_dt: str) -> str:
     SELECT {_ROW}, 'attempt_to_select_the_amount' AS event_type, TIMESTAMP '{report_dt}' AS report_dt
     FROM ordered
     WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJECT'
-      AND a3 > a2 AND a2 > a1 AND a1 > amount AND us - u3 < {M20}"""
-    return (PROXY + ", " + _with_city(True).strip() + _r4_lags(M20) + "\n"
+      AND a3 > a2 AND a2 > a1 AND a1 > amount AND us - u3 < {probing_us}"""
+    return (PROXY + ", " + _with_city(True).strip() + _r4_lags(probing_us) + "\n"
             + "\nUNION ALL\n".join(parts + [r3, r4]))
 
 
-def _daily_mart() -> str:
+def _daily_mart(probing_us: int = M20) -> str:
     # Every day D of the data gets its own report (report_date = D, report_dt = D + 1 day).
     # A daily run sees operations up to the end of its day and, for R3/R4, one rule
     # window of the previous day (lookback = within).
     rd = "CAST(CAST(e.transaction_date AS DATE) + 1 AS TIMESTAMP)"
     cols = ("e.transaction_date AS event_dt, e.passport_num AS passport, e.last_name, e.first_name, "
             "e.patronymic, e.phone")
-    return PROXY + ", " + _with_city(True).strip() + _r4_lags(M20) + f"""
+    return PROXY + ", " + _with_city(True).strip() + _r4_lags(probing_us) + f"""
     SELECT DISTINCT {cols}, 'locked passport' AS event_type, {rd} AS report_dt,
            CAST(e.transaction_date AS DATE) AS report_date
     FROM enriched e JOIN blacklist b ON e.passport_num = b.passport
@@ -221,7 +221,7 @@ def _daily_mart() -> str:
     SELECT {cols}, 'attempt_to_select_the_amount', {rd}, CAST(e.transaction_date AS DATE)
     FROM ordered e
     WHERE oper_result = 'SUCCESS' AND r1 = 'REJECT' AND r2 = 'REJECT' AND r3 = 'REJECT'
-      AND a3 > a2 AND a2 > a1 AND a1 > amount AND us - u3 < {M20}"""
+      AND a3 > a2 AND a2 > a1 AND a1 > amount AND us - u3 < {probing_us}"""
 
 
 def _day_report() -> str:
@@ -376,5 +376,16 @@ def oracle_sql() -> dict[str, str]:
         "fraud_report_day": _day_report(),
         "daily_mart": _daily_mart(),
         "daily_pipeline": _daily_mart(),
+        "daily_pipeline_late": _daily_mart(),
+        "fraud_report_probing": _report(rd, H72),
+        "daily_mart_probing": _daily_mart(H72),
+        "table_list": PROXY + "UNION ALL".join(f"""
+            SELECT '{n}' AS name, count(*) AS n_rows FROM {n}
+            """ for n in ("accounts", "blacklist", "cards", "clients", "terminals", "transactions")),
+        "positional_sql": PROXY + """
+            SELECT oper_type, oper_result, count(*) AS n_ops FROM transactions
+            WHERE amount >= 10 AND oper_result = 'REJECT' GROUP BY oper_type, oper_result""",
+        "table_by_name": PROXY + """
+            SELECT card_num, account FROM cards""",
         "fraud_report_hot_account": _report(rd).replace(PROXY, PROXY_HOT),
     }

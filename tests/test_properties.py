@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -107,6 +108,23 @@ def test_hot_account_spreads_over_buckets(spark):
     assert r3.count() == 6000                   # alternating cities 37 s apart
 
 
+def test_probing_window_groups_hold_two_buckets(spark):
+    """The largest window group of a hot account is bounded by the rows of two time buckets."""
+    from cardsentry.operators import sequence
+    n, step, within = 20_000, 30, 1200
+    df = spark.range(n).selectExpr("CASE WHEN id >= 0 THEN 'hot' END AS k", f"id * {step}000000 AS us", "lpad(id, 6, '0') AS id", "'wide' AS name", "id AS v")
+    width = within * 1_000_000
+    bucket = sequence.floor_div(F.col("us"), width)
+    groups = df.select(F.explode(F.array(bucket, bucket + 1)).alias("b")).groupBy("b").count().agg(F.max("count")).first()[0]
+    assert groups <= 2 * within // step
+    got = sequence.near_lags(df, "k", "us", "id", ["v"], 3, width)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and re.search(r"hashpartitioning\(k#\d+, _sb#\d+L", plan)
+    rows = got.orderBy("us").collect()
+    assert len(rows) == n and all(r.name == "wide" for r in rows)
+    assert all(r["_lag1_v"] == r.v - 1 and r["_lag3_v"] == r.v - 3 for r in rows[3:])
+
+
 @pytest.mark.parametrize("bucket_s", [1, 5, 60, 10**8])
 def test_sequence_lags_equal_plain_window_lags(spark, bucket_s):
     from cardsentry.operators.sequence import lag_name, sequence_lags
