@@ -9,6 +9,7 @@ each query in an independent form.
 from __future__ import annotations
 
 import dataclasses
+import datetime
 import functools
 from collections.abc import Callable
 
@@ -16,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_sql as _oracle
+from cardsentry import schemas
 from cardsentry.operators import dimensions, rules
 from cardsentry.operators.enrich import enrich, with_city
 from cardsentry.plans import adhoc, daily
 from cardsentry.plans import report as plan
 from cardsentry.session import apply_required, work_dir
-from cardsentry.sources import excel, proxy, seed
+from cardsentry.sources import excel, files, proxy, seed
 from cardsentry.sources import transactions as tx_files
 from cardsentry.streaming import file_ingest
 
@@ -173,7 +175,7 @@ def q_quarantine_bad_lines(spark, sf_dir):
     bad = F.col("oper_type") == "error"
     tx_files.write_drop(spark, tx_files.to_lines(t.transactions, drop_terminal=bad), f"{root}/drop")
     tx_files.ingest(spark, f"{root}/drop", f"{root}/transactions", f"{root}/quarantine", f"{root}/ledger")
-    q = spark.read.parquet(f"{root}/quarantine")
+    q = tx_files.read_quarantine(spark, f"{root}/quarantine")
     return q.select("transaction_id", "business_date", "n_fields", "reason")
 
 
@@ -217,6 +219,72 @@ def q_terminal_history(spark, sf_dir):
     return dimensions.history(_snapshots(spark, sf_dir), "terminal_id", ["terminal_city"])
 
 
+def _blacklist_cells(t):
+    return t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
+                              "passport", _excel_day("date").alias("_day"))
+
+
+def q_ingest_excel_stream(spark, sf_dir):
+    """The blacklist files through the xlsx stream (availableNow), twice."""
+    root = work_dir(spark, "excel-stream")
+    excel.write_drop(_blacklist_cells(_tables(spark, sf_dir)), f"{root}/drop", "passport_blacklist", "blacklist")
+    for _ in range(2):
+        file_ingest.start_excel(spark, f"{root}/drop", "*.xlsx", f"{root}/blacklist", excel.blacklist_rows, f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/blacklist").select("date", "passport", "load_date")
+
+
+def q_ingest_excel_sheets(spark, sf_dir):
+    """Workbooks with a terminals, a blacklist and an unknown sheet; dates as serials, dd.MM.yyyy and unreadable."""
+    t = _tables(spark, sf_dir)
+    key = F.substring("passport", 2, 20).cast("long")
+    serial = F.datediff("date", F.lit("1899-12-30").cast("date")).cast("string")
+    cell = F.when(key % 10 == 1, "soon").when(key % 2 == 0, F.date_format("date", "dd.MM.yyyy")).otherwise(serial)
+    none = F.lit(None).cast("string")
+    black = t.blacklist.select(F.lit("blacklist").alias("_sheet"), _excel_day("date").alias("_day"), cell.alias("date"), "passport",
+                               none.alias("terminal_id"), none.alias("terminal_city"), none.alias("note"))
+    snap = _snapshots(spark, sf_dir).withColumn("_day", _excel_day("load_date"))
+    term = snap.select(F.lit("terminals").alias("_sheet"), "_day", none.alias("date"), none.alias("passport"), "terminal_id", "terminal_city", none.alias("note"))
+    notes = snap.where(F.col("terminal_id").cast("int") % 25 == 0).select(
+        F.lit("notes").alias("_sheet"), "_day", none.alias("date"), none.alias("passport"), none.alias("terminal_id"), none.alias("terminal_city"),
+        F.col("terminal_id").alias("note"))
+    layout = daily.Layout(work_dir(spark, "excel-sheets"))
+    excel.write_drop(black.unionByName(term).unionByName(notes).repartition("_day"), layout.drop, "terminals")
+    daily.load_sheets(spark, layout)
+    bl = daily._stored(spark, layout.blacklist, schemas.LOADED_BLACKLIST)
+    sn = daily.snapshots(spark, layout)
+    qu = daily._stored(spark, layout.sheet_quarantine, schemas.SHEET_QUARANTINE)
+    return (bl.select(F.lit("blacklist").alias("table_name"), F.col("passport").alias("a"), F.col("date").cast("string").alias("b"), "load_date")
+            .unionByName(sn.select(F.lit("terminals").alias("table_name"), F.col("terminal_id").alias("a"), F.col("terminal_city").alias("b"), "load_date"))
+            .unionByName(qu.select(F.lit("quarantine").alias("table_name"), F.col("reason").alias("a"), F.col("sheet").alias("b"), "load_date")))
+
+
+def q_terminal_history_incremental(spark, sf_dir):
+    """D5 as daily runs build it: a first load of many snapshot days, then the last days one by one; some
+    terminals vanish for two of these days and return."""
+    layout = daily.Layout(work_dir(spark, "terminal-history"))
+    d0, _ = proxy.event_days(spark, sf_dir)
+    day = F.datediff("load_date", F.lit(d0))
+    snap = _snapshots(spark, sf_dir).where(~((F.col("terminal_id").cast("int") % 7 == 3) & day.isin(26, 27)))
+    for part in (day < 25, day >= 25):
+        excel.write_drop(snap.where(part).withColumn("_day", _excel_day("load_date")).drop("load_date"), layout.drop, "terminals", "terminals")
+        daily.load_sheets(spark, layout)
+    return daily._stored(spark, layout.terminals, schemas.VERSIONS)
+
+
+def q_seed_load(spark, sf_dir):
+    """The client seed from delimited text with all columns, loaded twice and stamped."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "seed")
+    key = F.col("client_id").cast("long")
+    born = F.date_add(F.lit("1950-01-01").cast("date"), (key % 9000).cast("int"))
+    given = t.clients.withColumns({"date_of_birth": born, "create_dt": F.lit("1900-01-01").cast("date"),
+                                   "update_dt": F.when(key % 3 == 0, F.lit("2024-01-02").cast("date"))})
+    given.select("update_dt", *given.columns[:-1]).write.option("header", True).csv(f"{root}/from/clients.csv")
+    for _ in range(2):
+        seed.load_csv(spark, f"{root}/from", f"{root}/seed")
+    return spark.read.schema(schemas.SEED_STORED["clients"]).parquet(f"{root}/seed/clients")
+
+
 def q_adhoc_sql(spark, sf_dir):
     t = _tables(spark, sf_dir)
     adhoc.register_views({"transactions": t.transactions, "cards": t.cards})
@@ -250,11 +318,11 @@ def q_table_by_name(spark, sf_dir):
     return adhoc.table(spark, "cards")
 
 
-def write_proxy_drops(spark, sf_dir, layout):
+def write_proxy_drops(spark, sf_dir, layout, day=None):
     """The proxy data as the reference's inputs: daily ';' transaction files,
     daily blacklist and terminal xlsx files, and the seed dimensions."""
     t = _tables(spark, sf_dir)
-    tx_files.write_drop(spark, tx_files.to_lines(t.transactions), layout.drop)
+    tx_files.write_drop(spark, tx_files.to_lines(t.transactions, day=day), layout.drop)
     bl = t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
                             "passport", _excel_day("date").alias("_day"))
     excel.write_drop(bl, layout.drop, "passport_blacklist", "blacklist")
@@ -273,6 +341,24 @@ def q_daily_pipeline(spark, sf_dir):
     return plan.read_mart(spark, layout.mart)
 
 
+def q_daily_pipeline_late(spark, sf_dir):
+    """A tenth of the operations arrives in the next day's file, and the files in two deliveries."""
+    layout = daily.Layout(work_dir(spark, "daily-late"))
+    late = F.col("transaction_id").cast("long") % 10 == 3
+    day = F.to_date("transaction_date")
+    write_proxy_drops(spark, sf_dir, layout, F.when(late, F.date_add(day, 1)).otherwise(day))
+    aside = f"{layout.root}/second"
+    cut = datetime.date.fromisoformat(_oracle.DAY_REPORT_DATE)
+    second = [f for f in files.list_files(spark, layout.drop) if files.business_date_of(f.name) >= cut]
+    for f in second:
+        files.rename(spark, f.path, f"{aside}/{f.name}")
+    daily.run(spark, layout)
+    for f in second:
+        files.rename(spark, f"{aside}/{f.name}", f.path)
+    daily.run(spark, layout)
+    return plan.read_mart(spark, layout.mart)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the fraud report over the sf0.001 proxy tables."""
     return q_fraud_report(spark, "/root/testdata/sf0.001")
@@ -306,6 +392,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fraud_report_hot_account": q_fraud_report_hot_account,
         "daily_mart": q_daily_mart,
         "daily_pipeline": q_daily_pipeline,
+        "daily_pipeline_late": q_daily_pipeline_late,
+        "ingest_excel_stream": q_ingest_excel_stream,
+        "ingest_excel_sheets": q_ingest_excel_sheets,
+        "terminal_history_incremental": q_terminal_history_incremental,
+        "seed_load": q_seed_load,
         "fraud_report_probing": q_fraud_report_probing,
         "daily_mart_probing": q_daily_mart_probing,
         "table_list": q_table_list,

@@ -1,6 +1,7 @@
 """Command line: the daily operations, one command each.
 
   python -m cardsentry daily  --root DIR                 load pending drops, rebuild affected report days
+  python -m cardsentry seed   --root DIR --from DIR      load cards.csv, accounts.csv, clients.csv (repeatable)
   python -m cardsentry report --root DIR --day D [--rule NAME] [--rows N]
                                                          show one day's report (or one rule's rows)
   python -m cardsentry tables --root DIR                 list the pipeline's tables
@@ -13,6 +14,7 @@ Results are shown with ``show()`` (bounded); nothing is collected whole.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import sys
 
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from cardsentry.operators.enrich import enrich, with_city
 from cardsentry.plans import adhoc, daily
 from cardsentry.plans import report as plan
 from cardsentry.session import get_session
+from cardsentry.sources import seed
+from cardsentry.sources.ledger import Ledger
 
 RULES = {
     "locked_passport": lambda t, ev, day: rules.locked_passport(ev, window=day),
@@ -47,10 +51,13 @@ def _views(spark, layout: daily.Layout) -> dict:
 def main(argv=None, spark=None) -> int:
     ap = argparse.ArgumentParser(prog="cardsentry")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("daily", "report", "tables", "sql"):
+    for name in ("daily", "seed", "report", "tables", "sql"):
         p = sub.add_parser(name)
         p.add_argument("--root", required=True)
         p.add_argument("--master", default=None)
+        if name == "seed":
+            p.add_argument("--from", dest="source", required=True)
+            p.add_argument("--sep", default=",")
         if name == "report":
             p.add_argument("--day", required=True)
             p.add_argument("--rule", choices=sorted(RULES), default=None)
@@ -65,11 +72,18 @@ def main(argv=None, spark=None) -> int:
     if a.cmd == "daily":
         days = daily.run(spark, layout)
         print("rebuilt report days:", ", ".join(d.isoformat() for d in days) or "none")
+    elif a.cmd == "seed":
+        print("loaded:", ", ".join(seed.load_csv(spark, a.source, layout.seed, a.sep)) or "none")
     elif a.cmd == "report":
         if a.rule is None:
             df = plan.read_mart(spark, layout.mart, a.day).drop("report_date")
         else:
-            t = daily.tables(spark, layout)
+            # files that hold operations of the day or of an hour before it
+            day = dt.datetime.fromisoformat(a.day)
+            held = Ledger(spark, layout.ledger("transactions")).latest().where(
+                (F.col("last_op") >= F.lit(day - dt.timedelta(hours=1))) & (F.col("first_op") < F.lit(day + dt.timedelta(days=1))))
+            span = held.agg(F.min("business_date"), F.max("business_date")).first()
+            t = daily.tables(spark, layout, tuple(span) if span[0] is not None else None)
             ev = enrich(t.transactions, t.cards, t.accounts, t.clients, blacklist=t.blacklist)
             df = RULES[a.rule](t, ev, a.day)
         df.orderBy("event_dt", "passport").show(a.rows, truncate=False)

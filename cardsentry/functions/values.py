@@ -23,11 +23,13 @@ def parse_ts(col) -> Column:
 
 
 def parse_date_cell(col) -> Column:
-    """A spreadsheet date cell: an Excel serial day number or ISO date text -> date."""
+    """A spreadsheet date cell: an Excel serial day number, ISO or dd.MM.yyyy text -> date (NULL when malformed)."""
     c = F.trim(_c(col))
     serial = _try_cast(c, "double")
     from_serial = F.date_add(F.lit("1899-12-30").cast("date"), F.floor(serial).cast("int"))
-    return F.when(serial.isNotNull(), from_serial).otherwise(_try_cast(F.substring(c, 1, 10), "date"))
+    return F.when(serial.isNotNull(), from_serial).otherwise(F.coalesce(
+        _try_cast(F.substring(c, 1, 10), "date"),
+        _try_cast(F.regexp_replace(c, r"^(\d{1,2})\.(\d{1,2})\.(\d{4}).*$", "$3-$2-$1"), "date")))
 
 
 def _try_cast(col: Column, type_name: str) -> Column:

@@ -2,9 +2,15 @@
 
 One call processes every drop file not yet loaded (a normal day: the day's
 three files; after an outage: all pending days at once, in the same jobs),
-then rebuilds the report partitions of every affected day. Each step is
-repeatable: loads overwrite the partitions of their source files, the
-ledgers say what was loaded, the mart overwrites report_date partitions.
+then rebuilds the report of every affected day. What is to be done comes from
+stored state, never from what this call happened to load: files loaded and not
+yet reported (ledger against its ``_reported`` table), and snapshots newer
+than those that the stored terminal versions include. A run that dies at any
+point is finished by the next one.
+
+Days to rebuild and partitions to read come from the operation times that the
+ledger holds for every file, so an operation dated before or after its file's
+day is reported on its own day.
 
 Layout under one root folder (shared storage):
   drop/                 incoming transactions_*.txt, passport_blacklist_*.xlsx, terminals_*.xlsx
@@ -14,7 +20,8 @@ Layout under one root folder (shared storage):
   quarantine/           malformed transaction lines
   blacklist/            partitioned by load_date, src_file
   terminal_snapshots/   partitioned by load_date, src_file
-  terminals/            terminal versions (rebuilt from all snapshots)
+  sheet_quarantine/     unknown sheets, unreadable rows, broken workbooks
+  terminals/            terminal versions, and in _state what they include
   mart/                 report rows partitioned by report_date
   ledger/<kind>/        processed-files ledgers
 """
@@ -22,16 +29,19 @@ Layout under one root folder (shared storage):
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardsentry import schemas
 from cardsentry.operators import dimensions
 from cardsentry.operators.enrich import enrich
 from cardsentry.operators.rules import scope
 from cardsentry.plans import report as plan
+from cardsentry.session import checkpoint_root
 from cardsentry.sources import excel, files, seed
 from cardsentry.sources import transactions as tx
 from cardsentry.sources.ledger import Ledger, ingest_new
@@ -46,7 +56,7 @@ class Layout:
 
     def __getattr__(self, name):
         if name in ("drop", "archive", "seed", "transactions", "quarantine", "blacklist",
-                    "terminal_snapshots", "terminals", "mart"):
+                    "terminal_snapshots", "sheet_quarantine", "terminals", "mart"):
             return f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -64,48 +74,89 @@ class Tables:
     terminals: DataFrame
 
 
-def rebuild_terminals(spark: SparkSession, layout: Layout) -> None:
-    """Terminal versions from all loaded snapshots (used for the first load and
-    for late or out-of-order snapshot files).
+STATE = "through date, applied_at timestamp_ntz"
 
-    The result is checkpointed (reliable checkpoint in spark.checkpoint.dir)
-    before it replaces the stored versions, so the lineage is cut and a lost
-    executor never re-runs the history.
-    """
-    snaps = spark.read.parquet(layout.terminal_snapshots)
-    versions = dimensions.history(snaps, "terminal_id", ["terminal_city"]).checkpoint(eager=True)
-    versions.write.mode("overwrite").parquet(layout.terminals)
 
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
 
-def update_terminals(spark: SparkSession, layout: Layout, new_days: list[dt.date]) -> None:
-    """Apply snapshot days that follow every day already applied: one
-    incremental SCD2 step per day (a full outer join of the open versions with
-    that day's snapshot), so a daily run costs O(terminals), not O(history).
-    """
-    snaps = spark.read.parquet(layout.terminal_snapshots)
-    current = spark.read.parquet(layout.terminals)
-    for day in sorted(set(new_days)):
-        snap = snaps.where(F.col("load_date") == F.lit(day.isoformat()).cast("date"))
-        current = dimensions.apply_snapshot(current, snap.select("terminal_id", "terminal_city"),
-                                            "terminal_id", ["terminal_city"], day.isoformat())
-        current = current.checkpoint(eager=True)          # cut lineage per applied day
-    current.write.mode("overwrite").parquet(layout.terminals)
 
+def _store_versions(spark: SparkSession, layout: Layout, versions: DataFrame, through: dt.date, applied_at: dt.datetime) -> None:
+    """Writes versions and their state to a new folder, then swaps it in: the only copy is never overwritten."""
+    fresh, old = f"{layout.terminals}_next-{uuid.uuid4().hex[:8]}", f"{layout.terminals}_old"
+    versions.write.parquet(fresh)
+    # a folder that begins with _ is not read as part of the table
+    spark.createDataFrame([(through, applied_at)], STATE).coalesce(1).write.parquet(f"{fresh}/_state")
+    files.delete(spark, old)
+    if files.exists(spark, layout.terminals):
+        files.rename(spark, layout.terminals, old)
+    if not files.rename(spark, fresh, layout.terminals):
+        raise OSError(f"cannot move {fresh} to {layout.terminals}")
+    files.delete(spark, old)
+
+
+def rebuild_terminals(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Terminal versions from all loaded snapshots (first load; late, corrected or out-of-order snapshot files)."""
+    return dimensions.history(snapshots(spark, layout), "terminal_id", ["terminal_city"])
 
-def _applied_days(spark: SparkSession, layout: Layout) -> list[dt.date]:
-    led = f"{layout.ledger('terminals')}"
-    if not files.exists(spark, led):
-        return []
-    return [r[0] for r in spark.read.parquet(led).select("business_date").distinct().collect()
-            if r[0] is not None]
+
+def update_terminals(spark: SparkSession, layout: Layout, new_days: list[dt.date]) -> DataFrame:
+    """The stored versions after snapshot days that follow every day they include: per day one incremental
+    SCD2 step, a full outer join of the open versions with that day's snapshot. Steps and joins are
+    O(terminals); closed versions are carried and written once."""
+    snaps, stored = snapshots(spark, layout), _stored(spark, layout.terminals, schemas.VERSIONS)
+    is_open = F.col("effective_to") == dimensions._open()
+    closed, current = stored.where(~is_open), stored.where(is_open)
+    for day in sorted(set(new_days)):
+        snap = snaps.where(F.col("load_date") == F.lit(day.isoformat()).cast("date"))
+        step = dimensions.apply_snapshot(current, snap.select("terminal_id", "terminal_city").distinct(),
+                                         "terminal_id", ["terminal_city"], day.isoformat())
+        step = step.checkpoint(eager=True)          # cut lineage per applied day
+        closed, current = closed.unionByName(step.where(~is_open)), step.where(is_open)
+    return closed.unionByName(current)
+
+
+def snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
+    return _stored(spark, layout.terminal_snapshots, schemas.SNAPSHOTS)
+
+
+def refresh_terminals(spark: SparkSession, layout: Layout) -> None:
+    """Brings the stored versions up to the loaded snapshots, if any are newer than the state says."""
+    if not files.exists(spark, layout.terminals) and files.exists(spark, f"{layout.terminals}_old"):
+        files.rename(spark, f"{layout.terminals}_old", layout.terminals)    # a swap was interrupted
+    loads = Ledger(spark, layout.ledger("sheets")).table()
+    state = _stored(spark, f"{layout.terminals}/_state", STATE).first()
+    new = loads.where(F.col("loaded_at") > F.lit(state["applied_at"])) if state else loads
+    # a corrected workbook may have lost its terminals sheet: loads of files that ever had one count
+    ever = loads.where(F.col("tables").contains("terminals")).select("file_name").distinct()
+    days = new.join(ever, "file_name", "left_semi").groupBy("business_date").agg(F.max("loaded_at").alias("at")).collect()
+    days = {r["business_date"]: r["at"] for r in days if r["business_date"] is not None}
+    if not days:
+        return
+    through = max([*days, *([state["through"]] if state else [])])
+    if state and min(days) > state["through"]:
+        versions = update_terminals(spark, layout, list(days))
+    else:
+        versions = rebuild_terminals(spark, layout)
+    _store_versions(spark, layout, versions, through, max(days.values()))
+
+
+def load_sheets(spark: SparkSession, layout: Layout, force: bool = False) -> list[str]:
+    """Loads pending xlsx drops and brings the terminal versions up to them; returns the files loaded."""
+    checkpoint_root(spark)
+    names = ingest_new(spark, layout.drop, [BLACKLIST_PATTERN, TERMINALS_PATTERN], layout.ledger("sheets"),
+                       lambda p: excel.load_files(spark, p, layout.blacklist, layout.terminal_snapshots, layout.sheet_quarantine),
+                       archive_dir=layout.archive, force=force)
+    refresh_terminals(spark, layout)
+    return names
 
 
 def tables(spark: SparkSession, layout: Layout, load_days: tuple | None = None) -> Tables:
-    """The pipeline's tables; ``load_days=(first, last)`` prunes the transactions
+    """The pipeline's tables, by their declared schemas; ``load_days=(first, last)`` prunes the transactions
     to those load_date partitions (the files of those business days)."""
     s = seed.read_seed(spark, layout.seed)
-    bl = spark.read.parquet(layout.blacklist).select("date", "passport")
-    term = spark.read.parquet(layout.terminals).where(F.col("deleted_flg") == 0)
+    bl = _stored(spark, layout.blacklist, schemas.LOADED_BLACKLIST).select("date", "passport")
+    term = _stored(spark, layout.terminals, schemas.VERSIONS).where(F.col("deleted_flg") == 0)
     trx = tx.read_table(spark, layout.transactions)
     if load_days is not None:
         trx = trx.where(F.col("load_date").between(F.lit(load_days[0].isoformat()).cast("date"),
@@ -114,56 +165,51 @@ def tables(spark: SparkSession, layout: Layout, load_days: tuple | None = None)
                   accounts=s["accounts"], clients=s["clients"], blacklist=bl, terminals=term)
 
 
-def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False,
-        file_day_margin: int | None = 1) -> list[dt.date]:
-    """Load pending drops and rebuild the affected report days; returns those days.
+def _day(v: dt.datetime) -> dt.date:
+    return v.date() if isinstance(v, dt.datetime) else v
 
-    ``file_day_margin``: operations of business day D are in the files of days
-    D - margin .. D + margin (the drop contract: one file per day), so the
-    report reads only those load_date partitions instead of the whole
-    history. ``None`` reads every partition (filters still reach the scan).
-    """
+
+def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False) -> list[dt.date]:
+    """Load pending drops and rebuild the affected report days; returns those days."""
+    checkpoint_root(spark)
     arch = layout.archive
-    new_tx = tx.ingest(spark, layout.drop, layout.transactions, layout.quarantine,
-                       layout.ledger("transactions"), archive_dir=arch, force=force)
-    new_bl = ingest_new(spark, layout.drop, BLACKLIST_PATTERN, layout.ledger("blacklist"),
-                        lambda p: excel.load_files(spark, p, layout.blacklist, excel.blacklist_rows),
-                        archive_dir=arch, force=force)
-    applied_before = _applied_days(spark, layout)
-    new_tm = ingest_new(spark, layout.drop, TERMINALS_PATTERN, layout.ledger("terminals"),
-                        lambda p: excel.load_files(spark, p, layout.terminal_snapshots,
-                                                   lambda c: excel.terminal_rows(c).drop("extra")),
-                        archive_dir=arch, force=force)
-    if new_tm:
-        tm_days = sorted({d for d in (files.business_date_of(n) for n in new_tm) if d})
-        if applied_before and tm_days and min(tm_days) > max(applied_before) \
-                and files.exists(spark, layout.terminals):
-            update_terminals(spark, layout, tm_days)
-        else:
-            rebuild_terminals(spark, layout)
-    dates = [files.business_date_of(n) for n in new_tx + new_bl + new_tm]
-    dates = [d for d in dates if d is not None]
-    if not dates:
+    ops, sheets = Ledger(spark, layout.ledger("transactions")), Ledger(spark, layout.ledger("sheets"))
+    tx.ingest(spark, layout.drop, layout.transactions, layout.quarantine, ops.path, archive_dir=arch, force=force)
+    load_sheets(spark, layout, force)
+
+    # loads without a report; their number is bounded by the files of the run
+    new_ops, new_sheets = ops.pending().collect(), sheets.pending().collect()
+    if not new_ops and not new_sheets:
+        return []
+    all_ops = ops.table()
+    last = _day(all_ops.agg(F.max(F.coalesce("last_op", F.col("business_date").cast("timestamp_ntz")))).first()[0])
+    names = [r["file_name"] for r in new_ops]
+    # days of the operations of pending files, also of what they held before they were corrected
+    span = all_ops.where(F.col("file_name").isin(names)).agg(F.min("first_op"), F.max("last_op")).first() if names else (None, None)
+    starts = [_day(d) for d in [span[0], *(r["business_date"] for r in [*new_ops, *new_sheets])] if d is not None]
+    if not starts:
         return []
-    # A late blacklist or terminal file can change the reports of its day and of
-    # every later day already loaded: rebuild up to the last loaded operations day.
-    last_tx = (Ledger(spark, layout.ledger("transactions")).table()
-               .agg(F.max("business_date").alias("d")).first()["d"])
-    lo = min(dates)
-    hi = max(dates + ([last_tx] if last_tx else []))
-    load_days = None
-    if file_day_margin is not None:
-        m = dt.timedelta(days=file_day_margin + 1)      # + 1: the R3/R4 lookback into the previous day
-        load_days = (lo - m, hi + dt.timedelta(days=file_day_margin))
-    t = tables(spark, layout, load_days)
+    lo, hi = min(starts), max(starts)
+    if span[1] is not None:     # the lookback of the next day's rules reaches into the last day
+        hi = max(hi, min(_day(span[1]) + dt.timedelta(days=1), last or hi))
+    if new_sheets and last is not None:     # a blacklist or terminal file changes its day and every later one
+        hi = max(hi, last)
     window = (dt.datetime.combine(lo, dt.time()), dt.datetime.combine(hi + dt.timedelta(days=1), dt.time()))
+    lookback = dt.timedelta(microseconds=plan.max_lookback({}))
+    # the load days of all files with operations in the window or its lookback
+    held = ops.latest().where((F.col("last_op") >= F.lit(window[0] - lookback)) & (F.col("first_op") < F.lit(window[1])))
+    load_days = held.agg(F.min("business_date"), F.max("business_date")).first()
+    t = tables(spark, layout, tuple(load_days) if load_days[0] is not None else None)
     # The scoped, enriched operations feed three rule branches: computed once
     # for the run (recomputed from lineage if an executor is lost), then released.
     ev = scope(enrich(t.transactions, t.cards, t.accounts, t.clients, blacklist=t.blacklist),
                window, lookback_us=plan.max_lookback({})).persist(StorageLevel.MEMORY_AND_DISK)
+    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
     try:
         mart = plan.daily_mart(t, report_dt=report_dt, window=window, enriched=ev)
-        plan.write_mart(mart, layout.mart)
+        plan.replace_days(mart, layout.mart, days)
     finally:
         ev.unpersist()
-    return sorted({lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)})
+    ops.mark_reported(new_ops)
+    sheets.mark_reported(new_sheets)
+    return days

@@ -11,6 +11,7 @@ it instead of duplicating it.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -22,7 +23,8 @@ from cardsentry.operators.enrich import enrich, with_city
 from cardsentry.operators.rules import (
     amount_probing, different_cities, profile_rules, resolve_window, scope,
 )
-from cardsentry.schemas import REPORT_COLUMNS
+from cardsentry.schemas import MART, REPORT_COLUMNS
+from cardsentry.sources import files
 
 
 def _enriched(tables, enriched: DataFrame | None) -> DataFrame:
@@ -91,6 +93,21 @@ def write_mart(report: DataFrame, mart_dir: str, report_date=None) -> None:
            .option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(mart_dir))
 
 
+def replace_days(report: DataFrame, mart_dir: str, days) -> None:
+    """Make ``report`` the mart's content for ``days``: staged, then swapped in day by day; a day
+    without rows loses its earlier partition."""
+    spark, root = report.sparkSession, mart_dir.rstrip("/")
+    staged = f"{root}_stage-{uuid.uuid4().hex[:12]}"
+    report.hint("rebalance", "report_date").write.partitionBy("report_date").parquet(staged)
+    files.mkdirs(spark, root)
+    for day in days:
+        part = f"report_date={day.isoformat()}"
+        files.delete(spark, f"{root}/{part}")
+        if files.exists(spark, f"{staged}/{part}") and not files.rename(spark, f"{staged}/{part}", f"{root}/{part}"):
+            raise OSError(f"cannot move {part} into {root}")
+    files.delete(spark, staged)
+
+
 def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
     """One daily run: report for ``day`` written into the mart (idempotent).
 
@@ -103,7 +120,7 @@ def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
     ev = scope(ev, day, lookback_us=max_lookback(kw)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rep = build_report(tables, report_dt=report_dt, window=day, enriched=ev, **kw)
-        write_mart(rep, mart_dir, report_date=lo.date())
+        replace_days(rep.withColumn("report_date", F.lit(lo.date())), mart_dir, [lo.date()])
     finally:
         ev.unpersist()
 
@@ -114,7 +131,8 @@ def max_lookback(kw) -> int:
 
 
 def read_mart(spark, mart_dir: str, report_date=None) -> DataFrame:
-    df = spark.read.parquet(mart_dir)
+    """The mart, by its declared schema (empty before the first report)."""
+    df = spark.read.schema(MART).parquet(mart_dir) if files.exists(spark, mart_dir) else spark.createDataFrame([], MART)
     if report_date is not None:
         df = df.where(F.col("report_date") == F.lit(str(report_date)).cast("date"))
     return df

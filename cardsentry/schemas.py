@@ -36,6 +36,28 @@ TERMINALS = T.StructType([
 
 VALIDITY = ["effective_from", "effective_to", "deleted_flg"]
 
+_STAMP = [T.StructField("effective_from", TS), T.StructField("effective_to", TS), T.StructField("deleted_flg", T.IntegerType())]
+_SOURCE = [T.StructField("load_date", D), T.StructField("src_file", S)]
+
+# Stored tables, with validity and the file that a row came from.
+LOADED = T.StructType([*TRANSACTIONS.fields, *_STAMP, *_SOURCE])
+_EXTRA = T.StructField("extra", T.MapType(S, S))
+LOADED_BLACKLIST = T.StructType([*BLACKLIST.fields, _EXTRA, *_STAMP, *_SOURCE])
+SNAPSHOTS = T.StructType([T.StructField("terminal_id", S), T.StructField("terminal_city", S), _EXTRA, *_STAMP, *_SOURCE])
+SHEET_QUARANTINE = T.StructType([
+    T.StructField("sheet", S), T.StructField("row_no", T.IntegerType()), T.StructField("cells", T.MapType(S, S)),
+    T.StructField("reason", S), *_SOURCE])
+VERSIONS = T.StructType([*TERMINALS.fields, T.StructField("deleted_flg", T.IntegerType())])
+
+# Seed tables as the reference ships them, then stamped.
+_DATES = [T.StructField("create_dt", D), T.StructField("update_dt", D)]
+SEED = {
+    "cards": T.StructType([*CARDS.fields, *_DATES]),
+    "accounts": T.StructType([*ACCOUNTS.fields, *_DATES]),
+    "clients": T.StructType([*CLIENTS.fields[:4], T.StructField("date_of_birth", D), *CLIENTS.fields[4:], *_DATES]),
+}
+SEED_STORED = {name: T.StructType([*schema.fields, *_STAMP]) for name, schema in SEED.items()}
+
 # Report mart row (one schema for all five detections).
 REPORT_COLUMNS = ["event_dt", "passport", "last_name", "first_name", "patronymic", "phone",
                   "event_type", "report_dt"]
@@ -46,7 +68,6 @@ MART = T.StructType([
 ])
 
 QUARANTINE = T.StructType([
-    T.StructField("src_file", S), T.StructField("business_date", D), T.StructField("line", S),
-    T.StructField("transaction_id", S), T.StructField("n_fields", T.IntegerType()),
-    T.StructField("reason", S),
+    T.StructField("line", S), T.StructField("transaction_id", S), T.StructField("n_fields", T.IntegerType()),
+    T.StructField("reason", S), T.StructField("business_date", D), T.StructField("src_file", S),
 ])

@@ -11,8 +11,10 @@ is enough (shared strings, inline strings, numbers, booleans).
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
+import zlib
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardsentry.functions.values import parse_date_cell
-from cardsentry.sources import files
+from cardsentry.sources import files, staging
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
@@ -72,47 +74,63 @@ def sheet_rows(content: bytes):
         part = rels.get(sh.get(f"{{{_NS['r']}}}id"))
         if part not in names:
             continue
-        root = ET.fromstring(z.read(part))
-        for row in root.iter(f"{{{_NS['m']}}}row"):
-            vals = {}
-            for c in row.findall("m:c", _NS):
-                t = c.get("t")
-                v = c.find("m:v", _NS)
-                if t == "s":
-                    val = shared[int(v.text)] if v is not None else None
-                elif t == "inlineStr":
-                    is_ = c.find("m:is", _NS)
-                    val = _text(is_) if is_ is not None else None
-                elif t == "b":
-                    val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
-                elif t in ("str", "e"):
-                    val = v.text if v is not None else None
-                else:
-                    val = _fmt_number(v.text) if v is not None and v.text is not None else None
-                vals[_col_index(c.get("r"))] = val
-            if vals:
-                width = max(vals) + 1
-                yield sh.get("name"), int(row.get("r")), [vals.get(i) for i in range(width)]
+        row_no = 0
+        with z.open(part) as xml:       # row by row: a sheet is never held as one tree
+            for _, row in ET.iterparse(xml):
+                if row.tag != f"{{{_NS['m']}}}row":
+                    continue
+                row_no = int(row.get("r") or row_no + 1)
+                vals = {}
+                for c in row.findall("m:c", _NS):
+                    ref = c.get("r")
+                    vals[_col_index(ref) if ref else (max(vals) + 1 if vals else 0)] = _cell_text(c, shared)
+                row.clear()
+                if vals:
+                    yield sh.get("name"), row_no, [vals.get(i) for i in range(max(vals) + 1)]
+
+
+def _cell_text(c, shared: list[str]) -> str | None:
+    kind, v = c.get("t"), c.find("m:v", _NS)
+    if kind == "inlineStr":
+        inline = c.find("m:is", _NS)
+        return _text(inline) if inline is not None else None
+    if v is None or v.text is None:
+        return None
+    if kind == "s":
+        return shared[int(v.text)]
+    if kind == "b":
+        return "TRUE" if v.text == "1" else "FALSE"
+    return v.text if kind in ("str", "e") else _fmt_number(v.text)
+
+
+BROKEN = "broken_workbook"
+_CHUNK = 10_000
+
+
+def _file_cells(name: str, content: bytes):
+    """(src_file, sheet, row_no, cells) of one workbook; a row without a sheet tells that it cannot be read."""
+    header: dict[str, list[str]] = {}
+    try:
+        for sheet, row_no, cells in sheet_rows(content):
+            if sheet not in header:
+                header[sheet] = [str(c).strip() if c is not None else f"col{i}" for i, c in enumerate(cells)]
+                continue
+            h = header[sheet]
+            m = {h[i] if i < len(h) else f"col{i}": (None if v is None else str(v)) for i, v in enumerate(cells)}
+            if any(v not in (None, "") for v in m.values()):
+                yield name, sheet, row_no, m
+    except (zipfile.BadZipFile, ET.ParseError, KeyError, ValueError, IndexError, AttributeError, EOFError, zlib.error) as e:
+        yield name, None, None, {BROKEN: f"{type(e).__name__}: {e}"}
 
 
 def _parse_batches(batches):
+    columns = ["src_file", "sheet", "row_no", "cells"]
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            name = path.rsplit("/", 1)[-1]
-            header = {}
-            for sheet, row_no, cells in sheet_rows(bytes(content)):
-                if sheet not in header:
-                    header[sheet] = [str(c).strip() if c is not None else f"col{i}"
-                                     for i, c in enumerate(cells)]
-                    continue
-                h = header[sheet]
-                m = {h[i] if i < len(h) else f"col{i}": (None if v is None else str(v))
-                     for i, v in enumerate(cells)}
-                if any(v not in (None, "") for v in m.values()):
-                    out.append((name, sheet, row_no, m))
-        if out:
-            yield pd.DataFrame(out, columns=["src_file", "sheet", "row_no", "cells"])
+            rows = _file_cells(path.rsplit("/", 1)[-1], bytes(content))
+            while out := list(itertools.islice(rows, _CHUNK)):
+                made = pd.DataFrame(out, columns=columns)
+                yield made.astype({"row_no": "Int32"})
 
 
 def read_cells(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
@@ -130,27 +148,57 @@ def read_cells(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
 
 
 def cells_from_binary(raw: DataFrame, n_files: int | None = None) -> DataFrame:
-    """(path, content) rows of xlsx files -> cells. One file per partition: an
+    """(path, content) rows of xlsx files -> cells. A file is parsed by one task: an
     xlsx cannot be split, and its size is bounded by the format."""
     raw = raw.select("path", "content")
     if n_files:
-        raw = raw.repartition(max(1, n_files), "path")
+        raw = raw.repartition(max(1, n_files))      # round robin: files spread evenly
     return raw.mapInPandas(_parse_batches, CELLS_SCHEMA)
 
 
-def load_files(spark: SparkSession, paths, table_dir: str, typed_fn) -> list:
-    """Parse xlsx ``paths`` with ``typed_fn(cells) -> rows with load_date, src_file``
-    and replace those files' partitions of ``table_dir``; per-file counts back."""
-    from pyspark import StorageLevel
+def sheet_tables(cells: DataFrame) -> DataFrame:
+    """Every row with the table its sheet names (_table: blacklist, terminals) or, with a reason, quarantine."""
+    sheet = F.lower(F.trim("sheet"))
+    c = F.col("cells")
+    known = {"blacklist": ["date", "passport"], "terminals": ["terminal_id", "terminal_city"]}
+
+    def text(name):
+        return F.nullif(F.trim(c[name]), F.lit(""))
+
+    def extra(names):
+        return F.map_filter(c, lambda k, v: ~F.array_contains(F.array(*[F.lit(n) for n in names]), k))
+
+    rows = cells.select(
+        "sheet", "row_no", "cells", "src_file", _bd().alias("load_date"), sheet.alias("_sheet"),
+        parse_date_cell(text("date")).alias("date"), text("passport").alias("passport"),
+        text("terminal_id").alias("terminal_id"), text("terminal_city").alias("terminal_city"),
+        F.when(sheet == "blacklist", extra(known["blacklist"])).when(sheet == "terminals", extra(known["terminals"])).alias("extra"))
+    reason = (F.when(F.col("_sheet").isNull(), F.lit(BROKEN)).when(~F.col("_sheet").isin(*known), F.lit("unknown_sheet"))
+               .when(F.col("load_date").isNull(), F.lit("file_name_date"))
+               .when((F.col("_sheet") == "blacklist") & F.col("date").isNull(), F.lit("date"))
+               .when((F.col("_sheet") == "blacklist") & F.col("passport").isNull(), F.lit("passport"))
+               .when((F.col("_sheet") == "terminals") & F.col("terminal_id").isNull(), F.lit("terminal_id")))
+    rows = rows.withColumn("reason", reason)
+    bad = F.col("reason").isNotNull()
+    return rows.withColumn("_table", F.when(bad, "quarantine").otherwise(F.col("_sheet"))).withColumn("cells", F.when(bad, c)).drop("_sheet")
+
+
+def load_files(spark: SparkSession, paths, blacklist_dir: str, terminals_dir: str, quarantine_dir: str) -> list:
+    """Parse xlsx ``paths``: every sheet goes to the table it names, whichever file it came in; unknown sheets,
+    unreadable rows and broken workbooks go to quarantine. Replaces all earlier rows of these files.
+
+    Returns per-file rows (file_name, business_date, n_good, n_bad, tables).
+    """
     from cardsentry.sources.transactions import stamped
-    rows = stamped(typed_fn(read_cells(spark, list(paths)))).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("load_date", "src_file").parquet(table_dir))
-        return (rows.groupBy(F.col("src_file").alias("file_name"), F.col("load_date").alias("business_date"))
-                    .agg(F.count(F.lit(1)).alias("n_good"), F.lit(0).cast("long").alias("n_bad")).collect())
-    finally:
-        rows.unpersist()
+    staged = staging.stage(stamped(sheet_tables(read_cells(spark, list(paths)))), blacklist_dir)
+    back = spark.read.schema("_table string, load_date date, src_file string, row_no int").parquet(staged)
+    bad = F.col("_table") == "quarantine"
+    stats = (back.groupBy(F.col("src_file").alias("file_name"), F.col("load_date").alias("business_date"))
+                 .agg(F.count_if(~bad).alias("n_good"), F.count_if(bad).alias("n_bad"),
+                      F.array_join(F.array_sort(F.collect_set(F.when(~bad, F.col("_table")))), ",").alias("tables"))).collect()
+    targets = {"blacklist": (blacklist_dir, "load_date"), "terminals": (terminals_dir, "load_date"), "quarantine": (quarantine_dir, "load_date")}
+    staging.replace(spark, staged, targets, [str(p).rsplit("/", 1)[-1] for p in paths])
+    return stats
 
 
 def _bd(col: str = "src_file"):
@@ -260,33 +308,29 @@ def xlsx_bytes(sheets: dict[str, pd.DataFrame]) -> bytes:
     return buf.getvalue()
 
 
-def write_drop(df: DataFrame, drop_dir: str, prefix: str, sheet: str, day_col: str = "_day") -> int:
-    """Write ``df`` as ``<prefix>_DDMMYYYY-<task>.xlsx`` files (one sheet ``sheet``).
+def write_drop(df: DataFrame, drop_dir: str, prefix: str, sheet: str | None = None, day_col: str = "_day") -> int:
+    """Write ``df`` as ``<prefix>_DDMMYYYY-<task>.xlsx`` files (one sheet ``sheet``, or a sheet per value
+    of column ``_sheet`` with the columns it uses); returns their number.
 
-    Each task writes one file per day it holds (Python file IO in the task,
-    so ``drop_dir`` must be a local or mounted shared path). Returns the
-    number of files written.
+    For fixtures: tasks build the workbooks, which are written one by one through the Hadoop file system.
     """
-    target = files.local_path(drop_dir)
-    cols = [c for c in df.columns if c != day_col]
+    cols = [c for c in df.columns if c not in (day_col, "_sheet")]
+
+    def sheets(g: pd.DataFrame) -> dict[str, pd.DataFrame]:
+        if sheet is not None:
+            return {sheet: g[cols].reset_index(drop=True)}
+        return {name: x[cols].dropna(axis=1, how="all").reset_index(drop=True) for name, x in g.groupby("_sheet")}
 
-    def write_part(batches):
-        import os
+    def build(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        parts = [b for b in batches]
-        if not parts:
-            return
-        pdf = pd.concat(parts)
-        os.makedirs(target, exist_ok=True)
-        n = 0
-        for day, g in pdf.groupby(day_col):
-            path = os.path.join(target, f"{prefix}_{day}-{pid:05d}.xlsx")
-            with open(path + ".tmp", "wb") as fh:
-                fh.write(xlsx_bytes({sheet: g[cols].reset_index(drop=True)}))
-            os.replace(path + ".tmp", path)
-            n += 1
-        yield pd.DataFrame({"n": [n]})
-
-    out = df.mapInPandas(write_part, "n long")
-    return int(out.agg(F.sum("n")).first()[0] or 0)
+        parts = list(batches)
+        if parts:
+            for day, g in pd.concat(parts).groupby(day_col):
+                yield pd.DataFrame({"name": [f"{prefix}_{day}-{pid:05d}.xlsx"], "content": [xlsx_bytes(sheets(g))]})
+
+    n = 0
+    for r in df.mapInPandas(build, "name string, content binary").toLocalIterator():
+        files.write_bytes(df.sparkSession, f"{drop_dir.rstrip('/')}/{r.name}", bytes(r.content))
+        n += 1
+    return n

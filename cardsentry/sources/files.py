@@ -60,6 +60,34 @@ def list_files(spark: SparkSession, directory: str, pattern: str = "*") -> list[
     return sorted(out, key=lambda f: f.name)
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())
+
+
+def list_dirs(spark: SparkSession, directory: str) -> list[str]:
+    """Paths of the folders directly under ``directory`` (sorted; none if it is missing)."""
+    fs, p = _fs(spark, directory)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """Write a small file through the Hadoop file system (any cluster FS)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> bool:
     fs, s = _fs(spark, src)
     _, d = _fs(spark, dst)

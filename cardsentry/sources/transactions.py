@@ -9,13 +9,12 @@ quarantine table instead of aborting the load. Blank lines are ignored.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.functions.values import parse_amount, parse_ts
-from cardsentry.schemas import TRANSACTION_FIELDS
-from cardsentry.sources import files
+from cardsentry.schemas import LOADED, QUARANTINE, TRANSACTION_FIELDS
+from cardsentry.sources import files, staging
 from cardsentry.sources.ledger import ingest_new
 
 PATTERN = "transactions_*.txt"
@@ -98,31 +97,41 @@ def write_partitions(df: DataFrame, table_dir: str, partition_cols) -> None:
        .partitionBy(*partition_cols).parquet(table_dir))
 
 
-def load_files(spark: SparkSession, paths, table_dir: str, quarantine_dir: str) -> DataFrame:
-    """Parse ``paths`` and write good rows (by load_date, src_file) and bad rows.
+def staged_rows(parsed: DataFrame) -> DataFrame:
+    """Good and bad rows in one schema: _table (good, bad), the table's columns, and the line of bad rows."""
+    bad = F.col("reason").isNotNull()
+    rows = stamped(parsed.withColumnRenamed("business_date", "load_date"))
+    return rows.withColumn("_table", F.when(bad, "bad").otherwise("good")).withColumn("line", F.when(bad, F.col("line")))
 
-    Returns per-file counts (file_name, business_date, n_good, n_bad).
+
+def _replace_rows(spark: SparkSession, parsed: DataFrame, table_dir: str, quarantine_dir: str, names) -> list:
+    """One pass over the lines: good and bad rows are staged together and replace those of the files ``names``;
+    per-file counts and operation times come from the staged columns."""
+    staged = staging.stage(staged_rows(parsed), table_dir)
+    back = spark.read.schema("_table string, load_date date, src_file string, transaction_date timestamp_ntz").parquet(staged)
+    good = F.col("_table") == "good"
+    stats = (back.groupBy(F.col("src_file").alias("file_name"), F.col("load_date").alias("business_date"))
+                 .agg(F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"),
+                      F.min(F.when(good, F.col("transaction_date"))).alias("first_op"),
+                      F.max(F.when(good, F.col("transaction_date"))).alias("last_op"))).collect()
+    staging.replace(spark, staged, {"good": (table_dir, "load_date"), "bad": (quarantine_dir, "business_date")}, names)
+    return stats
+
+
+def load_files(spark: SparkSession, paths, table_dir: str, quarantine_dir: str) -> list:
+    """Parse ``paths``; their good rows (by load_date, src_file) and bad rows replace all earlier ones of these files.
+
+    Returns per-file rows (file_name, business_date, n_good, n_bad, first_op, last_op).
     """
-    parsed = parse(read_lines(spark, paths)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_partitions(stamped(good_rows(parsed)), table_dir, ["load_date", "src_file"])
-        bad = bad_rows(parsed)
-        write_partitions(bad, quarantine_dir, ["business_date", "src_file"])
-        stats = (parsed.groupBy("src_file", "business_date")
-                       .agg(F.count(F.when(F.col("reason").isNull(), 1)).alias("n_good"),
-                            F.count(F.when(F.col("reason").isNotNull(), 1)).alias("n_bad"))
-                       .withColumnRenamed("src_file", "file_name"))
-        return stats.collect()
-    finally:
-        parsed.unpersist()
+    return _replace_rows(spark, parse(read_lines(spark, paths)), table_dir, quarantine_dir, [str(p).rsplit("/", 1)[-1] for p in paths])
 
 
 def ingest(spark: SparkSession, drop_dir: str, table_dir: str, quarantine_dir: str, ledger_dir: str,
            archive_dir: str | None = None, force: bool = False, pattern: str = PATTERN) -> list[str]:
     """Batch ingest of new drop files; returns the names loaded.
 
-    Files already in the ledger are skipped unless ``force`` (a corrected
-    file delivered under the same name replaces that file's partition).
+    Repeated deliveries of loaded files are skipped unless ``force``; a corrected file under a known
+    name replaces everything the earlier one held (see ``ingest_new``).
     """
     return ingest_new(spark, drop_dir, pattern, ledger_dir,
                       lambda paths: load_files(spark, paths, table_dir, quarantine_dir),
@@ -130,14 +139,23 @@ def ingest(spark: SparkSession, drop_dir: str, table_dir: str, quarantine_dir: s
 
 
 def read_table(spark: SparkSession, table_dir: str) -> DataFrame:
-    return spark.read.parquet(table_dir)
+    """The loaded operations, by their declared schema (empty before the first load)."""
+    if not files.exists(spark, table_dir):
+        return spark.createDataFrame([], LOADED)
+    return spark.read.schema(LOADED).parquet(table_dir)
+
+
+def read_quarantine(spark: SparkSession, quarantine_dir: str) -> DataFrame:
+    if not files.exists(spark, quarantine_dir):
+        return spark.createDataFrame([], QUARANTINE)
+    return spark.read.schema(QUARANTINE).parquet(quarantine_dir)
 
 
 # ------------------------------------------------------------- fixtures ----
 
 def to_lines(df: DataFrame, comma_amount: Column | None = None, drop_terminal: Column | None = None,
-             ts_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> DataFrame:
-    """Render typed transactions as drop lines (day = business date of the file).
+             ts_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", day: Column | None = None) -> DataFrame:
+    """Render typed transactions as drop lines (``day``: business date of the file, else the operation's).
 
     ``comma_amount``: rows whose amount is written with a decimal comma;
     ``drop_terminal``: rows written with six fields (malformed on purpose).
@@ -149,7 +167,7 @@ def to_lines(df: DataFrame, comma_amount: Column | None = None, drop_terminal: C
             F.col("card_num"), F.col("oper_type"), F.col("oper_result")]
     full = F.concat_ws(";", *head, F.coalesce(F.col("terminal"), F.lit("")))
     line = full if drop_terminal is None else F.when(drop_terminal, F.concat_ws(";", *head)).otherwise(full)
-    return df.select(line.alias(HEADER), F.date_format(F.to_date("transaction_date"), "ddMMyyyy").alias("_day"))
+    return df.select(line.alias(HEADER), F.date_format(F.to_date("transaction_date") if day is None else day, "ddMMyyyy").alias("_day"))
 
 
 def write_drop(spark: SparkSession, lines: DataFrame, drop_dir: str, prefix: str = "transactions",

@@ -9,41 +9,50 @@ partitions, so the sink is idempotent under at-least-once replay.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardsentry.sources import files
 from cardsentry.sources import transactions as tx
+from cardsentry.sources.ledger import Ledger, archive
 
 
-def _batch_writer(table_dir: str, quarantine_dir: str):
+def _batch_writer(drop_dir: str, table_dir: str, quarantine_dir: str, ledger_dir: str | None, archive_dir: str | None):
+    """Loads the files of a micro-batch like the batch path does; with a ledger, also records and archives them."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = tx.parse(tx.lines_with_source(batch)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tx.write_partitions(tx.stamped(tx.good_rows(parsed)), table_dir, ["load_date", "src_file"])
-            tx.write_partitions(tx.bad_rows(parsed), quarantine_dir, ["business_date", "src_file"])
-        finally:
-            parsed.unpersist()
+        spark = batch.sparkSession
+        lines = tx.lines_with_source(batch)
+        names = [r[0] for r in lines.select("src_file").distinct().collect()]   # files of this batch
+        there = {f.name: f for f in files.list_files(spark, drop_dir) if f.name in set(names)}
+        if ledger_dir is not None:
+            known = {r["file_name"]: r for r in Ledger(spark, ledger_dir).latest()
+                     .where(F.col("file_name").isin(names)).select("file_name", "size", "mtime").collect()}
+            names = [n for n in names if n not in known or n not in there
+                     or (known[n]["size"], known[n]["mtime"]) != (there[n].size, there[n].mtime)]
+            lines = lines.where(F.col("src_file").isin(names))
+        if names:
+            stats = tx._replace_rows(spark, tx.parse(lines), table_dir, quarantine_dir, names)
+            if ledger_dir is not None:
+                Ledger(spark, ledger_dir).record(stats, {n: there[n] for n in names if n in there})
+        if archive_dir is not None:
+            for name, f in there.items():
+                archive(spark, f.path, archive_dir, name)
     return write
 
 
 def start(spark: SparkSession, drop_dir: str, table_dir: str, quarantine_dir: str,
-          checkpoint_dir: str, available_now: bool = True, archive_dir: str | None = None,
+          checkpoint_dir: str, available_now: bool = True, archive_dir: str | None = None, ledger_dir: str | None = None,
           pattern: str = tx.PATTERN, max_files_per_trigger: int | None = None):
     """Start the ingest stream; returns the StreamingQuery.
 
-    ``archive_dir``: let the file source move processed files there
-    (``cleanSource=archive``); it does so one batch late and without a
-    ``.backup`` suffix, so the ledger path (``tx.ingest``) is the one that
-    follows the reference's naming.
+    ``ledger_dir``, ``archive_dir``: the batch path's ledger and ``.backup`` archive, kept by the stream as
+    well, so that either path knows what the other has loaded.
     """
     reader = spark.readStream.format("text").option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     stream = reader.load(drop_dir).select("value", F.col("_metadata.file_name").alias("file_name"))
-    writer = (stream.writeStream.foreachBatch(_batch_writer(table_dir, quarantine_dir))
+    writer = (stream.writeStream.foreachBatch(_batch_writer(drop_dir, table_dir, quarantine_dir, ledger_dir, archive_dir))
                     .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

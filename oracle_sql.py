@@ -347,6 +347,24 @@ def oracle_sql() -> dict[str, str]:
             SELECT date, passport, date AS load_date FROM blacklist""",
         "ingest_excel_terminals": PROXY + _SNAPSHOTS + """
             SELECT terminal_id, terminal_city, load_date FROM snapshots""",
+        "ingest_excel_stream": PROXY + """
+            SELECT date, passport, date AS load_date FROM blacklist""",
+        "ingest_excel_sheets": PROXY + _SNAPSHOTS + """
+            SELECT 'blacklist' AS table_name, passport AS a, CAST(date AS VARCHAR) AS b, date AS load_date FROM blacklist
+            WHERE CAST(substr(passport, 2) AS BIGINT) % 10 <> 1
+            UNION ALL SELECT 'quarantine', 'date', 'blacklist', date FROM blacklist WHERE CAST(substr(passport, 2) AS BIGINT) % 10 = 1
+            UNION ALL SELECT 'terminals', terminal_id, terminal_city, load_date FROM snapshots
+            UNION ALL SELECT 'quarantine', 'unknown_sheet', 'notes', load_date FROM snapshots WHERE CAST(terminal_id AS INTEGER) % 25 = 0""",
+        "terminal_history_incremental": PROXY + _HISTORY.replace("        FROM snapshots\n    ),", """        FROM (SELECT * FROM snapshots WHERE NOT (CAST(terminal_id AS INTEGER) % 7 = 3 AND load_date
+              - (SELECT min(CAST(ts AS DATE)) FROM events) IN (26, 27)))
+    ),"""),
+        "seed_load": PROXY + """
+            SELECT client_id, last_name, first_name, patronymic,
+                   CAST(DATE '1950-01-01' + CAST(CAST(client_id AS BIGINT) % 9000 AS INTEGER) AS DATE) AS date_of_birth,
+                   passport_num, passport_valid_to, phone, DATE '1900-01-01' AS create_dt,
+                   CASE WHEN CAST(client_id AS BIGINT) % 3 = 0 THEN DATE '2024-01-02' END AS update_dt,
+                   TIMESTAMP '1900-01-01 00:00:00' AS effective_from, TIMESTAMP '9999-12-31 00:00:00' AS effective_to, 0 AS deleted_flg
+            FROM clients""",
         "stamp_snapshot": PROXY + f"""
             SELECT {_TX_COLS}, date_trunc('day', transaction_date) AS effective_from,
                    date_trunc('day', transaction_date) + INTERVAL 1 DAY AS effective_to, 0 AS deleted_flg
