@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +20,12 @@ _BLOCK = 1 << 20  # bytes hashed at a time
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder named in spark.checkpoint.dir.
 
-    Where the setting is absent (local tests), a temporary folder of the driver is set.
+    Where the setting is absent, local sessions (tests) get a temporary folder; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='cardsentry-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -95,15 +95,3 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = out * np.uint64(0x100000001B3) + words[j : j + n]
     return mixed(out + np.uint64(k))
-
-
-def rows_of(batches: Iterator) -> Iterator[dict]:
-    """The rows of Arrow batches, a bounded slice at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            yield from batch.slice(at, 256).to_pylist()
-
-
-def on_executor() -> int:
-    """Process id, for caches that belong to one worker."""
-    return os.getpid()

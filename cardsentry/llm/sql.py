@@ -1,3 +1,74 @@
-"""DuckDB forms of the training-data queries that SQL can express."""
+"""DuckDB forms of the training-data queries that SQL can express.
 
-ORACLES: dict[str, str] = {}
+None for the others: tokenizers, sequence packing, shingle joins, unwrapped layers, approximate neighbours and
+template windows are tested against brute force or the tokenizer libraries.
+"""
+
+_CHAT = r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+           length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|SYS\]|ROLE\]|TEXT\]))', '\1\2\\\3', 'g'))
+           + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 11 WHEN 'assistant' THEN 7
+             ELSE 19 + length(regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|SYS\]|ROLE\]|TEXT\]))', '\1\2\\\3', 'g')) END AS chars
+    FROM given
+),
+placed AS (
+    SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS upto,
+           n = max(n) OVER (PARTITION BY conv_id) AS last
+    FROM sized
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR last) AS BIGINT) AS formatted_chars,
+       count(*) FILTER (role = 'assistant' OR last) AS n_examples
+FROM placed GROUP BY conv_id"""
+
+_WARC = """
+WITH sized AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+),
+grouped AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS first FROM sized)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM grouped"""
+
+_QUALITY = r"""
+WITH split AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           string_split(coalesce(text, ''), chr(10)) AS lines
+    FROM documents
+),
+windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS g
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM split)
+),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+base AS (
+    SELECT doc_id, text, len(lines) AS n_lines, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(len(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))
+                - len(list_distinct(list_filter(lines, lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')))) AS BIGINT) AS n_dup_lines,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+    FROM split LEFT JOIN covered USING (doc_id)
+),
+judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols * 10 > n_words OR (n_dup_lines >= 5 AND n_dup_lines * 2 > n_lines)
+            OR word_chars < n_words * 2 OR word_chars > n_words * 20
+            OR length(regexp_replace(text, '[^!]', '', 'g')) * 10 > n_words * 3
+            OR length(regexp_replace(text, '\P{Lu}', '', 'g')) * 2 > length(text)) AS kept
+FROM judged"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op6_warc": _WARC, "op7_quality_rules": _QUALITY}
