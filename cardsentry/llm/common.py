@@ -22,13 +22,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
     Where the setting is absent, local sessions (tests) get a temporary folder; a cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if not root and not context.getCheckpointDir():
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = f"file://{tempfile.mkdtemp(prefix='cardsentry-')}"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        context.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='cardsentry-')}")
+    return f"{(root or context.getCheckpointDir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
