@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardsentry.sources import files
+
 _FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
           T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -42,14 +44,24 @@ def broadcast_limit(df: DataFrame) -> int:
     return _bytes(spark.conf.get("spark.cardsentry.broadcastMaxBytes", None) or DEFAULT_LIMIT)
 
 
-# Measured bounds, keyed by (application, plan, input files): a new or
-# rewritten input file changes the key, so a stale bound is never reused.
+# Measured bounds, keyed by (application, plan, input files with length and
+# modification time): a new or rewritten file changes the key, so a stale
+# bound is never reused.
 _MEASURED: dict[tuple, tuple[int, int]] = {}
 
 
 def _key(df: DataFrame) -> tuple:
-    return (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-            tuple(sorted(df.inputFiles())))
+    """Application, plan, and each input folder with the number, total length and last modification of its files."""
+    spark = df.sparkSession
+    folders: dict[str, list[int]] = {}
+    for path in df.inputFiles():
+        stats = folders.setdefault(path.rsplit("/", 1)[0], [0, 0, 0])
+        fs, p = files._fs(spark, path)
+        status = fs.getFileStatus(p)
+        stats[0] += 1
+        stats[1] += int(status.getLen())
+        stats[2] = max(stats[2], int(status.getModificationTime()))
+    return (spark.sparkContext.applicationId, df.semanticHash(), tuple(sorted((k, *v) for k, v in folders.items())))
 
 
 def size_bound(df: DataFrame) -> tuple[int, int]:

@@ -60,17 +60,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session. Only in local mode (tests) a folder of our own is
     created and registered where it is unset; a cluster must name one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
+    root, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
+    if not context.getCheckpointDir():
+        if not root and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="cardsentry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="cardsentry-ckpt-"))
+    return (root or context.getCheckpointDir()).rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
