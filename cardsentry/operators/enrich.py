@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.operators.sizing import broadcast_if_small
+from cardsentry.operators.sizing import broadcast_if_bounded, broadcast_if_small
 
 TX_COLUMNS = ["transaction_id", "transaction_date", "amount", "card_num", "oper_type",
               "oper_result", "terminal"]
@@ -63,6 +63,38 @@ def enrich(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clien
     return out.select(*TX_COLUMNS, *PROFILE_COLUMNS, *extra)
 
 
+NARROW_TX = ["transaction_id", "transaction_date", "amount", "oper_result", "terminal"]
+NARROW_PROFILE = ["account", "valid_to", "client_id", "passport_valid_to"]
+CLIENT_COLUMNS = ["last_name", "first_name", "patronymic", "passport_num", "phone"]
+
+
+def enrich_narrow(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                  blacklist: DataFrame | None = None) -> DataFrame:
+    """Operations with what the rules compare, and the client's id; names and phone join to the hits
+    (``attach_clients``). The card side is broadcast only if its inputs prove it small; no join is run to
+    measure it.
+    """
+    cards = cards.select("card_num", "account")
+    acc = accounts.select("account", "valid_to", F.col("client").alias("_client"))
+    cli = clients.select("client_id", "passport_valid_to", "passport_num")
+    inputs = [cards, acc, cli]
+    prof = cards.join(broadcast_if_small(acc), "account")
+    prof = prof.join(broadcast_if_small(cli), prof["_client"] == cli["client_id"]).drop("_client")
+    if blacklist is not None:
+        bl = blocked_from(blacklist)
+        prof = prof.join(broadcast_if_small(bl), prof["passport_num"] == bl["passport"], "left").drop("passport")
+        inputs.append(blacklist)
+    prof = broadcast_if_bounded(prof.drop("passport_num"), inputs, [("account", acc), ("client_id", cli)])
+    out = transactions.select(*NARROW_TX, "card_num").join(prof, "card_num")
+    return out.select(*NARROW_TX, *NARROW_PROFILE, *(["blocked_from"] if blacklist is not None else []))
+
+
+def attach_clients(hits: DataFrame, clients: DataFrame) -> DataFrame:
+    """Hits (few) with the client's report columns instead of the client's id."""
+    cli = broadcast_if_small(clients.select(F.col("client_id").alias("_id"), *CLIENT_COLUMNS))
+    return hits.join(cli, hits["client_id"] == cli["_id"]).drop("_id", "client_id").withColumnRenamed("passport_num", "passport")
+
+
 def with_city(events: DataFrame, terminals: DataFrame, point_in_time: bool = True,
               ts: str = "transaction_date", terminal: str = "terminal") -> DataFrame:
     """Attach ``terminal_city``.

@@ -80,8 +80,14 @@ def report_dt_col(report_dt) -> Column:
 
 def report_rows(df: DataFrame, event_type, report_dt=None, event_col: str = TS,
                 prefix: str = "") -> DataFrame:
-    """Project to the mart row (``prefix`` selects lagged copies of the columns)."""
+    """Project to the mart row (``prefix`` selects lagged copies of the columns).
+
+    Narrow operations (``enrich_narrow``) carry the client's id in place of the client's columns; so do their hits.
+    """
     et = event_type if isinstance(event_type, Column) else F.lit(event_type)
+    if "last_name" not in df.columns:
+        return df.select(F.col(prefix + event_col).alias("event_dt"), F.col("client_id"), et.alias("event_type"),
+                         report_dt_col(report_dt).alias("report_dt"))
     return df.select(
         F.col(prefix + event_col).alias("event_dt"),
         F.col(prefix + "passport_num").alias("passport"),

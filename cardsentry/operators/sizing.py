@@ -47,7 +47,7 @@ def broadcast_limit(df: DataFrame) -> int:
 # Measured bounds, keyed by (application, plan, input files with length and
 # modification time): a new or rewritten file changes the key, so a stale
 # bound is never reused.
-_MEASURED: dict[tuple, tuple[int, int]] = {}
+_MEASURED: dict[tuple, tuple[int, int, int]] = {}
 
 
 def _key(df: DataFrame) -> tuple:
@@ -66,6 +66,15 @@ def _key(df: DataFrame) -> tuple:
 
 def size_bound(df: DataFrame) -> tuple[int, int]:
     """(rows, upper bound of the in-memory bytes as unsafe rows), in one pass."""
+    return _measured(df)[:2]
+
+
+def widest_row(df: DataFrame) -> int:
+    """Upper bound of the bytes of any row (measured in the same pass)."""
+    return _measured(df)[2]
+
+
+def _measured(df: DataFrame) -> tuple[int, int, int]:
     key = _key(df)
     if key in _MEASURED:
         return _MEASURED[key]
@@ -76,7 +85,7 @@ def size_bound(df: DataFrame) -> tuple[int, int]:
     return bound
 
 
-def _measure(df: DataFrame) -> tuple[int, int]:
+def _measure(df: DataFrame) -> tuple[int, int, int]:
     n_fields = len(df.schema.fields)
     var_exprs = []
     for f in df.schema.fields:
@@ -88,11 +97,11 @@ def _measure(df: DataFrame) -> tuple[int, int]:
         else:  # nested / wide decimal: bound by its JSON text
             var_exprs.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`")))),
                                         F.lit(16)) + 16)
-    var_sum = F.sum(sum(var_exprs[1:], var_exprs[0])) if var_exprs else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), var_sum.cast("long").alias("v")).first()
+    width = (sum(var_exprs[1:], var_exprs[0]) if var_exprs else F.lit(0)).cast("long")
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("v"), F.max(width).alias("w")).first()
     rows, var = int(row["n"]), int(row["v"] or 0)
     per_row = 8 * (n_fields + 1 + (n_fields // 64))
-    return rows, rows * per_row + var
+    return rows, rows * per_row + var, per_row + int(row["w"] or 0)
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
@@ -102,3 +111,26 @@ def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame
         return df
     _, size = size_bound(df)
     return F.broadcast(df) if size <= limit else df
+
+
+def most_per_key(df: DataFrame, key: str) -> int:
+    """The most rows that share a value of ``key`` (one aggregation, remembered like the size bounds)."""
+    memo = ("most", key, *_key(df))
+    if memo not in _MEASURED:
+        _MEASURED[memo] = (int(df.groupBy(key).count().agg(F.max("count")).first()[0] or 0), 0, 0)
+    return _MEASURED[memo][0]
+
+
+def broadcast_if_bounded(df: DataFrame, inputs, keys=(), max_bytes: int | None = None) -> DataFrame:
+    """``broadcast(df)`` if its ``inputs`` prove it small, without running ``df``.
+
+    Its rows are at most those of the first input, times the most rows per join key (``keys``: key column, input) of
+    the others; each is at most as wide as the widest rows of all inputs together.
+    """
+    limit = broadcast_limit(df) if max_bytes is None else max_bytes
+    if limit < 0:
+        return df
+    rows = size_bound(inputs[0])[0]
+    for key, i in keys:
+        rows *= most_per_key(i, key)
+    return F.broadcast(df) if rows * sum(widest_row(i) for i in inputs) <= limit else df

@@ -32,14 +32,11 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry import schemas
 from cardsentry.operators import dimensions
-from cardsentry.operators.enrich import enrich
-from cardsentry.operators.rules import scope
 from cardsentry.plans import report as plan
 from cardsentry.session import checkpoint_root
 from cardsentry.sources import excel, files, seed
@@ -200,16 +197,8 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
     held = ops.latest().where((F.col("last_op") >= F.lit(window[0] - lookback)) & (F.col("first_op") < F.lit(window[1])))
     load_days = held.agg(F.min("business_date"), F.max("business_date")).first()
     t = tables(spark, layout, tuple(load_days) if load_days[0] is not None else None)
-    # The scoped, enriched operations feed three rule branches: computed once
-    # for the run (recomputed from lineage if an executor is lost), then released.
-    ev = scope(enrich(t.transactions, t.cards, t.accounts, t.clients, blacklist=t.blacklist),
-               window, lookback_us=plan.max_lookback({})).persist(StorageLevel.MEMORY_AND_DISK)
     days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    try:
-        mart = plan.daily_mart(t, report_dt=report_dt, window=window, enriched=ev)
-        plan.replace_days(mart, layout.mart, days)
-    finally:
-        ev.unpersist()
+    plan.replace_days(plan.daily_mart(t, report_dt=report_dt, window=window), layout.mart, days)
     ops.mark_reported(new_ops)
     sheets.mark_reported(new_sheets)
     return days

@@ -11,27 +11,42 @@ it instead of duplicating it.
 
 from __future__ import annotations
 
+import copy
 import uuid
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions.timecols import day_end, duration_us
-from cardsentry.operators.enrich import enrich, with_city
+from cardsentry.operators.enrich import attach_clients, enrich_narrow, with_city
 from cardsentry.operators.rules import (
     amount_probing, different_cities, profile_rules, resolve_window, scope,
 )
 from cardsentry.schemas import MART, REPORT_COLUMNS
+from cardsentry.session import work_dir
 from cardsentry.sources import files
 
 
 def _enriched(tables, enriched: DataFrame | None) -> DataFrame:
+    """The operations that all rules read: enriched narrowly and written once to the shared folder, so that
+    a report scans and enriches them once, whatever the number of its branches."""
     if enriched is not None:
         return enriched
-    return enrich(tables.transactions, tables.cards, tables.accounts, tables.clients,
-                  blacklist=tables.blacklist)
+    narrow = enrich_narrow(tables.transactions, tables.cards, tables.accounts, tables.clients, blacklist=tables.blacklist)
+    spark = narrow.sparkSession
+    path = work_dir(spark, "operations")
+    narrow.write.parquet(path)
+    return spark.read.schema(narrow.schema).parquet(path)
+
+
+def _report(profile: DataFrame, cities: DataFrame, probing: DataFrame, tables) -> DataFrame:
+    """Hits of all rules as report rows. Narrow hits get their client's columns here; rows that are then equal
+    stay one row for the rules that report distinct rows."""
+    if "client_id" not in profile.columns:
+        return reduce(DataFrame.unionByName, [profile, cities, probing]).select(*REPORT_COLUMNS)
+    once = attach_clients(profile.unionByName(cities), tables.clients).select(*REPORT_COLUMNS).distinct()
+    return once.unionByName(attach_clients(probing, tables.clients).select(*REPORT_COLUMNS))
 
 
 def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
@@ -44,17 +59,19 @@ def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
     operations and, when ``lookback`` (default: on with a window), R3/R4
     read one rule window before it as context.
     """
-    ev = _enriched(tables, enriched)
     use_lb = (window is not None) if lookback is None else lookback
+    lb = max(duration_us(cities_within), duration_us(probing_within))
+    if window is not None and enriched is None:
+        tables = copy.copy(tables)
+        tables.transactions = scope(tables.transactions, window, lookback_us=lb if use_lb else 0)
+    ev = _enriched(tables, enriched)
     cities = with_city(ev, tables.terminals, point_in_time)
-    parts = [
+    return _report(
         profile_rules(ev, window, report_dt),
         different_cities(cities, None, window, cities_within if use_lb else 0,
                          within=cities_within, report_dt=report_dt),
         amount_probing(ev, window, probing_within if use_lb else 0, within=probing_within,
-                       report_dt=report_dt),
-    ]
-    return reduce(DataFrame.unionByName, parts).select(*REPORT_COLUMNS)
+                       report_dt=report_dt), tables)
 
 
 def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 hour",
@@ -66,19 +83,19 @@ def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 h
     restricts the reported days (operations before it are read only as the
     R3/R4 lookback).
     """
+    if window is not None and enriched is None:
+        tables = copy.copy(tables)
+        tables.transactions = scope(tables.transactions, window, lookback_us=max(duration_us(cities_within), duration_us(probing_within)))
     ev = _enriched(tables, enriched)
     if window is not None:
-        lb = max(duration_us(cities_within), duration_us(probing_within))
-        ev = scope(ev, window, lookback_us=lb)
+        ev = scope(ev, window, lookback_us=max(duration_us(cities_within), duration_us(probing_within)))
     rdt = day_end("transaction_date") if report_dt is None else report_dt
     cities = with_city(ev, tables.terminals, True)
-    parts = [
+    out = _report(
         profile_rules(ev, window, rdt),
         different_cities(cities, None, window, cities_within, within=cities_within, report_dt=rdt,
                          day_horizon=True),
-        amount_probing(ev, window, probing_within, within=probing_within, report_dt=rdt),
-    ]
-    out = reduce(DataFrame.unionByName, parts).select(*REPORT_COLUMNS)
+        amount_probing(ev, window, probing_within, within=probing_within, report_dt=rdt), tables)
     return out.withColumn("report_date", F.to_date("event_dt"))
 
 
@@ -111,18 +128,13 @@ def replace_days(report: DataFrame, mart_dir: str, days) -> None:
 def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
     """One daily run: report for ``day`` written into the mart (idempotent).
 
-    The enriched operations feed three rule branches; they are persisted for
-    the run (recomputed from lineage if an executor is lost) and released
-    after the write.
+    Only the day's operations and their lookback are enriched, and that once.
     """
     lo, _ = resolve_window(day)
-    ev = _enriched(tables, None)
-    ev = scope(ev, day, lookback_us=max_lookback(kw)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rep = build_report(tables, report_dt=report_dt, window=day, enriched=ev, **kw)
-        replace_days(rep.withColumn("report_date", F.lit(lo.date())), mart_dir, [lo.date()])
-    finally:
-        ev.unpersist()
+    day_tables = copy.copy(tables)
+    day_tables.transactions = scope(tables.transactions, day, lookback_us=max_lookback(kw))
+    rep = build_report(day_tables, report_dt=report_dt, window=day, **kw)
+    replace_days(rep.withColumn("report_date", F.lit(lo.date())), mart_dir, [lo.date()])
 
 
 def max_lookback(kw) -> int:
