@@ -13,8 +13,11 @@ def _c(col) -> Column:
 
 
 def parse_amount(col) -> Column:
-    """Amount text with a decimal point or a decimal comma -> exact decimal(18,2)."""
-    return _try_cast(F.regexp_replace(F.trim(_c(col)), ",", "."), AMOUNT_TYPE)
+    """Amount text with a decimal point or a decimal comma -> exact decimal(18,2); NULL if it is
+    malformed or has more decimals than that (rounding could turn a strict decrease into a tie)."""
+    text = F.regexp_replace(F.trim(_c(col)), ",", ".")
+    amount = _try_cast(text, AMOUNT_TYPE)
+    return F.when(_try_cast(text, "decimal(38,18)") == amount, amount)
 
 
 def parse_ts(col) -> Column:

@@ -33,9 +33,10 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     cli = clients.select("client_id", "last_name", "first_name", "patronymic", "passport_num",
                          "passport_valid_to", "phone")
     # dimension joins: the smaller side is broadcast only behind its size check
-    cli = broadcast_if_small(cli)
+    cli_in, cli = cli, broadcast_if_small(cli)
     acc_cli = acc.join(cli, acc["client"] == cli["client_id"]).drop("client")
-    prof = cards.select("card_num", "account").join(broadcast_if_small(acc_cli), "account")
+    acc_cli = broadcast_if_bounded(acc_cli, [acc, cli_in], [("client_id", cli_in)])
+    prof = cards.select("card_num", "account").join(acc_cli, "account")
     cols = ["card_num"] + PROFILE_COLUMNS
     if blacklist is not None:
         bl = broadcast_if_small(blocked_from(blacklist))
@@ -45,18 +46,18 @@ def card_profile(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
 
 
 def enrich(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-           blacklist: DataFrame | None = None, profile_broadcast: bool | None = None) -> DataFrame:
+           blacklist: DataFrame | None = None) -> DataFrame:
     """Operations with their account and client (inner joins, as in the reference).
 
-    The profile is broadcast only when a size pass proves it below the
-    session's broadcast limit; otherwise both sides shuffle on ``card_num``
-    and AQE splits a hot card's partition.
+    The profile is broadcast only when its inputs prove it below the
+    session's broadcast limit (the join itself is not run for that); otherwise
+    both sides shuffle on ``card_num`` and AQE splits a hot card's partition.
     """
-    prof = card_profile(cards, accounts, clients, blacklist)
-    if profile_broadcast is None:
-        prof = broadcast_if_small(prof)
-    elif profile_broadcast:
-        prof = F.broadcast(prof)
+    cards = cards.select("card_num", "account")
+    acc = accounts.select("account", "valid_to", F.col("client").alias("_client"))
+    cli = clients.select("client_id", "last_name", "first_name", "patronymic", "passport_num", "passport_valid_to", "phone")
+    inputs = [cards, acc, cli, *([] if blacklist is None else [blacklist])]
+    prof = broadcast_if_bounded(card_profile(cards, accounts, clients, blacklist), inputs, [("account", acc), ("client_id", cli)])
     tx = transactions.select(*TX_COLUMNS)
     out = tx.join(prof, "card_num")
     extra = ["blocked_from"] if blacklist is not None else []

@@ -30,15 +30,17 @@ def test_parse_amount_forms_bad_lines_and_blank(spark, tmp_path):
         "4;2024-03-01 10:03:00;12.50;1000 0000 0000 0001;pay;SUCCESS;T1;extra",  # 8 fields
         "5;not a time;1;1000 0000 0000 0001;pay;SUCCESS;T1",
         "6;2024-03-01 10:04:00;1.2.3;1000 0000 0000 0001;pay;SUCCESS;T1",
+        "7;2024-03-01 10:04:00;1.234;1000 0000 0000 0001;pay;SUCCESS;T1",        # would be rounded
+        "8;2024-03-01 10:04:00;1,2300;1000 0000 0000 0001;pay;SUCCESS;T1",
         "",
     ]) + "\n")
     parsed = tx.parse(tx.read_lines(spark, str(drop)))
     good = {r["transaction_id"]: r for r in tx.good_rows(parsed).collect()}
-    assert set(good) == {"1", "2"}
+    assert set(good) == {"1", "2", "8"} and good["8"]["amount"] == Decimal("1.23")
     assert good["1"]["amount"] == good["2"]["amount"] == Decimal("12.50")
     assert good["1"]["load_date"] == dt.date(2024, 3, 1)
     bad = {r["transaction_id"]: r["reason"] for r in tx.bad_rows(parsed).collect()}
-    assert bad == {"3": "field_count", "4": "field_count", "5": "transaction_date", "6": "amount"}
+    assert bad == {"3": "field_count", "4": "field_count", "5": "transaction_date", "6": "amount", "7": "amount"}
 
 
 def test_batch_ingest_ledger_archive_and_force(spark, tmp_path):
