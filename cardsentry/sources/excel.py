@@ -221,116 +221,3 @@ def terminal_rows(cells: DataFrame, sheet: str = "terminals") -> DataFrame:
     return c.select(F.trim(F.col("cells")["terminal_id"]).alias("terminal_id"),
                     F.trim(F.col("cells")["terminal_city"]).alias("terminal_city"),
                     extra.alias("extra"), _bd().alias("load_date"), "src_file")
-
-
-# ------------------------------------------------------------- fixtures ----
-
-def _xml_escape(s: str) -> str:
-    return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
-
-
-def _col_letter(i: int) -> str:
-    s = ""
-    i += 1
-    while i:
-        i, r = divmod(i - 1, 26)
-        s = chr(65 + r) + s
-    return s
-
-
-def xlsx_bytes(sheets: dict[str, pd.DataFrame]) -> bytes:
-    """A minimal xlsx (shared strings for text, numbers as numbers)."""
-    strings, index = [], {}
-
-    def sidx(s):
-        if s not in index:
-            index[s] = len(strings)
-            strings.append(s)
-        return index[s]
-
-    sheet_xml = []
-    for _, pdf in sheets.items():
-        rows = [list(pdf.columns)] + pdf.astype(object).values.tolist()
-        out = []
-        for r, vals in enumerate(rows, start=1):
-            cells = []
-            for c, v in enumerate(vals):
-                ref = f"{_col_letter(c)}{r}"
-                if v is None or (isinstance(v, float) and v != v):
-                    continue
-                if isinstance(v, (int, float)) and not isinstance(v, bool):
-                    cells.append(f'<c r="{ref}"><v>{v}</v></c>')
-                else:
-                    cells.append(f'<c r="{ref}" t="s"><v>{sidx(str(v))}</v></c>')
-            out.append(f'<row r="{r}">{"".join(cells)}</row>')
-        sheet_xml.append('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                         f'<worksheet xmlns="{_NS["m"]}"><sheetData>{"".join(out)}</sheetData></worksheet>')
-    names = list(sheets)
-    wb = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-          f'<workbook xmlns="{_NS["m"]}" xmlns:r="{_NS["r"]}"><sheets>'
-          + "".join(f'<sheet name="{_xml_escape(n)}" sheetId="{i + 1}" r:id="rId{i + 1}"/>'
-                    for i, n in enumerate(names)) + "</sheets></workbook>")
-    rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-            f'<Relationships xmlns="{_NS["pr"]}">'
-            + "".join(f'<Relationship Id="rId{i + 1}" Type="http://schemas.openxmlformats.org/'
-                      f'officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i + 1}.xml"/>'
-                      for i in range(len(names)))
-            + f'<Relationship Id="rId{len(names) + 1}" Type="http://schemas.openxmlformats.org/'
-              'officeDocument/2006/relationships/sharedStrings" Target="sharedStrings.xml"/>'
-            + "</Relationships>")
-    sst = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-           f'<sst xmlns="{_NS["m"]}" count="{len(strings)}" uniqueCount="{len(strings)}">'
-           + "".join(f"<si><t>{_xml_escape(s)}</t></si>" for s in strings) + "</sst>")
-    ctypes = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-              '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
-              '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
-              '<Default Extension="xml" ContentType="application/xml"/>'
-              '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-'
-              'officedocument.spreadsheetml.sheet.main+xml"/>'
-              + "".join(f'<Override PartName="/xl/worksheets/sheet{i + 1}.xml" ContentType="application/'
-                        'vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
-                        for i in range(len(names)))
-              + '<Override PartName="/xl/sharedStrings.xml" ContentType="application/vnd.openxmlformats-'
-                'officedocument.spreadsheetml.sharedStrings+xml"/></Types>')
-    root_rels = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-                 f'<Relationships xmlns="{_NS["pr"]}"><Relationship Id="rId1" '
-                 'Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
-                 'Target="xl/workbook.xml"/></Relationships>')
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", ctypes)
-        z.writestr("_rels/.rels", root_rels)
-        z.writestr("xl/workbook.xml", wb)
-        z.writestr("xl/_rels/workbook.xml.rels", rels)
-        z.writestr("xl/sharedStrings.xml", sst)
-        for i, x in enumerate(sheet_xml):
-            z.writestr(f"xl/worksheets/sheet{i + 1}.xml", x)
-    return buf.getvalue()
-
-
-def write_drop(df: DataFrame, drop_dir: str, prefix: str, sheet: str | None = None, day_col: str = "_day") -> int:
-    """Write ``df`` as ``<prefix>_DDMMYYYY-<task>.xlsx`` files (one sheet ``sheet``, or a sheet per value
-    of column ``_sheet`` with the columns it uses); returns their number.
-
-    For fixtures: tasks build the workbooks, which are written one by one through the Hadoop file system.
-    """
-    cols = [c for c in df.columns if c not in (day_col, "_sheet")]
-
-    def sheets(g: pd.DataFrame) -> dict[str, pd.DataFrame]:
-        if sheet is not None:
-            return {sheet: g[cols].reset_index(drop=True)}
-        return {name: x[cols].dropna(axis=1, how="all").reset_index(drop=True) for name, x in g.groupby("_sheet")}
-
-    def build(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        parts = list(batches)
-        if parts:
-            for day, g in pd.concat(parts).groupby(day_col):
-                yield pd.DataFrame({"name": [f"{prefix}_{day}-{pid:05d}.xlsx"], "content": [xlsx_bytes(sheets(g))]})
-
-    n = 0
-    for r in df.mapInPandas(build, "name string, content binary").toLocalIterator():
-        files.write_bytes(df.sparkSession, f"{drop_dir.rstrip('/')}/{r.name}", bytes(r.content))
-        n += 1
-    return n

@@ -149,50 +149,3 @@ def read_quarantine(spark: SparkSession, quarantine_dir: str) -> DataFrame:
     if not files.exists(spark, quarantine_dir):
         return spark.createDataFrame([], QUARANTINE)
     return spark.read.schema(QUARANTINE).parquet(quarantine_dir)
-
-
-# ------------------------------------------------------------- fixtures ----
-
-def to_lines(df: DataFrame, comma_amount: Column | None = None, drop_terminal: Column | None = None,
-             ts_format: str = "yyyy-MM-dd HH:mm:ss.SSSSSS", day: Column | None = None) -> DataFrame:
-    """Render typed transactions as drop lines (``day``: business date of the file, else the operation's).
-
-    ``comma_amount``: rows whose amount is written with a decimal comma;
-    ``drop_terminal``: rows written with six fields (malformed on purpose).
-    """
-    amt = F.col("amount").cast("string")
-    if comma_amount is not None:
-        amt = F.when(comma_amount, F.regexp_replace(amt, r"\.", ",")).otherwise(amt)
-    head = [F.col("transaction_id"), F.date_format("transaction_date", ts_format), amt,
-            F.col("card_num"), F.col("oper_type"), F.col("oper_result")]
-    full = F.concat_ws(";", *head, F.coalesce(F.col("terminal"), F.lit("")))
-    line = full if drop_terminal is None else F.when(drop_terminal, F.concat_ws(";", *head)).otherwise(full)
-    return df.select(line.alias(HEADER), F.date_format(F.to_date("transaction_date") if day is None else day, "ddMMyyyy").alias("_day"))
-
-
-def write_drop(spark: SparkSession, lines: DataFrame, drop_dir: str, prefix: str = "transactions",
-               ext: str = "txt") -> list[str]:
-    """Write rendered lines as ``<prefix>_DDMMYYYY[-NNNNN].<ext>`` files with a header line.
-
-    Every Spark task writes its own part file per day (no day funnels into
-    one task); part files are then renamed into the drop folder.
-    """
-    stage = drop_dir.rstrip("/") + "_stage"
-    (lines.write.mode("overwrite").partitionBy("_day").option("header", True)
-          .option("quote", "").option("escape", "").option("sep", "\t")
-          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .csv(stage))
-    fs, root = files._fs(spark, stage)
-    names = []
-    for day_dir in fs.listStatus(root):
-        if not day_dir.isDirectory():
-            continue
-        day = day_dir.getPath().getName().split("=", 1)[1]
-        parts = sorted(st.getPath().toString() for st in fs.listStatus(day_dir.getPath())
-                       if st.getPath().getName().startswith("part-"))
-        for i, p in enumerate(parts):
-            name = f"{prefix}_{day}.{ext}" if len(parts) == 1 else f"{prefix}_{day}-{i:05d}.{ext}"
-            files.rename(spark, p, f"{drop_dir.rstrip('/')}/{name}")
-            names.append(name)
-    return sorted(names)
-

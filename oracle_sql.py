@@ -11,7 +11,7 @@ join.
 from __future__ import annotations
 
 # Fixed values shared with cardsentry/functions/constants.py and
-# cardsentry/sources/proxy.py (they must agree for the compare).
+# tools/proxy.py (they must agree for the compare).
 REPORT_DT = "2024-02-01 00:00:00"
 DAY_REPORT_DATE = "2024-01-16"
 ADHOC_FROM = "2024-01-10 00:00:00"

@@ -15,6 +15,7 @@ from cardsentry.session import checkpoint_root
 from cardsentry.sources import excel, seed
 from cardsentry.sources import transactions as tx
 from cardsentry.sources.ledger import Ledger
+from tools import fixtures
 from conftest import World, d
 
 HEADER = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal"
@@ -37,7 +38,7 @@ class Drops:
         (self.drop / f"transactions_{day}.txt").write_text("\n".join([HEADER, *lines]) + "\n")
 
     def workbook(self, name, **sheets):
-        (self.drop / name).write_bytes(excel.xlsx_bytes({k: pd.DataFrame(v) for k, v in sheets.items()}))
+        (self.drop / name).write_bytes(fixtures.xlsx_bytes({k: pd.DataFrame(v) for k, v in sheets.items()}))
 
     def terminals(self, day, cities):
         self.workbook(f"terminals_{day}.xlsx", terminals={"terminal_id": list(cities), "terminal_city": list(cities.values())})

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.operators import rules
 from cardsentry.operators.enrich import enrich, with_city
-from cardsentry.sources import proxy
+from tools import proxy
 
 SF = "/root/testdata/sf0.01"
 

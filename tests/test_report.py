@@ -3,7 +3,7 @@ import datetime as dt
 from cardsentry.plans import adhoc
 from cardsentry.plans import report as plan
 from cardsentry.schemas import REPORT_COLUMNS
-from cardsentry.sources import proxy
+from tools import proxy
 
 SF = "/root/testdata/sf0.001"
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cardsentry.sources import excel, files
 from cardsentry.sources import transactions as tx
 from cardsentry.streaming import file_ingest
+from tools import fixtures
 from conftest import ts
 
 HEADER = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal"
@@ -85,7 +86,7 @@ def test_drop_writer_round_trip(spark, tmp_path):
             ("2", ts("2024-03-02 10:00:00"), Decimal("4.00"), "c", "pay", "REJECT", None)]
     from cardsentry import schemas
     df = spark.createDataFrame(rows, schemas.TRANSACTIONS)
-    names = tx.write_drop(spark, tx.to_lines(df, comma_amount=F.lit(True)), str(tmp_path / "drop"))
+    names = fixtures.write_lines(spark, fixtures.to_lines(df, comma_amount=F.lit(True)), str(tmp_path / "drop"))
     assert all(files.business_date_of(n) for n in names)
     first = (tmp_path / "drop" / names[0]).read_text().splitlines()
     assert first[0] == HEADER
@@ -144,7 +145,7 @@ def test_xlsx_reader_inline_strings_dates_and_sheets(spark, tmp_path):
 def test_xlsx_writer_round_trip(spark, tmp_path):
     pdf = pd.DataFrame({"terminal_id": ["T1", "T2"], "terminal_city": ["Springfield", "Shelby & Co <x>"],
                         "terminal_address": ["Main st. 1", None]})
-    (tmp_path / "terminals_01032024.xlsx").write_bytes(excel.xlsx_bytes({"terminals": pdf}))
+    (tmp_path / "terminals_01032024.xlsx").write_bytes(fixtures.xlsx_bytes({"terminals": pdf}))
     rows = excel.terminal_rows(excel.read_cells(spark, str(tmp_path))).collect()
     got = sorted((r.terminal_id, r.terminal_city, r.extra.get("terminal_address"), r.load_date) for r in rows)
     assert got == [("T1", "Springfield", "Main st. 1", dt.date(2024, 3, 1)),
@@ -155,7 +156,7 @@ def test_stream_excel_ingest_and_stamp(spark, tmp_path):
     drop = tmp_path / "drop"
     drop.mkdir()
     pdf = pd.DataFrame({"date": [45352, 45353], "passport": ["2222 000001", "2222 000002"]})
-    (drop / "passport_blacklist_02032024.xlsx").write_bytes(excel.xlsx_bytes({"blacklist": pdf}))
+    (drop / "passport_blacklist_02032024.xlsx").write_bytes(fixtures.xlsx_bytes({"blacklist": pdf}))
     q = file_ingest.start_excel(spark, str(drop), "*.xlsx", str(tmp_path / "t"), excel.blacklist_rows,
                                 str(tmp_path / "ck"))
     q.awaitTermination()
