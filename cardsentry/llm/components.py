@@ -14,9 +14,13 @@ from cardsentry.llm.common import saved
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
-    """Rows (u, v) with m, the least of u and all its v."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u").withColumn("m", F.least("m", "u"))
+    """Rows (u, v) with m, the least of u and all its v.
+
+    The null-safe join shuffles both sides anew, apart from the aggregation's shuffle (where a vertex of many
+    edges is one row per task): only then can a vertex with very many edges be split among tasks.
+    """
+    least = pairs.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+    return pairs.join(least, F.col("u").eqNullSafe(F.col("w"))).select("u", "v", F.least("m", "u").alias("m"))
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
