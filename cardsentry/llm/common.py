@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Whitespace bytes that part words (fixed values: space and the controls 9 to 13).
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -35,7 +37,43 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.saved_at = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of `saved` tables that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.saved_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+SIEVE_WORDS = 1 << 19  # of 64 bits: the most rows of a sieve, some 16 bytes each
+
+
+def _sieve_place(columns: Sequence[Column]) -> tuple[Column, Column]:
+    """The word that stands for a key, and its four bits there."""
+    bits = F.xxhash64(F.lit(1), *columns)
+    at = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftrightunsigned(bits, 6 * k) % 64).cast("int"))
+    mask = at(1)
+    for k in range(2, 5):
+        mask = mask.bitwiseOR(at(k))
+    return F.pmod(F.xxhash64(*columns), F.lit(SIEVE_WORDS)), mask
+
+
+def sieved(rows: DataFrame, keys: DataFrame, on: Sequence[str], *, keep: bool = True) -> DataFrame:
+    """Rows whose columns `on` may be those of a row of `keys` (keep), or surely are not (not keep).
+
+    A Bloom filter of at most SIEVE_WORDS words, whatever the number of keys, so that it can be broadcast: wide rows
+    then only shuffle if they may match. Many more keys than words let all rows pass, never too few. Nulls are keys.
+    """
+    word, mask = _sieve_place([F.col(c) for c in on])
+    words = saved(keys.select(word.alias("sieve_word"), mask.alias("m")).groupBy("sieve_word").agg(F.bit_or("m").alias("sieve_bits")), "sieve")
+    word, mask = _sieve_place([rows[c] for c in on])
+    met = rows.join(F.broadcast(words), word == words["sieve_word"], "left")
+    held = F.coalesce(F.col("sieve_bits").bitwiseAND(mask) == mask, F.lit(False))
+    return met.filter(held if keep else ~held).drop("sieve_word", "sieve_bits")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import saved
+from cardsentry.llm.common import discard, saved
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = _least_neighbour(large.distinct())
         shrunk = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        state = saved(shrunk.filter("u != v").distinct(), "edges")
+        before_this, state = state, saved(shrunk.filter("u != v").distinct(), "edges")
+        discard(before_this)
         now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.common import mixed, saved, shingles, word_hashes
+from cardsentry.llm.common import discard, mixed, saved, shingles, sieved, word_hashes
 from cardsentry.llm.components import components
 
 WORDS = 5
@@ -320,8 +320,10 @@ def join(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float = TO
     nodes = saved(given.groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("id", "th")).alias("one"), F.any_value("signs").alias("signs")), "distinct")
     edges = saved(candidate_edges(nodes, threshold, tolerance), "candidates")
     groups = components(edges, "a", "b").select(F.col("vertex").alias("node"), F.col("component").alias("grp"))
-    wanted = nodes.join(groups, "node").select("node", "grp", "copies", "signs", "one.id", "one.th")
+    wanted = saved(nodes.join(groups, "node").select("node", "grp", "copies", "signs", "one.id", "one.th"), "wanted")
+    discard(edges)
     texts = docs.select(F.col(id_column).alias("id"), F.xxhash64(text_column).alias("th"), F.col(text_column).alias("text"))
+    texts = sieved(texts, wanted, ["id", "th"])     # only texts of candidates need to be moved
     found = texts.alias("t").join(wanted.alias("w"), F.col("t.id").eqNullSafe(F.col("w.id")) & (F.col("t.th") == F.col("w.th")))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,6 +339,7 @@ def join(docs: DataFrame, *, threshold: float = THRESHOLD, tolerance: float = TO
     # rows repeated with their id and text stand for one node
     members = saved(members.dropDuplicates(["node"]), "members")
     verified = saved(verify(members, threshold, tolerance), "verified")
+    discard(wanted, members)
     links = verified.groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(verified.filter("up IS NOT NULL"), "node", "up").select(F.col("vertex").alias("node"), F.col("component").alias("class"))
     told = nodes.select("node", "copies", "one").join(links, "node", "left").join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
@@ -361,7 +364,10 @@ def keep_one(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "
         keys = keys.select(id_column, "th").distinct()
         return these.join(keys, F.col("row_id").eqNullSafe(keys[id_column]) & (F.col("row_th") == keys["th"]), how)
 
-    kept = matching(rows, joined.filter("chosen"), "left_semi")
+    # most rows are surely not among the dropped ones and stay where they are; the rest is looked up exactly
+    dropped = joined.filter("NOT chosen").select(F.col(id_column).alias("row_id"), F.col("th").alias("row_th"))
+    kept = matching(sieved(rows, dropped, ["row_id", "row_th"]), joined.filter("chosen"), "left_semi")
+    kept = kept.union(sieved(rows, dropped, ["row_id", "row_th"], keep=False))
     repeated = saved(joined.filter("chosen AND node IS NOT NULL").groupBy(id_column, "th").count().filter("count > 1"), "repeated")
     if not repeated.isEmpty():
         kept = matching(kept, repeated, "left_anti").union(matching(kept, repeated, "left_semi").dropDuplicates(["row_id", "row_th"]))

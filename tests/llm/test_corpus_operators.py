@@ -296,3 +296,20 @@ def test_pipeline_over_a_table(spark):
     got = pipeline.run(spark, "/root/testdata/sf0.001")
     docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     assert {r.doc_id for r in got.select("doc_id").collect()} < set(docs) and got.count() > 50
+
+
+# --------------------------------------------------------------- sieve ----
+
+@pytest.mark.parametrize("words", [1 << 19, 2])
+def test_sieve_never_loses_a_key(spark, monkeypatch, words):
+    from cardsentry.llm import common
+
+    monkeypatch.setattr(common, "SIEVE_WORDS", words)
+    rows = spark.range(3000).selectExpr("IF(id = 0, NULL, id) AS a", "cast(id AS string) AS b", "'wide' AS c")
+    keys = spark.range(0, 3000, 10).selectExpr("IF(id = 0, NULL, id) AS a", "cast(id AS string) AS b")
+    may = {r.b for r in common.sieved(rows, keys, ["a", "b"]).collect()}
+    other = {r.b for r in common.sieved(rows, keys, ["a", "b"], keep=False).collect()}
+    assert not may & other and len(may | other) == 3000
+    assert {str(i) for i in range(0, 3000, 10)} <= may
+    assert len(may) < 400 if words > 2 else len(may) <= 3000
+    assert common.sieved(rows, keys.limit(0), ["a", "b"]).count() == 0
