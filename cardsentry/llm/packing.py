@@ -31,7 +31,7 @@ from cardsentry.llm.byte_bpe import WORDS, _Known
 from cardsentry.llm.common import saved
 
 GROUP = 1 << 16  # pieces packed by one task
-REMEMBERED = 400_000  # words kept per worker
+REMEMBERED = 250_000  # words kept per worker
 
 
 class JsonTokenizer:
