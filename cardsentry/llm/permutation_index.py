@@ -6,13 +6,16 @@ nearest pivots; the vectors found there are ranked by the footrule distance betw
 pivots, of how far a pivot's place differs), and the best RERANKED of a query are ranked again by their exact
 distance. All vectors are indexed. A vector met in several files counts in the one that the query probes first.
 
+Copies are one vector: each distinct vector is posted, ranked and reranked once, with its k + 1 least ids, and ids
+are told apart only after scoring. No result needs more: k of those ids are not the query's own.
+
 An inverted file of more than FILE_BLOCK entries is dealt to several tasks by a hash of the entry, the queries of a
 pivot likewise (QUERY_BLOCK); a task holds one block of each.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do
 vectors of another dimension than most of the sample; null ids take no part; rows that repeat id and vector count
-once, rows with the same id and another vector are candidates of their own; ties go to the smaller id; an empty
-table gives no rows; only the id and vector columns are read.
+once, rows with the same id and another vector are candidates of their own; ties go to the smaller id; pivots and
+sample are of distinct vectors; an empty table gives no rows; only the id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ PROBED = 16
 RERANKED = 600
 FILE_BLOCK = 4096
 QUERY_BLOCK = 256
+COPY_PARTS = 16  # groups of copies are dealt to so many tasks before they meet
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -44,6 +48,16 @@ def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     return rows.distinct().withColumn("row", F.monotonically_increasing_id())
 
 
+def distinct_vectors(rows: DataFrame, n: int) -> DataFrame:
+    """row (unique), vec, ids (its `n` least, rising), id (the least) and second (the next, or else the least)."""
+    nth = F.row_number().over(Window.partitionBy("vec", "part").orderBy("id"))
+    few = rows.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(COPY_PARTS)).alias("part")).withColumn("n", nth).filter(F.col("n") <= n)
+    # at most COPY_PARTS * n ids a vector
+    out = few.groupBy("vec").agg(F.slice(F.sort_array(F.collect_list("id")), 1, n).alias("ids"))
+    second = F.coalesce(F.get("ids", 1), F.get("ids", 0))
+    return out.select("vec", "ids", F.get("ids", 0).alias("id"), second.alias("second")).withColumn("row", F.monotonically_increasing_id())
+
+
 def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray:
     """Up to `n` different vectors, in double precision, from the SAMPLE rows with the least hash of their id."""
     sample = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(SAMPLE).select("vec").collect()
@@ -96,43 +110,49 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, *, id_column: str =
 
     `queries` is a condition on the column `id`; candidates are all rows with another id.
     """
-    rows = saved(usable(vectors, id_column, vector_column), "vectors")
+    given = saved(usable(vectors, id_column, vector_column), "given")
+    rows = saved(distinct_vectors(given, k + 1), "vectors")
     pivots = choose_pivots(rows)
     if not len(pivots):
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_column), F.lit(0.0).alias("score")).limit(0)
     n_pivots = len(pivots)
-    permuted = saved(permute(rows, pivots, ["row", "id"]), "permutations")
-    entries = _posted(permuted, posted, n_pivots).select("pivot", "row", "id", "places")
-    probes = _posted(permuted.filter(queries), probed, n_pivots).select("pivot", F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("order").alias("q_order"), F.col("places").alias("q_places"))
+    permuted = saved(permute(rows, pivots, ["row", "id", "second"]), "permutations")
+    entries = _posted(permuted, posted, n_pivots).select("pivot", "row", "id", "second", "places")
+    asked = given.filter(queries)
+    probes = _posted(saved(permute(asked, pivots, ["row", "id"]), "queries"), probed, n_pivots).select("pivot", F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("order").alias("q_order"), F.col("places").alias("q_places"))
     blocks = lambda rows, name, most: rows.groupBy("pivot").agg(F.ceil(F.count("*") / most).cast("long").alias(name))
     # at most PIVOTS rows
     sizes = F.broadcast(saved(blocks(entries, "vblocks", FILE_BLOCK).join(blocks(probes, "qblocks", QUERY_BLOCK), "pivot"), "files"))
-    left = _dealt(entries.join(sizes, "pivot"), "vblock", "vblocks", "qblocks", "row").select("pivot", "vblock", "qblock", "row", "id", "places")
+    left = _dealt(entries.join(sizes, "pivot"), "vblock", "vblocks", "qblocks", "row").select("pivot", "vblock", "qblock", "row", "id", "second", "places")
     right = _dealt(probes.join(sizes, "pivot"), "qblock", "qblocks", "vblocks", "query").select("pivot", "vblock", "qblock", "query", "query_id", "q_order", "q_places")
 
-    def ranked(key, files: pa.Table, asked: pa.Table) -> pa.Table:
+    def ranked(key, files: pa.Table, asking: pa.Table) -> pa.Table:
         pivot = key[0].as_py()
-        out = {"query": [], "query_id": [], "row": [], "footrule": []}
+        out = {"query": [], "query_id": [], "row": [], "id": [], "footrule": []}
         if files.num_rows:
             places = np.frombuffer(b"".join(files.column("places").to_pylist()), np.uint8).reshape(files.num_rows, n_pivots)
-            wide, ids, own = places.astype(np.int16), files.column("id").to_numpy(), files.column("row").to_numpy()
-            for query, query_id, order, q_places in zip(*(asked.column(c).to_pylist() for c in ("query", "query_id", "q_order", "q_places"))):
+            wide, own = places.astype(np.int16), files.column("row").to_numpy()
+            first, second = files.column("id").to_numpy(), files.column("second").to_numpy()
+            for query, query_id, order, q_places in zip(*(asking.column(c).to_pylist() for c in ("query", "query_id", "q_order", "q_places"))):
                 earlier = np.frombuffer(order, np.uint8)[: np.frombuffer(q_places, np.uint8)[pivot]]
+                ids = np.where(first == query_id, second, first)  # the least that is not the query's, if there is one
                 here = np.flatnonzero((ids != query_id) & ~(places[:, earlier] < posted).any(axis=1))
                 far = np.abs(wide[here] - np.frombuffer(q_places, np.uint8).astype(np.int16)).sum(axis=1, dtype=np.int32)
                 best = np.lexsort((own[here], ids[here], far))[:reranked]
                 out["query"].append(np.full(len(best), query)), out["query_id"].append(np.full(len(best), query_id))
-                out["row"].append(own[here][best]), out["footrule"].append(far[best])
-        kinds = {"query": pa.int64(), "query_id": pa.int64(), "row": pa.int64(), "footrule": pa.int32()}
+                out["row"].append(own[here][best]), out["id"].append(ids[here][best]), out["footrule"].append(far[best])
+        kinds = {"query": pa.int64(), "query_id": pa.int64(), "row": pa.int64(), "id": pa.int64(), "footrule": pa.int32()}
         return pa.table({c: pa.array(np.concatenate(v) if v else [], kinds[c]) for c, v in out.items()})
 
     met = left.groupBy("pivot", "vblock", "qblock").cogroup(right.groupBy("pivot", "vblock", "qblock")).applyInArrow(
-        ranked, "query long, query_id long, row long, footrule int")
-    order = F.row_number().over(Window.partitionBy("query").orderBy("footrule", "row"))
-    chosen = met.withColumn("n", order).filter(F.col("n") <= reranked).select("query", "query_id", "row")
-    asked = rows.select(F.col("row").alias("query"), F.col("vec").alias("q_vec"))
-    pairs = chosen.join(rows, "row").join(asked, "query")
+        ranked, "query long, query_id long, row long, id long, footrule int")
+    order = F.row_number().over(Window.partitionBy("query").orderBy("footrule", "id", "row"))
+    chosen = met.withColumn("n", order).filter(F.col("n") <= reranked).select("query", "query_id", "row", F.col("id").alias("least"))
+    pairs = chosen.join(rows.select("row", "vec", "ids"), "row").join(asked.select(F.col("row").alias("query"), F.col("vec").alias("q_vec")), "query")
     squares = F.zip_with("vec", "q_vec", lambda a, b: (a - b) * (a - b))
-    scored = pairs.select("query", "query_id", "id", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)).alias("score"))
+    scored = pairs.select("query", "query_id", "least", "ids", F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x)).alias("score"))
+    # each of the first k vectors holds an id that goes before all ids of later ones
+    nearest = scored.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy("score", "least"))).filter(F.col("n") <= k)
+    told = nearest.withColumn("id", F.explode("ids")).filter(F.col("id") != F.col("query_id"))
     rank = F.row_number().over(Window.partitionBy("query").orderBy("score", "id"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_column), "score")
+    return told.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_column), "score")

@@ -221,6 +221,30 @@ def test_few_vectors(spark):
     assert permutation_index.search(df.limit(0), permutation_index.F.col("id") % 100 == 0).count() == 0
 
 
+def test_neighbours_beyond_thousands_of_copies(spark, monkeypatch):
+    monkeypatch.setattr(permutation_index, "FILE_BLOCK", 512)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 16))
+    query = x[0].copy()
+    ids = rng.permutation(np.arange(1, 6000)) * 100 + 1  # none is a query
+    x[1:4001] = query + 0.02 * rng.normal(size=16)  # one vector, four thousand times
+    for i in range(4001, 4006):
+        x[i] = query + 0.015 * rng.normal(size=16)
+    rows = [(0, query.tolist()), *((int(i), v.tolist()) for i, v in zip(ids, x[1:]))]
+    rows.append((200, x[1].tolist()))  # a query among the copies
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in permutation_index.search(df, permutation_index.F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    every, at = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    for q in (0, 200):
+        far = np.sqrt(((at - at[every == q][0]) ** 2).sum(axis=1))
+        far[every == q] = np.inf
+        want = np.lexsort((every, far.round(12)))[:10]
+        assert [got[q][n][0] for n in range(1, 11)] == every[want].tolist()
+        assert all(abs(got[q][n][1] - far[w]) < 1e-12 for n, w in enumerate(want, 1))
+
+
 # ---------------------------------------------------------------- op6 ----
 
 FAKE = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:999>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
