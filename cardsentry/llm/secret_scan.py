@@ -3,7 +3,8 @@
 A text is scanned with the three base patterns. Its encoded parts are then unwrapped: words with URL escapes, words
 with Unicode escapes, and base64 runs that decode to text or to compressed text. Every unwrapped layer is scanned and
 searched for encoded parts in turn, until nothing new appears; a layer already met at the same place ends its branch
-(cycle detection). Each character of a layer knows the stretch of the original text that it came from, so that finds
+(cycle detection). Words with escapes are unwrapped both alone and together with the words around them, as a key, its
+sign and its value may stand in three words. Each character of a layer knows the stretch of the original text that it came from, so that finds
 are reported as spans of the original text. Finds of deeper layers are added; those of the text itself stay.
 
 Defined cases: null text is empty and has no spans; texts are scanned whole; equal spans of a kind count once;
@@ -41,6 +42,7 @@ _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-F
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 _BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
 _WORD = re.compile(r"\S+")
+_AROUND = 2  # words on each side: a match of three words holds an unwrapped one
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ufffd]")
 
 Span = tuple[str, int, int]
@@ -107,6 +109,20 @@ def _from_escapes(layer: Layer, a: int, b: int) -> Layer | None:
     return _spread(parts, layer)
 
 
+def _regions(text: str, escape: re.Pattern) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """Spans of the words with an escape, and those of stretches with the words around them; overlapping ones are one."""
+    places = [m.span() for m in _WORD.finditer(text)]
+    own = [i for i, (a, b) in enumerate(places) if escape.search(text, a, b)]
+    wide: list[list[int]] = []
+    for i in own:
+        lo, hi = max(0, i - _AROUND), min(len(places) - 1, i + _AROUND)
+        if wide and lo <= wide[-1][1] + 1:
+            wide[-1][1] = hi
+        else:
+            wide.append([lo, hi])
+    return [places[i] for i in own], [(places[lo][0], places[hi][1]) for lo, hi in wide]
+
+
 def _text_of(raw: bytes) -> str | None:
     """UTF-8 text without control characters, else None."""
     try:
@@ -164,9 +180,9 @@ def scan(text: str, most: int = MAX_DECODED) -> tuple[list[Span], list[Span], bo
         layer = todo.popleft()
         inner: list[Layer | None] = []
         if "%" in layer.text and _URL.search(layer.text):
-            inner += [_from_url(layer, *m.span()) for m in _WORD.finditer(layer.text) if _URL.search(m[0])]
+            inner += [_from_url(layer, a, b) for spans in _regions(layer.text, _URL) for a, b in spans]
         if ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text):
-            inner += [_from_escapes(layer, *m.span()) for m in _WORD.finditer(layer.text) if _ESCAPE.search(m[0])]
+            inner += [_from_escapes(layer, a, b) for spans in _regions(layer.text, _ESCAPE) for a, b in spans]
         runs = [m.span() for m in _BASE64.finditer(layer.text)]
         if "-" in layer.text or "_" in layer.text:
             runs += [m.span() for m in _BASE64_URL.finditer(layer.text)]

@@ -140,6 +140,19 @@ def test_hidden_secret_is_found_at_its_place(hidden):
     assert secret_scan.redacted(text).startswith("é🙂 before ") and "[assign]" in secret_scan.redacted(text)
 
 
+@pytest.mark.parametrize("hidden", [
+    r"{\u0022password\u0022: \u0022hunter2abc\u0022}", "&#34;token&#34;: &#34;abcdef123&#34;", "password%3A hunter2secret",
+    "password %253D hunter2secret", r"%70assword \u003a hunter2secret", "password: token%3Aabcdefgh",
+])
+def test_key_and_value_in_different_words(hidden):
+    text = f"é🙂 some words before {hidden} and some after"
+    base, added, exhausted = secret_scan.scan(text)
+    assert not base and not exhausted and {k for k, _, _ in added} == {"assign"}
+    at = text.index(hidden)
+    assert all(at <= a < b <= at + len(hidden) for _, a, b in added)
+    assert not re.search("hunter2|abcdef", secret_scan.redacted(text))
+
+
 def test_base_spans():
     text = 'Token: "abcdef" api_key=xy password=short1 SECRET = a=b=c=d AKIA' + "A" * 16 + " AKIA123 " + "0a" * 12 + " " + "0" * 23
     got = secret_scan.base_spans(text)
