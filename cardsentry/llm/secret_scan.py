@@ -9,19 +9,24 @@ are reported as spans of the original text. Finds of deeper layers are added; th
 
 Defined cases: null text is empty and has no spans; texts are scanned whole; equal spans of a kind count once;
 repeated rows are scanned one by one; an empty table gives no rows; only the id and text columns are read.
-MAX_DECODED bounds what one document's compressed parts may unfold to (a guard against decompression bombs); a
-document that goes beyond it is marked `exhausted`, its spans so far are kept.
+Compressed parts are unfolded in pieces of MAX_DECODED bytes, so that memory does not depend on what they unfold to.
+A part of more than one piece is marked `exhausted`: every piece is scanned and searched like a layer, with the end of
+the piece before, but what crosses more than that overlap may be lost, so redaction replaces the whole encoded part.
+All other parts of the document are scanned as ever.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import codecs
+import hashlib
 import html
 import re
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,7 +39,8 @@ HEX = re.compile("[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 _KEYS = ("passw", "secret", "token", "api")
 
-MAX_DECODED = 1 << 26
+MAX_DECODED = 1 << 26  # bytes of a compressed part that are one layer
+OVERLAP = 4096  # characters of a piece that are scanned again with the next
 
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -61,23 +67,27 @@ def base_spans(text: str) -> list[Span]:
 
 
 class Layer:
-    """A text whose character i came from [starts[i], ends[i]) of the original; None: the original itself."""
+    """A text whose character i came from [starts[i], ends[i]) of the original, or from `whole`; neither: the original."""
 
-    def __init__(self, text: str, starts: list[int] | None = None, ends: list[int] | None = None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: array | None = None, ends: array | None = None, whole: tuple[int, int] | None = None):
+        self.text, self.starts, self.ends, self.whole = text, starts, ends, whole
 
     def place(self, a: int, b: int) -> tuple[int, int]:
+        if self.whole:
+            return self.whole
         return (a, b) if self.starts is None else (min(self.starts[a:b]), max(self.ends[a:b]))
 
 
-def _spread(parts: Iterator[tuple[str, int, int]], layer: Layer) -> Layer:
+def _spread(parts: Iterable[tuple[str, int, int]], layer: Layer) -> Layer:
     """A layer of decoded parts, each from [a, b) of `layer`."""
-    text, starts, ends = [], [], []
+    if layer.whole:
+        return Layer("".join(piece for piece, _, _ in parts), whole=layer.whole)
+    text, starts, ends = [], array("q"), array("q")
     for piece, a, b in parts:
         lo, hi = layer.place(a, b)
         text.append(piece)
-        starts += [lo] * len(piece)
-        ends += [hi] * len(piece)
+        starts.extend([lo] * len(piece))
+        ends.extend([hi] * len(piece))
     return Layer("".join(text), starts, ends)
 
 
@@ -109,18 +119,24 @@ def _from_escapes(layer: Layer, a: int, b: int) -> Layer | None:
     return _spread(parts, layer)
 
 
-def _regions(text: str, escape: re.Pattern) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Spans of the words with an escape, and those of stretches with the words around them; overlapping ones are one."""
-    places = [m.span() for m in _WORD.finditer(text)]
-    own = [i for i, (a, b) in enumerate(places) if escape.search(text, a, b)]
-    wide: list[list[int]] = []
-    for i in own:
-        lo, hi = max(0, i - _AROUND), min(len(places) - 1, i + _AROUND)
-        if wide and lo <= wide[-1][1] + 1:
-            wide[-1][1] = hi
-        else:
-            wide.append([lo, hi])
-    return [places[i] for i in own], [(places[lo][0], places[hi][1]) for lo, hi in wide]
+def _regions(text: str, escape: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Spans of the words with an escape, and of stretches of them with the words around."""
+    before: deque[int] = deque(maxlen=_AROUND)
+    start, end, left = -1, 0, 0
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        if escape.search(text, a, b):
+            yield a, b
+            start = start if start >= 0 else before[0] if before else a
+            end, left = b, _AROUND
+        elif left:
+            end, left = b, left - 1
+        elif start >= 0:
+            yield start, end
+            start = -1
+        before.append(a)
+    if start >= 0:
+        yield start, end
 
 
 def _text_of(raw: bytes) -> str | None:
@@ -132,82 +148,108 @@ def _text_of(raw: bytes) -> str | None:
     return None if not text or _CONTROL.search(text) else text
 
 
-def _inflated(raw: bytes, most: int) -> tuple[bytes | None, bool]:
-    """What gzip or zlib data unfolds to, at most `most` bytes; whether it went beyond."""
-    if raw[:2] != b"\x1f\x8b" and not (raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None, False
+def _unfolded(raw: bytes, most: int) -> Iterator[bytes]:
+    """What gzip or zlib data unfolds to, in pieces of at most `most` bytes; nothing if it is neither."""
+    if len(raw) < 3 or raw[:2] != b"\x1f\x8b" and not (raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
+        return
     unfold = zlib.decompressobj(47)
-    try:
-        out = unfold.decompress(raw, max(1, most))
-    except zlib.error:
-        return None, False
-    return out, bool(unfold.unconsumed_tail)
-
-
-def _from_base64(layer: Layer, a: int, b: int, most: int) -> tuple[Layer | None, bool]:
+    while True:
+        try:
+            out = unfold.decompress(raw, most)
+        except zlib.error:
+            return
+        raw = unfold.unconsumed_tail
+        if out:
+            yield out
+        if unfold.eof or not (out or raw):
+            return
+
+
+def _text_pieces(pieces: Iterator[bytes]) -> Iterator[tuple[str, bool]]:
+    """Text of the pieces, each after the end of the one before, and whether it is not the first; ends where it is no text."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    before, later, piece = "", False, next(pieces, None)
+    while piece is not None:
+        after = next(pieces, None)
+        try:
+            text = decoder.decode(piece, after is None)
+        except UnicodeDecodeError:
+            text = "\ufffd"
+        good = not _CONTROL.search(text)
+        if good and text:
+            yield before + text, later or after is not None
+            before = (before + text)[-OVERLAP:]
+        elif later or after is not None:
+            yield "", True
+        if not good:
+            return
+        piece, later = after, True
+
+
+def _from_base64(layer: Layer, a: int, b: int, most: int) -> Iterator[tuple[Layer, bool]]:
+    """Layers of a base64 run, and whether each is but a piece of what the run unfolds to."""
     run = layer.text[a:b].rstrip("=").replace("-", "+").replace("_", "/")
     if len(run) % 4 == 1:
         run = run[:-1]
     try:
         raw = base64.b64decode(run + "=" * (-len(run) % 4))
     except binascii.Error:
-        return None, False
-    out, beyond = _inflated(raw, most) if len(raw) > 2 else (None, False)
-    if out is not None:
-        text = _text_of(out)
-        if text is None:
-            return None, beyond
-        lo, hi = layer.place(a, b)
-        return Layer(text, [lo] * len(text), [hi] * len(text)), beyond
+        return
+    for text, part in _text_pieces(_unfolded(raw, most)):
+        yield Layer(text, whole=layer.place(a, b)), part
     text = _text_of(raw)
     if text is None:
-        return None, False
+        return
     parts, at = [], 0
     for c in text:
         n = len(c.encode())
         parts.append((c, a + at * 4 // 3, min(b, a + -(-(at + n) * 4 // 3))))
         at += n
-    return _spread(parts, layer), False
+    yield _spread(parts, layer), False
 
 
-def scan(text: str, most: int = MAX_DECODED) -> tuple[list[Span], list[Span], bool]:
-    """Base spans, spans added from unwrapped layers, and whether the guard was hit; both in order."""
+def _inner(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
+    """Layers unwrapped from `layer`, one at a time."""
+    if "%" in layer.text and _URL.search(layer.text):
+        yield from ((_from_url(layer, a, b), False) for a, b in _regions(layer.text, _URL))
+    if ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text):
+        yield from ((_from_escapes(layer, a, b), False) for a, b in _regions(layer.text, _ESCAPE))
+    for pattern in (_BASE64, _BASE64_URL) if "-" in layer.text or "_" in layer.text else (_BASE64,):
+        for m in pattern.finditer(layer.text):
+            yield from _from_base64(layer, *m.span(), most)
+
+
+def unwrapped(text: str, most: int = MAX_DECODED) -> tuple[list[Span], list[Span], set[tuple[int, int]]]:
+    """Base spans, spans added from unwrapped layers, both in order, and the parts that did not fit one layer."""
     base = base_spans(text)
     added: set[Span] = set()
-    seen: set[tuple[int, int, str]] = set()
-    todo, left, exhausted = deque([Layer(text)]), most, False
+    seen: set[tuple[int, int, bytes]] = set()
+    pieced: set[tuple[int, int]] = set()
+    todo = [_inner(Layer(text), most)]  # depth first: one layer of each depth is held
     while todo:
-        layer = todo.popleft()
-        inner: list[Layer | None] = []
-        if "%" in layer.text and _URL.search(layer.text):
-            inner += [_from_url(layer, a, b) for spans in _regions(layer.text, _URL) for a, b in spans]
-        if ("\\" in layer.text or "&#" in layer.text) and _ESCAPE.search(layer.text):
-            inner += [_from_escapes(layer, a, b) for spans in _regions(layer.text, _ESCAPE) for a, b in spans]
-        runs = [m.span() for m in _BASE64.finditer(layer.text)]
-        if "-" in layer.text or "_" in layer.text:
-            runs += [m.span() for m in _BASE64_URL.finditer(layer.text)]
-        for a, b in runs:
-            got, beyond = _from_base64(layer, a, b, left)
-            exhausted |= beyond
-            inner.append(got)
-        for new in inner:
-            if new is None or not new.text:
-                continue
-            key = (*new.place(0, len(new.text)), new.text)
-            if key in seen:
-                continue
-            seen.add(key)
-            left -= len(new.text)
-            if left <= 0:
-                exhausted = True
-                break
-            added.update((kind, *new.place(a, b)) for kind, a, b in base_spans(new.text))
-            todo.append(new)
-        if left <= 0:
-            break
+        new, part = next(todo[-1], (None, False))
+        if new is None:
+            todo.pop()
+            continue
+        if part:
+            pieced.add(new.whole)
+        if not new.text:
+            continue
+        key = (*new.place(0, len(new.text)), hashlib.blake2b(new.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        if key in seen:
+            continue
+        seen.add(key)
+        added.update((kind, *new.place(a, b)) for kind, a, b in base_spans(new.text))
+        todo.append(_inner(new, most))
     rank = {k: i for i, k in enumerate(KINDS)}
     in_order = lambda spans: sorted(spans, key=lambda s: (s[1], rank[s[0]], s[2]))
-    return in_order(base), in_order(added - set(base)), exhausted
+    return in_order(base), in_order(added - set(base)), pieced
+
+
+def scan(text: str, most: int = MAX_DECODED) -> tuple[list[Span], list[Span], bool]:
+    """Base spans, spans added from unwrapped layers, both in order, and whether a part did not fit one layer."""
+    base, added, pieced = unwrapped(text, most)
+    return base, added, bool(pieced)
 
 
 _SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -235,11 +277,11 @@ def find_secrets(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     return out.withColumnRenamed("id", id_column)
 
 
-def redacted(text: str) -> str:
-    """`text` with every found span replaced by its kind; overlapping spans become one."""
-    base, added, _ = scan(text)
+def redacted(text: str, most: int = MAX_DECODED) -> str:
+    """`text` with every found span replaced by its kind, parts that did not fit one layer by `encoded`; overlapping spans become one."""
+    base, added, pieced = unwrapped(text, most)
     out, at = [], 0
-    for kind, a, b in sorted([*base, *added], key=lambda s: (s[1], -s[2])):
+    for kind, a, b in sorted([*base, *added, *(("encoded", *p) for p in sorted(pieced))], key=lambda s: (s[1], -s[2])):
         if b <= at:
             continue
         if a >= at:

@@ -167,6 +167,23 @@ def test_clean_text_and_guard():
     assert secret_scan.scan(bomb, 1000)[2]
 
 
+def test_large_parts_do_not_end_the_document():
+    rng = random.Random(6)
+    words = " ".join(f"é{rng.randrange(10**6)}" for _ in range(3000))
+    big = base64.b64encode(gzip.compress(f"{words} {SECRET}".encode())).decode()
+    later = base64.b64encode(zlib.compress(b"key AKIA" + b"B" * 16)).decode()
+    text = f"{big} and {urllib.parse.quote(SECRET, safe='')} and {later} end"
+    for most in (999, 1000, 1001, 25_000):
+        base, added, exhausted = secret_scan.scan(text, most)
+        assert exhausted and not base and [k for k, _, _ in added] == ["assign", "assign", "access"]
+        assert added[0] == ("assign", 0, len(big)) and text[slice(*added[2][1:])] == later
+        assert secret_scan.redacted(text, most) == "[assign] and [assign] and [access] end"
+    clean = base64.b64encode(gzip.compress(words.encode())).decode()
+    assert secret_scan.redacted(f"a {clean} b", 1000) == "a [encoded] b" and secret_scan.redacted(f"a {clean} b") == f"a {clean} b"
+    escaped = urllib.parse.quote("x y " * 500, safe="") + f" {later}"  # escapes are no compressed parts
+    assert [k for k, _, _ in secret_scan.scan(escaped, 1000)[1]] == ["access"] and not secret_scan.scan(escaped, 1000)[2]
+
+
 def test_find_and_redact_rows(spark):
     rows = [(1, SECRET, "x"), (1, SECRET, "x"), (2, None, "y"), (3, "", "z"), (4, "clean", None)]
     docs = spark.createDataFrame(rows, DOCS + ", base string")
