@@ -4,7 +4,8 @@ A text is scanned with the three base patterns. Its encoded parts are then unwra
 with Unicode escapes, and base64 runs that decode to text or to compressed text. Every unwrapped layer is scanned and
 searched for encoded parts in turn, until nothing new appears; a layer already met at the same place ends its branch
 (cycle detection). Words with escapes are unwrapped both alone and together with the words around them, as a key, its
-sign and its value may stand in three words. Each character of a layer knows the stretch of the original text that it came from, so that finds
+sign and its value may stand in three words. Base64 lines of equal length (but for the first and last) are unwrapped both
+alone and as one run; gzip and zlib data is unfolded member after member. Each character of a layer knows the stretch of the original text that it came from, so that finds
 are reported as spans of the original text. Finds of deeper layers are added; those of the text itself stay.
 
 Defined cases: null text is empty and has no spans; texts are scanned whole; equal spans of a kind count once;
@@ -25,8 +26,10 @@ import html
 import re
 import zlib
 from array import array
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +50,9 @@ _URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|(&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 _BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
+_BREAK = re.compile(r"[ \t]*(?:\r\n?|\n)[ \t]*")
+#: Lines of wrapped base64, and a last line too short to be one.
+_LINES = tuple((re.compile(rf"(?<![{x}])[{x}]{{16,}}={{0,2}}"), re.compile(rf"[ \t]*(?:\r\n?|\n)[ \t]*([{x}]{{1,15}}={{0,2}})(?![={x}])")) for x in ("A-Za-z0-9+/", "A-Za-z0-9+/_-"))
 _WORD = re.compile(r"\S+")
 _AROUND = 2  # words on each side: a match of three words holds an unwrapped one
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ufffd]")
@@ -148,21 +154,29 @@ def _text_of(raw: bytes) -> str | None:
     return None if not text or _CONTROL.search(text) else text
 
 
-def _unfolded(raw: bytes, most: int) -> Iterator[bytes]:
-    """What gzip or zlib data unfolds to, in pieces of at most `most` bytes; nothing if it is neither."""
-    if len(raw) < 3 or raw[:2] != b"\x1f\x8b" and not (raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return
-    unfold = zlib.decompressobj(47)
-    while True:
-        try:
-            out = unfold.decompress(raw, most)
-        except zlib.error:
-            return
-        raw = unfold.unconsumed_tail
-        if out:
-            yield out
-        if unfold.eof or not (out or raw):
-            return
+def _unfolded(raw: bytes, most: int, used: list[int]) -> Iterator[bytes]:
+    """What gzip or zlib data, member after member, unfolds to, in pieces of at most `most` bytes; nothing if it is neither.
+
+    The number of bytes read is added to `used` before the last piece.
+    """
+    data, at, held = memoryview(raw), 0, bytearray()
+    while len(raw) - at > 2 and (raw[at : at + 2] == b"\x1f\x8b" or raw[at] & 15 == 8 and (raw[at] << 8 | raw[at + 1]) % 31 == 0):
+        unfold, out = zlib.decompressobj(47), b""
+        while not unfold.eof and (at < len(raw) or out):
+            fed = data[at : at + (1 << 16)]
+            try:
+                out = unfold.decompress(fed, most)
+            except zlib.error:
+                at = len(raw)
+                break
+            at += len(fed) - len(unfold.unconsumed_tail) - len(unfold.unused_data)
+            held += out
+            while len(held) > most:
+                yield bytes(held[:most])
+                del held[:most]
+    used.append(at)
+    if held:
+        yield bytes(held)
 
 
 def _text_pieces(pieces: Iterator[bytes]) -> Iterator[tuple[str, bool]]:
@@ -186,26 +200,63 @@ def _text_pieces(pieces: Iterator[bytes]) -> Iterator[tuple[str, bool]]:
         piece, later = after, True
 
 
-def _from_base64(layer: Layer, a: int, b: int, most: int) -> Iterator[tuple[Layer, bool]]:
-    """Layers of a base64 run, and whether each is but a piece of what the run unfolds to."""
-    run = layer.text[a:b].rstrip("=").replace("-", "+").replace("_", "/")
+def _wrapped(text: str, line: re.Pattern, tail: re.Pattern) -> Iterator[list[tuple[int, int]]]:
+    """Spans of the lines of base64 runs that go over several lines of equal length; the first may differ, the last be shorter."""
+
+    def closed(lines: list[tuple[int, int]]) -> Iterator[list[tuple[int, int]]]:
+        short = tail.match(text, lines[-1][1]) if lines and text[lines[-1][1] - 1] != "=" else None
+        for run in [lines, [*lines, short.span(1)]] if short else [lines]:
+            if len(run) > 1:
+                yield run
+            if len(run) > 2 and run[0][1] - run[0][0] != run[1][1] - run[1][0]:
+                yield run[1:]
+
+    lines: list[tuple[int, int]] = []
+    for m in line.finditer(text):
+        a, b = m.span()
+        joins = bool(lines) and text[lines[-1][1] - 1] != "=" and _BREAK.fullmatch(text, lines[-1][1], a)
+        if joins and len(lines) == 1:
+            lines.append((a, b))
+            if b - a < lines[0][1] - lines[0][0]:
+                yield lines[:]
+        elif joins and lines[-1][1] - lines[-1][0] == lines[1][1] - lines[1][0] >= b - a:
+            lines.append((a, b))
+        else:
+            yield from closed(lines)
+            lines = [(a, b)]
+    yield from closed(lines)
+
+
+def _from_base64(layer: Layer, lines: Sequence[tuple[int, int]], most: int) -> Iterator[tuple[Layer, bool]]:
+    """Layers of a base64 run of one or more lines, and whether each is but a piece of what the run unfolds to."""
+    run = "".join([layer.text[a:b] for a, b in lines]).rstrip("=").replace("-", "+").replace("_", "/")
     if len(run) % 4 == 1:
         run = run[:-1]
     try:
         raw = base64.b64decode(run + "=" * (-len(run) % 4))
     except binascii.Error:
         return
-    for text, part in _text_pieces(_unfolded(raw, most)):
-        yield Layer(text, whole=layer.place(a, b)), part
+    first = [0, *accumulate(b - a for a, b in lines)]
+    used: list[int] = []
+    for text, part in _text_pieces(_unfolded(raw, most, used)):
+        last = lines[bisect_right(first, -(-used[0] * 4 // 3) - 1, hi=len(lines)) - 1] if used else lines[-1]  # later lines are not of it
+        yield Layer(text, whole=layer.place(lines[0][0], last[1])), part
     text = _text_of(raw)
     if text is None:
         return
-    parts, at = [], 0
-    for c in text:
-        n = len(c.encode())
-        parts.append((c, a + at * 4 // 3, min(b, a + -(-(at + n) * 4 // 3))))
-        at += n
-    yield _spread(parts, layer), False
+
+    def spot(i: int) -> int:
+        j = bisect_right(first, i, hi=len(lines)) - 1
+        return lines[j][0] + i - first[j]
+
+    def parts() -> Iterator[tuple[str, int, int]]:
+        at = 0
+        for c in text:
+            n = len(c.encode())
+            yield c, spot(at * 4 // 3), spot(min(first[-1], -(-(at + n) * 4 // 3)) - 1) + 1
+            at += n
+
+    yield _spread(parts(), layer), False
 
 
 def _inner(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
@@ -216,7 +267,11 @@ def _inner(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
         yield from ((_from_escapes(layer, a, b), False) for a, b in _regions(layer.text, _ESCAPE))
     for pattern in (_BASE64, _BASE64_URL) if "-" in layer.text or "_" in layer.text else (_BASE64,):
         for m in pattern.finditer(layer.text):
-            yield from _from_base64(layer, *m.span(), most)
+            yield from _from_base64(layer, [m.span()], most)
+    if "\n" in layer.text or "\r" in layer.text:
+        for line, tail in _LINES if "-" in layer.text or "_" in layer.text else _LINES[:1]:
+            for lines in _wrapped(layer.text, line, tail):
+                yield from _from_base64(layer, lines, most)
 
 
 def unwrapped(text: str, most: int = MAX_DECODED) -> tuple[list[Span], list[Span], set[tuple[int, int]]]:

@@ -167,6 +167,25 @@ def test_clean_text_and_guard():
     assert secret_scan.scan(bomb, 1000)[2]
 
 
+@pytest.mark.parametrize("packed", [lambda x: x, gzip.compress, zlib.compress, lambda x: gzip.compress(x[:1500]) + gzip.compress(x[1500:2000]) + gzip.compress(x[2000:])])
+@pytest.mark.parametrize("width,end", [(76, "\n"), (64, "\r\n  "), (75, "\n")])
+def test_wrapped_base64_and_members(packed, width, end):
+    rng = random.Random(7)
+    words = " ".join(f"é{rng.randrange(10**6)}" for _ in range(300))
+    for code in (base64.b64encode, base64.urlsafe_b64encode):
+        for more in range(4):  # last lines of several lengths
+            run = code(packed(f"{words} {SECRET} {words}{'.' * more}".encode())).decode()
+            wrapped = end.join(run[i : i + width] for i in range(0, len(run), width))
+            for before in ("see\n", "data:text/plain;base64,", "-----BEGIN X-----\nsomelongheaderword16\n"):
+                text = f"é {before}{wrapped}\nend"
+                base, added, exhausted = secret_scan.scan(text)
+                assert not base and not exhausted and {k for k, _, _ in added} == {"assign"}
+                at = text.index(wrapped)
+                assert all(at <= a < b <= at + len(wrapped) for _, a, b in added)
+    one = base64.b64encode(packed(f"{words} {SECRET}".encode())).decode()
+    assert [k for k, _, _ in secret_scan.scan(one)[1]] == ["assign"]
+
+
 def test_large_parts_do_not_end_the_document():
     rng = random.Random(6)
     words = " ".join(f"é{rng.randrange(10**6)}" for _ in range(3000))
