@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Whitespace bytes that part words (fixed values: space and the controls 9 to 13).
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
+_SPACES = re.compile(b"[" + SPACE + b"]")
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACE)] = True
 
@@ -103,11 +105,21 @@ def _block_words(raw: np.ndarray) -> np.ndarray:
     return mixed((total[end] - total[start]) * _DOWN[start] + (end - start).astype(np.uint64))
 
 
+def _long_word(data: bytes, start: int, end: int) -> np.ndarray:
+    """Hash of the one word data[start:end], of any length."""
+    total, power = end - start, 1
+    for at in range(start, end, _BLOCK):
+        raw = np.frombuffer(data, np.uint8, min(_BLOCK, end - at), at)
+        total += int(((raw.astype(np.uint64) + np.uint64(1)) * _UP[: len(raw)]).sum(dtype=np.uint64)) * power
+        power = power * int(_UP[_BLOCK]) % (1 << 64)
+    return mixed(np.array([total % (1 << 64)], np.uint64))
+
+
 def word_hashes(data: bytes) -> np.ndarray:
     """A 64-bit hash of each whitespace-separated word of UTF-8 `data`, in order.
 
     Works through blocks cut at whitespace, so that memory stays near eight bytes a word. A single word
-    longer than a block is hashed by its block's bytes and is only then split.
+    longer than a block is summed up block by block; its hash does not depend on where it starts.
     """
     if len(data) <= _BLOCK:
         return _block_words(np.frombuffer(data, np.uint8))
@@ -116,7 +128,13 @@ def word_hashes(data: bytes) -> np.ndarray:
         to = min(at + _BLOCK, len(data))
         if to < len(data):
             cut = max(data.rfind(bytes([s]), at, to) for s in SPACE)
-            to = cut + 1 if cut >= at else to
+            if cut < at:
+                space = _SPACES.search(data, to)
+                to = space.start() if space else len(data)
+                parts.append(_long_word(data, at, to))
+                at = to
+                continue
+            to = cut + 1
         parts.append(_block_words(np.frombuffer(data, np.uint8, to - at, at)))
         at = to
     return np.concatenate(parts)

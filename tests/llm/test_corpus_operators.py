@@ -113,6 +113,21 @@ def test_word_hashes_do_not_depend_on_place_or_block(monkeypatch):
     assert len(shingles(whole[:3], 5)) == 1 and len(shingles(whole[:0], 5)) == 0
 
 
+def test_word_longer_than_a_block(monkeypatch):
+    from cardsentry.llm import common
+
+    long = np.random.default_rng(9).integers(97, 123, 3 * common._BLOCK + 77, dtype=np.uint8).tobytes()
+    here, there = word_hashes(b"a bb " + long + b" c"), word_hashes(b"other words before\n" + long)
+    assert len(here) == 4 and len(there) == 4 and here[2] == there[3] and len(word_hashes(long)) == 1
+    short = word_hashes(b"x " + long[:5000] + b" y")
+    monkeypatch.setattr(common, "_BLOCK", 100)
+    assert (word_hashes(b"x " + long[:5000] + b" y") == short).all()
+    monkeypatch.undo()
+    text = f"{long.decode()} {license_scan.TEMPLATES['MIT']} {long.decode()}"
+    found = license_scan.Matcher(license_scan.TEMPLATES).find(text)
+    assert [(m[0], text[m[2] : m[3]]) for m in found] == [("MIT", license_scan.TEMPLATES["MIT"])]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 140)] + [(200, 200), (None, 5)]
     got = {r.vertex: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
