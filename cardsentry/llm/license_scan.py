@@ -5,7 +5,8 @@ length there are windows of that many shingles, a quarter of it apart, so that s
 three quarters of its shingles with a template that lies in the text. Window and template are compared by
 BANDS bands of ROWS MinHash values: at similarity 0.5 they meet with probability 0.999, at 0.7 with 0.9999999.
 A window that holds no shingle of any template cannot meet one and is not hashed. A retrieved template is verified
-by its exact containment: the share of its distinct shingles that lie in the window, widened by one step.
+by its exact containment: the share of its distinct shingles that lie in the window, widened by one step. As sister
+licenses differ in a word or two, the match must also hold the template's deciding words, one after the other.
 
 Defined cases: null and empty texts match nothing; texts are scanned whole; templates of fewer than three words are
 refused; overlapping finds of one template are one match; repeated rows are scanned one by one; an empty table gives
@@ -36,14 +37,32 @@ TEMPLATES = {
                          "with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "BSD-redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                           "that the following conditions are met",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "AGPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+                   "Public License as published by the Free Software Foundation",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "GPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
                   "License as published by the Free Software Foundation",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
            "provided that the above copyright notice and this permission notice appear in all copies",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+                   "Public License as published by the Free Software Foundation",
     "MIT": "Released under the MIT License",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
                  "documentation files (the \"Software\"), to deal in the Software without restriction",
@@ -53,6 +72,34 @@ TEMPLATES = {
                            "limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
 }
 
+#: Words, one after the other, without which a text is not of this template but of a sister.
+DECIDING = {
+    "AGPL-3.0": "GNU Affero General Public License, version 3",
+    "AGPL-notice": "GNU Affero General Public License",
+    "Apache-2.0": "Apache License, Version 2.0",
+    "Apache-2.0-header": "Apache License, Version 2.0",
+    "CC-BY-4.0": "Creative Commons Attribution 4.0",
+    "CC-BY-4.0-short": "CC BY 4.0",
+    "CC-BY-NC-4.0": "CC BY-NC 4.0",
+    "CC-BY-NC-4.0-notice": "Creative Commons Attribution-NonCommercial 4.0",
+    "CC-BY-NC-ND-4.0": "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0",
+    "CC-BY-NC-ND-4.0-short": "CC BY-NC-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Creative Commons Attribution-NonCommercial-ShareAlike 4.0",
+    "CC-BY-NC-SA-4.0-short": "CC BY-NC-SA 4.0",
+    "CC-BY-ND-4.0": "Creative Commons Attribution-NoDerivatives 4.0",
+    "CC-BY-ND-4.0-short": "CC BY-ND 4.0",
+    "CC-BY-SA-4.0": "Creative Commons Attribution-ShareAlike 4.0",
+    "CC-BY-SA-4.0-short": "CC BY-SA 4.0",
+    "GPL-2.0": "GNU General Public License, version 2",
+    "GPL-3.0": "GNU General Public License, version 3",
+    "GPL-notice": "GNU General Public License",
+    "LGPL-2.1": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "GNU Lesser General Public License, version 3",
+    "LGPL-notice": "GNU Lesser General Public License",
+    "MIT": "MIT License",
+    "MPL-2.0": "Mozilla Public License, v. 2.0",
+}
+
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() or c in SPACE else 32 for c in range(256))
 _WORD = re.compile(rb"[^ \t\n\x0b\f\r]+")
 _rng = np.random.default_rng(20240311)
@@ -73,12 +120,18 @@ def bands(members: np.ndarray) -> np.ndarray:
     return key
 
 
+def _holds(words: np.ndarray, run: np.ndarray) -> bool:
+    """Whether the words of `run` stand in `words`, one after the other."""
+    n = len(words) - len(run) + 1
+    return n > 0 and bool(np.all([words[j : j + n] == w for j, w in enumerate(run)], axis=0).any())
+
+
 class Matcher:
     """Templates by band key and by their shingles."""
 
     def __init__(self, templates: Mapping[str, str]):
         self.names = sorted(templates)
-        self.sets, self.lengths = [], []
+        self.sets, self.lengths, self.deciding = [], [], []
         self.by_band: dict[int, list[int]] = {}
         for t, name in enumerate(self.names):
             words = word_hashes(normal(templates[name]))
@@ -87,6 +140,8 @@ class Matcher:
             members = np.unique(shingles(words, K))
             self.sets.append(members)
             self.lengths.append(len(words) - K + 1)
+            run = word_hashes(normal(DECIDING.get(name, "")))
+            self.deciding.append(run if _holds(words, run) else run[:0])  # own templates may bear such a name
             for key in bands(members).tolist():
                 self.by_band.setdefault(key, []).append(t)
         self.every = np.unique(np.concatenate(self.sets))
@@ -118,7 +173,9 @@ class Matcher:
                     share = len(np.unique(all_shingles[lo:hi][inside])) / len(self.sets[t])
                     if share >= CONTAINMENT:
                         places = np.flatnonzero(inside)
-                        found.setdefault(t, []).append((lo + int(places[0]), lo + int(places[-1]) + K, share))
+                        a, b = lo + int(places[0]), lo + int(places[-1]) + K
+                        if not len(self.deciding[t]) or _holds(words[a:b], self.deciding[t]):
+                            found.setdefault(t, []).append((a, b, share))
         if not found:
             return []
         raw, spans = text.encode(), [m.span() for m in _WORD.finditer(normal(text))]

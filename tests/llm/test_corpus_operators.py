@@ -248,6 +248,20 @@ def test_partial_license():
     assert not to.find(" ".join(words[: len(words) // 2])) and not to.find("plain prose about software and licenses of all kinds")
 
 
+def test_sister_licenses_are_told_apart():
+    to = license_scan.Matcher(license_scan.TEMPLATES)
+    for name in license_scan.DECIDING:
+        for around in ("{}", "as said here before {} and then other words follow", "{} {}"):
+            text = around.replace("{}", license_scan.TEMPLATES[name])
+            others = {m[0] for m in to.find(text)} - {"Apache-2.0"} if name == "Apache-2.0-header" else {m[0] for m in to.find(text)}
+            assert others == {name}, text
+    for text in ("This work is licensed under the GNU General Public License, version 1", license_scan.TEMPLATES["MPL-2.0"].replace("2.0", "1.1"),
+                 "This work is licensed under a Creative Commons Attribution-Other 4.0 International License"):
+        assert not to.find(text), text
+    own = {"GPL-3.0": "three plain words of another text"}
+    assert [m[0] for m in license_scan.Matcher(own).find(own["GPL-3.0"])] == ["GPL-3.0"]
+
+
 def test_license_rows(spark):
     text = license_scan.TEMPLATES["MIT"]
     docs = spark.createDataFrame([(1, text, 1), (1, text, 1), (2, None, 2), (3, "", 3)], DOCS + ", license int")
