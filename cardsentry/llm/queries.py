@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import byte_bpe, chat_format, jaccard_join, license_scan, packing, permutation_index, quality_rules, secret_scan, sql, token_count, warc
+from cardsentry.llm import (byte_bpe, chat_format, filter_audit, jaccard_join, lexical_search, license_scan, near_dedup, packing, permutation_index,
+                            quality_rules, secret_scan, sql, token_count, warc)
 from cardsentry.llm.common import shared_folder
 
 
@@ -91,6 +92,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses_of(_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for every benchmark item."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from every source, in all of their orders."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document (five-word shingles, similarity 0.85 or more)."""
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_format": op1_chat_format,
@@ -103,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_permutation_index": op9_permutation_index,
         "op10_license_scan": op10_license_scan,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_near_dedup": op13_near_dedup,
     }
 
 

@@ -71,4 +71,83 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR length(regexp_replace(text, '\P{Lu}', '', 'g')) * 2 > length(text)) AS kept
 FROM judged"""
 
-ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op6_warc": _WARC, "op7_quality_rules": _QUALITY}
+_SEARCH = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents WHERE text IS NOT NULL
+),
+items AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+),
+asked AS (SELECT item_id, term, count(*) AS q FROM items GROUP BY ALL),
+corpus AS (SELECT count(*) AS n_docs, sum(len(t)) AS total FROM docs WHERE len(t) > 0),
+counts AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM docs)
+           WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, corpus GROUP BY term, n_docs),
+scores AS (
+    SELECT item_id, doc_id,
+           CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + CAST((75 * n * n_docs) // total AS BIGINT))))) AS BIGINT) AS score
+    FROM counts JOIN weights USING (term) JOIN asked USING (term), corpus GROUP BY item_id, doc_id
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+_AUDIT = r"""
+WITH told AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marked AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+           CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+           + 4 * CAST(100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) AS INTEGER)
+           + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INTEGER)
+           + 16 * CAST(doc_id > min(doc_id) OVER (PARTITION BY t) AS INTEGER) AS mask
+    FROM texts LEFT JOIN told USING (doc_id)
+),
+counted AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM marked GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+placed AS (
+    SELECT filter_order, step, bit, (SELECT sum(l.bit) FROM letters l WHERE strpos(filter_order, l.f) < step) AS before
+    FROM steps JOIN letters ON f = substr(filter_order, step, 1)
+),
+figures AS (
+    SELECT part, filter_order, step, bit,
+           coalesce(sum(n) FILTER (mask & (coalesce(before, 0) | bit) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER (mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS removed,
+           coalesce(sum(n) FILTER (mask & bit > 0 AND mask & coalesce(before, 0) > 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+           coalesce(sum(g) FILTER (mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS good_lost,
+           coalesce(sum(x) FILTER (mask & bit > 0 AND mask & coalesce(before, 0) = 0), 0) AS toxic_lost
+    FROM counted, placed GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM figures"""
+
+_NEAR = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(5, len(w)) - 1), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS in_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * in_both >= 85 * (p.n + q.n - in_both)),
+reached(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT doc_id, y FROM reached JOIN links ON x = other),
+classes AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) JOIN classes USING (doc_id)"""
+
+ORACLES: dict[str, str] = {"op1_chat_format": _CHAT, "op6_warc": _WARC, "op7_quality_rules": _QUALITY, "op11_lexical_search": _SEARCH,
+                           "op12_filter_audit": _AUDIT, "op13_near_dedup": _NEAR}
