@@ -47,7 +47,7 @@ THRESHOLD = 85  # hundredths
 BANDS = 32
 ROWS = 5
 BATCH = 32  # signature values compared at a time
-MISS = 1e-6  # posterior probability below which a pair is pruned
+MISS = 1e-9  # posterior probability below which a pair is pruned
 LEADERS = 3  # of a bucket and star round
 STAR_ROUNDS = 2
 BLOCK = 512  # members of a block in the exact rest
