@@ -8,16 +8,19 @@
 3. A candidate pair's signatures are compared batch by batch. After each batch the posterior (uniform prior) that the
    similarity reaches the threshold is bounded; a pair below the miss probability is pruned. Survivors are verified
    exactly on their whole sets.
-4. Only links between different classes matter. Star rounds: in every bucket that still holds several classes, each
-   member is a candidate of LEADERS members that a hash elects; the verified links merge classes. This costs a few
-   pairs per member whatever the bucket's size, and most buckets end as one class.
-5. The rest is exact: in buckets that still hold several classes, members outside the first leader's class are
+4. Only links between different classes matter. In every bucket that holds several classes, LEADERS members are
+   elected: the one that meets most others in all of its buckets, and some by hashes. In buckets of up to LEADERS + 1
+   members each is a candidate of all leaders, which covers all pairs. In larger ones a node is a candidate of one
+   leader per election, the first of all its buckets by the same order, so that the members of a large group choose
+   the same few; the verified links merge classes. STAR_ROUNDS such rounds cost a few
+   pairs a node, whatever the buckets' sizes, and most large buckets end as one class.
+5. The rest is exact: in larger buckets that still hold several classes, members outside the first leader's class are
    compared with each other and with that class, in blocks of BLOCK members, and pairs of one class are skipped.
-   Surviving pairs are verified like the others.
+   A task verifies its surviving pairs at once and tells one link between two classes only.
 
-Candidates are verified along stars: all candidates of one node stream past its set (or signature), dealt to up to
-FANS tasks by a hash of the other node; a task holds one set and what streams by, however long the texts are or
-however many candidates a node has.
+Candidates are verified along stars: the candidates of one node stream past its set (or signature), dealt by a hash
+to tasks of about FAN each; a task holds one set and what streams by, however long the texts are or however many
+candidates a node has.
 
 Words are runs of characters other than space and the controls 9 to 13. Shingles are compared as 64-bit hashes.
 
@@ -38,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from cardsentry.llm.common import discard, mixed, saved, shingles, sieved, word_hashes
 from cardsentry.llm.components import components
@@ -50,8 +54,9 @@ BATCH = 32  # signature values compared at a time
 MISS = 1e-9  # posterior probability below which a pair is pruned
 LEADERS = 3  # of a bucket and star round
 STAR_ROUNDS = 2
-BLOCK = 512  # members of a block in the exact rest
-FANS = 256  # tasks that a node's candidates are dealt to, at most
+BLOCK = 4096  # members of a block in the exact rest
+BLOCK_SHINGLES = 1 << 20  # and shingles of them: 8 MiB
+FAN = 256  # candidates of a node that one task compares with it, about
 HOT = 10_000  # at most so many classes or nodes hold a 1/HOT share of the rows each: these are looked up by broadcast
 _VALUES = BANDS * ROWS
 
@@ -154,11 +159,14 @@ def rows_of(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 def along(edges: DataFrame, items: DataFrame, test: Callable[[bytes, list[bytes]], list[int]]) -> DataFrame:
     """Edges (a, b) whose items (node, data) pass `test`, which tells the places of the members that b's item keeps.
 
-    The members of a star stream past the item of its centre b, in up to FANS tasks.
+    The members of a star stream past the item of its centre b, FAN of them to a task; edges must be distinct and saved.
     """
-    dealt = edges.select("a", "b", F.pmod(F.xxhash64("a"), F.lit(FANS)).cast("int").alias("fan"))
+    size = edges.groupBy("b").agg(F.ceil(F.count("*") / FAN).cast("long").alias("fans")).withColumnRenamed("b", "centre")
+    # null-safe joins shuffle both sides anew, so that a star of very many members can be split among tasks
+    dealt = edges.join(size, F.col("b").eqNullSafe(F.col("centre"))).select("a", "b", F.pmod(F.xxhash64("a"), F.col("fans")).alias("fan"))
     members = dealt.join(items, dealt["a"] == items["node"]).select("b", "fan", F.lit(1).alias("kind"), "a", "data")
-    centres = dealt.select("b", "fan").distinct().join(items, F.col("b") == items["node"]).select("b", "fan", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("a"), "data")
+    centres = size.withColumn("fan", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1))).join(items, F.col("centre") == items["node"])
+    centres = centres.select(F.col("centre").alias("b"), "fan", F.lit(0).alias("kind"), F.lit(None).cast("binary").alias("a"), "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre = data = None
@@ -198,12 +206,14 @@ def verified(edges: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
-    """(bucket, band, node) of the buckets with several nodes."""
+    """(bucket, band, node, size, n, fame) of the buckets with several nodes: n of them; fame sums a node's n."""
     width = 2 * ROWS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(F.xxhash64(F.substring("data", i * width + 1, F.lit(width)), i).alias("bucket"), i.alias("band")))
-    rows = nodes.select("node", F.explode(keys).alias("k")).select("k.bucket", "k.band", "node")
-    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("bucket").alias("met"))
-    return rows.join(several, F.col("bucket").eqNullSafe(F.col("met"))).drop("met")
+    rows = nodes.select("node", "size", F.explode(keys).alias("k")).select("k.bucket", "k.band", "node", "size")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("bucket", "met")
+    # at most BANDS rows a node
+    fame = F.sum("n").over(Window.partitionBy("node"))
+    return rows.join(several, F.col("bucket").eqNullSafe(F.col("met"))).drop("met").withColumn("fame", fame)
 
 
 def divided(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -211,85 +221,118 @@ def divided(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
     if classes is None:
         return buckets.withColumn("class", F.col("node"))
     return buckets.join(classes.select(F.col("vertex").alias("node"), "component"), "node", "left").select(
-        "bucket", "band", "node", F.coalesce("component", "node").alias("class"))
+        "bucket", "band", "node", "size", "n", "fame", F.coalesce("component", "node").alias("class"))
 
 
 def star_candidates(rows: DataFrame, salt: int) -> DataFrame:
     """Distinct (a, b): members and leaders of other classes, in buckets that hold several classes."""
-    one = F.struct("node", "class")
-    leaders = [F.min_by(one, F.xxhash64("node", F.lit(salt + i))) for i in range(LEADERS)]
-    elected = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.array(*leaders).alias("leaders"))
+    one = F.struct("node", "class", "fame")
+    # the most famous member is likely the middle of a group of near copies
+    rank = [F.struct(-F.col("fame"), F.xxhash64("node", F.lit(salt))), *(F.xxhash64("node", F.lit(salt + i)) for i in range(1, LEADERS))]
+    leaders = F.array(*(F.min_by(one, by) for by in rank))
+    elected = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), leaders.alias("leaders"))
     elected = elected.filter("low != high").select(F.col("bucket").alias("own"), "leaders")
     # the null-safe join shuffles both sides anew, so that a bucket of very many members can be split among tasks
-    met = rows.join(elected, F.col("bucket").eqNullSafe(F.col("own"))).select("node", "class", F.explode(F.array_distinct("leaders")).alias("l"))
-    return met.filter(F.col("class") != F.col("l.class")).select(F.col("node").alias("a"), F.col("l.node").alias("b")).distinct()
+    met = rows.join(elected, F.col("bucket").eqNullSafe(F.col("own"))).select("n", "node", "class", F.posexplode("leaders").alias("turn", "l"))
+    met = met.filter(F.col("class") != F.col("l.class")).select("n", "turn", "node", F.col("l.node").alias("leader"), F.col("l.fame").alias("fame"))
+    small = F.col("n") <= LEADERS + 1
+    few = met.filter(small).select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"))
+    chosen = F.min_by("leader", F.struct(F.when(F.col("turn") == 0, -F.col("fame")).otherwise(0), F.xxhash64("leader", F.col("turn") + salt)))
+    many = met.filter(~small).groupBy("node", "turn").agg(chosen.alias("b")).select(F.col("node").alias("a"), "b")
+    return few.union(many).distinct()
 
 
-def rest_candidates(rows: DataFrame, signs: DataFrame, threshold: int, miss: float) -> DataFrame:
-    """Surviving pairs (a, b) of different classes of all buckets that hold several classes.
+def rest_links(rows: DataFrame, signs: DataFrame, sets: DataFrame, threshold: int, miss: float) -> DataFrame:
+    """Verified pairs (a, b) that link different classes, from all pairs of the buckets that hold several classes.
 
     Members of the class of the bucket's first leader form one side, all others the other one. Pairs across the
-    sides, and pairs of others, are compared in pairs of blocks; a pair is told by the first band that it shares.
+    sides, and pairs of others, meet in pairs of blocks; a task holds one block and streams the other past it.
     """
     first = F.min_by("class", F.xxhash64("node"))
-    sizes = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), first.alias("main"))
-    sizes = sizes.filter("low != high").select(F.col("bucket").alias("own"), "main")
-    met = rows.join(sizes, F.col("bucket").eqNullSafe(F.col("own"))).drop("own").withColumn("aside", F.col("class") != F.col("main"))
-    counts = met.groupBy("bucket").agg(F.count_if("aside").alias("others"), F.count_if(~F.col("aside")).alias("mains")).withColumnRenamed("bucket", "own")
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    met = met.join(counts, F.col("bucket").eqNullSafe(F.col("own"))).select(
-        "bucket", "band", "node", "class", "aside", blocks("others").alias("rb"), blocks("mains").alias("sb"))
+    elected = rows.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), first.alias("main"))
+    elected = elected.filter("low != high").select(F.col("bucket").alias("own"), "main")
+    met = rows.join(elected, F.col("bucket").eqNullSafe(F.col("own"))).drop("own").withColumn("aside", F.col("class") != F.col("main"))
+    # blocks of about BLOCK members and BLOCK_SHINGLES shingles at most; one larger set is a block by itself
+    blocks = lambda of: F.ceil(F.greatest(F.count_if(of) / BLOCK, F.sum(F.when(of, F.col("size"))) / BLOCK_SHINGLES)).cast("int")
+    counts = met.groupBy("bucket").agg(blocks(F.col("aside")).alias("rb"), blocks(~F.col("aside")).alias("sb")).withColumnRenamed("bucket", "own")
+    met = met.join(counts, F.col("bucket").eqNullSafe(F.col("own"))).drop("own")
     at = F.pmod(F.xxhash64("node"), F.when(F.col("aside"), F.col("rb")).otherwise(F.col("sb")).cast("long")).cast("int")
     met = met.withColumn("at", at)
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    place = lambda among, lo, hi, side: F.struct(F.lit(among).alias("among"), lo.alias("lo"), hi.alias("hi"), side.alias("side"))
-    across_main = F.transform(upto("rb"), lambda j: place("main", F.col("at"), j, F.lit(0)))
-    across_other = F.transform(upto("sb"), lambda i: place("main", i, F.col("at"), F.lit(1)))
-    inner = F.transform(upto("rb"), lambda j: place("others", F.least("at", j), F.greatest("at", j), (F.col("at") > j).cast("int")))
-    dealt = met.withColumn("p", F.explode(F.when(F.col("aside"), F.concat(across_other, inner)).otherwise(across_main)))
-    dealt = dealt.select("bucket", "p.among", "p.lo", "p.hi", "p.side", "band", "node", "class").join(signs, "node")
-    keys = ["bucket", "among", "lo", "hi"]
+    place = lambda main, lo, hi, streams: F.struct(F.lit(main).alias("with_main"), lo.alias("lo"), hi.alias("hi"), streams.alias("streams"))
+    # others are held and the main class streams; of two blocks of others the lower one is held
+    from_main = F.transform(upto("rb"), lambda j: place(True, j, F.col("at"), F.lit(True)))
+    from_other = F.transform(upto("sb"), lambda i: place(True, F.col("at"), i, F.lit(False)))
+    inner = F.transform(upto("rb"), lambda j: place(False, F.least("at", j), F.greatest("at", j), F.col("at") > j))
+    dealt = met.withColumn("p", F.explode(F.when(F.col("aside"), F.concat(from_other, inner)).otherwise(from_main)))
+    keys = ["bucket", "with_main", "lo", "hi"]
+    dealt = dealt.select("bucket", "p.with_main", "p.lo", "p.hi", "p.streams", "band", "node", "class")
+    dealt = dealt.join(signs.withColumnRenamed("data", "signs"), "node").join(sets, "node").select(*keys, "streams", "band", "node", "class", "signs", "data")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-
-        def told() -> Iterator[pa.RecordBatch]:
-            for a, b in _block_pairs(held, threshold, miss):
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
+        held = None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(9)]
-            for row in zip(*columns):
-                if row[:4] != key:
-                    yield from told()
-                    held, key = [], row[:4]
-                held.append(row)
-        yield from told()
-
-    dealt = dealt.select(*keys, "side", "band", "node", "class", "data").repartition(*keys).sortWithinPartitions(*keys, "side")
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
-
-
-def _block_pairs(held: list[tuple], threshold: int, miss: float) -> Iterator[tuple[list[bytes], list[bytes]]]:
-    """Surviving pairs of one pair of blocks: rows (bucket, among, lo, hi, side, band, node, class, signature)."""
-    if len(held) < 2:
-        return
-    _, among, lo, hi, _, band, *_ = held[0]
-    names, classes = [r[6] for r in held], np.unique([r[7].hex() for r in held], return_inverse=True)[1]
-    signs = np.frombuffer(b"".join(r[8] for r in held), np.uint16).reshape(len(held), _VALUES)
-    left = sum(r[4] == 0 for r in held)
-    inside = among == "others" and lo == hi
-    for i in range(len(held) if inside else left):
-        j = np.arange(i + 1 if inside else left, len(held))
-        j = j[classes[j] != classes[i]]
-        if not len(j):
-            continue
-        j = j[sequentially(signs[i : i + 1], signs[j], threshold, miss)]
+            for begin in range(0, batch.num_rows, 64):
+                part = batch.slice(begin, 64)
+                out = []
+                for row in zip(*(part.column(i).to_pylist() for i in range(10))):
+                    if held is None or held.key != row[:4]:
+                        held = _Held(row[:4], row[5], threshold, miss)
+                    _, with_main, lo, hi, streams, _, node, kind, signs_of, data = row
+                    if streams or (not with_main and lo == hi):
+                        out.extend(held.links(node, kind, signs_of, data))
+                    if not streams:
+                        held.add(node, kind, signs_of, data)
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "streams").mapInArrow(run, "a binary, b binary").distinct()
+
+
+class _Held:
+    """Members of a block, compared with those that stream past; classes that a link joins count as one from then on."""
+
+    def __init__(self, key: tuple, band: int, threshold: int, miss: float):
+        self.key, self.band, self.threshold, self.miss = key, band, threshold, miss
+        self.names: list[bytes] = []
+        self.classes: list[int] = []
+        self.sets: list[np.ndarray] = []
+        self.signs = np.empty((16, _VALUES), np.uint16)
+        self.numbers: dict[bytes, int] = {}
+        self.root: list[int] = []
+
+    def _class(self, kind: bytes) -> int:
+        at = self.numbers.setdefault(kind, len(self.root))
+        if at == len(self.root):
+            self.root.append(at)
+        return at
+
+    def _top(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = self.root[self.root[i]]
+            i = self.root[i]
+        return i
+
+    def add(self, node: bytes, kind: bytes, signs: bytes, data: bytes) -> None:
+        n = len(self.names)
+        if n == len(self.signs):
+            self.signs = np.concatenate([self.signs, np.empty_like(self.signs)])
+        self.signs[n] = np.frombuffer(signs, np.uint16)
+        self.names.append(node), self.classes.append(self._class(kind)), self.sets.append(np.frombuffer(data, np.uint64))
+
+    def links(self, node: bytes, kind: bytes, signs: bytes, data: bytes) -> Iterator[tuple[bytes, bytes]]:
+        """Pairs of `node` and held members of other classes; one of each class is enough."""
+        if not self.names:
+            return
+        own, sign, mine = self._class(kind), np.frombuffer(signs, np.uint16), np.frombuffer(data, np.uint64)
+        table = self.signs[: len(self.names)]
+        alive = sequentially(sign[None, :], table, self.threshold, self.miss)
         # the pair belongs to the first band on which it agrees
-        agrees = (signs[j] == signs[i]).reshape(len(j), BANDS, ROWS).all(axis=2)
-        j = j[agrees.argmax(axis=1) == band]
-        if len(j):
-            yield [names[i]] * len(j), [names[x] for x in j.tolist()]
+        agrees = (table[alive] == sign).reshape(len(alive), BANDS, ROWS).all(axis=2)
+        for j in alive[agrees.argmax(axis=1) == self.band].tolist():
+            x, y = self._top(own), self._top(self.classes[j])
+            if x != y and is_linked(mine, self.sets[j], self.threshold):
+                self.root[max(x, y)] = min(x, y)
+                yield node, self.names[j]
 
 
 def looked_up(rows: DataFrame, key: str, table: DataFrame, value: str, size: str, total: int) -> DataFrame:
@@ -312,7 +355,7 @@ def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD, miss: float
     """One row per row of `docs`: its id, n_shingles, component_id (least id of its class) and kept (whether it has that id)."""
     rows = saved(rows_of(docs, id_column, text_column), "rows")
     nodes = rows.filter("sh IS NOT NULL").groupBy("sh").agg(
-        F.min(node_name(F.col("id"), F.col("th"))).alias("node"), F.count("*").alias("copies"), F.any_value("signs").alias("data"))
+        F.min(node_name(F.col("id"), F.col("th"))).alias("node"), F.count("*").alias("copies"), F.any_value("size").alias("size"), F.any_value("signs").alias("data"))
     nodes = saved(nodes, "nodes")
     buckets = saved(buckets_of(nodes), "buckets")
     wanted = saved(buckets.select("node").distinct(), "wanted")
@@ -335,13 +378,16 @@ def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD, miss: float
 
     links, classes, used = None, None, []
     for turn in range(STAR_ROUNDS + 1):
-        labelled = saved(divided(buckets, classes), "labelled")
+        # a first star round covers all pairs of small buckets
+        labelled = saved(divided(buckets.filter(F.col("n") > LEADERS + 1) if turn else buckets, classes), "labelled")
         if turn < STAR_ROUNDS:
-            candidates = saved(pruned(star_candidates(labelled, turn * LEADERS), signs, threshold, miss), "candidates")
+            met = saved(star_candidates(labelled, turn * LEADERS), "met")
+            candidates = saved(pruned(met, signs, threshold, miss), "candidates")
+            fresh = saved(verified(candidates, sets, threshold), "links")
+            discard(met, candidates)
         else:
-            candidates = saved(rest_candidates(labelled, signs, threshold, miss), "candidates")
-        fresh = saved(verified(candidates, sets, threshold), "links")
-        discard(labelled, candidates)
+            fresh = saved(rest_links(labelled, signs, sets, threshold, miss), "links")
+        discard(labelled)
         used.append(fresh)
         links = fresh if links is None else links.union(fresh)
         if not fresh.isEmpty():
