@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 import oracle_sql as _oracle
 from cardsentry import schemas
 from cardsentry.operators import dimensions, rules
-from cardsentry.operators.enrich import enrich, with_city
+from cardsentry.operators.enrich import enrich, enrich_narrow, with_city
 from cardsentry.plans import adhoc, daily
 from cardsentry.plans import report as plan
 from cardsentry.session import apply_required, work_dir
 from cardsentry.sources import excel, files, seed
 from cardsentry.sources import transactions as tx_files
-from cardsentry.streaming import file_ingest
+from cardsentry.streaming import arrivals, file_ingest
+from cardsentry.streaming import rules as stream_rules
 from tools import fixtures, proxy
 
 try:  # the training-data operators are optional: the rest works without them
@@ -360,6 +361,86 @@ def q_daily_pipeline_late(spark, sf_dir):
     return plan.read_mart(spark, layout.mart)
 
 
+# --------------------------------------------------- continuous queries --
+
+STREAM_DELAY = "3 days"
+
+
+def _delivery(first_day, more=0):
+    """Which of four deliveries an operation comes in: by its time and up to two days more, so out of time order."""
+    key = F.col("transaction_id").cast("long")
+    arrives = F.col("transaction_date") + F.make_dt_interval(hours=(key * 7 % 48).cast("int"))
+    return F.least(F.lit(3), F.floor(F.datediff(F.to_date(arrives), F.lit(first_day)) / 8).cast("int") + more)
+
+
+def _fed(spark, sf_dir, name, start, span):
+    """Feeds the operations in four deliveries and an end to a continuous query; returns the folder of its hits.
+
+    start(session, tables, folder of operations, folder of hits, checkpoint) starts the query anew for each delivery.
+    """
+    own = stream_rules.stream_session(spark)
+    t, root = _tables(own, sf_dir), work_dir(spark, name)
+    first, last = proxy.event_days(own, sf_dir)
+    given = t.transactions.withColumn("_delivery", _delivery(first))
+    for k in range(5):
+        part = given.where(F.col("_delivery") == k).drop("_delivery") if k < 4 else stream_rules.end_of_feed(
+            own, datetime.datetime.combine(last, datetime.time()) + datetime.timedelta(days=1), STREAM_DELAY, span)
+        part.select(*schemas.TRANSACTION_FIELDS).write.mode("append").parquet(f"{root}/operations")
+        stream_rules.finish(start(own, t, f"{root}/operations", f"{root}/hits", f"{root}/checkpoint"))
+    return f"{root}/hits"
+
+
+def q_stream_amount_probing(spark, sf_dir):
+    """R4 as a stateful stream over out-of-order deliveries, restarted from its checkpoint for each."""
+    def start(own, t, folder, out, checkpoint):
+        ops = enrich_narrow(stream_rules.operations(own, folder, STREAM_DELAY), t.cards, t.accounts, t.clients)
+        return stream_rules.append(stream_rules.amount_probing(ops, t.clients, within=H72, report_dt=REPORT_DT), out, checkpoint)
+    return stream_rules.read_hits(spark, _fed(spark, sf_dir, "stream-probing", start, H72), distinct=False)
+
+
+def q_stream_different_cities(spark, sf_dir):
+    """R3 as an interval join of the stream with itself."""
+    def start(own, t, folder, out, checkpoint):
+        ops = enrich_narrow(stream_rules.operations(own, folder, STREAM_DELAY), t.cards, t.accounts, t.clients)
+        return stream_rules.append(stream_rules.different_cities(ops, t.terminals, t.clients, report_dt=REPORT_DT), out, checkpoint)
+    return stream_rules.read_hits(spark, _fed(spark, sf_dir, "stream-cities", start, "1 hour"))
+
+
+def q_stream_profile_rules(spark, sf_dir):
+    """R1A, R1B and R2 on the stream; passports of odd customers join the blacklist before the third delivery."""
+    black = work_dir(spark, "stream-blacklist")
+    turn = iter(range(5))
+
+    def tables(session):
+        return dataclasses.replace(_tables(session, sf_dir), blacklist=session.read.schema(schemas.BLACKLIST).parquet(black))
+
+    def start(own, t, folder, out, checkpoint):
+        k, odd = next(turn), F.substring("passport", 2, 20).cast("long") % 2 == 1
+        if k in (0, 2):
+            t.blacklist.where(odd if k else ~odd).write.mode("append").parquet(black)
+        return stream_rules.profile_rules(stream_rules.operations(own, folder, STREAM_DELAY), tables, out, checkpoint, report_dt=REPORT_DT)
+    return stream_rules.read_hits(spark, _fed(spark, sf_dir, "stream-profile", start, "1 hour"))
+
+
+def q_stream_late_operations(spark, sf_dir):
+    """Repeated and late lines of a feed, each accounted for: some operations come two deliveries late, some twice in
+    one delivery and some again in the next, in files of other names."""
+    own = stream_rules.stream_session(spark)
+    t, root = _tables(own, sf_dir), work_dir(spark, "stream-late")
+    first, _ = proxy.event_days(own, sf_dir)
+    key, drop = F.col("transaction_id").cast("long"), f"{root}/drop"
+    given = t.transactions.withColumn("_delivery", _delivery(first, F.when(key % 20 == 7, 2).otherwise(0)))
+    for k in range(4):
+        here = F.col("_delivery") == k
+        day = F.lit(first + datetime.timedelta(days=k)).cast("date")
+        fixtures.write_lines(own, fixtures.to_lines(given.where(here), day=day), drop)
+        fixtures.write_lines(own, fixtures.to_lines(given.where(here & (key % 10 == 3)), day=day), drop, prefix="transactions_twice")
+        if k:
+            fixtures.write_lines(own, fixtures.to_lines(given.where((F.col("_delivery") == k - 1) & (key % 10 == 5)), day=day), drop, prefix="transactions_again")
+        arrivals.run_available(own, drop, f"{root}/feed", STREAM_DELAY)
+    return arrivals.account_for(spark, f"{root}/feed")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the fraud report over the sf0.001 proxy tables."""
     return q_fraud_report(spark, "/root/testdata/sf0.001")
@@ -403,6 +484,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_list": q_table_list,
         "positional_sql": q_positional_sql,
         "table_by_name": q_table_by_name,
+        "stream_amount_probing": q_stream_amount_probing,
+        "stream_different_cities": q_stream_different_cities,
+        "stream_profile_rules": q_stream_profile_rules,
+        "stream_late_operations": q_stream_late_operations,
     }
 
 

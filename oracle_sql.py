@@ -283,6 +283,15 @@ _SNAPSHOTS = """
           ON d.load_date >= CAST(t.effective_from AS DATE) AND CAST(d.load_date AS TIMESTAMP) < t.effective_to
     )"""
 
+# Four deliveries: by the operation's time and up to two days more.
+_DELIVERED = """
+    , delivered AS (
+        SELECT transaction_id, transaction_date, CAST(transaction_id AS BIGINT) AS key,
+               least(3, (CAST(transaction_date + to_hours(CAST(transaction_id AS BIGINT) * 7 % 48) AS DATE)
+                         - (SELECT min(CAST(ts AS DATE)) FROM events)) // 8) AS delivery
+        FROM transactions
+    )"""
+
 # Gaps and islands: a run of consecutive days with the same city is one version.
 _HISTORY = _SNAPSHOTS + """
     , islands AS (
@@ -405,5 +414,31 @@ def oracle_sql() -> dict[str, str]:
             WHERE amount >= 10 AND oper_result = 'REJECT' GROUP BY oper_type, oper_result""",
         "table_by_name": PROXY + """
             SELECT card_num, account FROM cards""",
+        "stream_amount_probing": PROXY + _r4(rd, H72),
+        "stream_different_cities": PROXY + _r3(rd, True),
+        "stream_profile_rules": PROXY + _DELIVERED + f"""
+            SELECT DISTINCT e.transaction_date AS event_dt, e.passport_num AS passport, e.last_name, e.first_name,
+                   e.patronymic, e.phone, 'locked passport' AS event_type, TIMESTAMP '{rd}' AS report_dt
+            FROM enriched e JOIN blacklist b ON e.passport_num = b.passport JOIN delivered v ON v.transaction_id = e.transaction_id
+            WHERE e.transaction_date > CAST(b.date AS TIMESTAMP) AND (v.delivery >= 2 OR CAST(substr(b.passport, 2) AS BIGINT) % 2 = 0)
+            UNION ALL """ + _r1b(rd) + " UNION ALL " + _r2(rd),
+        "stream_late_operations": PROXY + _DELIVERED + """
+            , lines AS (
+                SELECT transaction_id, transaction_date, turn FROM (
+                    SELECT *, least(3, delivery + CASE WHEN key % 20 = 7 THEN 2 ELSE 0 END) AS turn FROM delivered)
+            ),
+            copies AS (
+                SELECT * FROM lines
+                UNION ALL SELECT * FROM lines WHERE CAST(transaction_id AS BIGINT) % 10 = 3
+                UNION ALL SELECT transaction_id, transaction_date, turn + 1 FROM lines WHERE CAST(transaction_id AS BIGINT) % 10 = 5 AND turn < 3
+            ),
+            newest AS (SELECT turn, max(transaction_date) AS newest FROM copies GROUP BY turn),
+            judged AS (
+                SELECT c.*, coalesce(c.transaction_date <= (SELECT max(n.newest) FROM newest n WHERE n.turn < c.turn) - INTERVAL 3 DAY, false) AS late
+                FROM copies c
+            )
+            SELECT transaction_id, 'late' AS status, count(*) AS n FROM judged WHERE late GROUP BY transaction_id
+            UNION ALL SELECT transaction_id, 'kept', 1 FROM judged WHERE NOT late GROUP BY transaction_id
+            UNION ALL SELECT transaction_id, 'repeated', count(*) - 1 FROM judged WHERE NOT late GROUP BY transaction_id HAVING count(*) > 1""",
         "fraud_report_hot_account": _report(rd).replace(PROXY, PROXY_HOT),
     }
