@@ -25,7 +25,9 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-REMEMBERED = 600_000  # pre-tokens kept per worker, and half as many words
+from cardsentry.llm.common import Remembered
+
+REMEMBERED = 64 << 20  # bytes of remembered pre-tokens per worker, and as many of words
 
 #: The characters with Unicode's White_Space property.
 _WHITE = r"\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -123,20 +125,6 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class _Known(dict):
-    """Packed ids by pre-token or word, found when first asked for; bounded."""
-
-    def __init__(self, find, most: int):
-        super().__init__()
-        self.find, self.most = find, most
-
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        found = self[text] = self.find(text)
-        return found
-
-
 class Codec:
     """Encoder and decoder of one rank file and split pattern.
 
@@ -153,8 +141,8 @@ class Codec:
         self.ids = list(self.ranks.values())
         self.bytes_of = {i: token for token, i in self.ranks.items()}
         self.findall = regex.compile(pattern).findall
-        self.pieces = _Known(self._piece, REMEMBERED)
-        self.words = _Known(self._word, REMEMBERED // 2)
+        self.pieces = Remembered(self._piece, REMEMBERED)
+        self.words = Remembered(self._word, REMEMBERED)
         self.part = self.findall if whole_text else WORDS.findall
         self.known = self.pieces if whole_text else self.words
 
@@ -182,55 +170,69 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """`id_column` and `token_ids` (binary, little-endian unsigned 32-bit) for every row."""
-    kind = docs.schema[id_column].dataType.simpleString()
+Batches = Iterator[pa.RecordBatch]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = codec(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids = [to.encode(t) if t else b"" for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["id", "token_ids"])
 
-    out = docs.select(id_column, text_column).mapInArrow(run, f"id {kind}, token_ids binary")
-    return out.withColumnRenamed("id", id_column)
+def _parts(batches: Batches) -> Batches:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            yield batch.slice(at, 256)
 
 
-def decode(tokens: DataFrame, path: str, pattern: str, *, id_column: str = "doc_id") -> DataFrame:
-    """Adds `decoded` (binary): the bytes of each row's token ids; unknown ids raise."""
-    kind = tokens.schema[id_column].dataType.simpleString()
+def _encoded(batches: Batches, path: str, pattern: str) -> Batches:
+    """(id, text) to (id, token_ids)."""
+    to = codec(path, pattern)
+    for part in _parts(batches):
+        ids = [to.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["id", "token_ids"])
+
+
+def _decoded(batches: Batches, path: str, pattern: str) -> Batches:
+    """(id, token_ids) to (id, token_ids, decoded)."""
+    to = codec(path, pattern)
+    for part in _parts(batches):
+        texts = [to.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in part.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary())], ["id", "token_ids", "decoded"])
+
+
+def _digested(batches: Batches) -> Batches:
+    """(id, token_ids, decoded) to (id, n_tokens, ids_sha256, decoded_sha256)."""
+    names: dict[int, str] = {}
+    for part in _parts(batches):
+        counts, hashes, back = [], [], []
+        for raw, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+            ids = np.frombuffer(raw, "<u4").tolist()
+            counts.append(len(ids))
+            hashes.append(hashlib.sha256(" ".join([names.get(i) or names.setdefault(i, str(i)) for i in ids]).encode()).hexdigest())
+            back.append(hashlib.sha256(text).hexdigest())
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(back)],
+                                         ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = codec(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [to.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.binary())], ["id", "token_ids", "decoded"])
 
-    out = tokens.select(id_column, "token_ids").mapInArrow(run, f"id {kind}, token_ids binary, decoded binary")
-    return out.withColumnRenamed("id", id_column)
+_DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def _mapped(rows: DataFrame, run, id_column: str, shape: str) -> DataFrame:
+    kind = rows.schema[id_column].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, {shape}").withColumnRenamed("id", id_column)
+
+
+def encode(docs: DataFrame, path: str, pattern: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`id_column` and `token_ids` (binary, little-endian unsigned 32-bit) for every row."""
+    return _mapped(docs.select(id_column, text_column), lambda b: _encoded(b, path, pattern), id_column, "token_ids binary")
+
+
+def decode(tokens: DataFrame, path: str, pattern: str, *, id_column: str = "doc_id") -> DataFrame:
+    """Adds `decoded` (binary): the bytes of each row's token ids; unknown ids raise."""
+    return _mapped(tokens.select(id_column, "token_ids"), lambda b: _decoded(b, path, pattern), id_column, "token_ids binary, decoded binary")
 
 
 def id_digest(rows: DataFrame, *, id_column: str = "doc_id") -> DataFrame:
     """n_tokens, ids_sha256 (of decimal ids joined by one space) and decoded_sha256 of encoded and decoded rows."""
-    kind = rows.schema[id_column].dataType.simpleString()
+    return _mapped(rows.select(id_column, "token_ids", "decoded"), _digested, id_column, _DIGEST)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: dict[int, str] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                counts, hashes, back = [], [], []
-                for raw, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-                    ids = np.frombuffer(raw, "<u4").tolist()
-                    counts.append(len(ids))
-                    hashes.append(hashlib.sha256(" ".join([names.get(i) or names.setdefault(i, str(i)) for i in ids]).encode()).hexdigest())
-                    back.append(hashlib.sha256(text).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), pa.array(hashes), pa.array(back)],
-                                                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    out = rows.select(id_column, "token_ids", "decoded").mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    return out.withColumnRenamed("id", id_column)
+def round_trip_digest(docs: DataFrame, path: str, pattern: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """`id_digest` of `decode` of `encode`, in one worker a task: ids and decoded bytes do not pass through the JVM."""
+    run = lambda b: _digested(_decoded(_encoded(b, path, pattern), path, pattern))
+    return _mapped(docs.select(id_column, text_column), run, id_column, _DIGEST)

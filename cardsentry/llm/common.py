@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -51,6 +52,35 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Remembered(dict):
+    """Results by text, found when first asked for; bounded by the bytes that keys, values and entries take.
+
+    Texts beyond `longest` characters are found anew each time. At half of the bound the entries become the older
+    half; what is asked for again moves back, and the rest is forgotten when the next half is full.
+    """
+
+    ENTRY = 50  # bytes of an entry of a dict, about
+
+    def __init__(self, find, most_bytes: int, longest: int = 64):
+        super().__init__()
+        self.find, self.half, self.longest, self.used = find, most_bytes // 2, longest, 0
+        self.older: dict = {}
+
+    def __missing__(self, text: str):
+        found = self.older.pop(text, None)
+        if found is None:
+            found = self.find(text)
+            if len(text) > self.longest:
+                return found
+        self.used += sys.getsizeof(text) + sys.getsizeof(found) + self.ENTRY
+        if self.used > self.half:
+            self.older = dict(self)
+            self.clear()
+            self.used = 0
+        self[text] = found
+        return found
+
+
 SIEVE_WORDS = 1 << 19  # of 64 bits: the most rows of a sieve, some 16 bytes each
 
 

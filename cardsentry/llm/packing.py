@@ -27,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardsentry.llm.byte_bpe import WORDS, _Known
-from cardsentry.llm.common import saved
+from cardsentry.llm.byte_bpe import WORDS
+from cardsentry.llm.common import Remembered, saved
 
 GROUP = 1 << 16  # pieces packed by one task
-REMEMBERED = 250_000  # words kept per worker
+REMEMBERED = 40 << 20  # bytes of remembered words per worker
 
 
 class JsonTokenizer:
@@ -62,7 +62,7 @@ class JsonTokenizer:
             self.ranks = tiktoken.Encoding("own", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
             self.special = {t: struct.pack("<I", i) for t, i in special.items()}
             self.parts = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
-            self.words = _Known(self._word, REMEMBERED)
+            self.words = Remembered(self._word, REMEMBERED)
 
     def _word(self, word: str) -> bytes:
         ids = self.ranks.encode_ordinary(word)

@@ -41,8 +41,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes every document; digests of ids and of the decoded bytes."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    tokens = byte_bpe.encode(_table(spark, sf_dir, "documents"), path, pattern)
-    return byte_bpe.id_digest(byte_bpe.decode(tokens, path, pattern))
+    return byte_bpe.round_trip_digest(_table(spark, sf_dir, "documents"), path, pattern)
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
