@@ -8,10 +8,15 @@ these counts is emitted on the transition and the rest stays in the state (deter
 A word mark after another character resets the automaton, because no piece holds a mark behind another character;
 the stretch between two resets is remembered as one transition from start to start.
 
-Long texts are cut into chunks. A chunk becomes a map from incoming states to counts: the part before its first
-reset (which depends on the state it is entered with), the count from there to its last reset, and the part after.
-Such maps compose associatively; they are combined by a parallel prefix scan, runs of neighbouring chunks at a
-time, so that no task holds more than a bounded number of chunks.
+Long texts are cut into chunks. A chunk becomes a map from the states it may be entered in to the state it is left in
+and the tokens counted on the way. The first guess at its incoming state is the state after the BEFORE characters in
+front of it, which is certain if they hold a reset and nearly always right if they do not. Then every state that the
+chunk in front can be left in must be an entry of the map; chunks are run again from those that are not, until there
+are none. States travel as text, the chunks' own texts do not. Complete maps compose associatively; they are combined
+by a parallel prefix scan, runs of neighbouring chunks at a time. A text without any reset is as many chunks as any
+other text of its length.
+
+What a worker remembers (stretches, states with their arcs, pairs of pieces) is bounded by its bytes.
 
 Defined cases: null and empty texts count 0 tokens; texts count whole; repeated rows are counted one by one; an
 empty table gives an empty result; only the id and text columns are read.
@@ -20,6 +25,7 @@ empty table gives an empty result; only the id and text columns are read.
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterator
 
@@ -27,11 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardsentry.llm.common import Remembered, discard, saved
+
 MARK = "▁"  # stands for a space in the model's pieces
 CHUNK = 1 << 15  # characters
+BEFORE = 256  # characters in front of a chunk that its incoming state is guessed from
 RUN = 64  # neighbouring chunk maps composed at a time
 LEVELS = 3  # RUN ** LEVELS chunks hold more characters than a string can
-REMEMBERED = 400_000  # stretches and transitions kept per worker
+REMEMBERED = 96 << 20  # bytes of remembered stretches per worker
+COMPILED = 192 << 20  # bytes of compiled states, arcs and pairs of pieces per worker, about
 
 
 class Transducer:
@@ -44,7 +54,10 @@ class Transducer:
         self.inside = prefixes
         self.singles = {p for p in pieces if len(p) == 1}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.stretches = _Stretches(self)
+        self.stretches = Remembered(self.run, REMEMBERED)
+        self.states: list[tuple] = []
+        self.numbers: dict[tuple, int] = {}
+        self.arcs: list[dict[str, tuple[int, int]]] = []
         self._forget()
 
     def merged(self, text: str) -> list[str]:
@@ -61,9 +74,8 @@ class Transducer:
         key = (a, b)
         found = self.fits.get(key)
         if found is None:
-            if len(self.fits) >= REMEMBERED:
-                self.fits.clear()
             found = self.fits[key] = self.merged(a + b) == [a, b]
+            self.used += 120
         return found
 
     @functools.cached_property
@@ -75,10 +87,11 @@ class Transducer:
     # Prefix "" stands for a finished piece: the next character begins a new one. State 0 is the start.
 
     def _forget(self) -> None:
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.arcs: list[dict[str, tuple[int, int]]] = []
-        self._number((("", "", 0),))
+        # in place: a run that is under way holds the list of arcs
+        for kept in (self.states, self.numbers, self.arcs, self.fits):
+            kept.clear()
+        self.used = 0
+        self._number(START)
 
     def _number(self, state: tuple) -> int:
         at = self.numbers.get(state)
@@ -86,12 +99,13 @@ class Transducer:
             at = self.numbers[state] = len(self.states)
             self.states.append(state)
             self.arcs.append({})
+            self.used += 200 + 80 * len(state)
         return at
 
     def _compile(self, at: int, c: str) -> tuple[int, int]:
         """The state after reading `c` in state `at`, and the tokens counted on the way; kept as an arc."""
         if c not in self.singles:  # falls back to its bytes, which no merge touches
-            arc = 0, self.rest(at) + len(c.encode())
+            state, n = START, self.rest(at) + len(c.encode())
         else:
             out: dict[tuple[str, str], int] = {}
             for prefix, last, n in self.states[at]:
@@ -101,79 +115,78 @@ class Transducer:
                 out[(grown, last)] = min(n, out.get((grown, last), n))
                 if grown in self.reachable and (not last or self.compatible(last, grown)):
                     out[("", grown)] = min(n + 1, out.get(("", grown), n + 1))
-            least = min(out.values())
-            arc = self._number(tuple(sorted((p, b, n - least) for (p, b), n in out.items()))), least
-        self.arcs[at][c] = arc
+            n = min(out.values())
+            state = tuple(sorted((p, b, m - n) for (p, b), m in out.items()))
+        if self.used > COMPILED:
+            self._forget()
+            return self._number(state), n
+        arc = self.arcs[at][c] = self._number(state), n
+        self.used += 80
         return arc
 
     def rest(self, at: int) -> int:
         """Tokens still to be counted if the text ends in state `at`."""
         return next(n for prefix, _, n in self.states[at] if not prefix)
 
-    def run(self, text: str) -> int:
-        """Tokens of `text`, read from the start state to an end."""
-        at, count, arcs = 0, 0, self.arcs
+    def read(self, at: int, text: str) -> tuple[int, int]:
+        """The state after reading `text` in state `at`, and the tokens counted on the way."""
+        count, arcs = 0, self.arcs
         for c in text:
             arc = arcs[at].get(c) or self._compile(at, c)
             at, n = arc
             count += n
+        return at, count
+
+    def run(self, text: str) -> int:
+        """Tokens of `text`, read from the start state to an end."""
+        at, count = self.read(0, text)
         return count + self.rest(at)
 
     def count(self, stretches: list[str]) -> int:
         """Tokens of stretches between resets: each a remembered transition from start to start."""
         return sum(map(self.stretches.__getitem__, stretches))
 
+    def cross(self, entry: str, before: str, text: str) -> tuple[str, int]:
+        """The state (as text) that a chunk entered in state `entry` is left in, and its tokens; `before`: text in front."""
+        at, count = self._number(_state(entry)), 0
+        first = _RESET.search(text)
+        head = first.start() if first else len(text)
+        if before and text[:1] == MARK and before[-1] != MARK:
+            count, at = self.rest(at), 0
+        at, n = self.read(at, text[:head])
+        count += n
+        if first:
+            count += self.rest(at)
+            parts = _STRETCH.findall(text, head)
+            count += self.count(parts[:-1])
+            at, n = self.read(0, parts[-1])
+            count += n
+        return _name(self.states[at]), count
 
-class _Stretches(dict):
-    """Tokens by stretch, run through the transducer when first asked for; bounded."""
-
-    def __init__(self, to: Transducer):
-        super().__init__()
-        self.to = to
-
-    def __missing__(self, text: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(self.to.states) >= REMEMBERED:
-            self.to._forget()
-        found = self[text] = self.to.run(text)
-        return found
+    def entry(self, before: str) -> str:
+        """The state (as text) after `before`, read from its last reset, or else from its first character."""
+        resets = [m.start() for m in _RESET.finditer(before)]
+        return _name(self.states[self.read(0, before[resets[-1] if resets else 0 :])[0]])
 
 
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-_RESET = re.compile(f"(?<=[^{MARK}]){MARK}")
+def _name(state: tuple) -> str:
+    return json.dumps(state, separators=(",", ":"))
 
 
-def chunk_map(to: Transducer, text: str) -> tuple[str, int | None, str]:
-    """(head, middle, tail) of a chunk: text before the first reset, tokens up to the last, text after.
+def _state(name: str) -> tuple:
+    return tuple(map(tuple, json.loads(name)))
 
-    Without a reset inside, middle is None and head is the whole chunk.
-    """
-    first = _RESET.search(text)
-    if first is None:
-        return text, None, ""
-    parts = _STRETCH.findall(text, first.start())
-    return text[: first.start()], to.count(parts[:-1]), parts[-1]
 
+START = (("", "", 0),)
+_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_RESET = re.compile(f"(?<=[^{MARK}]){MARK}")
 
-def compose(to: Transducer, a: tuple[str, int | None, str], b: tuple[str, int | None, str]) -> tuple[str, int | None, str]:
-    """The map of two neighbouring chunks, a before b."""
-    join = (a[2] if a[1] is not None else a[0]) + b[0]  # open text around the border
-    if a[1] is None and b[1] is None:
-        inner = chunk_map(to, join)
-        return inner
-    if a[1] is None:
-        head, more, tail = chunk_map(to, join)
-        return (head, b[1], b[2]) if more is None else (head, more + to.count(_STRETCH.findall(tail)) + b[1], b[2])
-    if b[1] is None:
-        parts = _STRETCH.findall(join)
-        return (a[0], a[1] + to.count(parts[:-1]), parts[-1] if parts else "")
-    return a[0], a[1] + to.count(_STRETCH.findall(join)) + b[1], b[2]
+Map = dict[str, tuple[str, int]]  # by incoming state: outgoing state, tokens
 
 
-def closed(to: Transducer, m: tuple[str, int | None, str]) -> int:
-    """Tokens of a whole text, given its map."""
-    return to.count(_STRETCH.findall(m[0])) + (m[1] or 0) + to.count(_STRETCH.findall(m[2]))
+def compose(a: Map, b: Map) -> Map:
+    """The map of two neighbouring chunks, a before b; every state that a can be left in is an entry of b."""
+    return {entry: (b[left][0], n + b[left][1]) for entry, (left, n) in a.items()}
 
 
 @functools.cache
@@ -217,47 +230,69 @@ def count_tokens(docs: DataFrame, model_path: str, *, id_column: str = "doc_id",
 
 
 def _scan(rows: DataFrame, model_path: str, kind: str) -> DataFrame:
-    """Counts texts of several chunks: a map per chunk, then runs of neighbouring maps composed, level by level."""
-    places = F.sequence(F.lit(0), F.ceil(F.length("text") / CHUNK).cast("int") - 1)
-    cut = F.transform(places, lambda i: F.substring("text", i * CHUNK + 1, F.lit(CHUNK)))
-    chunks = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "n_bytes", F.posexplode(cut).alias("chunk", "text"))
-
-    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts texts of several chunks: a map per chunk, completed, then runs of neighbouring maps, level by level."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "id", "n_bytes", "chunk", "before", "text"]
+        for batch in batches:
+            for at in range(batch.num_rows):
+                one = batch.slice(at, 1)
+                text = one.column(3)[0].as_py()
+                for first in range(0, len(text), 16 * CHUNK):
+                    places = range(first, min(first + 16 * CHUNK, len(text)), CHUNK)
+                    some = [one.column(i).take(pa.array([0] * len(places))) for i in range(3)]
+                    before = [(MARK * (i <= BEFORE) + text[max(0, i - BEFORE) : i].replace(" ", MARK)) * (i > 0) for i in places]
+                    told = [MARK * (i == 0) + text[i : i + CHUNK].replace(" ", MARK) for i in places]
+                    yield pa.RecordBatch.from_arrays([*some, pa.array([i // CHUNK for i in places], pa.int32()), pa.array(before, pa.string()),
+                                                      pa.array(told, pa.string())], names)
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to = transducer(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                found = [chunk_map(to, MARK * (i == 0) + x.replace(" ", MARK))
-                         for i, x in zip(part.column(3).to_pylist(), part.column(4).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), *_arrays(found)],
-                                                 ["row", "id", "n_bytes", "chunk", "head", "middle", "tail"])
+                before, texts = part.column(2).to_pylist(), part.column(3).to_pylist()
+                entry = [e or (to.entry(b) if b else _name(START)) for e, b in zip(part.column(4).to_pylist(), before)]
+                found = [to.cross(*x) for x in zip(entry, before, texts)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(entry, pa.string()), pa.array([x for x, _ in found], pa.string()),
+                                                  pa.array([n for _, n in found], pa.int64())], ["row", "chunk", "entry", "left", "n"])
 
     def composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = transducer(model_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
-                found = [functools.reduce(functools.partial(compose, to), [(m["head"], m["middle"], m["tail"]) for m in run])
-                         for run in part.column(4).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), *_arrays(found)],
-                                                 ["row", "id", "n_bytes", "chunk", "head", "middle", "tail"])
+                out = []
+                for run in part.column(2).to_pylist():
+                    maps = [{e["entry"]: (e["left"], e["n"]) for e in m["map"]} for m in run]
+                    out.append([{"entry": e, "left": x, "n": n} for e, (x, n) in functools.reduce(compose, maps).items()])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, entries)], ["row", "chunk", "map"])
 
     def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to = transducer(model_path)
+        to, start = transducer(model_path), _name(START)
         for batch in batches:
-            maps = zip(*(batch.column(i).to_pylist() for i in range(4, 7)))
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([closed(to, m) for m in maps], pa.int64())],
-                                             ["id", "n_bytes", "n_tokens"])
-
-    shape = f"row long, id {kind}, n_bytes long, chunk int, head string, middle long, tail string"
-    mapped = chunks.mapInArrow(maps, shape)
+            found = [next((e["left"], e["n"]) for e in m if e["entry"] == start) for m in batch.column(2).to_pylist()]
+            counts = [n + to.rest(to._number(_state(left))) for left, n in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["id", "n_bytes", "n_tokens"])
+
+    entries = pa.list_(pa.struct([("entry", pa.string()), ("left", pa.string()), ("n", pa.int64())]))
+    shape = "row long, chunk int, entry string, left string, n long"
+    given = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "id", "n_bytes", "text")
+    cuts = given.mapInArrow(cut, f"row long, id {kind}, n_bytes long, chunk int, before string, text string").repartition("row", "chunk")
+    cuts = saved(cuts, "chunks")
+    chunks = cuts.select("row", "chunk", "before", "text")
+    maps = [saved(chunks.withColumn("entry", F.lit(None).cast("string")).mapInArrow(crossed, shape), "maps")]
+    while True:
+        every = functools.reduce(DataFrame.union, maps)
+        asked = every.select("row", (F.col("chunk") + 1).alias("chunk"), F.col("left").alias("entry")).distinct()
+        missing = saved(chunks.join(asked.join(every, ["row", "chunk", "entry"], "left_anti"), ["row", "chunk"]).mapInArrow(crossed, shape), "maps")
+        if missing.isEmpty():
+            break
+        maps.append(missing)
+    mapped = every.groupBy("row", "chunk").agg(F.collect_list(F.struct("entry", "left", "n")).alias("map"))
     for _ in range(LEVELS):
         runs = mapped.groupBy("row", F.floor(F.col("chunk") / RUN).cast("int").alias("chunk")).agg(
-            F.any_value("id").alias("id"), F.any_value("n_bytes").alias("n_bytes"),
-            F.array_sort(F.collect_list(F.struct(F.col("chunk").alias("at"), "head", "middle", "tail"))).alias("run"))
-        mapped = runs.select("row", "id", "n_bytes", "chunk", "run").mapInArrow(composed, shape)
-    return mapped.mapInArrow(ended, f"id {kind}, n_bytes long, n_tokens long")
-
-
-def _arrays(found: list[tuple[str, int | None, str]]) -> list[pa.Array]:
-    return [pa.array([m[0] for m in found], pa.string()), pa.array([m[1] for m in found], pa.int64()), pa.array([m[2] for m in found], pa.string())]
+            F.sort_array(F.collect_list(F.struct(F.col("chunk").alias("at"), "map"))).alias("run"))
+        mapped = runs.mapInArrow(composed, "row long, chunk int, map array<struct<entry: string, left: string, n: long>>")
+    heads = cuts.filter("chunk = 0").select("row", "id", "n_bytes")
+    out = saved(heads.join(mapped.select("row", "map"), "row").select("id", "n_bytes", "map").mapInArrow(ended, f"id {kind}, n_bytes long, n_tokens long"), "counts")
+    discard(cuts, missing, *maps)
+    return out
