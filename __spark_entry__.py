@@ -221,21 +221,7 @@ def q_terminal_history(spark, sf_dir):
     return dimensions.history(_snapshots(spark, sf_dir), "terminal_id", ["terminal_city"])
 
 
-def _blacklist_cells(t):
-    return t.blacklist.select(F.datediff("date", F.lit("1899-12-30").cast("date")).alias("date"),
-                              "passport", _excel_day("date").alias("_day"))
-
-
-def q_ingest_excel_stream(spark, sf_dir):
-    """The blacklist files through the xlsx stream (availableNow), twice."""
-    root = work_dir(spark, "excel-stream")
-    fixtures.write_workbooks(_blacklist_cells(_tables(spark, sf_dir)), f"{root}/drop", "passport_blacklist", "blacklist")
-    for _ in range(2):
-        file_ingest.start_excel(spark, f"{root}/drop", "*.xlsx", f"{root}/blacklist", excel.blacklist_rows, f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/blacklist").select("date", "passport", "load_date")
-
-
-def q_ingest_excel_sheets(spark, sf_dir):
+def _sheet_drops(spark, sf_dir, layout):
     """Workbooks with a terminals, a blacklist and an unknown sheet; dates as serials, dd.MM.yyyy and unreadable."""
     t = _tables(spark, sf_dir)
     key = F.substring("passport", 2, 20).cast("long")
@@ -249,9 +235,11 @@ def q_ingest_excel_sheets(spark, sf_dir):
     notes = snap.where(F.col("terminal_id").cast("int") % 25 == 0).select(
         F.lit("notes").alias("_sheet"), "_day", none.alias("date"), none.alias("passport"), none.alias("terminal_id"), none.alias("terminal_city"),
         F.col("terminal_id").alias("note"))
-    layout = daily.Layout(work_dir(spark, "excel-sheets"))
     fixtures.write_workbooks(black.unionByName(term).unionByName(notes).repartition("_day"), layout.drop, "terminals")
-    daily.load_sheets(spark, layout)
+
+
+def _sheet_rows(spark, layout):
+    """Rows of the tables that sheets feed, and of their quarantine."""
     bl = daily._stored(spark, layout.blacklist, schemas.LOADED_BLACKLIST)
     sn = daily.snapshots(spark, layout)
     qu = daily._stored(spark, layout.sheet_quarantine, schemas.SHEET_QUARANTINE)
@@ -260,6 +248,28 @@ def q_ingest_excel_sheets(spark, sf_dir):
             .unionByName(qu.select(F.lit("quarantine").alias("table_name"), F.col("reason").alias("a"), F.col("sheet").alias("b"), "load_date")))
 
 
+def q_ingest_excel_stream(spark, sf_dir):
+    """Workbooks of several sheets and a broken one through the xlsx stream, with ledger and archive; the stream runs
+    twice, and the batch path finds nothing left to load."""
+    layout = daily.Layout(work_dir(spark, "excel-stream"))
+    _sheet_drops(spark, sf_dir, layout)
+    first, _ = proxy.event_days(spark, sf_dir)
+    files.write_bytes(spark, f"{layout.drop}/terminals_{first:%d%m%Y}-broken.xlsx", b"not a workbook")
+    for _ in range(2):
+        stream_rules.finish(file_ingest.start_excel(spark, layout.drop, layout.blacklist, layout.terminal_snapshots, layout.sheet_quarantine,
+                                                    layout.ledger("sheets"), f"{layout.root}/checkpoint", archive_dir=layout.archive))
+    daily.load_sheets(spark, layout)
+    return _sheet_rows(spark, layout)
+
+
+def q_ingest_excel_sheets(spark, sf_dir):
+    """Workbooks with a terminals, a blacklist and an unknown sheet, loaded by the batch path."""
+    layout = daily.Layout(work_dir(spark, "excel-sheets"))
+    _sheet_drops(spark, sf_dir, layout)
+    daily.load_sheets(spark, layout)
+    return _sheet_rows(spark, layout)
+
+
 def q_terminal_history_incremental(spark, sf_dir):
     """D5 as daily runs build it: a first load of many snapshot days, then the last days one by one; some
     terminals vanish for two of these days and return."""

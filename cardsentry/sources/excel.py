@@ -103,6 +103,22 @@ def _cell_text(c, shared: list[str]) -> str | None:
     return v.text if kind in ("str", "e") else _fmt_number(v.text)
 
 
+def header_names(cells: list) -> list[str]:
+    """Column names of a header row: empty cells are numbered, and a repeated name gets .1, .2 and so on, so that no
+    column takes another one's place."""
+    given = [str(c).strip() if c is not None else f"col{i}" for i, c in enumerate(cells)]
+    out, times = [], {}
+    for name in given:
+        n = times.get(name, 0)
+        told = name if not n else f"{name}.{n}"
+        while n and (told in out or told in given):
+            n += 1
+            told = f"{name}.{n}"
+        times[name] = n + 1
+        out.append(told)
+    return out
+
+
 BROKEN = "broken_workbook"
 _CHUNK = 10_000
 
@@ -113,7 +129,7 @@ def _file_cells(name: str, content: bytes):
     try:
         for sheet, row_no, cells in sheet_rows(content):
             if sheet not in header:
-                header[sheet] = [str(c).strip() if c is not None else f"col{i}" for i, c in enumerate(cells)]
+                header[sheet] = header_names(cells)
                 continue
             h = header[sheet]
             m = {h[i] if i < len(h) else f"col{i}": (None if v is None else str(v)) for i, v in enumerate(cells)}

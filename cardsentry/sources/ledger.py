@@ -117,9 +117,9 @@ def archive(spark: SparkSession, path: str, archive_dir: str, name: str) -> str:
 
 
 def ingest_new(spark: SparkSession, drop_dir: str, pattern, ledger_dir: str, load_fn,
-               archive_dir: str | None = None, force: bool = False) -> list[str]:
+               archive_dir: str | None = None, force: bool = False, only: set[str] | None = None) -> list[str]:
     """Load drop files that are new or changed; ``load_fn(paths)`` replaces their rows and
-    returns per-file rows (file_name, business_date, n_good, n_bad, ...).
+    returns per-file rows (file_name, business_date, n_good, n_bad, ...). ``only``: names to look at.
 
     A file under a known name is a repeated delivery if its size and modification time, or its size and its lines
     (against the archived copy), are those of the last load: it is archived and not loaded again. Any other is a
@@ -129,7 +129,7 @@ def ingest_new(spark: SparkSession, drop_dir: str, pattern, ledger_dir: str, loa
     ledger = Ledger(spark, ledger_dir)
     ledger.recover()
     patterns = [pattern] if isinstance(pattern, str) else list(pattern)
-    found = list({f.path: f for p in patterns for f in files.list_files(spark, drop_dir, p)}.values())
+    found = [f for f in {f.path: f for p in patterns for f in files.list_files(spark, drop_dir, p)}.values() if only is None or f.name in only]
     if not found:
         return []
     given = spark.createDataFrame([(f.name, f.path, f.size, f.mtime) for f in found], FOUND)

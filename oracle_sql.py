@@ -283,6 +283,13 @@ _SNAPSHOTS = """
           ON d.load_date >= CAST(t.effective_from AS DATE) AND CAST(d.load_date AS TIMESTAMP) < t.effective_to
     )"""
 
+_SHEETS = """
+            SELECT 'blacklist' AS table_name, passport AS a, CAST(date AS VARCHAR) AS b, date AS load_date FROM blacklist
+            WHERE CAST(substr(passport, 2) AS BIGINT) % 10 <> 1
+            UNION ALL SELECT 'quarantine', 'date', 'blacklist', date FROM blacklist WHERE CAST(substr(passport, 2) AS BIGINT) % 10 = 1
+            UNION ALL SELECT 'terminals', terminal_id, terminal_city, load_date FROM snapshots
+            UNION ALL SELECT 'quarantine', 'unknown_sheet', 'notes', load_date FROM snapshots WHERE CAST(terminal_id AS INTEGER) % 25 = 0"""
+
 # Four deliveries: by the operation's time and up to two days more.
 _DELIVERED = """
     , delivered AS (
@@ -356,14 +363,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT date, passport, date AS load_date FROM blacklist""",
         "ingest_excel_terminals": PROXY + _SNAPSHOTS + """
             SELECT terminal_id, terminal_city, load_date FROM snapshots""",
-        "ingest_excel_stream": PROXY + """
-            SELECT date, passport, date AS load_date FROM blacklist""",
-        "ingest_excel_sheets": PROXY + _SNAPSHOTS + """
-            SELECT 'blacklist' AS table_name, passport AS a, CAST(date AS VARCHAR) AS b, date AS load_date FROM blacklist
-            WHERE CAST(substr(passport, 2) AS BIGINT) % 10 <> 1
-            UNION ALL SELECT 'quarantine', 'date', 'blacklist', date FROM blacklist WHERE CAST(substr(passport, 2) AS BIGINT) % 10 = 1
-            UNION ALL SELECT 'terminals', terminal_id, terminal_city, load_date FROM snapshots
-            UNION ALL SELECT 'quarantine', 'unknown_sheet', 'notes', load_date FROM snapshots WHERE CAST(terminal_id AS INTEGER) % 25 = 0""",
+        "ingest_excel_stream": PROXY + _SNAPSHOTS + _SHEETS + """
+            UNION ALL SELECT 'quarantine', 'broken_workbook', NULL, min(CAST(ts AS DATE)) FROM events""",
+        "ingest_excel_sheets": PROXY + _SNAPSHOTS + _SHEETS,
         "terminal_history_incremental": PROXY + _HISTORY.replace("        FROM snapshots\n    ),", """        FROM (SELECT * FROM snapshots WHERE NOT (CAST(terminal_id AS INTEGER) % 7 = 3 AND load_date
               - (SELECT min(CAST(ts AS DATE)) FROM events) IN (26, 27)))
     ),"""),

@@ -152,19 +152,64 @@ def test_xlsx_writer_round_trip(spark, tmp_path):
                    ("T2", "Shelby & Co <x>", None, dt.date(2024, 3, 1))]
 
 
-def test_stream_excel_ingest_and_stamp(spark, tmp_path):
+def test_stream_excel_keeps_all_sheets_ledger_and_archive(spark, tmp_path):
+    from cardsentry import schemas
+    from cardsentry.plans import daily
+
+    layout = daily.Layout(str(tmp_path))
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    black = pd.DataFrame({"date": [45352, 45353, "soon"], "passport": ["2222 000001", "2222 000002", "2222 000003"]})
+    term = pd.DataFrame({"terminal_id": ["T1"], "terminal_city": ["Springfield"]})
+    (drop / "passport_blacklist_02032024.xlsx").write_bytes(
+        fixtures.xlsx_bytes({"blacklist": black, "terminals": term, "notes": pd.DataFrame({"x": ["y"]})}))
+    (drop / "terminals_02032024.xlsx").write_bytes(b"not a workbook")
+
+    def run():
+        q = file_ingest.start_excel(spark, layout.drop, layout.blacklist, layout.terminal_snapshots, layout.sheet_quarantine,
+                                    layout.ledger("sheets"), str(tmp_path / "ck"), archive_dir=layout.archive)
+        q.awaitTermination()
+        assert q.exception() is None
+        bl = daily._stored(spark, layout.blacklist, schemas.LOADED_BLACKLIST).collect()
+        qu = daily._stored(spark, layout.sheet_quarantine, schemas.SHEET_QUARANTINE).collect()
+        return sorted((r.passport, str(r.date)) for r in bl), sorted((r.src_file, r.reason) for r in qu), bl
+
+    passports, bad, rows = run()
+    assert passports == [("2222 000001", "2024-03-01"), ("2222 000002", "2024-03-02")]
+    assert bad == [("passport_blacklist_02032024.xlsx", "date"), ("passport_blacklist_02032024.xlsx", "unknown_sheet"),
+                   ("terminals_02032024.xlsx", "broken_workbook")]
+    assert [(r.terminal_id, r.terminal_city) for r in daily.snapshots(spark, layout).collect()] == [("T1", "Springfield")]
+    assert {(r.effective_from, r.effective_to, r.deleted_flg) for r in rows} == {(ts("2024-03-02 00:00:00"), ts("2024-03-03 00:00:00"), 0)}
+    assert sorted(p.name for p in (tmp_path / "archive").iterdir() if p.suffix == ".backup") == [
+        "passport_blacklist_02032024.xlsx.backup", "terminals_02032024.xlsx.backup"]
+    assert not [p for p in drop.iterdir() if p.suffix == ".xlsx"]
+    assert daily.load_sheets(spark, layout) == []           # the batch path knows what the stream has loaded
+    # a corrected workbook under a known name replaces the rows of the earlier one when a new one comes
+    (drop / "terminals_03032024.xlsx").write_bytes(fixtures.xlsx_bytes({"terminals": term}))
+    (drop / "passport_blacklist_02032024.xlsx").write_bytes(fixtures.xlsx_bytes({"blacklist": black.iloc[1:2]}))
+    passports, bad, _ = run()
+    assert passports == [("2222 000002", "2024-03-02")] and bad == [("terminals_02032024.xlsx", "broken_workbook")]
+
+
+def test_repeated_headers_keep_their_columns(spark, tmp_path):
+    assert excel.header_names(["a", "b", "a", None, "a", " b "]) == ["a", "b", "a.1", "col3", "a.2", "b.1"]
+    assert excel.header_names(["a", "a", "a.1", "a"]) == ["a", "a.2", "a.1", "a.3"]
+    given = pd.DataFrame([["T1", "Springfield", "A", "B"]], columns=["terminal_id", "terminal_city", "note", "note"])
+    (tmp_path / "terminals_01032024.xlsx").write_bytes(fixtures.xlsx_bytes({"terminals": given}))
+    assert excel.terminal_rows(excel.read_cells(spark, str(tmp_path))).first().extra == {"note": "A", "note.1": "B"}
+
+
+def test_stream_records_files_without_lines(spark, tmp_path):
+    from cardsentry.sources.ledger import Ledger
+
     drop = tmp_path / "drop"
     drop.mkdir()
-    pdf = pd.DataFrame({"date": [45352, 45353], "passport": ["2222 000001", "2222 000002"]})
-    (drop / "passport_blacklist_02032024.xlsx").write_bytes(fixtures.xlsx_bytes({"blacklist": pdf}))
-    q = file_ingest.start_excel(spark, str(drop), "*.xlsx", str(tmp_path / "t"), excel.blacklist_rows,
-                                str(tmp_path / "ck"))
-    q.awaitTermination()
-    rows = spark.read.parquet(str(tmp_path / "t")).collect()
-    assert sorted(r.passport for r in rows) == ["2222 000001", "2222 000002"]
-    r = rows[0]
-    assert (r.effective_from, r.effective_to, r.deleted_flg) == (
-        ts("2024-03-02 00:00:00"), ts("2024-03-03 00:00:00"), 0)
+    (drop / "transactions_01032024.txt").write_text("")
+    for _ in range(2):
+        file_ingest.run_available(spark, str(drop), str(tmp_path / "t"), str(tmp_path / "q"), str(tmp_path / "ck"),
+                                  ledger_dir=str(tmp_path / "ledger"), archive_dir=str(tmp_path / "archive"))
+    assert [(r.file_name, r.n_good, r.n_bad) for r in Ledger(spark, str(tmp_path / "ledger")).table().collect()] == [("transactions_01032024.txt", 0, 0)]
+    assert [p.name for p in (tmp_path / "archive").iterdir() if p.suffix == ".backup"] == ["transactions_01032024.txt.backup"]
 
 
 def test_seed_csv_overwrite_is_idempotent(spark, tmp_path):

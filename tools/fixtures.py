@@ -145,7 +145,8 @@ def write_workbooks(df: DataFrame, drop_dir: str, prefix: str, sheet: str | None
     """Write ``df`` as ``<prefix>_DDMMYYYY-<task>.xlsx`` files (one sheet ``sheet``, or a sheet per value
     of column ``_sheet`` with the columns it uses); returns their number.
 
-    For fixtures: tasks build the workbooks, which are written one by one through the Hadoop file system.
+    Tasks build the workbooks and write them to the shared folder themselves, under names that a repeated task
+    overwrites; only their number comes back.
     """
     cols = [c for c in df.columns if c not in (day_col, "_sheet")]
 
@@ -160,10 +161,21 @@ def write_workbooks(df: DataFrame, drop_dir: str, prefix: str, sheet: str | None
         parts = list(batches)
         if parts:
             for day, g in pd.concat(parts).groupby(day_col):
-                yield pd.DataFrame({"name": [f"{prefix}_{day}-{pid:05d}.xlsx"], "content": [xlsx_bytes(sheets(g))]})
+                name = f"{prefix}_{day}-{pid:05d}.xlsx"
+                _write(f"{drop_dir.rstrip('/')}/{name}", xlsx_bytes(sheets(g)))
+                yield pd.DataFrame({"name": [name]})
 
-    n = 0
-    for r in df.mapInPandas(build, "name string, content binary").toLocalIterator():
-        files.write_bytes(df.sparkSession, f"{drop_dir.rstrip('/')}/{r.name}", bytes(r.content))
-        n += 1
-    return n
+    return df.mapInPandas(build, "name string").count()
+
+
+def _write(path: str, content: bytes) -> None:
+    """Writes a file of the shared folder from a task: aside first, then moved to its name."""
+    from pyarrow import fs
+
+    store, place = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    folder, name = place.rsplit("/", 1)
+    store.create_dir(folder, recursive=True)
+    aside = f"{folder}/.{name}.tmp"
+    with store.open_output_stream(aside) as out:
+        out.write(content)
+    store.move(aside, place)
