@@ -10,7 +10,8 @@ point is finished by the next one.
 
 Days to rebuild and partitions to read come from the operation times that the
 ledger holds for every file, so an operation dated before or after its file's
-day is reported on its own day.
+day is reported on its own day. New sheets rebuild only the days on which an
+operation is judged otherwise than when the mart was built (plans/changes.py).
 
 Layout under one root folder (shared storage):
   drop/                 incoming transactions_*.txt, passport_blacklist_*.xlsx, terminals_*.xlsx
@@ -23,6 +24,7 @@ Layout under one root folder (shared storage):
   sheet_quarantine/     unknown sheets, unreadable rows, broken workbooks
   terminals/            terminal versions, and in _state what they include
   mart/                 report rows partitioned by report_date
+  mart_dims/            block dates and terminal versions that the mart was built with
   ledger/<kind>/        processed-files ledgers
 """
 
@@ -37,6 +39,7 @@ from pyspark.sql import functions as F
 
 from cardsentry import schemas
 from cardsentry.operators import dimensions
+from cardsentry.plans import changes
 from cardsentry.plans import report as plan
 from cardsentry.session import checkpoint_root
 from cardsentry.sources import excel, files, seed
@@ -53,7 +56,7 @@ class Layout:
 
     def __getattr__(self, name):
         if name in ("drop", "archive", "seed", "transactions", "quarantine", "blacklist",
-                    "terminal_snapshots", "sheet_quarantine", "terminals", "mart"):
+                    "terminal_snapshots", "sheet_quarantine", "terminals", "mart", "mart_dims"):
             return f"{self.root.rstrip('/')}/{name}"
         raise AttributeError(name)
 
@@ -183,22 +186,34 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
     names = [r["file_name"] for r in new_ops]
     # days of the operations of pending files, also of what they held before they were corrected
     span = all_ops.where(F.col("file_name").isin(names)).agg(F.min("first_op"), F.max("last_op")).first() if names else (None, None)
-    starts = [_day(d) for d in [span[0], *(r["business_date"] for r in [*new_ops, *new_sheets])] if d is not None]
-    if not starts:
-        return []
-    lo, hi = min(starts), max(starts)
-    if span[1] is not None:     # the lookback of the next day's rules reaches into the last day
-        hi = max(hi, min(_day(span[1]) + dt.timedelta(days=1), last or hi))
-    if new_sheets and last is not None:     # a blacklist or terminal file changes its day and every later one
-        hi = max(hi, last)
-    window = (dt.datetime.combine(lo, dt.time()), dt.datetime.combine(hi + dt.timedelta(days=1), dt.time()))
+    dims_known = changes.known(spark, layout.mart_dims)
+    touched: set[dt.date] = set()
     lookback = dt.timedelta(microseconds=plan.max_lookback({}))
-    # the load days of all files with operations in the window or its lookback
-    held = ops.latest().where((F.col("last_op") >= F.lit(window[0] - lookback)) & (F.col("first_op") < F.lit(window[1])))
-    load_days = held.agg(F.min("business_date"), F.max("business_date")).first()
-    t = tables(spark, layout, tuple(load_days) if load_days[0] is not None else None)
-    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
-    plan.replace_days(plan.daily_mart(t, report_dt=report_dt, window=window), layout.mart, days)
+    if new_sheets and dims_known:
+        touched = changes.touched_days(spark, layout.mart_dims, tables(spark, layout), lookback)
+    # without that knowledge a blacklist or terminal file may change its day and every later one
+    sheet_days = [] if dims_known else [r["business_date"] for r in new_sheets]
+    starts = [_day(d) for d in [span[0], *(r["business_date"] for r in new_ops), *sheet_days] if d is not None]
+    days = set(touched)
+    if starts:
+        lo, hi = min(starts), max(starts)
+        if span[1] is not None:     # the lookback of the next day's rules reaches into the last day
+            hi = max(hi, min(_day(span[1]) + dt.timedelta(days=1), last or hi))
+        if sheet_days and last is not None:
+            hi = max(hi, last)
+        days |= {lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)}
+    if days:
+        days = sorted(days)
+        window = (dt.datetime.combine(days[0], dt.time()), dt.datetime.combine(days[-1] + dt.timedelta(days=1), dt.time()))
+        # the load days of all files with operations in the window or its lookback
+        held = ops.latest().where((F.col("last_op") >= F.lit(window[0] - lookback)) & (F.col("first_op") < F.lit(window[1])))
+        load_days = held.agg(F.min("business_date"), F.max("business_date")).first()
+        t = tables(spark, layout, tuple(load_days) if load_days[0] is not None else None)
+        t.transactions = changes.of_days(t.transactions, days, lookback)
+        mart = plan.daily_mart(t, report_dt=report_dt, window=window)
+        plan.replace_days(mart.where(F.col("report_date").isin([F.lit(d.isoformat()).cast("date") for d in days])), layout.mart, days)
+    if new_sheets or not dims_known:
+        changes.store(spark, layout.mart_dims, tables(spark, layout))
     ops.mark_reported(new_ops)
     sheets.mark_reported(new_sheets)
-    return days
+    return list(days)
