@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 import oracle_sql as _oracle
 from cardsentry import schemas
 from cardsentry.operators import dimensions, rules
-from cardsentry.operators.enrich import enrich, enrich_narrow, with_city
+from cardsentry.operators.enrich import enrich, enrich_narrow, with_city, with_city_chunked
 from cardsentry.plans import adhoc, daily
 from cardsentry.plans import report as plan
 from cardsentry.session import apply_required, work_dir
@@ -82,6 +82,21 @@ def q_point_in_time_city(spark, sf_dir):
     return with_city(tx, t.terminals, point_in_time=True)
 
 
+def q_point_in_time_city_many_versions(spark, sf_dir):
+    """Cities when one terminal has a tenth of all operations and a new version every five minutes."""
+    t = _tables(spark, sf_dir)
+    hot = F.col("transaction_id").cast("long") % 10 == 0
+    tx = t.transactions.select("transaction_id", "transaction_date", F.when(hot, F.lit("hot")).otherwise(F.col("terminal")).alias("terminal"))
+    first, last = proxy.event_days(spark, sf_dir)
+    from_, to = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in (first, last + datetime.timedelta(days=1)))
+    five = F.expr("INTERVAL '5' MINUTE")
+    # a version names the nation whose key is its number's remainder
+    starts = F.filter(F.sequence(from_, to, five), lambda x, i: i % 25 == F.col("n_nationkey"))
+    versions = proxy._read(spark, sf_dir, "nation").select(F.lit("hot").alias("terminal_id"), F.col("n_name").alias("terminal_city"), F.explode(starts).alias("effective_from"))
+    versions = versions.withColumn("effective_to", F.col("effective_from") + five)
+    return with_city_chunked(tx, t.terminals.unionByName(versions))
+
+
 def q_different_cities(spark, sf_dir):
     t, ev = _enriched(spark, sf_dir)
     return rules.different_cities(ev, t.terminals, report_dt=REPORT_DT)
@@ -475,6 +490,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "overdue_passport": q_overdue_passport,
         "invalid_contract": q_invalid_contract,
         "point_in_time_city": q_point_in_time_city,
+        "point_in_time_city_many_versions": q_point_in_time_city_many_versions,
         "different_cities": q_different_cities,
         "different_cities_all_versions": q_different_cities_all_versions,
         "amount_probing": q_amount_probing,

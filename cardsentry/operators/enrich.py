@@ -10,7 +10,7 @@ repeated blacklist rows cannot fan out the operations.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.operators.sizing import broadcast_if_bounded, broadcast_if_small
@@ -114,3 +114,41 @@ def with_city(events: DataFrame, terminals: DataFrame, point_in_time: bool = Tru
     if point_in_time and has_validity:
         cond = cond & (events[ts] >= t["_tfrom"]) & (events[ts] < t["_tto"])
     return events.join(t, cond).drop("_tid", "_tfrom", "_tto")
+
+
+def version_chunks(versions: DataFrame, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Terminal versions dealt to chunks of time that hold about `chunk` version starts each.
+
+    Returns (terminal, starts): when each chunk of a terminal begins, rising; and (terminal, chunk, versions' columns):
+    every version in each chunk that its validity meets. A chunk thus holds `chunk` versions and those still valid
+    when it begins.
+    """
+    order = Window.partitionBy("_tid").orderBy("_tfrom", "_tto", "terminal_city")
+    numbered = versions.withColumn("_n", F.row_number().over(order))
+    starts = numbered.where((F.col("_n") - 1) % chunk == 0).groupBy("_tid").agg(F.array_sort(F.collect_set("_tfrom")).alias("_starts"))
+    held = versions.join(starts, "_tid")
+    last = F.greatest(chunk_of("_starts", "_tfrom"), chunk_of("_starts", "_tto", before=True))
+    dealt = held.withColumn("_chunk", F.explode(F.sequence(chunk_of("_starts", "_tfrom"), last)))
+    return starts, dealt.drop("_starts")
+
+
+def chunk_of(starts: str, ts: str, before: bool = False) -> Column:
+    """Number of chunks that begin at or before a time (`before`: before it)."""
+    return F.size(F.filter(starts, lambda s: (s < F.col(ts)) if before else (s <= F.col(ts))))
+
+
+def with_city_chunked(events: DataFrame, terminals: DataFrame, chunk: int = 32, ts: str = "transaction_date", terminal: str = "terminal") -> DataFrame:
+    """``with_city`` at the operation time for terminals with very many versions: same rows.
+
+    An operation first finds its chunk in its terminal's list of chunk starts (one row per terminal), then meets only
+    the versions of that chunk, by an equi-join on (terminal, chunk). Neither join multiplies operations by versions,
+    and a hot terminal's operations spread over its chunks in the second one.
+    """
+    t = terminals.select(F.col("terminal_id").alias("_tid"), "terminal_city", F.col("effective_from").alias("_tfrom"), F.col("effective_to").alias("_tto"))
+    t = t.where("_tid IS NOT NULL AND _tfrom < _tto")
+    starts, dealt = version_chunks(t, chunk)
+    starts = broadcast_if_small(starts)
+    placed = events.join(starts, events[terminal] == starts["_tid"]).withColumn("_at", chunk_of("_starts", ts)).drop("_tid", "_starts")
+    dealt = broadcast_if_small(dealt)
+    met = (placed[terminal] == dealt["_tid"]) & (placed["_at"] == dealt["_chunk"]) & (placed[ts] >= dealt["_tfrom"]) & (placed[ts] < dealt["_tto"])
+    return placed.join(dealt, met).drop("_tid", "_tfrom", "_tto", "_chunk", "_at")

@@ -397,6 +397,19 @@ def oracle_sql() -> dict[str, str]:
                        AND v.effective_from <= t.transaction_date AND t.transaction_date < v.effective_to)
                    AS terminal_city
             FROM transactions t""",
+        "point_in_time_city_many_versions": PROXY + """
+            , first AS (SELECT CAST(min(CAST(ts AS DATE)) AS TIMESTAMP) AS at FROM events),
+            hot AS (
+                SELECT transaction_id, transaction_date, CASE WHEN CAST(transaction_id AS BIGINT) % 10 = 0 THEN 'hot' ELSE terminal END AS terminal
+                FROM transactions
+            )
+            SELECT h.transaction_id, h.transaction_date, h.terminal,
+                   (SELECT n_name FROM nation, first
+                     WHERE n_nationkey = (epoch_us(h.transaction_date) - epoch_us(first.at)) // 300000000 % 25) AS terminal_city
+            FROM hot h WHERE h.terminal = 'hot'
+            UNION ALL
+            SELECT h.transaction_id, h.transaction_date, h.terminal, v.terminal_city
+            FROM hot h JOIN terminals v ON v.terminal_id = h.terminal AND v.effective_from <= h.transaction_date AND h.transaction_date < v.effective_to""",
         "different_cities": PROXY + _r3(rd, True),
         "different_cities_all_versions": PROXY + _r3(rd, False),
         "amount_probing": PROXY + _r4(rd, H72),
