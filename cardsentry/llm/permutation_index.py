@@ -1,10 +1,13 @@
 """Approximate nearest neighbours by a permutation index.
 
-PIVOTS vectors, from a bounded sample, are the pivots. Every vector is represented by its pivots in order of
-distance, and posted in the inverted files of its POSTED nearest ones. A query probes the files of its PROBED
-nearest pivots; the vectors found there are ranked by the footrule distance between the two orders (the sum, over
-pivots, of how far a pivot's place differs), and the best RERANKED of a query are ranked again by their exact
-distance. All vectors are indexed. A vector met in several files counts in the one that the query probes first.
+Pivots are vectors of a bounded sample; their number grows with the square root of the table's (`pivots_for`), so that
+clusters of any size hold several. Every vector is represented by its PREFIX nearest pivots in order of distance, and
+posted in the inverted files of its POSTED nearest ones. A query probes the files of its PROBED nearest pivots; the
+vectors found there are ranked by the footrule distance between the two prefixes (the sum, over the pivots of either,
+of how far a pivot's place differs; one that is missing counts as the place after the last), and the best of a query
+(`reranked_for`, growing like the pivots) are ranked again by their exact distance. All vectors are indexed. A vector
+met in several files counts in the one that the query probes first. Every pivot is posted in its own file, so a query
+meets at least PROBED vectors (its own may be one), or all where there are fewer pivots.
 
 Copies are one vector: each distinct vector is posted, ranked and reranked once, with its k + 1 least ids, and ids
 are told apart only after scoring. No result needs more: k of those ids are not the query's own.
@@ -14,12 +17,14 @@ pivot likewise (QUERY_BLOCK); a task holds one block of each.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part, nor do
 vectors of another dimension than most of the sample; null ids take no part; rows that repeat id and vector count
-once, rows with the same id and another vector are candidates of their own; ties go to the smaller id; pivots and
+once, rows with the same id and another vector are each a candidate for all other ids and, as a query,
+gives ranks of its own; ties go to the smaller id; pivots and
 sample are of distinct vectors; an empty table gives no rows; only the id and vector columns are read.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -31,10 +36,11 @@ from pyspark.sql import Window
 from cardsentry.llm.common import saved
 
 SAMPLE = 4096  # vectors, those with the least hash of their id, that pivots come from
-PIVOTS = 256  # at most 256, as a place in the order is one byte
-POSTED = 16
-PROBED = 16
-RERANKED = 600
+PIVOTS = 256  # at least, if there are as many vectors
+PREFIX = 128
+POSTED = 32
+PROBED = 32
+RERANKED = 1000  # at least
 FILE_BLOCK = 4096
 QUERY_BLOCK = 256
 COPY_PARTS = 16  # groups of copies are dealt to so many tasks before they meet
@@ -58,7 +64,17 @@ def distinct_vectors(rows: DataFrame, n: int) -> DataFrame:
     return out.select("vec", "ids", F.get("ids", 0).alias("id"), second.alias("second")).withColumn("row", F.monotonically_increasing_id())
 
 
-def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray:
+def pivots_for(n: int) -> int:
+    """Pivots of `n` vectors: eight times the square root, within PIVOTS and SAMPLE."""
+    return min(SAMPLE, max(PIVOTS, 8 * math.isqrt(n)))
+
+
+def reranked_for(n: int) -> int:
+    """Candidates of a query that are ranked by exact distance: six times the square root of `n`, at least RERANKED."""
+    return max(RERANKED, 6 * math.isqrt(n))
+
+
+def choose_pivots(rows: DataFrame, n: int) -> np.ndarray:
     """Up to `n` different vectors, in double precision, from the SAMPLE rows with the least hash of their id."""
     sample = rows.orderBy(F.xxhash64("id"), "id", "vec").limit(SAMPLE).select("vec").collect()
     if not sample:
@@ -68,32 +84,29 @@ def choose_pivots(rows: DataFrame, n: int = PIVOTS) -> np.ndarray:
     return np.array(list(different)[:n])
 
 
-def permute(rows: DataFrame, pivots: np.ndarray, carry: list[str]) -> DataFrame:
-    """`carry`, order (binary: pivots, nearest first) and places (binary: each pivot's place in the order)."""
-    norms = (pivots**2).sum(axis=1)
+def permute(rows: DataFrame, pivots: np.ndarray, carry: list[str], prefix: int = PREFIX) -> DataFrame:
+    """`carry` and order (binary: the numbers of the nearest pivots, nearest first, two bytes each)."""
+    norms, n = (pivots**2).sum(axis=1), min(prefix, len(pivots))
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 x = np.array(part.column(len(carry)).to_pylist(), dtype=float).reshape(part.num_rows, -1)
-                order = np.argsort(norms - 2 * (x @ pivots.T), axis=1, kind="stable").astype(np.uint8)
-                places = np.empty_like(order)
-                np.put_along_axis(places, order.astype(np.intp), np.broadcast_to(np.arange(order.shape[1], dtype=np.uint8), order.shape), axis=1)
+                order = np.argsort(norms - 2 * (x @ pivots.T), axis=1, kind="stable")[:, :n].astype(">u2")
                 columns = [part.column(i) for i in range(len(carry))]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([o.tobytes() for o in order], pa.binary()), pa.array([p.tobytes() for p in places], pa.binary())],
-                                                 [*carry, "order", "places"])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([o.tobytes() for o in order], pa.binary())], [*carry, "order"])
 
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carry)
-    return rows.filter(F.size("vec") == pivots.shape[1]).select(*carry, "vec").mapInArrow(run, f"{kinds}, order binary, places binary")
+    return rows.filter(F.size("vec") == pivots.shape[1]).select(*carry, "vec").mapInArrow(run, f"{kinds}, order binary")
 
 
-def _byte(column: str, i: Column) -> Column:
-    return F.conv(F.hex(F.substring(column, i + 1, F.lit(1))), 16, 10).cast("int")
+def _pivot(column: str, i: Column) -> Column:
+    return F.conv(F.hex(F.substring(column, 2 * i + 1, F.lit(2))), 16, 10).cast("int")
 
 
 def _posted(permuted: DataFrame, n: int, n_pivots: int) -> DataFrame:
-    nearest = F.transform(F.sequence(F.lit(0), F.lit(min(n, n_pivots) - 1)), lambda i: _byte("order", i))
+    nearest = F.transform(F.sequence(F.lit(0), F.lit(min(n, n_pivots) - 1)), lambda i: _pivot("order", i))
     return permuted.withColumn("pivot", F.explode(nearest))
 
 
@@ -105,39 +118,44 @@ def _dealt(rows: DataFrame, own: str, own_blocks: str, other_blocks: str, key: s
 
 
 def search(vectors: DataFrame, queries: Column, k: int = 10, *, id_column: str = "vec_id", vector_column: str = "embedding",
-           posted: int = POSTED, probed: int = PROBED, reranked: int = RERANKED) -> DataFrame:
+           posted: int = POSTED, probed: int = PROBED, prefix: int = PREFIX, reranked: int | None = None) -> DataFrame:
     """The `k` nearest found of every query: query_id, rank (from 1), the id column's name, score (Euclidean).
 
     `queries` is a condition on the column `id`; candidates are all rows with another id.
     """
     given = saved(usable(vectors, id_column, vector_column), "given")
     rows = saved(distinct_vectors(given, k + 1), "vectors")
-    pivots = choose_pivots(rows)
+    n_rows = rows.count()
+    pivots, reranked = choose_pivots(rows, pivots_for(n_rows)), reranked or reranked_for(n_rows)
     if not len(pivots):
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias(id_column), F.lit(0.0).alias("score")).limit(0)
     n_pivots = len(pivots)
-    permuted = saved(permute(rows, pivots, ["row", "id", "second"]), "permutations")
-    entries = _posted(permuted, posted, n_pivots).select("pivot", "row", "id", "second", "places")
+    posted, probed, prefix = (min(x, n_pivots) for x in (posted, probed, max(prefix, posted, probed)))
+    permuted = saved(permute(rows, pivots, ["row", "id", "second"], prefix), "permutations")
+    entries = _posted(permuted, posted, n_pivots).select("pivot", "row", "id", "second", "order")
     asked = given.filter(queries)
-    probes = _posted(saved(permute(asked, pivots, ["row", "id"]), "queries"), probed, n_pivots).select("pivot", F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("order").alias("q_order"), F.col("places").alias("q_places"))
+    probes = _posted(saved(permute(asked, pivots, ["row", "id"], prefix), "queries"), probed, n_pivots).select("pivot", F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("order").alias("q_order"))
     blocks = lambda rows, name, most: rows.groupBy("pivot").agg(F.ceil(F.count("*") / most).cast("long").alias(name))
-    # at most PIVOTS rows
+    # at most SAMPLE rows
     sizes = F.broadcast(saved(blocks(entries, "vblocks", FILE_BLOCK).join(blocks(probes, "qblocks", QUERY_BLOCK), "pivot"), "files"))
-    left = _dealt(entries.join(sizes, "pivot"), "vblock", "vblocks", "qblocks", "row").select("pivot", "vblock", "qblock", "row", "id", "second", "places")
-    right = _dealt(probes.join(sizes, "pivot"), "qblock", "qblocks", "vblocks", "query").select("pivot", "vblock", "qblock", "query", "query_id", "q_order", "q_places")
+    left = _dealt(entries.join(sizes, "pivot"), "vblock", "vblocks", "qblocks", "row").select("pivot", "vblock", "qblock", "row", "id", "second", "order")
+    right = _dealt(probes.join(sizes, "pivot"), "qblock", "qblocks", "vblocks", "query").select("pivot", "vblock", "qblock", "query", "query_id", "q_order")
 
     def ranked(key, files: pa.Table, asking: pa.Table) -> pa.Table:
         pivot = key[0].as_py()
         out = {"query": [], "query_id": [], "row": [], "id": [], "footrule": []}
         if files.num_rows:
-            places = np.frombuffer(b"".join(files.column("places").to_pylist()), np.uint8).reshape(files.num_rows, n_pivots)
-            wide, own = places.astype(np.int16), files.column("row").to_numpy()
-            first, second = files.column("id").to_numpy(), files.column("second").to_numpy()
-            for query, query_id, order, q_places in zip(*(asking.column(c).to_pylist() for c in ("query", "query_id", "q_order", "q_places"))):
-                earlier = np.frombuffer(order, np.uint8)[: np.frombuffer(q_places, np.uint8)[pivot]]
+            orders = np.frombuffer(b"".join(files.column("order").to_pylist()), ">u2").reshape(files.num_rows, prefix).astype(np.int32)
+            own, first, second = (files.column(c).to_numpy() for c in ("row", "id", "second"))
+            places, absent = np.arange(prefix, dtype=np.int32), prefix * (prefix + 1) // 2
+            for query, query_id, order in zip(*(asking.column(c).to_pylist() for c in ("query", "query_id", "q_order"))):
+                place = np.full(n_pivots, prefix, np.int32)  # of each pivot in the query's order
+                place[np.frombuffer(order, ">u2")] = places
                 ids = np.where(first == query_id, second, first)  # the least that is not the query's, if there is one
-                here = np.flatnonzero((ids != query_id) & ~(places[:, earlier] < posted).any(axis=1))
-                far = np.abs(wide[here] - np.frombuffer(q_places, np.uint8).astype(np.int16)).sum(axis=1, dtype=np.int32)
+                here = np.flatnonzero((ids != query_id) & ~(place[orders[:, :posted]] < place[pivot]).any(axis=1))
+                there = place[orders[here]]
+                # pivots of the query that the vector misses, too: all of the query's less those they share
+                far = np.abs(there - places).sum(axis=1) + absent - (prefix - there).sum(axis=1)
                 best = np.lexsort((own[here], ids[here], far))[:reranked]
                 out["query"].append(np.full(len(best), query)), out["query_id"].append(np.full(len(best), query_id))
                 out["row"].append(own[here][best]), out["id"].append(ids[here][best]), out["footrule"].append(far[best])

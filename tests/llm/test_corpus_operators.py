@@ -292,6 +292,22 @@ def test_neighbours_recall(spark):
     assert found >= 0.9 * 300
 
 
+def test_neighbours_in_tight_clusters(spark):
+    rng = np.random.default_rng(12)
+    x = np.repeat(rng.normal(size=(10, 32)) * 5, 1500, axis=0) + 0.05 * rng.normal(size=(15_000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+    got = {}
+    for r in permutation_index.search(df, permutation_index.F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(got) == 150
+    found = 0
+    for q, g in got.items():
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        found += len(g & set(np.argsort(far)[:10].tolist()))
+    assert found >= 0.95 * 1500
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(100, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = permutation_index.search(df, permutation_index.F.col("id") % 100 == 0).collect()
