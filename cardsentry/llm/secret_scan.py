@@ -1,8 +1,10 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is scanned with the three base patterns. Its encoded parts are then unwrapped: words with URL escapes, words
-with Unicode escapes, and base64 runs that decode to text or to compressed text. Every unwrapped layer is scanned and
-searched for encoded parts in turn, until nothing new appears; a layer already met at the same place ends its branch
+with Unicode escapes, and base64 runs, read from each of their first four characters, as characters in front of one
+shift it. What a run decodes or unfolds to is read as UTF-8, or else byte by byte (all patterns and escapes are ASCII), and
+its stretches of ASCII in UTF-16 apart; control characters do not matter. A layer without a stretch of LEAST_TEXT ASCII
+characters cannot hold a find or an encoded part and is left out. Every unwrapped layer is scanned and searched for encoded parts in turn, until nothing new appears; a layer already met at the same place ends its branch
 (cycle detection). Words with escapes are unwrapped both alone and together with the words around them, as a key, its
 sign and its value may stand in three words. Base64 lines of equal length (but for the first and last) are unwrapped both
 alone and as one run; gzip and zlib data is unfolded member after member. Each character of a layer knows the stretch of the original text that it came from, so that finds
@@ -55,7 +57,10 @@ _BREAK = re.compile(r"[ \t]*(?:\r\n?|\n)[ \t]*")
 _LINES = tuple((re.compile(rf"(?<![{x}])[{x}]{{16,}}={{0,2}}"), re.compile(rf"[ \t]*(?:\r\n?|\n)[ \t]*([{x}]{{1,15}}={{0,2}})(?![={x}])")) for x in ("A-Za-z0-9+/", "A-Za-z0-9+/_-"))
 _WORD = re.compile(r"\S+")
 _AROUND = 2  # words on each side: a match of three words holds an unwrapped one
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ufffd]")
+LEAST_TEXT = 8  # any match, escape with its value, or base64 run is longer
+_SPOKEN = re.compile(r"[\x09\x0a\x0d\x20-\x7e]{%d}" % LEAST_TEXT)
+_WIDE = tuple((re.compile(p % LEAST_TEXT, re.S), at) for p, at in ((rb"(?:[\x09\x0a\x0d\x20-\x7e]\x00){%d,}", 0), (rb"(?:\x00[\x09\x0a\x0d\x20-\x7e]){%d,}", 1)))
+_PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 
 Span = tuple[str, int, int]
 
@@ -84,45 +89,58 @@ class Layer:
         return (a, b) if self.starts is None else (min(self.starts[a:b]), max(self.ends[a:b]))
 
 
-def _spread(parts: Iterable[tuple[str, int, int]], layer: Layer) -> Layer:
-    """A layer of decoded parts, each from [a, b) of `layer`."""
+Part = tuple[str, int, int | None]  # text from [a, b) of a layer, or from there on character by character (None)
+
+
+def _spread(parts: Iterable[Part], layer: Layer) -> Layer:
+    """A layer of decoded parts of `layer`."""
     if layer.whole:
         return Layer("".join(piece for piece, _, _ in parts), whole=layer.whole)
     text, starts, ends = [], array("q"), array("q")
     for piece, a, b in parts:
-        lo, hi = layer.place(a, b)
         text.append(piece)
-        starts.extend([lo] * len(piece))
-        ends.extend([hi] * len(piece))
+        if b is not None:
+            lo, hi = layer.place(a, b)
+            starts.extend([lo] * len(piece))
+            ends.extend([hi] * len(piece))
+        elif layer.starts is None:
+            starts.extend(range(a, a + len(piece)))
+            ends.extend(range(a + 1, a + len(piece) + 1))
+        else:
+            starts.extend(layer.starts[a : a + len(piece)])
+            ends.extend(layer.ends[a : a + len(piece)])
     return Layer("".join(text), starts, ends)
 
 
-def _from_url(layer: Layer, a: int, b: int) -> Layer | None:
-    word, parts, at = layer.text[a:b], [], 0
-    for m in _URL_RUN.finditer(word):
-        parts += [(c, a + at + i, a + at + i + 1) for i, c in enumerate(word[at : m.start()])]
-        raw = bytes.fromhex(m[0].replace("%", ""))
-        read = 0
-        for c in raw.decode("utf-8", "replace"):
-            n = len(c.encode()) if c != "\ufffd" else 1
-            parts.append((c, a + m.start() + 3 * read, a + min(m.start() + 3 * (read + n), m.end())))
-            read = min(read + n, len(raw) - 1)
-        at = m.end()
-    parts += [(c, a + at + i, a + at + i + 1) for i, c in enumerate(word[at:])]
-    return _spread(parts, layer)
-
-
-def _from_escapes(layer: Layer, a: int, b: int) -> Layer | None:
-    word, parts, at = layer.text[a:b], [], 0
-    for m in _ESCAPE.finditer(word):
-        parts += [(c, a + at + i, a + at + i + 1) for i, c in enumerate(word[at : m.start()])]
-        code = m[1] or m[2] or m[3] or m[4]
-        value = int(code, 16) if code else None
-        c = html.unescape(m[5]) if m[5] else chr(value) if value < 0x110000 and not 0xD800 <= value < 0xE000 else "\ufffd"
-        parts.append((c, a + m.start(), a + m.end()))
-        at = m.end()
-    parts += [(c, a + at + i, a + at + i + 1) for i, c in enumerate(word[at:])]
-    return _spread(parts, layer)
+def _from_url(layer: Layer, a: int, b: int) -> Layer:
+    def parts() -> Iterator[Part]:
+        at = a
+        for m in _URL_RUN.finditer(layer.text, a, b):
+            yield layer.text[at : m.start()], at, None
+            raw = bytes.fromhex(m[0].replace("%", ""))
+            read = 0
+            for c in raw.decode("utf-8", "replace"):
+                n = len(c.encode()) if c != "\ufffd" else 1
+                yield c, m.start() + 3 * read, min(m.start() + 3 * (read + n), m.end())
+                read = min(read + n, len(raw) - 1)
+            at = m.end()
+        yield layer.text[at:b], at, None
+
+    return _spread(parts(), layer)
+
+
+def _from_escapes(layer: Layer, a: int, b: int) -> Layer:
+    def parts() -> Iterator[Part]:
+        at = a
+        for m in _ESCAPE.finditer(layer.text, a, b):
+            yield layer.text[at : m.start()], at, None
+            code = m[1] or m[2] or m[3] or m[4]
+            value = int(code, 16) if code else None
+            yield (html.unescape(m[5]) if m[5] else chr(value) if value < 0x110000 and not 0xD800 <= value < 0xE000 else "\ufffd"), m.start(), m.end()
+            at = m.end()
+        yield layer.text[at:b], at, None
+
+    return _spread(parts(), layer)
 
 
 def _regions(text: str, escape: re.Pattern) -> Iterator[tuple[int, int]]:
@@ -145,21 +163,24 @@ def _regions(text: str, escape: re.Pattern) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def _text_of(raw: bytes) -> str | None:
-    """UTF-8 text without control characters, else None."""
+def _texts_of(raw: bytes) -> Iterator[tuple[str, int, int]]:
+    """(text, first byte, bytes a character; 0: as UTF-8 has it) of what `raw` may say."""
     try:
-        text = raw.decode()
+        text, width = raw.decode(), 0
     except UnicodeDecodeError:
-        return None
-    return None if not text or _CONTROL.search(text) else text
+        text, width = raw.decode("latin-1"), 1
+    if _SPOKEN.search(text):
+        yield text, 0, width
+    for wide, at in _WIDE:
+        for m in wide.finditer(raw):
+            yield m[0][at::2].decode("ascii"), m.start(), 2
 
 
-def _unfolded(raw: bytes, most: int, used: list[int]) -> Iterator[bytes]:
-    """What gzip or zlib data, member after member, unfolds to, in pieces of at most `most` bytes; nothing if it is neither.
-
-    The number of bytes read is added to `used` before the last piece.
+def _unfolded(raw: bytes, most: int, used: list[int], start: int = 0) -> Iterator[bytes]:
+    """What gzip or zlib data from `start` on, member after member, unfolds to, in pieces of at most `most` bytes;
+    nothing if it is neither. Where it ends, and its last whole member does, is added to `used` before the last piece.
     """
-    data, at, held = memoryview(raw), 0, bytearray()
+    data, at, held, good = memoryview(raw), start, bytearray(), start
     while len(raw) - at > 2 and (raw[at : at + 2] == b"\x1f\x8b" or raw[at] & 15 == 8 and (raw[at] << 8 | raw[at + 1]) % 31 == 0):
         unfold, out = zlib.decompressobj(47), b""
         while not unfold.eof and (at < len(raw) or out):
@@ -174,29 +195,34 @@ def _unfolded(raw: bytes, most: int, used: list[int]) -> Iterator[bytes]:
             while len(held) > most:
                 yield bytes(held[:most])
                 del held[:most]
-    used.append(at)
+        if unfold.eof:
+            good = at
+    used += [at, good]
     if held:
         yield bytes(held)
 
 
 def _text_pieces(pieces: Iterator[bytes]) -> Iterator[tuple[str, bool]]:
-    """Text of the pieces, each after the end of the one before, and whether it is not the first; ends where it is no text."""
+    """Texts of the pieces, each after the end of the one before, and whether it is but a piece of the whole."""
     decoder = codecs.getincrementaldecoder("utf-8")()
     before, later, piece = "", False, next(pieces, None)
     while piece is not None:
         after = next(pieces, None)
-        try:
-            text = decoder.decode(piece, after is None)
-        except UnicodeDecodeError:
-            text = "\ufffd"
-        good = not _CONTROL.search(text)
-        if good and text:
-            yield before + text, later or after is not None
-            before = (before + text)[-OVERLAP:]
-        elif later or after is not None:
-            yield "", True
-        if not good:
-            return
+        part = later or after is not None
+        if decoder:
+            try:
+                text = decoder.decode(piece, after is None)
+            except UnicodeDecodeError:  # from here on byte by byte
+                decoder = None
+        if not decoder:
+            text = piece.decode("latin-1")
+        told = _SPOKEN.search(text) is not None
+        if told or part:
+            yield (before + text if told else ""), part
+        for wide, at in _WIDE:
+            for m in wide.finditer(piece):
+                yield m[0][at::2].decode("ascii"), part
+        before = (before + text)[-OVERLAP:]
         piece, later = after, True
 
 
@@ -228,35 +254,50 @@ def _wrapped(text: str, line: re.Pattern, tail: re.Pattern) -> Iterator[list[tup
 
 
 def _from_base64(layer: Layer, lines: Sequence[tuple[int, int]], most: int) -> Iterator[tuple[Layer, bool]]:
-    """Layers of a base64 run of one or more lines, and whether each is but a piece of what the run unfolds to."""
-    run = "".join([layer.text[a:b] for a, b in lines]).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        run = run[:-1]
-    try:
-        raw = base64.b64decode(run + "=" * (-len(run) % 4))
-    except binascii.Error:
-        return
+    """Layers of a base64 run of one or more lines, read from each of its first four characters, and whether each is
+    but a piece of what the run unfolds to."""
+    whole = "".join([layer.text[a:b] for a, b in lines]).rstrip("=").replace("-", "+").replace("_", "/")
     first = [0, *accumulate(b - a for a, b in lines)]
-    used: list[int] = []
-    for text, part in _text_pieces(_unfolded(raw, most, used)):
-        last = lines[bisect_right(first, -(-used[0] * 4 // 3) - 1, hi=len(lines)) - 1] if used else lines[-1]  # later lines are not of it
-        yield Layer(text, whole=layer.place(lines[0][0], last[1])), part
-    text = _text_of(raw)
-    if text is None:
-        return
 
     def spot(i: int) -> int:
         j = bisect_right(first, i, hi=len(lines)) - 1
         return lines[j][0] + i - first[j]
 
-    def parts() -> Iterator[tuple[str, int, int]]:
+    for skipped in range(4):
+        run = whole[skipped:]
+        if len(run) % 4 == 1:
+            run = run[:-1]
+        try:
+            raw = base64.b64decode(run + "=" * (-len(run) % 4))
+        except binascii.Error:
+            continue
+
+        def place(a: int, b: int) -> tuple[int, int]:
+            """Where the bytes [a, b) stand in the layer."""
+            return spot(skipped + a * 4 // 3), spot(min(first[-1], skipped - (-b * 4 // 3)) - 1) + 1
+
+        # compressed data from the first byte on, and wherever else its usual first bytes stand
         at = 0
-        for c in text:
-            n = len(c.encode())
-            yield c, spot(at * 4 // 3), spot(min(first[-1], -(-(at + n) * 4 // 3)) - 1) + 1
-            at += n
+        while True:
+            used: list[int] = []
+            for text, part in _text_pieces(_unfolded(raw, most, used, at)):
+                to = used[0] if used else len(raw)
+                last = lines[bisect_right(first, skipped - (-to * 4 // 3) - 1, hi=len(lines)) - 1]  # later lines are not of it
+                yield Layer(text, whole=layer.place(place(at, at + 1)[0], last[1])), part
+            packed = _PACKED.search(raw, max(at + 1, used[1] if used else 0))
+            if not packed:
+                break
+            at = packed.start()
+
+        for text, start, width in _texts_of(raw):
+            def parts() -> Iterator[Part]:
+                at = start
+                for c in text:
+                    n = width or len(c.encode())
+                    yield c, *place(at, at + n)
+                    at += n
 
-    yield _spread(parts(), layer), False
+            yield _spread(parts(), layer), False
 
 
 def _inner(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:

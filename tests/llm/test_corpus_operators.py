@@ -201,6 +201,49 @@ def test_wrapped_base64_and_members(packed, width, end):
     assert [k for k, _, _ in secret_scan.scan(one)[1]] == ["assign"]
 
 
+def _b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+@pytest.mark.parametrize("raw", [
+    b"password=hunter2secret\x00", b"\x01\x02password=hunter2secret\x7f\xff\xfe", "password=hunter2secret".encode("utf-16"),
+    "password=hunter2secret".encode("utf-16-be"), b"x" + "password=hunter2secret".encode("utf-16-le"), "é ü password=hunter2secret ß".encode("latin-1"),
+    gzip.compress("é password=hunter2secret".encode("latin-1")), gzip.compress("password=hunter2secret".encode("utf-16")),
+    gzip.compress(b"\x00\x01 password=hunter2secret \xff"), zlib.compress(b"password=hunter2secret\x00"), _b64(b"password=hunter2secret\x00").encode(),
+    b"\xff" + gzip.compress(b"password=hunter2secret")])
+@pytest.mark.parametrize("before", ["", "a/", "ab+", "https://h.org/ab/", "x" * 9 + "/"])
+def test_decoded_layers_with_other_bytes_and_phases(raw, before):
+    text = f"see {before}{_b64(raw)} there"
+    base, added, exhausted = secret_scan.scan(text)
+    at = text.index(_b64(raw).rstrip("=")[:12])
+    assert not base and not exhausted
+    assert any(k == "assign" and at - 16 <= a < b <= at + len(_b64(raw)) + 3 for k, a, b in added)
+    assert "hunter2" not in secret_scan.redacted(text) and _b64(raw)[8:-8] not in secret_scan.redacted(text)
+
+
+def test_spans_of_shifted_and_wide_layers_are_exact():
+    secret = "token=abcdef123456"
+    for encoding, width in (("latin-1", 1), ("utf-16-le", 2)):
+        raw = ("é" * 3).encode(encoding) + secret.encode(encoding) + b"\xff"
+        for before in ("", "a/", "ab/", "abc/"):
+            text = before + _b64(raw)
+            _, added, _ = secret_scan.scan(text)
+            first, last = 3 * width, (3 + len(secret)) * width
+            want = (len(before) + first * 4 // 3, len(before) - (-last * 4 // 3))
+            assert any(k == "assign" and abs(a - want[0]) <= 2 and abs(b - want[1]) <= 3 for k, a, b in added), (encoding, before, added, want)
+
+
+def test_escape_dense_text_in_bounded_memory():
+    import tracemalloc
+
+    text = "plain words %41bc " * 60_000 + "token%3Dabcdef123456"
+    tracemalloc.start()
+    _, added, _ = secret_scan.scan(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [k for k, _, _ in added] == ["assign"] and peak < 60 * len(text)
+
+
 def test_large_parts_do_not_end_the_document():
     rng = random.Random(6)
     words = " ".join(f"é{rng.randrange(10**6)}" for _ in range(3000))
