@@ -6,8 +6,9 @@ posted in the inverted files of its POSTED nearest ones. A query probes the file
 vectors found there are ranked by the footrule distance between the two prefixes (the sum, over the pivots of either,
 of how far a pivot's place differs; one that is missing counts as the place after the last), and the best of a query
 (`reranked_for`, growing like the pivots) are ranked again by their exact distance. All vectors are indexed. A vector
-met in several files counts in the one that the query probes first. Every pivot is posted in its own file, so a query
-meets at least PROBED vectors (its own may be one), or all where there are fewer pivots.
+met in several files counts in the one that the query probes first; of the i-th file probed, a task tells its best
+i-th part of the vectors to rerank, or PER_FILE. Every pivot is posted in its own file, so a query meets at least
+PROBED vectors (its own may be one), or all where there are fewer pivots.
 
 Copies are one vector: each distinct vector is posted, ranked and reranked once, with its k + 1 least ids, and ids
 are told apart only after scoring. No result needs more: k of those ids are not the query's own.
@@ -41,6 +42,7 @@ PREFIX = 128
 POSTED = 32
 PROBED = 32
 RERANKED = 1000  # at least
+PER_FILE = 64  # vectors that a task tells of one file for a query, at least, the best by footrule
 FILE_BLOCK = 4096
 QUERY_BLOCK = 256
 COPY_PARTS = 16  # groups of copies are dealt to so many tasks before they meet
@@ -156,7 +158,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 10, *, id_column: str =
                 there = place[orders[here]]
                 # pivots of the query that the vector misses, too: all of the query's less those they share
                 far = np.abs(there - places).sum(axis=1) + absent - (prefix - there).sum(axis=1)
-                best = np.lexsort((own[here], ids[here], far))[:reranked]
+                best = np.lexsort((own[here], ids[here], far))[: max(PER_FILE, k, reranked // (1 + int(place[pivot])))]
                 out["query"].append(np.full(len(best), query)), out["query_id"].append(np.full(len(best), query_id))
                 out["row"].append(own[here][best]), out["id"].append(ids[here][best]), out["footrule"].append(far[best])
         kinds = {"query": pa.int64(), "query_id": pa.int64(), "row": pa.int64(), "id": pa.int64(), "footrule": pa.int32()}
