@@ -295,7 +295,7 @@ def q_terminal_history_incremental(spark, sf_dir):
     for part in (day < 25, day >= 25):
         fixtures.write_workbooks(snap.where(part).withColumn("_day", _excel_day("load_date")).drop("load_date"), layout.drop, "terminals", "terminals")
         daily.load_sheets(spark, layout)
-    return daily._stored(spark, layout.terminals, schemas.VERSIONS)
+    return daily.version_store(spark, layout).read()
 
 
 def q_seed_load(spark, sf_dir):

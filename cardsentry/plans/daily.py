@@ -22,7 +22,7 @@ Layout under one root folder (shared storage):
   blacklist/            partitioned by load_date, src_file
   terminal_snapshots/   partitioned by load_date, src_file
   sheet_quarantine/     unknown sheets, unreadable rows, broken workbooks
-  terminals/            terminal versions, and in _state what they include
+  terminals/            terminal versions, closed and open ones apart (sources/version_store.py)
   mart/                 report rows partitioned by report_date
   mart_dims/            block dates and terminal versions that the mart was built with
   ledger/<kind>/        processed-files ledgers
@@ -31,7 +31,7 @@ Layout under one root folder (shared storage):
 from __future__ import annotations
 
 import datetime as dt
-import uuid
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,7 @@ from cardsentry.session import checkpoint_root
 from cardsentry.sources import excel, files, seed
 from cardsentry.sources import transactions as tx
 from cardsentry.sources.ledger import Ledger, ingest_new
+from cardsentry.sources.version_store import VersionStore
 
 BLACKLIST_PATTERN = "passport_blacklist_*.xlsx"
 TERMINALS_PATTERN = "terminals_*.xlsx"
@@ -74,25 +75,12 @@ class Tables:
     terminals: DataFrame
 
 
-STATE = "through date, applied_at timestamp_ntz"
-
-
 def _stored(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def _store_versions(spark: SparkSession, layout: Layout, versions: DataFrame, through: dt.date, applied_at: dt.datetime) -> None:
-    """Writes versions and their state to a new folder, then swaps it in: the only copy is never overwritten."""
-    fresh, old = f"{layout.terminals}_next-{uuid.uuid4().hex[:8]}", f"{layout.terminals}_old"
-    versions.write.parquet(fresh)
-    # a folder that begins with _ is not read as part of the table
-    spark.createDataFrame([(through, applied_at)], STATE).coalesce(1).write.parquet(f"{fresh}/_state")
-    files.delete(spark, old)
-    if files.exists(spark, layout.terminals):
-        files.rename(spark, layout.terminals, old)
-    if not files.rename(spark, fresh, layout.terminals):
-        raise OSError(f"cannot move {fresh} to {layout.terminals}")
-    files.delete(spark, old)
+def version_store(spark: SparkSession, layout: Layout) -> VersionStore:
+    return VersionStore(spark, layout.terminals, schemas.VERSIONS)
 
 
 def rebuild_terminals(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -100,20 +88,20 @@ def rebuild_terminals(spark: SparkSession, layout: Layout) -> DataFrame:
     return dimensions.history(snapshots(spark, layout), "terminal_id", ["terminal_city"])
 
 
-def update_terminals(spark: SparkSession, layout: Layout, new_days: list[dt.date]) -> DataFrame:
-    """The stored versions after snapshot days that follow every day they include: per day one incremental
-    SCD2 step, a full outer join of the open versions with that day's snapshot. Steps and joins are
-    O(terminals); closed versions are carried and written once."""
-    snaps, stored = snapshots(spark, layout), _stored(spark, layout.terminals, schemas.VERSIONS)
+def update_terminals(spark: SparkSession, layout: Layout, new_days: list[dt.date]) -> tuple[DataFrame, DataFrame]:
+    """(closed, open) versions after snapshot days that follow every day the store includes: per day one incremental
+    SCD2 step, a full outer join of the open versions with that day's snapshot. Only versions that these steps close
+    are among the closed ones; those closed before are not read."""
+    snaps, current, closed = snapshots(spark, layout), version_store(spark, layout).open(), []
     is_open = F.col("effective_to") == dimensions._open()
-    closed, current = stored.where(~is_open), stored.where(is_open)
     for day in sorted(set(new_days)):
         snap = snaps.where(F.col("load_date") == F.lit(day.isoformat()).cast("date"))
         step = dimensions.apply_snapshot(current, snap.select("terminal_id", "terminal_city").distinct(),
                                          "terminal_id", ["terminal_city"], day.isoformat())
         step = step.checkpoint(eager=True)          # cut lineage per applied day
-        closed, current = closed.unionByName(step.where(~is_open)), step.where(is_open)
-    return closed.unionByName(current)
+        closed.append(step.where(~is_open))
+        current = step.where(is_open)
+    return functools.reduce(DataFrame.unionByName, closed), current
 
 
 def snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -122,10 +110,8 @@ def snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def refresh_terminals(spark: SparkSession, layout: Layout) -> None:
     """Brings the stored versions up to the loaded snapshots, if any are newer than the state says."""
-    if not files.exists(spark, layout.terminals) and files.exists(spark, f"{layout.terminals}_old"):
-        files.rename(spark, f"{layout.terminals}_old", layout.terminals)    # a swap was interrupted
-    loads = Ledger(spark, layout.ledger("sheets")).table()
-    state = _stored(spark, f"{layout.terminals}/_state", STATE).first()
+    store = version_store(spark, layout)
+    state, loads = store.state(), Ledger(spark, layout.ledger("sheets")).table()
     new = loads.where(F.col("loaded_at") > F.lit(state["applied_at"])) if state else loads
     # a corrected workbook may have lost its terminals sheet: loads of files that ever had one count
     ever = loads.where(F.col("tables").contains("terminals")).select("file_name").distinct()
@@ -133,12 +119,11 @@ def refresh_terminals(spark: SparkSession, layout: Layout) -> None:
     days = {r["business_date"]: r["at"] for r in days if r["business_date"] is not None}
     if not days:
         return
-    through = max([*days, *([state["through"]] if state else [])])
+    through, applied_at = max([*days, *([state["through"]] if state else [])]), max(days.values())
     if state and min(days) > state["through"]:
-        versions = update_terminals(spark, layout, list(days))
+        store.advance(*update_terminals(spark, layout, list(days)), through, applied_at)
     else:
-        versions = rebuild_terminals(spark, layout)
-    _store_versions(spark, layout, versions, through, max(days.values()))
+        store.rebuild(rebuild_terminals(spark, layout), F.col("effective_to") == dimensions._open(), through, applied_at)
 
 
 def load_sheets(spark: SparkSession, layout: Layout, force: bool = False) -> list[str]:
@@ -156,7 +141,7 @@ def tables(spark: SparkSession, layout: Layout, load_days: tuple | None = None)
     to those load_date partitions (the files of those business days)."""
     s = seed.read_seed(spark, layout.seed)
     bl = _stored(spark, layout.blacklist, schemas.LOADED_BLACKLIST).select("date", "passport")
-    term = _stored(spark, layout.terminals, schemas.VERSIONS).where(F.col("deleted_flg") == 0)
+    term = version_store(spark, layout).read().where(F.col("deleted_flg") == 0)
     trx = tx.read_table(spark, layout.transactions)
     if load_days is not None:
         trx = trx.where(F.col("load_date").between(F.lit(load_days[0].isoformat()).cast("date"),

@@ -50,7 +50,7 @@ class Drops:
         return sorted((str(r.event_dt), r.event_type, str(r.report_date)) for r in plan.read_mart(self.spark, self.layout.mart).collect())
 
     def versions(self):
-        stored = daily._stored(self.spark, self.layout.terminals, schemas.VERSIONS)
+        stored = daily.version_store(self.spark, self.layout).read()
         return sorted((r.terminal_id, r.terminal_city, r.effective_from.date(), r.effective_to.date(), r.deleted_flg) for r in stored.collect())
 
 
@@ -80,7 +80,7 @@ def test_versions_are_built_after_a_crash_before_them(drops, monkeypatch):
     drops.run()
     drops.terminals("06032024", {"T1": "Ogdenville", "T2": "Shelbyville"})
     with monkeypatch.context() as m:
-        m.setattr(daily, "_store_versions", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        m.setattr(daily.VersionStore, "_commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             drops.run()
     drops.terminals("07032024", {"T1": "Ogdenville"})
