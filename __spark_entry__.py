@@ -312,6 +312,21 @@ def q_seed_load(spark, sf_dir):
     return spark.read.schema(schemas.SEED_STORED["clients"]).parquet(f"{root}/seed/clients")
 
 
+def q_seed_tables(spark, sf_dir):
+    """Card and account seeds from delimited text, loaded twice and stamped."""
+    t = _tables(spark, sf_dir)
+    root = work_dir(spark, "seed-tables")
+    dated = {"create_dt": F.lit("1900-01-01").cast("date"), "update_dt": F.lit(None).cast("date")}
+    for name in ("cards", "accounts"):
+        getattr(t, name).withColumns(dated).write.option("header", True).csv(f"{root}/from/{name}.csv")
+    for _ in range(2):
+        seed.load_csv(spark, f"{root}/from", f"{root}/seed")
+    cards, accounts = (spark.read.schema(schemas.SEED_STORED[n]).parquet(f"{root}/seed/{n}") for n in ("cards", "accounts"))
+    stamps = ["create_dt", "update_dt", "effective_from", "effective_to", "deleted_flg"]
+    return (cards.select(F.lit("cards").alias("table_name"), F.col("card_num").alias("key"), F.col("account").alias("ref"), F.lit(None).cast("date").alias("valid_to"), *stamps)
+            .unionByName(accounts.select(F.lit("accounts").alias("table_name"), F.col("account").alias("key"), F.col("client").alias("ref"), "valid_to", *stamps)))
+
+
 def q_adhoc_sql(spark, sf_dir):
     t = _tables(spark, sf_dir)
     adhoc.register_views({"transactions": t.transactions, "cards": t.cards})
@@ -505,6 +520,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_excel_sheets": q_ingest_excel_sheets,
         "terminal_history_incremental": q_terminal_history_incremental,
         "seed_load": q_seed_load,
+        "seed_tables": q_seed_tables,
         "fraud_report_probing": q_fraud_report_probing,
         "daily_mart_probing": q_daily_mart_probing,
         "table_list": q_table_list,

@@ -41,10 +41,7 @@ def _views(spark, layout: daily.Layout) -> dict:
     t = daily.tables(spark, layout)
     views = {"transactions": t.transactions, "cards": t.cards, "accounts": t.accounts,
              "clients": t.clients, "blacklist": t.blacklist, "terminals": t.terminals}
-    try:
-        views["report"] = plan.read_mart(spark, layout.mart)
-    except Exception:  # no report written yet
-        pass
+    views["report"] = plan.read_mart(spark, layout.mart)    # empty before the first report
     return views
 
 

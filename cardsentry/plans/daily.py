@@ -197,6 +197,7 @@ def run(spark: SparkSession, layout: Layout, report_dt=None, force: bool = False
         t.transactions = changes.of_days(t.transactions, days, lookback)
         mart = plan.daily_mart(t, report_dt=report_dt, window=window)
         plan.replace_days(mart.where(F.col("report_date").isin([F.lit(d.isoformat()).cast("date") for d in days])), layout.mart, days)
+        plan.clear(mart)
     if new_sheets or not dims_known:
         changes.store(spark, layout.mart_dims, tables(spark, layout))
     ops.mark_reported(new_ops)

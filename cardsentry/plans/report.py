@@ -4,7 +4,7 @@
 schema). ``daily_mart`` computes, in one distributed job, the report every
 daily run would have produced for each day of the data (report_date = day
 of the operation; R3/R4 see one rule window of the previous day and nothing
-after the day's end). ``write_mart`` stores reports partitioned by
+after the day's end). ``replace_days`` stores reports partitioned by
 report_date with dynamic partition overwrite, so rebuilding a day replaces
 it instead of duplicating it.
 """
@@ -37,7 +37,15 @@ def _enriched(tables, enriched: DataFrame | None) -> DataFrame:
     spark = narrow.sparkSession
     path = work_dir(spark, "operations")
     narrow.write.parquet(path)
-    return spark.read.schema(narrow.schema).parquet(path)
+    back = spark.read.schema(narrow.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def clear(report: DataFrame) -> None:
+    """Deletes the operations that ``build_report`` or ``daily_mart`` has written for a report, once it is stored."""
+    if getattr(report, "scratch", None):
+        files.delete(report.sparkSession, report.scratch)
 
 
 def _report(profile: DataFrame, cities: DataFrame, probing: DataFrame, tables) -> DataFrame:
@@ -66,12 +74,14 @@ def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
         tables.transactions = scope(tables.transactions, window, lookback_us=lb if use_lb else 0)
     ev = _enriched(tables, enriched)
     cities = with_city(ev, tables.terminals, point_in_time)
-    return _report(
+    out = _report(
         profile_rules(ev, window, report_dt),
         different_cities(cities, None, window, cities_within if use_lb else 0,
                          within=cities_within, report_dt=report_dt),
         amount_probing(ev, window, probing_within if use_lb else 0, within=probing_within,
                        report_dt=report_dt), tables)
+    out.scratch = getattr(ev, "scratch", None)
+    return out
 
 
 def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 hour",
@@ -87,6 +97,7 @@ def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 h
         tables = copy.copy(tables)
         tables.transactions = scope(tables.transactions, window, lookback_us=max(duration_us(cities_within), duration_us(probing_within)))
     ev = _enriched(tables, enriched)
+    scratch = getattr(ev, "scratch", None)
     if window is not None:
         ev = scope(ev, window, lookback_us=max(duration_us(cities_within), duration_us(probing_within)))
     rdt = day_end("transaction_date") if report_dt is None else report_dt
@@ -96,18 +107,9 @@ def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 h
         different_cities(cities, None, window, cities_within, within=cities_within, report_dt=rdt,
                          day_horizon=True),
         amount_probing(ev, window, probing_within, within=probing_within, report_dt=rdt), tables)
-    return out.withColumn("report_date", F.to_date("event_dt"))
-
-
-def write_mart(report: DataFrame, mart_dir: str, report_date=None) -> None:
-    """Store rows under report_date partitions; a rebuilt day replaces its partition."""
-    if "report_date" not in report.columns:
-        if report_date is None:
-            raise ValueError("report rows need report_date (column or argument)")
-        report = report.withColumn("report_date", F.lit(str(report_date)).cast("date"))
-    # REBALANCE: AQE sizes the output files per report_date (and splits a hot day).
-    (report.hint("rebalance", "report_date").write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(mart_dir))
+    out = out.withColumn("report_date", F.to_date("event_dt"))
+    out.scratch = scratch
+    return out
 
 
 def replace_days(report: DataFrame, mart_dir: str, days) -> None:
@@ -135,6 +137,7 @@ def run_daily_report(tables, day, mart_dir: str, report_dt=None, **kw) -> None:
     day_tables.transactions = scope(tables.transactions, day, lookback_us=max_lookback(kw))
     rep = build_report(day_tables, report_dt=report_dt, window=day, **kw)
     replace_days(rep.withColumn("report_date", F.lit(lo.date())), mart_dir, [lo.date()])
+    clear(rep)
 
 
 def max_lookback(kw) -> int:

@@ -376,6 +376,11 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN CAST(client_id AS BIGINT) % 3 = 0 THEN DATE '2024-01-02' END AS update_dt,
                    TIMESTAMP '1900-01-01 00:00:00' AS effective_from, TIMESTAMP '9999-12-31 00:00:00' AS effective_to, 0 AS deleted_flg
             FROM clients""",
+        "seed_tables": PROXY + """
+            SELECT s.*, DATE '1900-01-01' AS create_dt, CAST(NULL AS DATE) AS update_dt, TIMESTAMP '1900-01-01 00:00:00' AS effective_from,
+                   TIMESTAMP '9999-12-31 00:00:00' AS effective_to, 0 AS deleted_flg
+            FROM (SELECT 'cards' AS table_name, card_num AS key, account AS ref, CAST(NULL AS DATE) AS valid_to FROM cards
+                  UNION ALL SELECT 'accounts', account, client, valid_to FROM accounts) s""",
         "stamp_snapshot": PROXY + f"""
             SELECT {_TX_COLS}, date_trunc('day', transaction_date) AS effective_from,
                    date_trunc('day', transaction_date) + INTERVAL 1 DAY AS effective_to, 0 AS deleted_flg
