@@ -1,4 +1,4 @@
-"""Reversed lexical search, filter audit and near duplicates: brute force, planted and edge cases, and their SQL."""
+"""Reversed lexical search, filter audit and near duplicates: brute force, planted and edge cases; all queries with SQL."""
 
 import itertools
 import math
@@ -11,13 +11,13 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as E
-from cardsentry.llm import filter_audit, lexical_search, near_dedup
+from cardsentry.llm import filter_audit, lexical_search, near_dedup, sql
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("key", ["op11_lexical_search", "op12_filter_audit", "op13_near_dedup"])
+@pytest.mark.parametrize("key", sorted(sql.ORACLES))
 def test_matches_sql(spark, key):
     con = duckdb.connect()
     for t in TABLES:
