@@ -141,6 +141,37 @@ def test_sequence_lags_equal_plain_window_lags(spark, bucket_s):
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
 
 
+def test_sequence_lags_with_nulls_old_predecessors_and_few_rows(spark):
+    from cardsentry.operators.sequence import lag_name, sequence_lags
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, "a", "b"]), rnd.choice([None, *range(-10**9, 10**9, 10**8)]), f"{i:05d}", rnd.choice([None, 1, 2])) for i in range(400)]
+    rows += [("old", 0, "x", 1), ("old", 10**12, "y", 2), ("one", 7, "z", 3)]
+    schema = "k string, us long, id string, v int"
+    cols = ["k", "us", "id", "v"] + [lag_name(c, j) for j in (1, 2) for c in ("v", "us")]
+    w = Window.partitionBy("k").orderBy("us", "id")
+    for given in (rows, rows[-1:], [("n", None, "a", 1), ("n", None, "b", 2)], []):
+        df = spark.createDataFrame(given, schema)
+        want = df.withColumns({lag_name(c, j): F.lag(c, j).over(w) for j in (1, 2) for c in ("v", "us")})
+        for fan in (2, 32):
+            got = sequence_lags(df, "k", "us", "id", ["v", "us"], 2, 10**7 if fan == 2 else 10**6, fan)
+            assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+
+
+def test_sequence_lags_groups_stay_small(spark):
+    """No collected group of the scan holds more than `fan` summaries, no window more than a bucket and n rows."""
+    from cardsentry.operators import sequence
+    n, fan, step = 20_000, 8, 1_000_000
+    df = spark.range(n).selectExpr("'hot' AS k", f"id * {step} AS us", "lpad(id, 6, '0') AS id", "id AS v")
+    placed = df.withColumn("_sb", sequence.floor_div(F.col("us"), 10 * step) + 1)
+    carried = sequence._carried(placed, ["k"], ["us", "id", "v"], "us", "id", 3, fan, 4)
+    sizes = carried.agg(F.count("*"), F.max(F.size("_carry"))).first()
+    assert tuple(sizes) == (n // 10, 3)
+    wrong = carried.where("_sb > 1").where("_carry[0].v <> (_sb - 1) * 10 - 1 OR _carry[2].v <> (_sb - 1) * 10 - 3")
+    assert wrong.count() == 0
+    plan = sequence.sequence_lags(df, "k", "us", "id", ["v"], 3, 10 * step, fan)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 1 and re.search(r"hashpartitioning\(k#\d+, _sb#\d+L", plan)
+
+
 def test_epoch_us_exact_in_any_session_zone(spark):
     from cardsentry.functions.timecols import epoch_us
     df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 1, 30),), (dt.datetime(2024, 3, 10, 3, 30),),
