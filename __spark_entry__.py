@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 import oracle_sql as _oracle
 from cardsentry import schemas
-from cardsentry.operators import dimensions, rules
-from cardsentry.operators.enrich import enrich, enrich_narrow, with_city, with_city_chunked
+from cardsentry.functions.timecols import epoch_us
+from cardsentry.operators import dimensions, rules, sequence
+from cardsentry.operators.enrich import PROFILE_COLUMNS, TX_COLUMNS, card_profile, enrich, enrich_narrow, with_city, with_city_chunked
 from cardsentry.plans import adhoc, daily
 from cardsentry.plans import report as plan
 from cardsentry.session import apply_required, work_dir
-from cardsentry.sources import excel, files, seed
+from cardsentry.sources import card_store, excel, files, seed
 from cardsentry.sources import transactions as tx_files
 from cardsentry.streaming import arrivals, file_ingest
 from cardsentry.streaming import rules as stream_rules
@@ -121,13 +122,37 @@ def q_fraud_report(spark, sf_dir):
     return plan.build_report(t, report_dt=REPORT_DT)
 
 
-def q_fraud_report_hot_account(spark, sf_dir):
-    """The flagship report when one account holds a third of all operations."""
+def _hot_tables(spark, sf_dir):
+    """The proxy tables when one card holds a third of all operations."""
     t = _tables(spark, sf_dir)
     hot = F.col("transaction_id").cast("long") % 3 == 0
     t.transactions = t.transactions.withColumn(
         "card_num", F.when(hot, F.lit(_oracle.HOT_CARD)).otherwise(F.col("card_num")))
-    return plan.build_report(t, report_dt=REPORT_DT)
+    return t
+
+
+def q_fraud_report_hot_account(spark, sf_dir):
+    """The flagship report when one account holds a third of all operations."""
+    return plan.build_report(_hot_tables(spark, sf_dir), report_dt=REPORT_DT)
+
+
+def q_enriched_transactions_bucketed(spark, sf_dir):
+    """J1-J3 over operations and profiles stored in buckets of the card, one card with a third of all operations."""
+    t = _hot_tables(spark, sf_dir)
+    folder = work_dir(spark, "card-store")
+    store = card_store.CardStore(f"card_store_{folder.rsplit('-', 1)[-1]}", folder)
+    store.write(t.transactions, card_profile(t.cards, t.accounts, t.clients), buckets=16)
+    return store.enriched(spark, TX_COLUMNS + PROFILE_COLUMNS)
+
+
+def q_operation_lags(spark, sf_dir):
+    """Time, amount and result of an account's last three operations, however old; one account has a third of all."""
+    t = _hot_tables(spark, sf_dir)
+    ops = enrich_narrow(t.transactions, t.cards, t.accounts, t.clients).select("transaction_id", "account", "transaction_date", "amount", "oper_result")
+    ops = ops.withColumn("_us", epoch_us(F.col("transaction_date")))
+    cols = ["transaction_date", "amount", "oper_result"]
+    out = sequence.sequence_lags(ops, "account", "_us", "transaction_id", cols, 3, bucket_us=3_600_000_000)
+    return out.drop("_us").withColumnsRenamed({sequence.lag_name(c, k): f"{c}_{k}" for c in cols for k in (1, 2, 3)})
 
 
 def q_fraud_report_day(spark, sf_dir):
@@ -530,6 +555,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_different_cities": q_stream_different_cities,
         "stream_profile_rules": q_stream_profile_rules,
         "stream_late_operations": q_stream_late_operations,
+        "operation_lags": q_operation_lags,
+        "enriched_transactions_bucketed": q_enriched_transactions_bucketed,
     }
 
 

@@ -461,4 +461,13 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT transaction_id, 'kept', 1 FROM judged WHERE NOT late GROUP BY transaction_id
             UNION ALL SELECT transaction_id, 'repeated', count(*) - 1 FROM judged WHERE NOT late GROUP BY transaction_id HAVING count(*) > 1""",
         "fraud_report_hot_account": _report(rd).replace(PROXY, PROXY_HOT),
+        "enriched_transactions_bucketed": PROXY_HOT + """
+            SELECT transaction_id, transaction_date, amount, card_num, oper_type, oper_result, terminal,
+                   account, valid_to, client_id, last_name, first_name, patronymic, passport_num,
+                   passport_valid_to, phone
+            FROM enriched""",
+        "operation_lags": PROXY_HOT + f"""
+            SELECT transaction_id, account, transaction_date, amount, oper_result,
+                   {", ".join(f"lag({c}, {k}) OVER w AS {c}_{k}" for c in ("transaction_date", "amount", "oper_result") for k in (1, 2, 3))}
+            FROM enriched WINDOW w AS (PARTITION BY account ORDER BY transaction_date, transaction_id)""",
     }
