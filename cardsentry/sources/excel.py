@@ -1,11 +1,15 @@
 """S3: daily ``passport_blacklist_DDMMYYYY.xlsx`` / ``terminals_DDMMYYYY.xlsx`` drops.
 
-Spark job: ``binaryFile`` source -> ``mapInPandas`` (one file per task; an
-xlsx sheet holds at most 1,048,576 rows, so a task's input is bounded) ->
-rows (src_file, sheet, row_no, cells: header -> text) -> typed projection
-per sheet. Every sheet is read; the sheet name says which table it feeds,
-as in the reference. An xlsx is a zip of XML parts, so the standard library
-is enough (shared strings, inline strings, numbers, booleans).
+Spark job: ``binaryFile`` source -> the packed XML parts of every sheet (nothing is unpacked but the workbook's list
+of sheets) -> a shuffle by (file, sheet) -> ``mapInPandas`` over sheets, so that the sheets of one workbook are parsed
+by several tasks; a sheet holds at most 1,048,576 rows, so a task's input is bounded -> rows (src_file, sheet, row_no,
+cells: header -> text) -> typed projection per sheet. Every sheet is read; the sheet name says which table it feeds,
+as in the reference. An xlsx is a zip of XML parts, so the standard library is enough (shared strings, inline strings,
+numbers, booleans); sheets and shared strings are parsed as streams.
+
+Defined cases: sheets of one name in a workbook are read each for themselves; a sheet whose part is missing has no
+rows; a workbook or a sheet that cannot be read gives a row without a sheet that tells why, and the other sheets of
+the workbook are still read; empty sheets and files without sheets give no rows.
 """
 
 from __future__ import annotations
@@ -56,37 +60,60 @@ def _fmt_number(v: str) -> str:
     return str(int(f)) if f.is_integer() and abs(f) < 2**53 else v
 
 
-def sheet_rows(content: bytes):
-    """Yield (sheet_name, row_no, [cell texts]) for every sheet of an xlsx."""
+def sheet_parts(content: bytes):
+    """Yield (sheet name, its place in the workbook, a zip of its part and the shared strings) for every sheet."""
     z = zipfile.ZipFile(io.BytesIO(content))
     names = set(z.namelist())
-    shared = []
-    if "xl/sharedStrings.xml" in names:
-        root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-        shared = [_text(si) for si in root.findall("m:si", _NS)]
     rels = {}
     if "xl/_rels/workbook.xml.rels" in names:
         for rel in ET.fromstring(z.read("xl/_rels/workbook.xml.rels")).findall("pr:Relationship", _NS):
             target = rel.get("Target").lstrip("/")
             rels[rel.get("Id")] = target if target.startswith("xl/") else "xl/" + target
     wb = ET.fromstring(z.read("xl/workbook.xml"))
-    for sh in wb.find("m:sheets", _NS).findall("m:sheet", _NS):
+    for i, sh in enumerate(wb.find("m:sheets", _NS).findall("m:sheet", _NS)):
         part = rels.get(sh.get(f"{{{_NS['r']}}}id"))
-        if part not in names:
-            continue
-        row_no = 0
-        with z.open(part) as xml:       # row by row: a sheet is never held as one tree
-            for _, row in ET.iterparse(xml):
-                if row.tag != f"{{{_NS['m']}}}row":
-                    continue
-                row_no = int(row.get("r") or row_no + 1)
-                vals = {}
-                for c in row.findall("m:c", _NS):
-                    ref = c.get("r")
-                    vals[_col_index(ref) if ref else (max(vals) + 1 if vals else 0)] = _cell_text(c, shared)
-                row.clear()
-                if vals:
-                    yield sh.get("name"), row_no, [vals.get(i) for i in range(max(vals) + 1)]
+        if part in names:
+            yield sh.get("name"), i, _repacked(z, {part: _SHEET, _STRINGS: _STRINGS} if _STRINGS in names else {part: _SHEET})
+
+
+_SHEET, _STRINGS = "sheet.xml", "xl/sharedStrings.xml"
+_PIECE = 1 << 20
+
+
+def _repacked(z: zipfile.ZipFile, parts: dict[str, str]) -> bytes:
+    """A zip of some parts of `z` under new names, copied piece by piece."""
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as out:
+        for part, name in parts.items():
+            with z.open(part) as given, out.open(name, "w", force_zip64=True) as copy:
+                while piece := given.read(_PIECE):
+                    copy.write(piece)
+    return buf.getvalue()
+
+
+def sheet_rows(packed: bytes):
+    """Yield (row_no, [cell texts]) of one sheet, as ``sheet_parts`` packs it."""
+    z = zipfile.ZipFile(io.BytesIO(packed))
+    shared = []
+    if _STRINGS in z.namelist():
+        with z.open(_STRINGS) as xml:
+            for _, si in ET.iterparse(xml):
+                if si.tag == f"{{{_NS['m']}}}si":
+                    shared.append(_text(si))
+                    si.clear()
+    row_no = 0
+    with z.open(_SHEET) as xml:       # row by row: a sheet is never held as one tree
+        for _, row in ET.iterparse(xml):
+            if row.tag != f"{{{_NS['m']}}}row":
+                continue
+            row_no = int(row.get("r") or row_no + 1)
+            vals = {}
+            for c in row.findall("m:c", _NS):
+                ref = c.get("r")
+                vals[_col_index(ref) if ref else (max(vals) + 1 if vals else 0)] = _cell_text(c, shared)
+            row.clear()
+            if vals:
+                yield row_no, [vals.get(i) for i in range(max(vals) + 1)]
 
 
 def _cell_text(c, shared: list[str]) -> str | None:
@@ -123,27 +150,46 @@ BROKEN = "broken_workbook"
 _CHUNK = 10_000
 
 
-def _file_cells(name: str, content: bytes):
-    """(src_file, sheet, row_no, cells) of one workbook; a row without a sheet tells that it cannot be read."""
-    header: dict[str, list[str]] = {}
+_UNREADABLE = (zipfile.BadZipFile, ET.ParseError, KeyError, ValueError, IndexError, AttributeError, EOFError, zlib.error)
+_PACKED = "src_file string, sheet string, place int, packed binary, error string"
+
+
+def _packed_sheets(batches):
+    """Workbooks -> a row per sheet with its packed parts, or a row that tells that the workbook cannot be read."""
+    columns = ["src_file", "sheet", "place", "packed", "error"]
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            name = path.rsplit("/", 1)[-1]
+            try:
+                for sheet, place, packed in sheet_parts(bytes(content)):
+                    yield pd.DataFrame([(name, sheet, place, packed, None)], columns=columns).astype({"place": "Int32"})
+            except _UNREADABLE as e:
+                yield pd.DataFrame([(name, None, None, None, f"{type(e).__name__}: {e}")], columns=columns).astype({"place": "Int32"})
+
+
+def _sheet_cells(name: str, sheet: str | None, packed: bytes | None, error: str | None):
+    """(src_file, sheet, row_no, cells) of one sheet; a row without a sheet tells that it cannot be read."""
+    if packed is None:
+        yield name, None, None, {BROKEN: error}
+        return
+    header = None
     try:
-        for sheet, row_no, cells in sheet_rows(content):
-            if sheet not in header:
-                header[sheet] = header_names(cells)
+        for row_no, cells in sheet_rows(bytes(packed)):
+            if header is None:
+                header = header_names(cells)
                 continue
-            h = header[sheet]
-            m = {h[i] if i < len(h) else f"col{i}": (None if v is None else str(v)) for i, v in enumerate(cells)}
+            m = {header[i] if i < len(header) else f"col{i}": (None if v is None else str(v)) for i, v in enumerate(cells)}
             if any(v not in (None, "") for v in m.values()):
                 yield name, sheet, row_no, m
-    except (zipfile.BadZipFile, ET.ParseError, KeyError, ValueError, IndexError, AttributeError, EOFError, zlib.error) as e:
-        yield name, None, None, {BROKEN: f"{type(e).__name__}: {e}"}
+    except _UNREADABLE as e:
+        yield name, None, None, {BROKEN: f"{sheet}: {type(e).__name__}: {e}"}
 
 
 def _parse_batches(batches):
     columns = ["src_file", "sheet", "row_no", "cells"]
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            rows = _file_cells(path.rsplit("/", 1)[-1], bytes(content))
+        for given in zip(pdf["src_file"], pdf["sheet"], pdf["packed"], pdf["error"]):
+            rows = _sheet_cells(*given)
             while out := list(itertools.islice(rows, _CHUNK)):
                 made = pd.DataFrame(out, columns=columns)
                 yield made.astype({"row_no": "Int32"})
@@ -164,12 +210,14 @@ def read_cells(spark: SparkSession, path, pattern: str = "*.xlsx") -> DataFrame:
 
 
 def cells_from_binary(raw: DataFrame, n_files: int | None = None) -> DataFrame:
-    """(path, content) rows of xlsx files -> cells. A file is parsed by one task: an
-    xlsx cannot be split, and its size is bounded by the format."""
+    """(path, content) rows of xlsx files -> cells. The sheets of a workbook are parsed by tasks of their own."""
     raw = raw.select("path", "content")
     if n_files:
         raw = raw.repartition(max(1, n_files))      # round robin: files spread evenly
-    return raw.mapInPandas(_parse_batches, CELLS_SCHEMA)
+    sheets = raw.mapInPandas(_packed_sheets, _PACKED)
+    # as many partitions as files: sheets of a file meet others', and no sheet is parsed with all of its workbook
+    sheets = sheets.repartition(max(8, n_files), "src_file", "place") if n_files else sheets.repartition("src_file", "place")
+    return sheets.mapInPandas(_parse_batches, CELLS_SCHEMA)
 
 
 def sheet_tables(cells: DataFrame) -> DataFrame:

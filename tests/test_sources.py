@@ -199,6 +199,28 @@ def test_repeated_headers_keep_their_columns(spark, tmp_path):
     assert excel.terminal_rows(excel.read_cells(spark, str(tmp_path))).first().extra == {"note": "A", "note.1": "B"}
 
 
+def test_sheets_of_one_workbook_are_parsed_by_several_tasks(spark, tmp_path):
+    sheets = {f"s{i}": pd.DataFrame([[f"{i}-{r}", r, "x"] for r in range(3000)], columns=["a", "n", "a"]) for i in range(6)}
+    (tmp_path / "terminals_01032024.xlsx").write_bytes(fixtures.xlsx_bytes(sheets))
+    cells = excel.read_cells(spark, str(tmp_path))
+    rows = cells.select("sheet", "row_no", "cells", F.spark_partition_id().alias("task")).collect()
+    assert len(rows) == 18_000 and len({r.task for r in rows}) > 1
+    assert len({(r.sheet, r.task) for r in rows}) == 6          # a sheet is parsed by one task
+    assert all(r.cells == {"a": f"{r.sheet[1:]}-{r.row_no - 2}", "n": str(r.row_no - 2), "a.1": "x"} for r in rows)
+
+
+def test_broken_sheet_leaves_the_other_sheets(spark, tmp_path):
+    whole = fixtures.xlsx_bytes({n: pd.DataFrame({"v": [n]}) for n in ("one", "two", "three")})
+    buf = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(whole)) as z, zipfile.ZipFile(buf, "w") as out:
+        for name in z.namelist():
+            out.writestr(name, b"<worksheet" if name.endswith("sheet2.xml") else z.read(name))
+    (tmp_path / "terminals_01032024.xlsx").write_bytes(buf.getvalue())
+    rows = excel.read_cells(spark, str(tmp_path)).collect()
+    assert sorted((r.sheet or "", r.cells.get("v")) for r in rows) == [("", None), ("one", "one"), ("three", "three")]
+    assert next(r for r in rows if r.sheet is None).cells["broken_workbook"].startswith("two: ParseError")
+
+
 def test_stream_records_files_without_lines(spark, tmp_path):
     from cardsentry.sources.ledger import Ledger
 
