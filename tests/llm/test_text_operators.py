@@ -136,6 +136,35 @@ def test_packing_pieces_and_sequences(spark):
     assert len(places) <= -(-total // 256) * 1.03 + 1
 
 
+def best_fit_bins(lengths, capacity):
+    gaps = []
+    for s in lengths:
+        fits = [g for g in gaps if g >= s]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - s)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("capacity", [7, 40])
+def test_packing_places_where_the_sum_of_squares_becomes_smallest(capacity):
+    rng = np.random.default_rng(capacity)
+    for n in (0, 1, 30, 300):
+        lengths = rng.integers(1, capacity + 1, n)
+        bins, offset = packing.place(lengths, capacity)
+        used = {}
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            def squares(b):
+                after = Counter(capacity - u for u in (used | {b: used.get(b, 0) + lengths[i]}).values() if u < capacity)
+                return sum(c * c for c in after.values())
+            room = [b for b, u in used.items() if u + lengths[i] <= capacity]
+            b = int(bins[i])
+            assert offset[i] == used.get(b, 0)
+            assert b in room and squares(b) == min(map(squares, room)) if room else b not in used
+            used[b] = used.get(b, 0) + int(lengths[i])
+        assert all(u <= capacity for u in used.values())
+
+
 def test_packing_is_tight():
     rng = np.random.default_rng(1)
     for n in (1, 2, 50, 4000):
@@ -146,7 +175,7 @@ def test_packing_is_tight():
             sizes = lengths[bins == b][mine]
             assert sizes.sum() <= 1024 and (offset[bins == b][mine] == np.cumsum(sizes) - sizes).all()
     falling = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    assert len(np.unique(bins)) <= len(packing._best_fit(falling, lengths, 1024)) * 1.015  # uniform lengths suit best fit
+    assert len(np.unique(bins)) <= best_fit_bins(lengths[falling], 1024) * 1.015  # uniform lengths suit best fit
     assert len(np.unique(packing.place(np.array([512] * 7), 1024)[0])) == 4
 
 
