@@ -5,8 +5,11 @@ length there are windows of that many shingles, a quarter of it apart, so that s
 three quarters of its shingles with a template that lies in the text. Window and template are compared by
 BANDS bands of ROWS MinHash values: at similarity 0.5 they meet with probability 0.999, at 0.7 with 0.9999999.
 A window that holds no shingle of any template cannot meet one and is not hashed. A retrieved template is verified
-by its exact containment: the share of its distinct shingles that lie in the window, widened by one step. As sister
-licenses differ in a word or two, the match must also hold the template's deciding words, one after the other.
+by its exact containment: the share of its distinct shingles that lie in a run of as many shingles as it has, of all such
+runs up to one step from the window the one that holds most. As sister
+licenses differ in a word or two, the match must also hold the template's deciding words, one after the other; titles
+and short forms (`titles`) are made by rule from families and versions and must stand there word for word. A match that
+lies within a match of a larger template which holds all its shingles is part of that statement and not told twice.
 
 Defined cases: null and empty texts match nothing; texts are scanned whole; templates of fewer than three words are
 refused; overlapping finds of one template are one match; repeated rows are scanned one by one; an empty table gives
@@ -72,6 +75,90 @@ TEMPLATES = {
                            "limited to the warranties of merchantability, fitness for a particular purpose and noninfringement",
 }
 
+#: Parts of the texts of common public licenses.
+TEMPLATES |= {
+    "MIT-full": TEMPLATES["MIT-grant"] + ", including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+                "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+                "conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+                "the Software. " + TEMPLATES["Warranty-disclaimer"] + ". In no event shall the authors or copyright holders be liable for any "
+                "claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection "
+                "with the software or the use or other dealings in the software",
+    "BSD-2-Clause-conditions": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+                               "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+                               "and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "BSD-3-Clause-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                                "products derived from this software without specific prior written permission",
+    "BSD-disclaimer": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties, "
+                      "including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "BSL-1.0-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                     "accompanying documentation covered by this license",
+    "GNU-copying": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed",
+    "GPL-warranty-notice": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+                           "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
+    "Unlicense-grant": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+                       "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "Zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it "
+                  "and redistribute it freely, subject to the following restrictions",
+    "Zlib-origin": "The origin of this software must not be misrepresented; you must not claim that you wrote the original software",
+}
+
+#: Families of licenses, their short names and versions.
+FAMILIES = {
+    "GNU General Public License": ("GPL", "2 3"),
+    "GNU GPL": ("GPL", "2 3"),
+    "GNU Lesser General Public License": ("LGPL", "2.1 3"),
+    "GNU LGPL": ("LGPL", "2.1 3"),
+    "GNU Library General Public License": ("LGPL", "2"),
+    "GNU Affero General Public License": ("AGPL", "3"),
+    "GNU AGPL": ("AGPL", "3"),
+    "GNU Free Documentation License": ("GFDL", "1.1 1.2 1.3"),
+    "Apache License": ("Apache", "1.1 2.0"),
+    "Mozilla Public License": ("MPL", "2.0"),
+    "Eclipse Public License": ("EPL", "1.0 2.0"),
+    "European Union Public Licence": ("EUPL", "1.1 1.2"),
+    "Artistic License": ("Artistic", "1.0 2.0"),
+    "Academic Free License": ("AFL", "3.0"),
+    "Open Software License": ("OSL", "3.0"),
+    "Boost Software License": ("BSL", "1.0"),
+    "Common Development and Distribution License": ("CDDL", "1.0 1.1"),
+}
+#: Parts of Creative Commons licenses, and their versions.
+CC_PARTS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+CC_CODES = ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+CC_VERSIONS = ("2.0", "2.5", "3.0", "4.0")
+#: Other short forms.
+SHORT_FORMS = {
+    "MIT:licensed": "licensed under the MIT License",
+    "MIT:terms": "under the terms of the MIT License",
+    "MIT:title": "The MIT License MIT",
+    "BSD-2-Clause:title": "BSD 2-Clause License",
+    "BSD-3-Clause:title": "BSD 3-Clause License",
+    "BSD-2-Clause:quoted": "BSD 2-Clause \"Simplified\" License",
+    "BSD-3-Clause:quoted": "BSD 3-Clause \"New\" or \"Revised\" License",
+    "ISC:licensed": "licensed under the ISC License",
+    "Apache-2.0:code": "Apache-2.0 License",
+    "CC0-1.0:title": "CC0 1.0 Universal",
+    "Unlicense:title": "released under the Unlicense",
+    "WTFPL-2:title": "Do What The Fuck You Want To Public License",
+}
+
+
+def titles() -> dict[str, str]:
+    """Titles and short forms of licenses: every family in its versions, as `version V`, `vV` and `V`."""
+    out = dict(SHORT_FORMS)
+    for family, (code, versions) in FAMILIES.items():
+        said = "" if family.endswith(("License", "Licence")) and "Library" not in family else f":{family.split()[1]}"
+        for v in versions.split():
+            out |= {f"{code}-{v}{said}:{form.split('{')[0].strip() or 'plain'}": f"{family} {form.format(v)}" for form in ("version {}", "v{}", "{}")}
+    for code in CC_CODES:
+        name = "-".join(CC_PARTS[p] for p in code.split("-"))
+        for v in CC_VERSIONS:
+            out |= {f"CC-{code}-{v}:short": f"CC {code} {v}", f"CC-{code}-{v}:name": f"Creative Commons {name} {v}"}
+    return out
+
+
+TEMPLATES |= titles()
+
 #: Words, one after the other, without which a text is not of this template but of a sister.
 DECIDING = {
     "AGPL-3.0": "GNU Affero General Public License, version 3",
@@ -99,6 +186,7 @@ DECIDING = {
     "MIT": "MIT License",
     "MPL-2.0": "Mozilla Public License, v. 2.0",
 }
+_EXACT = titles()
 
 _TABLE = bytes((c + 32 if 65 <= c <= 90 else c) if c >= 128 or chr(c).isalnum() or c in SPACE else 32 for c in range(256))
 _WORD = re.compile(rb"[^ \t\n\x0b\f\r]+")
@@ -140,11 +228,13 @@ class Matcher:
             members = np.unique(shingles(words, K))
             self.sets.append(members)
             self.lengths.append(len(words) - K + 1)
-            run = word_hashes(normal(DECIDING.get(name, "")))
+            run = word_hashes(normal(DECIDING.get(name, _EXACT.get(name, ""))))
             self.deciding.append(run if _holds(words, run) else run[:0])  # own templates may bear such a name
             for key in bands(members).tolist():
                 self.by_band.setdefault(key, []).append(t)
         self.every = np.unique(np.concatenate(self.sets))
+        # templates whose shingles are all held by a larger one
+        self.within = [{u for u, other in enumerate(self.sets) if len(other) > len(mine) and np.isin(mine, other).all()} for mine in self.sets]
 
     def find(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, containment, start, end) of every match, in code points of `text`."""
@@ -168,19 +258,15 @@ class Matcher:
                 window = np.unique(all_shingles[start : start + length])
                 likely = {t for key in bands(window).tolist() for t in self.by_band.get(key, ()) if self.lengths[t] == length}
                 for t in likely:
-                    lo, hi = max(0, start - step), start + length + step
-                    inside = np.isin(all_shingles[lo:hi], self.sets[t])
-                    share = len(np.unique(all_shingles[lo:hi][inside])) / len(self.sets[t])
-                    if share >= CONTAINMENT:
-                        places = np.flatnonzero(inside)
-                        a, b = lo + int(places[0]), lo + int(places[-1]) + K
-                        if not len(self.deciding[t]) or _holds(words[a:b], self.deciding[t]):
-                            found.setdefault(t, []).append((a, b, share))
+                    if best := self._best(words, all_shingles, t, max(0, start - step), start + step):
+                        found.setdefault(t, []).append(best)
         if not found:
             return []
         raw, spans = text.encode(), [m.span() for m in _WORD.finditer(normal(text))]
         out = []
         for t, places in found.items():
+            around = [(a, b) for u in self.within[t] for a, b, _ in found.get(u, ())]
+            places = [p for p in places if not any(a <= p[0] and p[1] <= b for a, b in around)]
             merged: list[list] = []
             for a, b, share in sorted(places):
                 if merged and a < merged[-1][1]:
@@ -192,6 +278,23 @@ class Matcher:
                 out.append((self.names[t], share, start, start + len(raw[spans[a][0] : spans[b - 1][1]].decode())))
         return sorted(out, key=lambda m: (m[2], m[0]))
 
+    def _best(self, words: np.ndarray, all_shingles: np.ndarray, t: int, lo: int, hi: int) -> tuple[int, int, float] | None:
+        """(first word, end, containment) of the run that holds most of template `t` and its deciding words, of those
+        that start at `lo` to `hi`."""
+        length, wanted = self.lengths[t], self.sets[t]
+        part = all_shingles[lo : hi + length]
+        at = np.minimum(np.searchsorted(wanted, part), len(wanted) - 1)
+        inside = np.flatnonzero(wanted[at] == part)
+        best, most = None, (CONTAINMENT, 0)  # the share, then the places held, as a shingle may come twice
+        for start in range(max(1, min(hi - lo + 1, len(part) - length + 1))):
+            held = inside[np.searchsorted(inside, start) : np.searchsorted(inside, start + length)]
+            share = len(np.unique(at[held])) / len(wanted)
+            if (share, len(held)) > most:
+                a, b = lo + int(held[0]), lo + int(held[-1]) + K
+                if not len(self.deciding[t]) or _holds(words[a:b], self.deciding[t]):
+                    best, most = (a, b, share), (share, len(held))
+        return best
+
 
 @functools.cache
 def _matcher(templates: tuple[tuple[str, str], ...]) -> Matcher:

@@ -305,6 +305,69 @@ def test_sister_licenses_are_told_apart():
     assert [m[0] for m in license_scan.Matcher(own).find(own["GPL-3.0"])] == ["GPL-3.0"]
 
 
+@pytest.mark.parametrize("line, name", [
+    ("This project is licensed under the MIT License", "MIT"), ("Licensed under the MIT license.", "MIT"),
+    ("GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007", "GPL-3"), ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999", "LGPL-2.1"),
+    ("Apache License\n  Version 2.0, January 2004", "Apache-2.0"), ("covered by the Mozilla Public License 2.0 as given here", "MPL-2.0"),
+    ("this text is under CC BY-SA 3.0 only", "CC-BY-SA-3.0"), ("BSD 3-Clause License", "BSD-3-Clause"),
+    ("Creative Commons Attribution-ShareAlike 3.0 Unported", "CC-BY-SA-3.0"), ("the GNU GPL v2 or later", "GPL-2")])
+def test_titles_and_short_forms(line, name):
+    found = license_scan.Matcher(license_scan.TEMPLATES).find(line)
+    assert {m[0].split(":")[0] for m in found} == {name}
+
+
+def test_parts_of_a_larger_template_are_told_once():
+    to = license_scan.Matcher(license_scan.TEMPLATES)
+    whole = license_scan.TEMPLATES["MIT-full"]
+    assert [m[0] for m in to.find(whole)] == ["MIT-full"]
+    apart = f"{license_scan.TEMPLATES['Warranty-disclaimer']} {'other words here ' * 300} {whole}"
+    assert [m[0] for m in to.find(apart)] == ["Warranty-disclaimer", "MIT-full"]
+    three = " ".join(license_scan.TEMPLATES[n] for n in ("BSD-redistribution", "BSD-2-Clause-conditions", "BSD-3-Clause-endorsement"))
+    assert {m[0] for m in to.find(three)} == {"BSD-redistribution", "BSD-2-Clause-conditions", "BSD-3-Clause-endorsement"}
+
+
+def test_licenses_equal_brute_force_containment():
+    """Every template against every window of every text, by word triples; deciding words and parts as stated."""
+    templates, to, rng = license_scan.TEMPLATES, license_scan.Matcher(license_scan.TEMPLATES), random.Random(21)
+
+    def words(text):
+        return re.findall("[^ \\t\\n\\x0b\\f\\r]+", re.sub("[\x00-\x08\x0e-\x1f!-/:-@\\[-`{-\x7f]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+
+    def triples(w):
+        return [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+
+    sets = {n: set(triples(words(x))) for n, x in templates.items()}
+    deciding = {n: words(license_scan.DECIDING.get(n, license_scan._EXACT.get(n, ""))) for n in templates}
+
+    def brute(text):
+        w = words(text)
+        there, out = triples(w), {}
+        for n, wanted in sets.items():
+            length = len(words(templates[n])) - 2
+            for at in range(max(1, len(there) - length + 1)):
+                held = [i for i in range(at, min(at + length, len(there))) if there[i] in wanted]
+                if len({there[i] for i in held}) >= license_scan.CONTAINMENT * len(wanted):
+                    a, b, d = held[0], held[-1] + 3, deciding[n]
+                    if not d or any(w[i : i + len(d)] == d for i in range(a, b - len(d) + 1)):
+                        out.setdefault(n, []).append((a, b))
+        return {n for n, spans in out.items()
+                if any(not any(sets[n] < sets[u] and a <= c and d <= b for u in out for a, b in out[u]) for c, d in spans)}
+
+    names = sorted(templates)
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 4)):
+            parts += [f"prose{rng.randrange(30)}" for _ in range(rng.randrange(12))]
+            given = templates[rng.choice(names)].split()
+            if rng.random() < 0.4:
+                given[rng.randrange(len(given))] = "altered"
+            parts += given
+        text = " ".join(parts)
+        assert {m[0] for m in to.find(text)} == brute(text), text
+    clean = " ".join(rng.choice("the license of a public general work is version under terms software free".split()) + f" {rng.choice('abc')}" for _ in range(400))
+    assert to.find(clean) == [] and brute(clean) == set()
+
+
 def test_license_rows(spark):
     text = license_scan.TEMPLATES["MIT"]
     docs = spark.createDataFrame([(1, text, 1), (1, text, 1), (2, None, 2), (3, "", 3)], DOCS + ", license int")
