@@ -438,12 +438,16 @@ def _delivery(first_day, more=0):
     return F.least(F.lit(3), F.floor(F.datediff(F.to_date(arrives), F.lit(first_day)) / 8).cast("int") + more)
 
 
+def _stream_session(spark, sf_dir):
+    return stream_rules.stream_session(spark, files.total_size(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+
+
 def _fed(spark, sf_dir, name, start, span):
     """Feeds the operations in four deliveries and an end to a continuous query; returns the folder of its hits.
 
     start(session, tables, folder of operations, folder of hits, checkpoint) starts the query anew for each delivery.
     """
-    own = stream_rules.stream_session(spark)
+    own = _stream_session(spark, sf_dir)
     t, root = _tables(own, sf_dir), work_dir(spark, name)
     first, last = proxy.event_days(own, sf_dir)
     given = t.transactions.withColumn("_delivery", _delivery(first))
@@ -490,7 +494,7 @@ def q_stream_profile_rules(spark, sf_dir):
 def q_stream_late_operations(spark, sf_dir):
     """Repeated and late lines of a feed, each accounted for: some operations come two deliveries late, some twice in
     one delivery and some again in the next, in files of other names."""
-    own = stream_rules.stream_session(spark)
+    own = _stream_session(spark, sf_dir)
     t, root = _tables(own, sf_dir), work_dir(spark, "stream-late")
     first, _ = proxy.event_days(own, sf_dir)
     key, drop = F.col("transaction_id").cast("long"), f"{root}/drop"

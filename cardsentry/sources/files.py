@@ -40,6 +40,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def total_size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.mkdirs(p)

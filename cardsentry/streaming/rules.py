@@ -38,15 +38,27 @@ from cardsentry.operators.sequence import floor_div
 from cardsentry.session import apply_required
 
 TS = "transaction_date"
+FEED_BYTES = 32 << 20  # of a feed's files to one partition of keyed state
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def stream_session(spark: SparkSession) -> SparkSession:
-    """A session beside `spark` with its settings and the state store that keyed state needs."""
+def state_partitions(spark: SparkSession, feed_bytes: int = 0) -> int:
+    """Partitions of keyed state for a feed of about `feed_bytes` (of Parquet): one for each core, or for each
+    FEED_BYTES if these are more, and never more than the session shuffles into.
+
+    A trigger opens and commits the state store of every partition, however few its rows, and a query keeps the number
+    it began with, so batch settings (200 by default) would cost a small feed mostly commits.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, -(-feed_bytes // FEED_BYTES)))
+
+
+def stream_session(spark: SparkSession, feed_bytes: int = 0) -> SparkSession:
+    """A session beside `spark` with its settings, partitions for a feed of that size, and the state store that keyed state needs."""
     own = spark.newSession()
-    for key in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
         if spark.conf.get(key, None) is not None:
             own.conf.set(key, spark.conf.get(key))
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark, feed_bytes)))
     apply_required(own)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     return own

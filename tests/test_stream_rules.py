@@ -95,6 +95,14 @@ def test_probing_planted_chains(own, world, tmp_path):
     assert [r.event_dt for r in rules.read_hits(own, str(tmp_path / "hits")).collect()] == [at(18)]
 
 
+def test_partitions_of_state_follow_cores_and_feed(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "200")
+    cores = spark.sparkContext.defaultParallelism
+    at = lambda size: int(rules.stream_session(own, size).conf.get("spark.sql.shuffle.partitions"))
+    assert at(0) == cores and at((cores + 3) * rules.FEED_BYTES) == cores + 3 and at(10**15) == 200
+
+
 def test_cities_like_the_batch_rule_and_state_dropped(own, world, tmp_path):
     operations = random_operations(9, 250)
     folder, out, state = str(tmp_path / "ops"), str(tmp_path / "hits"), str(tmp_path / "state")
