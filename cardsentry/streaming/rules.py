@@ -4,9 +4,10 @@ Operations arrive as files (``operations``), in any order within ``delay``; even
 watermark trails the newest operation by ``delay``. Every rule gives the rows of its batch form:
 
 * R4 (``amount_probing``): a stateful operator. Operations wait in keyed state until the watermark has passed their
-  time bucket, are then put in their total order and judged, and the state is dropped. State is kept per account and
-  time bucket (each operation also waits, as context, in the bucket after its own), not per account: a hot account is
-  spread over its buckets, and no group outlives two spans of the rule.
+  time bucket, are then put in their total order and judged, and the state is dropped. State is kept per share of the
+  accounts and time bucket (each operation also waits, as context, in the bucket after its own), not per account: a
+  hot account is spread over its buckets, no group outlives two spans of the rule, and many small accounts cost few
+  calls to the state store.
 * R3 (``different_cities``): an interval join of the stream with itself, as a semi join: an operation is reported once,
   whichever of the two arrives first. Keyed by account and hour; both sides leave the state when the watermark is an
   hour past them.
@@ -25,6 +26,7 @@ from collections.abc import Callable, Iterator
 from decimal import Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -106,47 +108,51 @@ def _told(hits: DataFrame, clients: DataFrame, event_type: str, report_dt) -> Da
 
 # --------------------------------------------------------------------- R4 --
 
-WAITING = "us long, transaction_id string, cents long, oper_result string, client_id string, own boolean"
+WAITING = pa.schema([("key", pa.string()), ("us", pa.int64()), ("transaction_id", pa.string()), ("cents", pa.int64()), ("tries", pa.bool_()),
+                     ("ends", pa.bool_()), ("client_id", pa.string()), ("own", pa.bool_())])
+SHARES = 256  # fixed: a checkpoint's state is keyed by it
 
 
 class Prober(StatefulProcessor):
-    """Operations of one account in two neighbouring buckets; judged when the watermark passes the later one."""
+    """Operations of a share of the accounts in two neighbouring buckets; judged when the watermark passes the later one.
 
-    def __init__(self, width_us: int, within_us: int, min_ops: int, success: str, reject: str):
-        self.width_us, self.within_us, self.min_ops, self.success, self.reject = width_us, within_us, min_ops, success, reject
+    What arrives together waits as one value, so that calls to the state store are as many as shares and buckets, not
+    as accounts.
+    """
+
+    def __init__(self, width_us: int, within_us: int, min_ops: int):
+        self.width_us, self.within_us, self.min_ops = width_us, within_us, min_ops
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", WAITING)
+        self.waiting = handle.getListState("waiting", "rows binary")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = not self.waiting.exists()
         for part in rows:
-            some = part[["us", "transaction_id", "cents", "oper_result", "client_id", "own"]].astype(object).where(part.notna(), None)
-            self.waiting.appendList([tuple(x) for x in some.itertuples(index=False)])
+            batch = pa.RecordBatch.from_pandas(part[WAITING.names], schema=WAITING, preserve_index=False)
+            self.waiting.appendValue((batch.serialize().to_pybytes(),))
         if first:
             end = (int(key[1]) + 1) * self.width_us
             self.handle.registerTimer(-(-end // 1000))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        found = self.hits(sorted(self.waiting.get(), key=lambda r: (r[0], r[1])))
+        batches = [pa.ipc.read_record_batch(pa.py_buffer(bytes(x[0])), WAITING) for x in self.waiting.get()]
+        found = self.hits(pa.Table.from_batches(batches, WAITING).to_pandas())
         self.waiting.clear()
-        yield pd.DataFrame(found, columns=["_us", "transaction_id", "client_id"]).astype({"_us": "int64"})
-
-    def hits(self, rows: list[tuple]) -> list[tuple]:
-        """(us, transaction_id, client_id) of the own rows that end a chain, of rows in their total order."""
-        out, n = [], self.min_ops
-        for i in range(n - 1, len(rows)):
-            chain = rows[i - n + 1 : i + 1]
-            us, name, _, result, client, own = chain[-1]
-            if not own or result != self.success or us - chain[0][0] >= self.within_us:
-                continue
-            if any(r[3] != self.reject for r in chain[:-1]) or any(r[2] is None for r in chain):
-                continue
-            if all(a[2] > b[2] for a, b in zip(chain, chain[1:])):
-                out.append((us, name, client))
-        return out
+        yield found
+
+    def hits(self, rows: pd.DataFrame) -> pd.DataFrame:
+        """(_us, transaction_id, client_id) of the own rows that end a chain."""
+        rows["key"] = pd.factorize(rows["key"], use_na_sentinel=False)[0]
+        rows = rows.sort_values(["key", "us", "transaction_id"], na_position="first", ignore_index=True)
+        back, m = self.min_ops - 1, max(0, len(rows) - self.min_ops + 1)  # m: rows with so many before them
+        at = {c: [rows[c].to_numpy()[k : k + m] for k in range(self.min_ops)] for c in ("key", "us", "cents", "tries", "ends", "own")}
+        ok = at["own"][back] & at["ends"][back] & (at["key"][0] == at["key"][back]) & (at["us"][back] - at["us"][0] < self.within_us)
+        for k in range(back):
+            ok = ok & at["tries"][k] & (at["cents"][k] > at["cents"][k + 1])
+        return rows[["us", "transaction_id", "client_id"]].iloc[back:][ok].rename(columns={"us": "_us"})
 
     def close(self) -> None:
         pass
@@ -160,12 +166,15 @@ def amount_probing(enriched: DataFrame, clients: DataFrame, within="20 minutes",
     span = duration_us(within)
     width = max(span, duration_us(rules.LAG_BUCKET))
     us = epoch_us(TS)
-    # amounts have two decimals, so cents are exact
-    rows = enriched.select(TS, F.col(key).alias("key"), us.alias("us"), "transaction_id", (F.col("amount") * 100).cast("long").alias("cents"),
-                           "oper_result", "client_id", floor_div(us, width).alias("_b"))
+    told = lambda result: F.coalesce((F.col("oper_result") == F.lit(result)) & F.col("amount").isNotNull(), F.lit(False))
+    # amounts have two decimals, so cents are exact; an operation without an amount stands between others and is in no chain
+    rows = enriched.select(TS, F.col(key).cast("string").alias("key"), us.alias("us"), "transaction_id",
+                           F.coalesce((F.col("amount") * 100).cast("long"), F.lit(0).cast("long")).alias("cents"), told(reject).alias("tries"),
+                           told(success).alias("ends"), "client_id", floor_div(us, width).alias("_b")).where("_b IS NOT NULL")
     rows = rows.withColumn("bucket", F.explode(F.array("_b", F.col("_b") + 1))).withColumn("own", F.col("bucket") == F.col("_b")).drop("_b")
-    hits = rows.groupBy("key", "bucket").transformWithStateInPandas(
-        Prober(width, span, min_ops, success, reject), "_us long, transaction_id string, client_id string", "append", "EventTime")
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(SHARES)).cast("int"))
+    hits = rows.groupBy("share", "bucket").transformWithStateInPandas(
+        Prober(width, span, min_ops), "_us long, transaction_id string, client_id string", "append", "EventTime")
     return _told(hits, clients, EVENT_PROBING, report_dt)
 
 

@@ -95,6 +95,25 @@ def test_probing_planted_chains(own, world, tmp_path):
     assert [r.event_dt for r in rules.read_hits(own, str(tmp_path / "hits")).collect()] == [at(18)]
 
 
+def test_state_is_as_many_values_as_shares_not_as_accounts(own, world, tmp_path):
+    n = 1500
+    cards = own.range(n).selectExpr("concat('card', id) AS card_num", "concat('acc', id) AS account")
+    accounts = own.range(n).selectExpr("concat('acc', id) AS account", "DATE '2030-01-01' AS valid_to", "'1' AS client")
+    rows = [(f"{i}-{k}", T0 + dt.timedelta(minutes=k, microseconds=i), None if (i, k) == (9, 1) else Decimal(50 - k), f"card{i}", "pay",
+             "REJECT" if k < 3 else "SUCCESS", None) for i in range(n) for k in range(4 if i < 10 else 1)]
+    own.createDataFrame(rows, schemas.TRANSACTIONS).coalesce(1).write.parquet(str(tmp_path / "ops"))
+
+    def run():
+        stream = enrich_narrow(rules.operations(own, str(tmp_path / "ops"), "1 hour"), cards, accounts, world.clients)
+        return held(rules.finish(rules.append(rules.amount_probing(stream, world.clients, report_dt=REPORT_DT), str(tmp_path / "hits"), str(tmp_path / "state"))))
+
+    assert 0 < run() <= 2 * 2 * rules.SHARES  # a value and a timer for each share in two buckets
+    rules.end_of_feed(own, T0, "1 hour", "20 minutes").write.mode("append").parquet(str(tmp_path / "ops"))
+    assert run() == 0
+    got = sorted(r.event_dt for r in rules.read_hits(own, str(tmp_path / "hits"), distinct=False).collect())
+    assert got == [T0 + dt.timedelta(minutes=3, microseconds=i) for i in range(9)]  # not the tenth: an operation without amount
+
+
 def test_partitions_of_state_follow_cores_and_feed(spark):
     own = spark.newSession()
     own.conf.set("spark.sql.shuffle.partitions", "200")
