@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.operators.sizing import broadcast_if_bounded, broadcast_if_small
+from cardsentry.operators.sizing import broadcast_if_bounded, broadcast_if_small, broadcast_limit, join_in_shares, key_shares, size_bound
 
 TX_COLUMNS = ["transaction_id", "transaction_date", "amount", "card_num", "oper_type",
               "oper_result", "terminal"]
@@ -85,15 +85,31 @@ def enrich_narrow(transactions: DataFrame, cards: DataFrame, accounts: DataFrame
         bl = blocked_from(blacklist)
         prof = prof.join(broadcast_if_small(bl), prof["passport_num"] == bl["passport"], "left").drop("passport")
         inputs.append(blacklist)
-    prof = broadcast_if_bounded(prof.drop("passport_num"), inputs, [("account", acc), ("client_id", cli)])
-    out = transactions.select(*NARROW_TX, "card_num").join(prof, "card_num")
+    prof = prof.drop("passport_num")
+    small = broadcast_if_bounded(prof, inputs, [("account", acc), ("client_id", cli)])
+    tx = transactions.select(*NARROW_TX, "card_num")
+    if small is not prof or tx.isStreaming:
+        out = tx.join(small, "card_num")
+    else:  # a hot card in several tasks
+        prof = prof.withColumnRenamed("card_num", "_card")
+        out = join_in_shares(tx, prof, "card_num", "_card", key_shares(tx, "card_num"))
     return out.select(*NARROW_TX, *NARROW_PROFILE, *(["blocked_from"] if blacklist is not None else []))
 
 
-def attach_clients(hits: DataFrame, clients: DataFrame) -> DataFrame:
-    """Hits (few) with the client's report columns instead of the client's id."""
+def client_shares(operations: DataFrame, clients: DataFrame) -> DataFrame | None:
+    """Shares of the clients with very many operations, for ``attach_clients`` of these operations' hits; None if there
+    are none, or if the clients can be broadcast."""
+    limit = broadcast_limit(clients)
+    if limit >= 0 and size_bound(clients.select(F.col("client_id").alias("_id"), *CLIENT_COLUMNS))[1] <= limit:
+        return None
+    return key_shares(operations, "client_id")
+
+
+def attach_clients(hits: DataFrame, clients: DataFrame, shares: DataFrame | None = None) -> DataFrame:
+    """Hits with the client's report columns instead of the client's id; `shares` (``client_shares``): clients whose
+    hits are joined by several tasks."""
     cli = broadcast_if_small(clients.select(F.col("client_id").alias("_id"), *CLIENT_COLUMNS))
-    return hits.join(cli, hits["client_id"] == cli["_id"]).drop("_id", "client_id").withColumnRenamed("passport_num", "passport")
+    return join_in_shares(hits, cli, "client_id", "_id", shares).drop("_id", "client_id").withColumnRenamed("passport_num", "passport")
 
 
 def with_city(events: DataFrame, terminals: DataFrame, point_in_time: bool = True,

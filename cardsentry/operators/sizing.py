@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cardsentry.session import checkpoint_root
 from cardsentry.sources import files
 
 _FIXED = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -134,3 +135,34 @@ def broadcast_if_bounded(df: DataFrame, inputs, keys=(), max_bytes: int | None =
     for key, i in keys:
         rows *= most_per_key(i, key)
     return F.broadcast(df) if rows * sum(widest_row(i) for i in inputs) <= limit else df
+
+
+HOT_ROWS = 1 << 16  # a key held by more rows is joined in several shares of about so many
+
+
+def key_shares(rows: DataFrame, key: str, most: int | None = None) -> DataFrame | None:
+    """(_key, _shares) of the keys that more than `most` rows hold, or None if there are none.
+
+    Counted when this is called and kept by ``checkpoint()``; less than a row for every `most` rows of the table.
+    """
+    most = HOT_ROWS if most is None else most
+    counts = rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    checkpoint_root(rows.sparkSession)
+    shares = counts.where(F.col("_n") > most).select("_key", F.ceil(F.col("_n") / most).cast("int").alias("_shares")).checkpoint()
+    return None if shares.isEmpty() else shares
+
+
+def join_in_shares(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str, shares: DataFrame | None) -> DataFrame:
+    """Inner join of rows with a dimension; keys of `shares` (``key_shares``) are dealt by their rows' hash to as many tasks.
+
+    The dimension's rows of these keys alone are repeated, one for each share. AQE splits by the compressed bytes of a
+    shuffle partition, which for the alike rows of one key are a small part of what they hold in memory.
+    """
+    if shares is None:
+        return rows.join(dimension, rows[key] == dimension[dimension_key])
+    held = F.broadcast(shares) if broadcast_limit(rows) >= 0 else shares
+    dealt = rows.join(held, rows[key] == held["_key"], "left")
+    dealt = dealt.withColumn("_share", F.coalesce(F.pmod(F.xxhash64(*[rows[c] for c in rows.columns]), F.col("_shares")).cast("int"), F.lit(0))).drop("_key", "_shares")
+    repeated = dimension.join(held, dimension[dimension_key] == held["_key"], "left")
+    repeated = repeated.withColumn("_of", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares") - 1, F.lit(0))))).drop("_key", "_shares")
+    return dealt.join(repeated, (dealt[key] == repeated[dimension_key]) & (dealt["_share"] == repeated["_of"])).drop("_share", "_of")

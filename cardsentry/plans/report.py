@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions.timecols import day_end, duration_us
-from cardsentry.operators.enrich import attach_clients, enrich_narrow, with_city
+from cardsentry.operators.enrich import attach_clients, client_shares, enrich_narrow, with_city
 from cardsentry.operators.rules import (
     amount_probing, different_cities, profile_rules, resolve_window, scope,
 )
@@ -48,13 +48,14 @@ def clear(report: DataFrame) -> None:
         files.delete(report.sparkSession, report.scratch)
 
 
-def _report(profile: DataFrame, cities: DataFrame, probing: DataFrame, tables) -> DataFrame:
-    """Hits of all rules as report rows. Narrow hits get their client's columns here; rows that are then equal
+def _report(operations: DataFrame, profile: DataFrame, cities: DataFrame, probing: DataFrame, tables) -> DataFrame:
+    """Hits of all rules on the operations as report rows. Narrow hits get their client's columns here; rows that are then equal
     stay one row for the rules that report distinct rows."""
     if "client_id" not in profile.columns:
         return reduce(DataFrame.unionByName, [profile, cities, probing]).select(*REPORT_COLUMNS)
-    once = attach_clients(profile.unionByName(cities), tables.clients).select(*REPORT_COLUMNS).distinct()
-    return once.unionByName(attach_clients(probing, tables.clients).select(*REPORT_COLUMNS))
+    shares = client_shares(operations, tables.clients)
+    once = attach_clients(profile.unionByName(cities), tables.clients, shares).select(*REPORT_COLUMNS).distinct()
+    return once.unionByName(attach_clients(probing, tables.clients, shares).select(*REPORT_COLUMNS))
 
 
 def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
@@ -75,7 +76,7 @@ def build_report(tables, report_dt=None, window=None, cities_within="1 hour",
     ev = _enriched(tables, enriched)
     cities = with_city(ev, tables.terminals, point_in_time)
     out = _report(
-        profile_rules(ev, window, report_dt),
+        ev, profile_rules(ev, window, report_dt),
         different_cities(cities, None, window, cities_within if use_lb else 0,
                          within=cities_within, report_dt=report_dt),
         amount_probing(ev, window, probing_within if use_lb else 0, within=probing_within,
@@ -103,7 +104,7 @@ def daily_mart(tables, report_dt: Column | str | None = None, cities_within="1 h
     rdt = day_end("transaction_date") if report_dt is None else report_dt
     cities = with_city(ev, tables.terminals, True)
     out = _report(
-        profile_rules(ev, window, rdt),
+        ev, profile_rules(ev, window, rdt),
         different_cities(cities, None, window, cities_within, within=cities_within, report_dt=rdt,
                          day_horizon=True),
         amount_probing(ev, window, probing_within, within=probing_within, report_dt=rdt), tables)

@@ -7,9 +7,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardsentry import schemas
-from cardsentry.operators import rules
+from cardsentry.operators import rules, sizing
+from cardsentry.operators.enrich import enrich_narrow
+from cardsentry.plans import report
 from conftest import World
 
 SETTINGS = {
@@ -59,3 +62,28 @@ def test_hot_account_is_split_and_results_unchanged(spark, skew_conf):
     want = sorted(map(tuple, rules.different_cities(world.enriched(tx), world.terminals,
                                                     report_dt="2024-04-01").collect()))
     assert got == want and len(got) > 0
+
+
+def test_hot_card_and_hot_client_are_joined_in_shares(spark, monkeypatch):
+    """A key whose rows compress well is below AQE's threshold and was one task, for operations and for hits."""
+    world, tx = World(spark), _hot_operations(spark)
+    world.with_blacklist([("2024-02-01", "1111 000001")])
+    world.transactions = tx
+    whole = sorted(map(tuple, report.build_report(world, report_dt="2024-04-01").collect()))
+    monkeypatch.setattr(sizing, "HOT_ROWS", 250)
+    monkeypatch.setattr(sizing, "DEFAULT_LIMIT", "100b")  # no dimension is broadcast
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, {"spark.sql.adaptive.enabled": "false"}.get(key, "-1"))
+    try:
+        ev = enrich_narrow(tx, world.cards, world.accounts, world.clients)
+        most = lambda df: max(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect())
+        assert ev.count() == 9000 and most(ev) < 2600  # one card has 3,600 of 9,000 operations
+        r1 = rules.profile_rules(enrich_narrow(tx, world.cards, world.accounts, world.clients, blacklist=world.blacklist), report_dt="2024-04-01")
+        shares = report.client_shares(ev, world.clients)
+        assert {r["_key"] for r in shares.collect()} >= {"1"}
+        hits = report.attach_clients(r1, world.clients, shares)
+        assert hits.count() == r1.count() and most(hits) < 0.6 * r1.where("client_id = '1'").count()
+        assert sorted(map(tuple, report.build_report(world, report_dt="2024-04-01").collect())) == whole and whole
+    finally:
+        for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
