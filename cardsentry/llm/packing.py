@@ -30,7 +30,7 @@ from cardsentry.llm.byte_bpe import WORDS
 from cardsentry.llm.common import Remembered, saved
 
 GROUP = 1 << 16  # pieces packed by one task
-REMEMBERED = 40 << 20  # bytes of remembered words per worker
+REMEMBERED = 96 << 20  # bytes of remembered words per worker
 
 
 class JsonTokenizer:

@@ -247,3 +247,21 @@ def test_memos_are_bounded_by_bytes(monkeypatch):
 
     assert to.run(token_count.MARK + text) == len(sentencepiece.SentencePieceProcessor(model_file=MODEL).encode(text))
     assert to.used <= 150_000 and len(to.fits) < 1300
+
+
+def test_a_pair_is_given_up_at_its_border():
+    to = token_count.transducer(P.path("piece_bpe_32k.model"))
+    pieces = sorted(to.scores)[::97]
+    for a, b in zip(pieces, reversed(pieces)):
+        whole = to.merged(a + b)
+        assert to.merged(a + b, len(a)) in ([], whole) and to.compatible(a, b) == (whole == [a, b])
+    assert to.merged("the", 1) == [] and to.merged("the") != []
+
+
+def test_packing_remembers_a_large_vocabulary(monkeypatch):
+    to = packing.JsonTokenizer(P.path("byte_bpe_50k.json"))
+    words = [f" w{i:06d}" for i in range(200_000)]
+    text = "".join(words)
+    first, found = to.encode(text), []
+    monkeypatch.setattr(to.words, "find", lambda w: found.append(w) or to._word(w))
+    assert to.encode(text) == first and not found
