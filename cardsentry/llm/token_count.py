@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -60,21 +61,35 @@ class Transducer:
         self.arcs: list[dict[str, tuple[int, int]]] = []
         self._forget()
 
-    def merged(self, text: str) -> list[str]:
-        """Plain merges of a short text (at most two pieces long): best score first, leftmost on ties."""
-        parts = list(text)
-        while True:
-            best = max(((self.scores[a + b], -i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.scores), default=None)
-            if best is None:
-                return parts
-            i = -best[1]
+    def merged(self, text: str, border: int = 0) -> list[str]:
+        """Plain merges of a short text (at most two pieces long): best score first, leftmost on ties.
+
+        None are left of the parts once a merge crosses `border` (characters from the left; 0: no border).
+        """
+        get, parts = self.scores.get, list(text)
+        gains = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]  # of merging a part with the next
+        while gains:
+            best = max(gains)
+            if best == _NEVER:
+                break
+            i = gains.index(best)
+            if i < border:
+                border -= 1  # now in parts
+                if i == border:
+                    return []
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del gains[i]
+            if i:
+                gains[i - 1] = get(parts[i - 1] + parts[i], _NEVER)
+            if i < len(gains):
+                gains[i] = get(parts[i] + parts[i + 1], _NEVER)
+        return parts
 
     def compatible(self, a: str, b: str) -> bool:
         key = (a, b)
         found = self.fits.get(key)
         if found is None:
-            found = self.fits[key] = self.merged(a + b) == [a, b]
+            found = self.fits[key] = self.merged(a + b, len(a)) == [a, b]
             self.used += 120
         return found
 
@@ -108,15 +123,24 @@ class Transducer:
             state, n = START, self.rest(at) + len(c.encode())
         else:
             out: dict[tuple[str, str], int] = {}
+            inside, whole, fits = self.inside, self.reachable, self.fits
             for prefix, last, n in self.states[at]:
                 grown = prefix + c
-                if grown not in self.inside:
+                if grown not in inside:
                     continue
-                out[(grown, last)] = min(n, out.get((grown, last), n))
-                if grown in self.reachable and (not last or self.compatible(last, grown)):
-                    out[("", grown)] = min(n + 1, out.get(("", grown), n + 1))
+                key = (grown, last)
+                m = out.get(key)
+                if m is None or n < m:
+                    out[key] = n
+                if grown in whole:
+                    fit = not last or fits.get((last, grown))
+                    if self.compatible(last, grown) if fit is None else fit:
+                        key = ("", grown)
+                        m = out.get(key)
+                        if m is None or n + 1 < m:
+                            out[key] = n + 1
             n = min(out.values())
-            state = tuple(sorted((p, b, m - n) for (p, b), m in out.items()))
+            state = tuple(sorted([(p, b, m - n) for (p, b), m in out.items()]))
         if self.used > COMPILED:
             self._forget()
             return self._number(state), n
@@ -178,6 +202,7 @@ def _state(name: str) -> tuple:
 
 
 START = (("", "", 0),)
+_NEVER = -math.inf
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _RESET = re.compile(f"(?<=[^{MARK}]){MARK}")
 
