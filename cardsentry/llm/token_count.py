@@ -5,8 +5,13 @@ state as texts need them. Two neighbouring pieces can stand in a tokenization ex
 gives the two back, so a text's tokenization is the one path of pairwise compatible pieces. A state holds, for each
 vocabulary prefix that a path may be inside of, the piece before it and the tokens counted so far; the least of
 these counts is emitted on the transition and the rest stays in the state (determinization with residual weights).
-A word mark after another character resets the automaton, because no piece holds a mark behind another character;
-the stretch between two resets is remembered as one transition from start to start.
+A word mark after another character resets the automaton, because no piece holds a mark behind another character.
+So does a character after one of another group: characters that stand side by side in some piece are of one group
+(letters of a script, signs). The stretch between two resets is remembered as one transition from start to start.
+
+Each beginning of the piece being read has one piece before it, so a state holds one entry for each prefix length
+that some longer piece still goes on from, and one for the finished piece. Whether two pieces can be neighbours is
+read off the scores at which their parts at the border merge away.
 
 Long texts are cut into chunks. A chunk becomes a map from the states it may be entered in to the state it is left in
 and the tokens counted on the way. The first guess at its incoming state is the state after the BEFORE characters in
@@ -40,6 +45,7 @@ MARK = "▁"  # stands for a space in the model's pieces
 CHUNK = 1 << 15  # characters
 BEFORE = 256  # characters in front of a chunk that its incoming state is guessed from
 RUN = 64  # neighbouring chunk maps composed at a time
+GROUPS = 4  # largest groups of characters that are told from each other
 LEVELS = 3  # RUN ** LEVELS chunks hold more characters than a string can
 REMEMBERED = 96 << 20  # bytes of remembered stretches per worker
 COMPILED = 192 << 20  # bytes of compiled states, arcs and pairs of pieces per worker, about
@@ -51,11 +57,12 @@ class Transducer:
     def __init__(self, pieces: dict[str, float]):
         """pieces: normal pieces and their merge scores (higher merges first)."""
         self.scores = pieces
-        prefixes = {p[:n] for p in pieces for n in range(1, len(p) + 1)}
-        self.inside = prefixes
+        self.grows = {p[:n] for p in pieces for n in range(1, len(p))}
         self.singles = {p for p in pieces if len(p) == 1}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.stretches = Remembered(self.run, REMEMBERED)
+        self.borders: dict[str, tuple[list, list] | None] = {}  # at most one entry a piece
+        self.pattern = _pattern(pieces)
+        self.stretches = Remembered(self._stretch, REMEMBERED)
         self.states: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
         self.arcs: list[dict[str, tuple[int, int]]] = []
@@ -86,20 +93,67 @@ class Transducer:
         return parts
 
     def compatible(self, a: str, b: str) -> bool:
+        """Whether merging the joined text of two pieces gives the two back."""
         key = (a, b)
         found = self.fits.get(key)
         if found is None:
-            found = self.fits[key] = self.merged(a + b, len(a)) == [a, b]
+            found = self.fits[key] = a in self.reachable and b in self.reachable and self._apart(a, b)
             self.used += 120
         return found
 
+    def _apart(self, a: str, b: str) -> bool:
+        """Whether no merge crosses the border of two reachable pieces.
+
+        The parts at the border take turns to be merged away inwards, the better score first, the left one on ties; a
+        pair across the border merges if it is better than both of these merges, or as good as the right one.
+        """
+        left, right = self._borders(a), self._borders(b)
+        if left is None or right is None:
+            return self.merged(a + b, len(a)) == [a, b]
+        left, right, get, i, j = left[1], right[0], self.scores.get, 0, 0
+        while True:
+            (x, x_ends), (y, y_ends) = left[i], right[j]
+            across = get(x + y)
+            if across is not None and across > x_ends and across >= y_ends:
+                return False
+            if x_ends >= y_ends:
+                if x_ends == _NEVER:
+                    return True
+                i += 1
+            else:
+                j += 1
+
+    def _borders(self, piece: str) -> tuple[list, list] | None:
+        """Parts that stand first, and last, while a reachable piece merges, each with the score it is merged away at.
+
+        None if a merge is better than one before it: turns at a border do not follow from the scores then.
+        """
+        found = self.borders.get(piece, self)
+        if found is not self:
+            return found
+        get, parts, first, last, before = self.scores.get, list(piece), [], [], math.inf
+        while len(parts) > 1:
+            gains = [get(a + b, _NEVER) for a, b in zip(parts, parts[1:])]
+            best = max(gains)
+            if best > before:
+                self.borders[piece] = None
+                return None
+            before, i = best, gains.index(best)
+            if i == 0:
+                first.append((parts[0], best))
+            if i == len(gains) - 1:
+                last.append((parts[-1], best))
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        found = self.borders[piece] = [*first, (piece, _NEVER)], [*last, (piece, _NEVER)]
+        return found
+
     @functools.cached_property
     def reachable(self) -> frozenset[str]:
         """Pieces that merging their own text gives back."""
         return frozenset(p for p in self.scores if len(p) == 1 or self.merged(p) == [p])
 
-    # A state is a sorted tuple of (prefix being read, piece before it or "", residual count), known by a number.
-    # Prefix "" stands for a finished piece: the next character begins a new one. State 0 is the start.
+    # A state is a tuple of (prefix being read, piece before it or "", residual count), known by a number: prefixes by
+    # falling length, at last "", a finished piece: the next character begins a new one. State 0 is the start.
 
     def _forget(self) -> None:
         # in place: a run that is under way holds the list of arcs
@@ -122,25 +176,19 @@ class Transducer:
         if c not in self.singles:  # falls back to its bytes, which no merge touches
             state, n = START, self.rest(at) + len(c.encode())
         else:
-            out: dict[tuple[str, str], int] = {}
-            inside, whole, fits = self.inside, self.reachable, self.fits
+            out, done = [], None
+            grows, whole, fits = self.grows, self.reachable, self.fits
             for prefix, last, n in self.states[at]:
                 grown = prefix + c
-                if grown not in inside:
-                    continue
-                key = (grown, last)
-                m = out.get(key)
-                if m is None or n < m:
-                    out[key] = n
-                if grown in whole:
+                if done is None and grown in whole:
                     fit = not last or fits.get((last, grown))
                     if self.compatible(last, grown) if fit is None else fit:
-                        key = ("", grown)
-                        m = out.get(key)
-                        if m is None or n + 1 < m:
-                            out[key] = n + 1
-            n = min(out.values())
-            state = tuple(sorted([(p, b, m - n) for (p, b), m in out.items()]))
+                        done = ("", grown, n + 1)
+                if grown in grows:
+                    out.append((grown, last, n))
+            out.append(done)
+            n = min([m for _, _, m in out])
+            state = tuple([(p, b, m - n) for p, b, m in out] if n else out)
         if self.used > COMPILED:
             self._forget()
             return self._number(state), n
@@ -150,7 +198,7 @@ class Transducer:
 
     def rest(self, at: int) -> int:
         """Tokens still to be counted if the text ends in state `at`."""
-        return next(n for prefix, _, n in self.states[at] if not prefix)
+        return self.states[at][-1][2]
 
     def read(self, at: int, text: str) -> tuple[int, int]:
         """The state after reading `text` in state `at`, and the tokens counted on the way."""
@@ -166,9 +214,15 @@ class Transducer:
         at, count = self.read(0, text)
         return count + self.rest(at)
 
-    def count(self, stretches: list[str]) -> int:
-        """Tokens of stretches between resets: each a remembered transition from start to start."""
-        return sum(map(self.stretches.__getitem__, stretches))
+    def _stretch(self, text: str) -> int:
+        return self.run(text.replace(" ", MARK))
+
+    def count(self, text: str) -> int:
+        """Tokens of a text between resets: each stretch a remembered transition from start to start.
+
+        Marks are remembered as blanks: most stretches then take a byte a character.
+        """
+        return sum(map(self.stretches.__getitem__, self.pattern.findall(text.replace(MARK, " "))))
 
     def cross(self, entry: str, before: str, text: str) -> tuple[str, int]:
         """The state (as text) that a chunk entered in state `entry` is left in, and its tokens; `before`: text in front."""
@@ -181,9 +235,9 @@ class Transducer:
         count += n
         if first:
             count += self.rest(at)
-            parts = _STRETCH.findall(text, head)
-            count += self.count(parts[:-1])
-            at, n = self.read(0, parts[-1])
+            tail = len(text[: text.rindex(MARK)].rstrip(MARK))  # the last reset
+            count += self.count(text[head:tail])
+            at, n = self.read(0, text[tail:])
             count += n
         return _name(self.states[at]), count
 
@@ -193,6 +247,22 @@ class Transducer:
         return _name(self.states[self.read(0, before[resets[-1] if resets else 0 :])[0]])
 
 
+def _pattern(pieces: dict[str, float]) -> re.Pattern:
+    """Finds the stretches of a text with blanks for marks: blanks, then a run of one group or one lone character.
+
+    A lone character has no neighbour but a mark in any piece. Groups beyond the largest count as one.
+    """
+    group: dict[str, set[str]] = {}
+    words = [piece.lstrip(MARK) for piece in pieces]
+    for a, b in {pair for word in words for pair in zip(word, word[1:])}:
+        one, other = sorted((group.get(a, {a}), group.get(b, {b})), key=len)
+        other |= one
+        group.update(dict.fromkeys(one | {a, b}, other))
+    groups = sorted({min(g): g for g in group.values()}.values(), key=lambda g: (-len(g), min(g)))
+    runs = [sorted(g) for g in [*groups[:GROUPS], set().union(*groups[GROUPS:])] if g]
+    return re.compile(" *+(?:" + "".join(f"[{re.escape(''.join(g))}]+|" for g in runs) + "[^ ])| ++", re.DOTALL)
+
+
 def _name(state: tuple) -> str:
     return json.dumps(state, separators=(",", ":"))
 
@@ -203,7 +273,6 @@ def _state(name: str) -> tuple:
 
 START = (("", "", 0),)
 _NEVER = -math.inf
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _RESET = re.compile(f"(?<=[^{MARK}]){MARK}")
 
 Map = dict[str, tuple[str, int]]  # by incoming state: outgoing state, tokens
@@ -229,7 +298,7 @@ def transducer(path: str) -> Transducer:
 
 
 def _counts(to: Transducer, text: str) -> int:
-    return to.count(_STRETCH.findall(MARK + text.replace(" ", MARK))) if text else 0
+    return to.count(" " + text) if text else 0
 
 
 def count_tokens(docs: DataFrame, model_path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

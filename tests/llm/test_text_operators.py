@@ -265,3 +265,28 @@ def test_packing_remembers_a_large_vocabulary(monkeypatch):
     first, found = to.encode(text), []
     monkeypatch.setattr(to.words, "find", lambda w: found.append(w) or to._word(w))
     assert to.encode(text) == first and not found
+
+
+def test_words_are_remembered_without_their_signs():
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    to = token_count.Transducer(token_count.transducer(MODEL).scores)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeéñß") for _ in range(rng.randint(1, 9))) for _ in range(100)] + ["слово", "漢字", "", "▁", "▁▁x"]
+    ends = [",", ".\n", "$$$", "))", "7", "2024", "Ж", "漢", "😀", "\x00", "─═", "...\r\n"]
+    texts = [f"{a}{end} {b}{end}{a}" for a in words for b in words[::9] for end in ends]
+    assert [token_count._counts(to, t) for t in texts] == [len(x) for x in library.encode(texts)]
+    assert len(to.stretches) < 1000  # not one for each pair of a word and an end
+
+
+def test_pairs_judged_by_their_borders_merge_alike():
+    to = token_count.Transducer(token_count.transducer(MODEL).scores)
+    rng, pieces = random.Random(4), sorted(to.reachable)
+    pairs = [(rng.choice(pieces), rng.choice(pieces)) for _ in range(3000)] + [(p[:n], p[n:]) for p in pieces[::25] for n in range(1, len(p))]
+    for a, b in pairs:
+        if a in to.reachable and b in to.reachable:
+            assert to.compatible(a, b) == (to.merged(a + b) == [a, b])
+    odd = token_count.Transducer({"a": 0.0, "b": 0.0, "c": 0.0, "d": 0.0, "ab": -5.0, "abc": -1.0, "cd": -3.0})
+    for text in ("abcd", "abc", "cdabc", "ababcdcd", "aabbccdd", "abcabcd", "cdcd"):  # merges that get better on the way
+        assert odd.run(text) == len(odd.merged(text))
