@@ -8,9 +8,10 @@ watermark trails the newest operation by ``delay``. Every rule gives the rows of
   accounts and time bucket (each operation also waits, as context, in the bucket after its own), not per account: a
   hot account is spread over its buckets, no group outlives two spans of the rule, and many small accounts cost few
   calls to the state store.
-* R3 (``different_cities``): an interval join of the stream with itself, as a semi join: an operation is reported once,
-  whichever of the two arrives first. Keyed by account and hour; both sides leave the state when the watermark is an
-  hour past them.
+* R3 (``different_cities``): an interval join of the stream with itself, as a semi join: an operation is reported once, in
+  the trigger that brings the first of its partners or itself, whichever arrives last. Kept like R4 by share of the accounts
+  and time bucket, with the operations of the neighbouring buckets that are less than the rule's span from the border; what
+  is a span behind the watermark leaves the state when the group's next operations come, or with its timer.
 * R1A, R1B, R2 (``profile_rules``): a join with the dimension tables, which are read anew in every trigger, so a
   blacklist row added between two triggers counts from the next one on.
 
@@ -25,6 +26,7 @@ import datetime as dt
 from collections.abc import Callable, Iterator
 from decimal import Decimal
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -180,19 +182,112 @@ def amount_probing(enriched: DataFrame, clients: DataFrame, within="20 minutes",
 
 # --------------------------------------------------------------------- R3 --
 
+MEETING = pa.schema([("key", pa.string()), ("us", pa.int64()), ("city", pa.string()), ("client_id", pa.string()), ("open", pa.bool_())])
+CITY_BUCKET = "12 hours"  # least width; fixed, as SHARES
+CITY_SHARES = 128
+STATE_ROWS = 1 << 16  # in one value of the state
+
+
+class Meeter(StatefulProcessor):
+    """Operations of a share of the accounts in a time bucket, and those less than a span outside its borders.
+
+    The bucket's own are open until one of the same account in another city is less than a span away, and reported then.
+    The others serve as partners only: of those of an account in a city within one span, the first and the last meet
+    whatever any of them meets (as the summaries of the batch rule), and no more are kept.
+    """
+
+    def __init__(self, span_us: int):
+        self.span_us = span_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "rows binary")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        held = self.held()
+        ops = pa.Table.from_batches(held + [pa.RecordBatch.from_pandas(x[MEETING.names], MEETING, preserve_index=False) for x in rows], MEETING).combine_chunks()
+        k, city = (ops[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in ("key", "city"))
+        us, is_open = ops["us"].to_numpy(), ops["open"].to_numpy()
+        hit = is_open & self.met(k, city, us)
+        is_open = is_open & ~hit
+        stays = self.ahead(us, timerValues.getCurrentWatermarkInMs()) & (is_open | self.ends(k, city, us, ~is_open))
+        self.keep(ops.set_column(4, "open", pa.array(is_open)).filter(pa.array(stays)), timed=bool(held))
+        found = ops.filter(pa.array(hit))
+        yield pd.DataFrame({"_us": found["us"].to_numpy(), "client_id": found["client_id"].to_pandas()})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ops = pa.Table.from_batches(self.held(), MEETING)
+        self.keep(ops.filter(pa.array(self.ahead(ops["us"].to_numpy(), timerValues.getCurrentWatermarkInMs()))), timed=False)
+        return iter(())
+
+    def held(self) -> list[pa.RecordBatch]:
+        return [pa.ipc.read_record_batch(pa.py_buffer(bytes(x[0])), MEETING) for x in self.waiting.get()]
+
+    def keep(self, ops: pa.Table, timed: bool) -> None:
+        """Holds these and no others; a group that holds any has a timer, set for when the newest it had was a span behind."""
+        self.waiting.clear()
+        for part in ops.combine_chunks().to_batches(max_chunksize=STATE_ROWS) if ops.num_rows else ():
+            self.waiting.appendValue((part.serialize().to_pybytes(),))
+        if ops.num_rows and not timed:
+            self.handle.registerTimer(-(-(int(ops["us"].to_numpy().max()) + self.span_us) // 1000))
+
+    def ahead(self, us: np.ndarray, watermark_ms: int) -> np.ndarray:
+        """Those that operations after the watermark may yet meet."""
+        return us + self.span_us > watermark_ms * 1000
+
+    def met(self, key: np.ndarray, city: np.ndarray, us: np.ndarray) -> np.ndarray:
+        """Those with an operation of the same key and another city less than the span away: in the order of time, the
+        nearest such are next to the run of operations in their own city."""
+        order = np.lexsort((us, key))
+        key, city, us = key[order], city[order], us[order]
+        start = np.flatnonzero(_changes(key, city))
+        last = np.append(start[1:], len(us)) - 1
+        same = key[start[1:]] == key[last[:-1]]  # the run before is of the same key
+        far = np.full(1, self.span_us)
+        run = np.repeat(np.arange(len(start)), last - start + 1)
+        before = np.concatenate([far, np.where(same, us[start[1:]] - us[last[:-1]], self.span_us)])[run] + us - us[start[run]]
+        after = np.concatenate([np.where(same, us[start[1:]] - us[last[:-1]], self.span_us), far])[run] + us[last[run]] - us
+        found = np.empty(len(us), bool)
+        found[order] = np.minimum(before, after) < self.span_us
+        return found
+
+    def ends(self, key: np.ndarray, city: np.ndarray, us: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """Of those `among`, the first and the last of a key and a city in each span."""
+        at = np.flatnonzero(among)
+        at = at[np.lexsort((us[at], city[at], key[at]))]
+        new = _changes(key[at], city[at], us[at] // self.span_us)
+        found = np.zeros(len(us), bool)
+        found[at[new | np.append(new[1:], True)]] = True
+        return found
+
+    def close(self) -> None:
+        pass
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Rows that differ from the one before in any column; the first does."""
+    differs = np.zeros(len(columns[0]), bool)
+    differs[:1] = True
+    for c in columns:
+        differs[1:] |= c[1:] != c[:-1]
+    return differs
+
+
 def different_cities(enriched: DataFrame, terminals: DataFrame, clients: DataFrame, within="1 hour", key: str = "account", report_dt=None) -> DataFrame:
     """R3 over a stream of narrow enriched operations: mart rows, one per operation (operations of one client in the
     same microsecond give equal rows, which the batch form shows once)."""
     span = duration_us(within)
+    width = max(span, duration_us(CITY_BUCKET))
     rows = with_city(enriched, terminals).where(F.col("terminal_city").isNotNull())
     us = epoch_us(TS)
-    rows = rows.select(TS, F.col(key).alias("key"), us.alias("_us"), "terminal_city", "client_id", floor_div(us, span).alias("_b"))
-    other = rows.select(F.col(TS).alias("o_ts"), F.col("key").alias("o_key"), F.col("terminal_city").alias("o_city"),
-                        F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)).alias("o_b"))
-    gap = F.expr(f"INTERVAL {span // 1_000_000} SECONDS {span % 1_000_000} MICROSECONDS")
-    near = (F.col("o_ts") > F.col(TS) - gap) & (F.col("o_ts") < F.col(TS) + gap)
-    met = rows.join(other, (F.col("key") == F.col("o_key")) & (F.col("_b") == F.col("o_b")) & (F.col("terminal_city") != F.col("o_city")) & near, "left_semi")
-    return _told(met, clients, EVENT_CITIES, report_dt)
+    rows = rows.select(TS, F.col(key).cast("string").alias("key"), us.alias("us"), F.col("terminal_city").cast("string").alias("city"), "client_id",
+                       floor_div(us, width).alias("_b")).where("_b IS NOT NULL AND key IS NOT NULL")
+    into = F.col("us") - F.col("_b") * width
+    near = F.array(F.col("_b"), F.when(into < span, F.col("_b") - 1), F.when(into > width - span, F.col("_b") + 1))
+    rows = rows.withColumn("bucket", F.explode(F.array_compact(near))).withColumn("open", F.col("bucket") == F.col("_b")).drop("_b")
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("key"), F.lit(CITY_SHARES)).cast("int"))
+    hits = rows.groupBy("share", "bucket").transformWithStateInPandas(Meeter(span), "_us long, client_id string", "append", "EventTime")
+    return _told(hits, clients, EVENT_CITIES, report_dt)
 
 
 # ------------------------------------------------------------ R1A, R1B, R2 --

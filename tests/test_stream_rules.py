@@ -5,6 +5,7 @@ import random
 from collections import Counter
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,83 @@ def test_cities_like_the_batch_rule_and_state_dropped(own, world, tmp_path):
     assert got == {tuple(r) for r in expected.select(*rules.REPORT_COLUMNS).collect()} and got
 
 
+def cities(own, world, folder, out, state, delay, within="1 hour", stream=None, **read):
+    """Runs R3 over the files not yet seen; returns the values its state then holds."""
+    stream = narrow(world, rules.operations(own, folder, delay, **read)) if stream is None else stream
+    return held(rules.finish(rules.append(rules.different_cities(stream, world.terminals, world.clients, within=within, report_dt=REPORT_DT), out, state)))
+
+
+def test_cities_state_is_as_many_values_as_shares_not_as_operations(own, world, tmp_path):
+    n = 1500
+    cards = own.range(n).selectExpr("concat('card', id) AS card_num", "concat('acc', id) AS account")
+    accounts = own.range(n).selectExpr("concat('acc', id) AS account", "DATE '2030-01-01' AS valid_to", "'1' AS client")
+    rows = [(f"{i}-{k}", T0 + dt.timedelta(minutes=30 * k, microseconds=i), Decimal(1), f"card{i}", "pay", "SUCCESS", "T2" if i < 9 and k else "T1")
+            for i in range(n) for k in range(2)]
+    folder, out, state = str(tmp_path / "ops"), str(tmp_path / "hits"), str(tmp_path / "state")
+    own.createDataFrame(rows, schemas.TRANSACTIONS).coalesce(1).write.parquet(folder)
+
+    def run():
+        return cities(own, world, folder, out, state, "1 hour", stream=enrich_narrow(rules.operations(own, folder, "1 hour"), cards, accounts, world.clients))
+
+    assert 0 < run() <= 2 * 2 * rules.CITY_SHARES  # a value and a timer for each share in two buckets
+    rules.end_of_feed(own, T0, "1 hour", "1 hour").write.mode("append").parquet(folder)
+    assert run() == 0
+    got = sorted(r.event_dt for r in rules.read_hits(own, out).collect())
+    assert got == [T0 + dt.timedelta(minutes=30 * k, microseconds=i) for k in range(2) for i in range(9)]
+
+
+def test_cities_reported_when_the_partner_comes_and_once(own, world, tmp_path):
+    folder, out, state = str(tmp_path / "ops"), str(tmp_path / "hits"), str(tmp_path / "state")
+    noon = ts("2024-03-01 12:00:00")  # a border of two buckets
+    us = lambda k: dt.timedelta(microseconds=k)
+    hour = dt.timedelta(hours=1)
+    op = lambda i, t, term, card="0001": (i, t, 1, card, "SUCCESS", term)
+
+    def after(*rows):
+        feed(world, folder, rows)
+        cities(own, world, folder, out, state, "3 hours")
+        return sorted(r.event_dt for r in rules.read_hits(own, out, distinct=False).collect())
+
+    assert after(op("a", noon - us(1), "T1"), op("b", noon - us(2), "T1"), op("x", noon, "T1", "0005")) == []
+    first = [noon - us(1), noon + hour - us(2)]
+    assert after(op("c", noon + hour - us(2), "T2"), op("y", noon + hour, "T2", "0005")) == first  # b and x: an hour to the microsecond
+    assert after(op("d", noon + 2 * hour, "T2")) == first
+    assert after(op("e", noon - us(2), "T2")) == sorted(first + [noon - us(2)] * 2)  # b and e
+    assert after(op("f", noon + 20 * hour, "T2"), op("g", noon + 18 * hour, "T1")) == sorted(first + [noon - us(2)] * 2)
+
+
+@pytest.mark.parametrize("within", ["1 hour", "20 hours"])
+def test_cities_over_days_and_triggers_like_the_batch_rule(own, world, tmp_path, within):
+    rng = random.Random(17)
+    operations = [(i, T0 + (t - T0) * 30, a, c, r, term) for i, t, a, c, r, term in random_operations(23, 500)]  # two and a half days
+    operations += [(f"n{k}", T0 + dt.timedelta(hours=2, minutes=rng.randrange(-90, 90), microseconds=rng.randrange(3)), 1, "0002", "SUCCESS", rng.choice(["T1", "T2"])) for k in range(40)]
+    folder, out, state = str(tmp_path / "ops"), str(tmp_path / "hits"), str(tmp_path / "state")
+    for part in batches(operations, 6):
+        feed(world, folder, part)
+        cities(own, world, folder, out, state, "90 minutes", within)
+    rules.end_of_feed(own, max(r[1] for r in operations), "90 minutes", within).write.mode("append").parquet(folder)
+    assert cities(own, world, folder, out, state, "90 minutes", within) == 0
+    got = Counter(tuple(r) for r in rules.read_hits(own, out, distinct=False).collect())
+    ops = own.createDataFrame([(i, t, Decimal(str(a)), f"1000 0000 0000 {c}", "pay", r, term) for i, t, a, c, r, term in operations], schemas.TRANSACTIONS)
+    expected = batch_rules.different_cities(enrich(ops, world.cards, world.accounts, world.clients), world.terminals, within=within, report_dt=REPORT_DT)
+    assert set(got) == {tuple(r) for r in expected.select(*rules.REPORT_COLUMNS).collect()} and got
+    assert sum(got.values()) <= len(operations)
+
+
+def test_partners_that_are_kept_tell_as_much_as_all():
+    rng, span = np.random.default_rng(5), 50
+    meeter = rules.Meeter(span)
+    for n in (1, 2, 30, 300):
+        key, city, us, among = rng.integers(0, 3, n), rng.integers(0, 3, n), rng.integers(-200, 400, n), rng.random(n) < 0.8
+        near = (key[:, None] == key) & (city[:, None] != city) & (abs(us[:, None] - us) < span)
+        assert (meeter.met(key, city, us) == near.any(axis=1)).all()
+        kept = meeter.ends(key, city, us, among)
+        assert not (kept & ~among).any() and kept.sum() <= 2 * 3 * 3 * 13
+        k, c, u = rng.integers(0, 3, 200), rng.integers(0, 3, 200), rng.integers(-250, 450, 200)
+        told = lambda some: ((k[:, None] == key[some]) & (c[:, None] != city[some]) & (abs(u[:, None] - us[some]) < span)).any(axis=1)
+        assert (told(kept) == told(among)).all()
+
+
 def test_blacklist_row_added_between_triggers(own, world, tmp_path):
     folder, out, black = str(tmp_path / "ops"), str(tmp_path / "hits"), str(tmp_path / "black")
     own.createDataFrame([(d("2024-02-01"), "1111 000001")], schemas.BLACKLIST).write.parquet(black)
