@@ -184,7 +184,7 @@ def amount_probing(enriched: DataFrame, clients: DataFrame, within="20 minutes",
 
 MEETING = pa.schema([("key", pa.string()), ("us", pa.int64()), ("city", pa.string()), ("client_id", pa.string()), ("open", pa.bool_())])
 CITY_BUCKET = "12 hours"  # least width; fixed, as SHARES
-CITY_SHARES = 128
+CITY_SHARES = 64
 STATE_ROWS = 1 << 16  # in one value of the state
 
 
@@ -211,21 +211,23 @@ class Meeter(StatefulProcessor):
         hit = is_open & self.met(k, city, us)
         is_open = is_open & ~hit
         stays = self.ahead(us, timerValues.getCurrentWatermarkInMs()) & (is_open | self.ends(k, city, us, ~is_open))
-        self.keep(ops.set_column(4, "open", pa.array(is_open)).filter(pa.array(stays)), timed=bool(held))
-        found = ops.filter(pa.array(hit))
-        yield pd.DataFrame({"_us": found["us"].to_numpy(), "client_id": found["client_id"].to_pandas()})
+        self.keep(ops.set_column(4, "open", pa.array(is_open)).filter(pa.array(stays)), held=bool(held), timed=bool(held))
+        if hit.any():
+            found = ops.filter(pa.array(hit))
+            yield pd.DataFrame({"_us": found["us"].to_numpy(), "client_id": found["client_id"].to_pandas()})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         ops = pa.Table.from_batches(self.held(), MEETING)
-        self.keep(ops.filter(pa.array(self.ahead(ops["us"].to_numpy(), timerValues.getCurrentWatermarkInMs()))), timed=False)
+        self.keep(ops.filter(pa.array(self.ahead(ops["us"].to_numpy(), timerValues.getCurrentWatermarkInMs()))), held=True, timed=False)
         return iter(())
 
     def held(self) -> list[pa.RecordBatch]:
         return [pa.ipc.read_record_batch(pa.py_buffer(bytes(x[0])), MEETING) for x in self.waiting.get()]
 
-    def keep(self, ops: pa.Table, timed: bool) -> None:
+    def keep(self, ops: pa.Table, held: bool, timed: bool) -> None:
         """Holds these and no others; a group that holds any has a timer, set for when the newest it had was a span behind."""
-        self.waiting.clear()
+        if held:
+            self.waiting.clear()
         for part in ops.combine_chunks().to_batches(max_chunksize=STATE_ROWS) if ops.num_rows else ():
             self.waiting.appendValue((part.serialize().to_pybytes(),))
         if ops.num_rows and not timed:
